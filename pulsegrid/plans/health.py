@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import options as O
 from ..operators import alerts as A
+from ..operators.anchored import anchored_windows
 from ..operators import windows as W
 from ..operators.parse import parse_health
 from . import fixtures as X
@@ -82,7 +84,27 @@ def health_counters(spark, sf_dir):
     return A.counters(r, A.alert_rows(r, TABLE_OPTS))
 
 
+def _anchored(spark, sf_dir, key, metric):
+    r = readings(spark, sf_dir, TABLE_OPTS_METRIC)
+    return _flat(anchored_windows(r, TABLE_OPTS_METRIC, (metric,))[key])
+
+
+def anchored_hr(spark, sf_dir):
+    return _anchored(spark, sf_dir, "hr", O.METRIC_HR)
+
+
+def anchored_bp(spark, sf_dir):
+    return _anchored(spark, sf_dir, "bp", O.METRIC_BP)
+
+
+def anchored_sugar(spark, sf_dir):
+    return _anchored(spark, sf_dir, "sugar", O.METRIC_SUGAR)
+
+
 QUERIES = {
+    "anchored_hr": anchored_hr,
+    "anchored_bp": anchored_bp,
+    "anchored_sugar": anchored_sugar,
     "parse_readings_record": parse_readings_record,
     "parse_readings_metric": parse_readings_metric,
     "hr_window_metrics": hr_window_metrics,

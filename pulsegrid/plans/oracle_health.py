@@ -160,3 +160,62 @@ SQL = {
     + f"""SELECT (SELECT count(*) FROM rec) AS messages_processed,
        (SELECT count(*) FROM ({HR_ALERTS} UNION ALL {bp_alerts_sql(0)} UNION ALL {SUGAR_ALERTS})) AS alerts_generated""",
 }
+
+
+def anchored_sql(value_expr: str, second_expr: str | None, cond: str, minutes: int) -> str:
+    """First-reading-anchored windows by recursion over distinct minutes.
+
+    ``nx`` maps each minute to the first minute at or after minute + L; the recursion walks that map from each user's first minute;
+    every point then falls in the latest start at or before its minute.
+    """
+    sec = second_expr or "NULL"
+    return f"""WITH RECURSIVE {EV}, {MET},
+pts AS (
+  SELECT user_id, date_trunc('minute', ts) AS m, ts, event_id,
+         {value_expr} AS v, {sec} AS v2
+  FROM met WHERE {cond} AND user_id IS NOT NULL
+),
+mins AS (SELECT DISTINCT user_id, m, m + INTERVAL '{minutes} minutes' AS lim FROM pts),
+nx AS (
+  SELECT a.user_id, a.m,
+         (SELECT min(b.m) FROM mins b WHERE b.user_id = a.user_id AND b.m >= a.lim) AS nm
+  FROM mins a
+),
+chain AS (
+  SELECT user_id, min(m) AS s FROM mins GROUP BY user_id
+  UNION ALL
+  SELECT c.user_id, nx.nm FROM chain c JOIN nx ON nx.user_id = c.user_id AND nx.m = c.s
+  WHERE nx.nm IS NOT NULL
+),
+assigned AS (
+  SELECT p.*, (SELECT max(c.s) FROM chain c WHERE c.user_id = p.user_id AND c.s <= p.m) AS s
+  FROM pts p
+)
+"""
+
+
+def _anchored_hr() -> str:
+    return anchored_sql("heart_rate", None, "heart_rate > 0", 1440) + """SELECT user_id, s AS window_start,
+  s + INTERVAL '1440 minutes' AS window_end, round_even(avg(v), 2) AS avg_heart_rate,
+  min(v) AS min_heart_rate, max(v) AS max_heart_rate, count(*) AS reading_count
+FROM assigned GROUP BY user_id, s"""
+
+
+def _anchored_bp() -> str:
+    return anchored_sql("bp_systolic", "bp_diastolic", "bp_systolic > 0 AND bp_diastolic > 0", 1440) + """SELECT user_id,
+  s AS window_start, s + INTERVAL '1440 minutes' AS window_end,
+  round_even(avg(v), 2) AS avg_bp_systolic, round_even(avg(v2), 2) AS avg_bp_diastolic,
+  count(*) AS reading_count
+FROM assigned GROUP BY user_id, s"""
+
+
+def _anchored_sugar() -> str:
+    return anchored_sql("blood_sugar", None, "blood_sugar > 0", 14400) + """SELECT user_id, s AS window_start,
+  s + INTERVAL '14400 minutes' AS window_end, round_even(avg(v), 2) AS avg_blood_sugar,
+  min(v) AS min_blood_sugar, max(v) AS max_blood_sugar, count(*) AS reading_count
+FROM assigned GROUP BY user_id, s"""
+
+
+SQL["anchored_hr"] = _anchored_hr()
+SQL["anchored_bp"] = _anchored_bp()
+SQL["anchored_sugar"] = _anchored_sugar()
