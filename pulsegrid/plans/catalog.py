@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import health, oracle_health
+from . import health, ingestion, oracle_health, oracle_ingestion
 
 QUERIES = {}
 ORACLE = {}
-for _mod, _sql in ((health, oracle_health),):
+for _mod, _sql in ((health, oracle_health), (ingestion, oracle_ingestion)):
     QUERIES.update(_mod.QUERIES)
     ORACLE.update(_sql.SQL)

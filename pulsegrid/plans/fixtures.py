@@ -295,3 +295,16 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s.status").alias("status"),
         (F.col("placed") + F.make_dt_interval(mins=F.col("s.minutes"))).alias("ts"),
     )
+
+
+def kafka_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kafka-shaped rows (``topic, partition, offset, value, timestamp``) of the
+    health messages, as a Kafka source would deliver them."""
+    e = enriched(spark, sf_dir)
+    return e.select(
+        F.col("kafka_topic").alias("topic"),
+        F.col("kafka_partition").alias("partition"),
+        F.col("kafka_offset").alias("offset"),
+        F.col("raw_data").alias("value"),
+        F.col("ingested_at").alias("timestamp"),
+    )
