@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import activity, fleet, health, ingestion, oracle_activity, oracle_fleet, oracle_health, oracle_ingestion
+from . import activity, adhoc, fleet, health, ingestion, oracle_activity, oracle_adhoc, oracle_fleet, oracle_health, oracle_ingestion
 
 QUERIES = {}
 ORACLE = {}
-for _mod, _sql in ((health, oracle_health), (ingestion, oracle_ingestion), (activity, oracle_activity), (fleet, oracle_fleet)):
+for _mod, _sql in ((health, oracle_health), (ingestion, oracle_ingestion), (activity, oracle_activity), (fleet, oracle_fleet), (adhoc, oracle_adhoc)):
     QUERIES.update(_mod.QUERIES)
     ORACLE.update(_sql.SQL)

@@ -76,12 +76,12 @@ def _hr_groups(src: str = "rec", days: int = 1) -> str:
 )"""
 
 
-def _bp_groups(days: int = 1) -> str:
+def _bp_groups(days: int = 1, src: str = "rec") -> str:
     b = bucket(days)
     return f"""bp AS (
   SELECT user_id, {b} AS window_start, {b} + INTERVAL '{days} days' AS window_end,
          avg(bp_systolic) AS s, avg(bp_diastolic) AS d, count(*) AS n
-  FROM rec WHERE bp_systolic > 0 AND bp_diastolic > 0 AND user_id IS NOT NULL GROUP BY 1, 2, 3
+  FROM {src} WHERE bp_systolic > 0 AND bp_diastolic > 0 AND user_id IS NOT NULL GROUP BY 1, 2, 3
 )"""
 
 
