@@ -10,13 +10,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import options as O
+from ..functions.rounding import round_half_even
 
 
 def rate(bad: Column, total: Column) -> Column:
     """``round(bad / max(total, 1) * 100, 2)`` with half-even rounding on the
     binary value (as Python's ``round``)."""
     r = bad.cast("double") / F.greatest(total, F.lit(1)).cast("double") * 100
-    return F.rint(r * 100) / 100
+    return round_half_even(r, 2)
 
 
 def device_metrics(msgs: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.rounding import round_half_even
 from .sequence import with_next
 
 
@@ -23,7 +24,7 @@ def heading(fixes: DataFrame, bucket: str = "hour") -> DataFrame:
         "event_id",
         "next_event_id",
         "ts",
-        (F.rint(h * 10) / 10).alias("heading_deg"),
+        round_half_even(h, 1).alias("heading_deg"),
     )
 
 

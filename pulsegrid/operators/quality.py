@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import options as O
 from ..functions import jsonx as J
+from ..functions.rounding import round_half_even
 
 _NUMERIC = ("TINYINT", "SMALLINT", "INT", "BIGINT", "FLOAT", "DOUBLE")
 
@@ -114,4 +115,4 @@ def quality_report(classified: DataFrame) -> DataFrame:
     agg = classified.groupBy("device_type", "anomaly_class").agg(F.count(F.lit(1)).alias("messages"))
     tot = F.sum("messages").over(Window.partitionBy("device_type"))
     r = F.col("messages").cast("double") / tot.cast("double") * 100
-    return agg.select("device_type", "anomaly_class", "messages", (F.rint(r * 100) / 100).alias("rate_pct"))
+    return agg.select("device_type", "anomaly_class", "messages", round_half_even(r, 2).alias("rate_pct"))

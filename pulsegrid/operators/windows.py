@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import options as O
+from ..functions.rounding import round_half_even
 from ..options import DEFAULT, Options
 
 
@@ -25,13 +26,8 @@ def _severity(avg: Column, critical: int) -> Column:
 
 
 def _r2(c: Column) -> Column:
-    """Round half-even to 2 dp on the binary value (as Python's ``round``).
-
-    ``bround`` rounds the shortest decimal text of the double instead, so a
-    mean such as 75.475 (stored as 75.47499…) would go up; ``rint`` of the
-    scaled value keeps the binary semantics.
-    """
-    return F.rint(c * 100) / 100
+    """Round half-even to 2 dp on the binary value (as Python's ``round``)."""
+    return round_half_even(c, 2)
 
 
 # ---------------------------------------------------------------------------

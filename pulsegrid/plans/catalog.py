@@ -8,4 +8,4 @@ QUERIES = {}
 ORACLE = {}
 for _mod, _sql in ((health, oracle_health), (ingestion, oracle_ingestion), (activity, oracle_activity), (fleet, oracle_fleet), (adhoc, oracle_adhoc)):
     QUERIES.update(_mod.QUERIES)
-    ORACLE.update(_sql.SQL)
+    ORACLE.update({k: oracle_health.exact_rounding(v) for k, v in _sql.SQL.items()})

@@ -59,6 +59,52 @@ MET = """met AS (
 )"""
 
 
+def pyround(x: str, digits: int = 2) -> str:
+    """SQL for half-even rounding on the exact binary value (Python ``round``):
+    the product's rounding error, recovered with a Veltkamp split, decides
+    ties that the rounded product ``x * 10^d`` would otherwise create."""
+    s = f"CAST({10 ** digits} AS DOUBLE)"
+    x = f"CAST({x} AS DOUBLE)"
+    p = f"({x} * {s})"
+    c = f"({x} * CAST(134217729 AS DOUBLE))"
+    hi = f"({c} - ({c} - {x}))"
+    lo = f"({x} - {hi})"
+    err = f"(({hi} * {s} - {p}) + {lo} * {s})"
+    fl = f"floor({p})"
+    return (
+        f"((CASE WHEN {p} - {fl} = 0.5 AND {err} < 0 THEN {fl} "
+        f"WHEN {p} - {fl} = 0.5 AND {err} > 0 THEN {fl} + 1 "
+        f"ELSE round_even({p}, 0) END) / {s})"
+    )
+
+
+def exact_rounding(sql: str) -> str:
+    """Swap every ``round_even(x, d)`` (d > 0) in an oracle query for
+    ``pyround(x, d)``; the queries are written with ``round_even`` for
+    readability."""
+    out, i, key = [], 0, "round_even("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        out.append(sql[i:j])
+        k, depth, cut = j + len(key), 1, None
+        start = k
+        while depth:
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+            elif ch == "," and depth == 1:
+                cut = k
+            k += 1
+        arg, digits = sql[start:cut].strip(), int(sql[cut + 1 : k - 1])
+        out.append(pyround(exact_rounding(arg), digits) if digits > 0 else sql[j:k])
+        i = k
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
