@@ -91,7 +91,8 @@ def parse_health(
         for name in METRIC_COLS:
             v = F.col(f"_v_{name}")
             out.append(F.when(_present_ok(v), J.as_double(v)).alias(name))
-        return _fence(x.filter(~F.col("_bad")), out)
+        # filter after the fence, so the predicate is not pushed into the parse
+        return _fence(x, out + [F.col("_bad")]).filter(~F.col("_bad")).drop("_bad")
 
     valid = F.lit(True)
     for name in METRIC_COLS:

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from .. import options as O
 from ..sources.tables import table
 
-_JSON_OPTS = {"ignoreNullFields": "false"}
 ISO_FMT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 
 
@@ -43,89 +42,106 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
+def _s(c: Column) -> Column:
+    return c.cast("string")
+
+
+def _q(c: Column) -> Column:
+    return F.concat(F.lit('"'), c, F.lit('"'))
+
+
+def _obj(*pairs) -> Column:
+    """JSON object text from (key, JSON-text column) pairs (flat concat)."""
+    parts = [F.lit("{")]
+    for i, (k, v) in enumerate(pairs):
+        parts.append(F.lit(("" if i == 0 else ", ") + f'"{k}": '))
+        parts.append(v)
+    parts.append(F.lit("}"))
+    return F.concat(*parts)
+
+
 def _hr(v: Column) -> Column:
-    return F.struct(v.alias("value"), F.lit("bpm").alias("unit"))
+    return _obj(("value", v), ("unit", F.lit('"bpm"')))
 
 
 def _bp(s: Column, d: Column | None) -> Column:
-    parts = [s.alias("systolic")]
-    if d is not None:
-        parts.append(d.alias("diastolic"))
-    parts.append(F.lit("mmHg").alias("unit"))
-    return F.struct(*parts)
+    pairs = [("systolic", s)] + ([("diastolic", d)] if d is not None else []) + [("unit", F.lit('"mmHg"'))]
+    return _obj(*pairs)
 
 
 def _sugar(v: Column) -> Column:
-    return F.struct(v.alias("value"), F.lit("mg/dL").alias("unit"))
+    return _obj(("value", v), ("unit", F.lit('"mg/dL"')))
 
 
 def _payload(hr=None, bp=None, sugar=None, user=True, with_hr=True) -> Column:
-    fields = [(F.concat(F.lit("wearable_"), F.col("user_id").cast("string"))).alias("device_id")]
+    pairs = [("device_id", _q(F.concat(F.lit("wearable_"), _s(F.col("user_id")))))]
     if user:
-        fields.append(F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("user_id"))
+        pairs.append(("user_id", _q(F.concat(F.lit("user_"), _s(F.col("user_id"))))))
     if with_hr:
-        fields.append(hr.alias("heart_rate"))
-    fields += [
-        bp.alias("blood_pressure"),
-        sugar.alias("blood_sugar"),
-        (F.col("k") < 5).alias("is_anomaly"),
-        _iso(F.col("ts")).alias("timestamp"),
+        pairs.append(("heart_rate", hr))
+    pairs += [
+        ("blood_pressure", bp),
+        ("blood_sugar", sugar),
+        ("is_anomaly", F.when(F.col("k") < 5, F.lit("true")).otherwise(F.lit("false"))),
+        ("timestamp", _q(_iso(F.col("ts")))),
     ]
-    return F.struct(*fields)
+    return _obj(*pairs)
 
 
 def health_message_text() -> Column:
-    """Wearable JSON message text of one ``events`` row (see ``health_messages``)."""
+    """Wearable JSON message text of one ``events`` row (see ``health_messages``).
+
+    Built by flat string concatenation: cheap per row and small enough to
+    stay inside one whole-stage-codegen method."""
     half = F.floor(F.col("value") / 2)
     hr = F.lit(70) + half
     sys_ = F.lit(115) + half
     dia = F.lit(80) + F.lit(8) * (F.col("user_id") % 3)
     su = F.lit(110) + F.lit(2) * F.floor(F.col("value"))
-
-    def js(c: Column) -> Column:
-        return F.to_json(c, _JSON_OPTS)
-
-    normal = _payload(_hr(hr), _bp(sys_, dia), _sugar(su))
     k = F.col("k")
-    nul = F.lit(None).cast("string")
-    text = (
-        F.when(k == 0, js(_payload(_hr(-hr), _bp(-sys_, -dia), _sugar(-su))))
-        .when(k == 1, js(_payload(_hr(hr + 300), _bp(sys_ + 300, dia + 200), _sugar(su + 500))))
-        .when(k == 2, js(_payload(nul, nul, nul)))
-        .when(
-            k == 3,
-            js(
-                _payload(
-                    F.array(F.lit(1), F.lit(2), F.lit(3)),
-                    F.lit("not_a_number"),
-                    F.struct(F.lit(True).alias("invalid")),
-                )
-            ),
-        )
-        .when(k == 4, F.substring(js(normal), 1, 40))
-        .when(k == 5, js(_payload(_hr(-hr), _bp(sys_, dia), _sugar(su))))
-        .when(k == 6, js(_payload(_hr(hr.cast("string")), _bp(sys_, dia), _sugar(su))))
-        .when(k == 7, js(_payload(_hr(hr.cast("double") + 0.9), _bp(sys_, dia), _sugar(su))))
-        .when(
-            k == 8,
-            js(
-                F.struct(
-                    F.lit(O.TOPIC_WEARABLES).alias("kafka_topic"),
-                    (F.col("user_id") % 4).cast("int").alias("kafka_partition"),
-                    F.col("event_id").alias("kafka_offset"),
-                    F.lit(O.INGESTION_PROTOCOL).alias("ingestion_protocol"),
-                    _iso(F.col("ts")).alias("ingested_at"),
-                    normal.alias("raw_data"),
-                )
-            ),
-        )
-        .when(k == 9, js(_payload(_hr(hr), _bp(sys_, dia), _sugar(su), user=False)))
-        .when(k == 10, js(_payload(None, _bp(sys_, dia), _sugar(su), with_hr=False)))
-        .when(k == 11, js(_payload(_hr(F.lit(True)), _bp(sys_, dia), _sugar(su))))
-        .when(k == 12, js(_payload(_hr(hr), _bp(sys_, None), _sugar(su))))
-        .otherwise(js(normal))
+    null = F.lit("null")
+    # per-field JSON text, varied by k
+    hr_c = (
+        F.when(k.isin(0, 5), _hr(_s(-hr)))
+        .when(k == 1, _hr(_s(hr + 300)))
+        .when(k == 2, null)
+        .when(k == 3, F.lit("[1, 2, 3]"))
+        .when(k == 6, _hr(_q(_s(hr))))
+        .when(k == 7, _hr(_s(hr.cast("double") + 0.9)))
+        .when(k == 11, _hr(F.lit("true")))
+        .otherwise(_hr(_s(hr)))
+    )
+    bp_c = (
+        F.when(k == 0, _bp(_s(-sys_), _s(-dia)))
+        .when(k == 1, _bp(_s(sys_ + 300), _s(dia + 200)))
+        .when(k == 2, null)
+        .when(k == 3, F.lit('"not_a_number"'))
+        .when(k == 12, _bp(_s(sys_), None))
+        .otherwise(_bp(_s(sys_), _s(dia)))
+    )
+    su_c = (
+        F.when(k == 0, _sugar(_s(-su)))
+        .when(k == 1, _sugar(_s(su + 500)))
+        .when(k == 2, null)
+        .when(k == 3, F.lit('{"invalid": true}'))
+        .otherwise(_sugar(_s(su)))
+    )
+    full = _payload(hr_c, bp_c, su_c)
+    envelope = _obj(
+        ("kafka_topic", F.lit(f'"{O.TOPIC_WEARABLES}"')),
+        ("kafka_partition", _s(F.col("user_id") % 4)),
+        ("kafka_offset", _s(F.col("event_id"))),
+        ("ingestion_protocol", F.lit(f'"{O.INGESTION_PROTOCOL}"')),
+        ("ingested_at", _q(_iso(F.col("ts")))),
+        ("raw_data", full),
+    )
+    return (
+        F.when(k == 4, F.substring(full, 1, 40))
+        .when(k == 8, envelope)
+        .when(k == 9, _payload(hr_c, bp_c, su_c, user=False))
+        .when(k == 10, _payload(None, bp_c, su_c, with_hr=False))
+        .otherwise(full)
     )
-    return text
 
 
 def health_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
