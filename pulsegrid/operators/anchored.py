@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from .. import options as O
 from ..options import DEFAULT, Options
-from .windows import _bp_alert, _hr_alert, _r2, _sugar_alert
+from .windows import _bp_alert, _hr_alert, _r2, _sugar_alert, mean, scaled
 
 MINUTE_US = 60_000_000
 
@@ -38,8 +38,8 @@ PARTIAL_SCHEMA = T.StructType(
         T.StructField("window_start_us", T.LongType()),
         T.StructField("window_end_us", T.LongType()),
         T.StructField("n", T.LongType()),
-        T.StructField("s1", T.DoubleType()),
-        T.StructField("s2", T.DoubleType()),
+        T.StructField("s1", T.LongType()),
+        T.StructField("s2", T.LongType()),
         T.StructField("mn", T.DoubleType()),
         T.StructField("mx", T.DoubleType()),
     ]
@@ -63,8 +63,8 @@ def minute_partials(long_readings: DataFrame) -> DataFrame:
     minute = F.unix_micros(F.date_trunc("minute", F.col("ts")))
     return long_readings.groupBy("user_id", "metric", minute.alias("minute_us")).agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum("v1").alias("s1"),
-        F.sum("v2").alias("s2"),
+        F.sum(scaled(F.col("v1"))).alias("s1"),
+        F.coalesce(F.sum(scaled(F.col("v2"))), F.lit(0).cast("long")).alias("s2"),
         F.min("v1").alias("mn"),
         F.max("v1").alias("mx"),
     )
@@ -83,35 +83,22 @@ def _fold(lengths_us: dict[str, int]):
         while i < len(m):
             starts.append(i)
             i = int(np.searchsorted(m, m[i] + length, side="left"))
-        bounds = starts + [len(m)]
-        n = pdf["n"].to_numpy(np.int64)
-        s1 = pdf["s1"].to_numpy(np.float64)
-        s2 = pdf["s2"].to_numpy(np.float64)
-        mn = pdf["mn"].to_numpy(np.float64)
-        mx = pdf["mx"].to_numpy(np.float64)
-        rows = []
-        for a, b in zip(bounds[:-1], bounds[1:]):
-            # left-to-right sums, as readings arrive in time order
-            t1 = 0.0
-            t2 = 0.0
-            for j in range(a, b):
-                t1 += s1[j]
-                if not np.isnan(s2[j]):
-                    t2 += s2[j]
-            rows.append(
-                (
-                    pdf["user_id"].iat[0],
-                    pdf["metric"].iat[0],
-                    int(m[a]),
-                    int(m[a]) + length,
-                    int(n[a:b].sum()),
-                    t1,
-                    t2,
-                    float(mn[a:b].min()),
-                    float(mx[a:b].max()),
-                )
-            )
-        return pd.DataFrame(rows, columns=[f.name for f in PARTIAL_SCHEMA.fields])
+        # exact integer sums per window (vectorised segment reductions)
+        b = np.asarray(starts, dtype=np.int64)
+        out = pd.DataFrame(
+            {
+                "user_id": pdf["user_id"].iat[0],
+                "metric": pdf["metric"].iat[0],
+                "window_start_us": m[b],
+                "window_end_us": m[b] + length,
+                "n": np.add.reduceat(pdf["n"].to_numpy(np.int64), b),
+                "s1": np.add.reduceat(pdf["s1"].to_numpy(np.int64), b),
+                "s2": np.add.reduceat(pdf["s2"].to_numpy(np.int64), b),
+                "mn": np.minimum.reduceat(pdf["mn"].to_numpy(np.float64), b),
+                "mx": np.maximum.reduceat(pdf["mx"].to_numpy(np.float64), b),
+            }
+        )
+        return out[[f.name for f in PARTIAL_SCHEMA.fields]]
 
     return fold
 
@@ -148,8 +135,8 @@ def anchored_partials(readings: DataFrame, opts: Options = DEFAULT, metrics: tup
 def anchored_windows(readings: DataFrame, opts: Options = DEFAULT, metrics: tuple[str, ...] | None = None) -> dict[str, DataFrame]:
     """Window results per metric, same shapes as the epoch-aligned ones."""
     p = anchored_partials(readings, opts, metrics)
-    avg = F.col("s1") / F.col("n")
-    avg2 = F.col("s2") / F.col("n")
+    avg = mean(F.col("s1"), F.col("n"))
+    avg2 = mean(F.col("s2"), F.col("n"))
     hr = p.filter(F.col("metric") == O.METRIC_HR).select(
         F.lit(O.RESULT_HR).alias("type"),
         "window_start",

@@ -1,6 +1,6 @@
 """Epoch-aligned tumbling windows per user with threshold alerts.
 
-All aggregates are algebraic (count, sum, min, max) so Spark plans a
+All aggregates are algebraic (count, exact integer sum, min, max) so Spark plans a
 partial aggregate before the exchange: a hot user is reduced map-side to one
 row per (map task, window) before anything is shuffled. Averages and the
 alert decision use the unrounded mean; the stored value is rounded last with
@@ -25,6 +25,21 @@ def _severity(avg: Column, critical: int) -> Column:
     return F.when(avg < F.lit(critical), F.lit("warning")).otherwise(F.lit("critical"))
 
 
+SCALE = 1_000_000  # readings are summed as exact integers of 1e-6 units
+
+
+def scaled(x: Column) -> Column:
+    """Reading → BIGINT count of 1e-6 units. Integer sums are exact and do not
+    depend on the order rows meet in partial aggregates, so results do not
+    change with partitioning (a float sum can, in its last bit)."""
+    return F.round(x.cast("double") * SCALE).cast("long")
+
+
+def mean(total: Column, n: Column) -> Column:
+    """Mean from an exact scaled sum: (sum / 1e6) / n in double arithmetic."""
+    return total.cast("double") / SCALE / n.cast("double")
+
+
 def _r2(c: Column) -> Column:
     """Round half-even to 2 dp on the binary value (as Python's ``round``)."""
     return round_half_even(c, 2)
@@ -41,7 +56,7 @@ def _hr_aggs() -> list[Column]:
     hr = F.when(ok, F.col("heart_rate"))
     return [
         F.count(hr).alias("_hr_n"),
-        F.avg(hr).alias("_hr_avg"),
+        F.sum(scaled(hr)).alias("_hr_sum"),
         F.min(hr).alias("_hr_min"),
         F.max(hr).alias("_hr_max"),
     ]
@@ -51,8 +66,8 @@ def _bp_aggs() -> list[Column]:
     ok = (F.col("bp_systolic") > 0) & (F.col("bp_diastolic") > 0)
     return [
         F.count(F.when(ok, F.lit(1))).alias("_bp_n"),
-        F.avg(F.when(ok, F.col("bp_systolic"))).alias("_bp_sys"),
-        F.avg(F.when(ok, F.col("bp_diastolic"))).alias("_bp_dia"),
+        F.sum(scaled(F.when(ok, F.col("bp_systolic")))).alias("_bp_sys_sum"),
+        F.sum(scaled(F.when(ok, F.col("bp_diastolic")))).alias("_bp_dia_sum"),
     ]
 
 
@@ -61,7 +76,7 @@ def _sugar_aggs() -> list[Column]:
     s = F.when(ok, F.col("blood_sugar"))
     return [
         F.count(s).alias("_su_n"),
-        F.avg(s).alias("_su_avg"),
+        F.sum(scaled(s)).alias("_su_sum"),
         F.min(s).alias("_su_min"),
         F.max(s).alias("_su_max"),
     ]
@@ -91,15 +106,28 @@ def window_partials(readings: DataFrame, minutes: int, metrics: tuple[str, ...])
         readings.filter(keep & F.col("user_id").isNotNull())
         .groupBy("user_id", w.alias("w"))
         .agg(*aggs)
-        .select("user_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *[a for a in _agg_names(metrics)])
+        .select("user_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *_agg_names(metrics))
+        .select("*", *[e.alias(n) for n, e in _means(metrics)])
     )
 
 
+def _means(metrics):
+    out = []
+    if "hr" in metrics:
+        out.append(("_hr_avg", mean(F.col("_hr_sum"), F.col("_hr_n"))))
+    if "bp" in metrics:
+        out.append(("_bp_sys", mean(F.col("_bp_sys_sum"), F.col("_bp_n"))))
+        out.append(("_bp_dia", mean(F.col("_bp_dia_sum"), F.col("_bp_n"))))
+    if "sugar" in metrics:
+        out.append(("_su_avg", mean(F.col("_su_sum"), F.col("_su_n"))))
+    return out
+
+
 def _agg_names(metrics):
     names = {
-        "hr": ["_hr_n", "_hr_avg", "_hr_min", "_hr_max"],
-        "bp": ["_bp_n", "_bp_sys", "_bp_dia"],
-        "sugar": ["_su_n", "_su_avg", "_su_min", "_su_max"],
+        "hr": ["_hr_n", "_hr_sum", "_hr_min", "_hr_max"],
+        "bp": ["_bp_n", "_bp_sys_sum", "_bp_dia_sum"],
+        "sugar": ["_su_n", "_su_sum", "_su_min", "_su_max"],
     }
     return [n for m in metrics for n in names[m]]
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import options as O
-from ..sources.tables import table
+from ..sources.tables import spread, table
 
 ISO_FMT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 
@@ -27,7 +27,7 @@ def _iso(ts: Column) -> Column:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` with ``k`` extracted and ``ts`` as a zoned TIMESTAMP (UTC)."""
-    return table(spark, sf_dir, "events").select(
+    return spread(table(spark, sf_dir, "events")).select(
         "event_id",
         F.col("ts").cast("timestamp").alias("ts"),
         "user_id",

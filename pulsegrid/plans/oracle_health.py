@@ -105,6 +105,11 @@ def exact_rounding(sql: str) -> str:
         i = k
 
 
+def xavg(col: str) -> str:
+    """Mean from an exact sum of 1e-6 units (the engine's order-free mean)."""
+    return f"(CAST(sum(CAST(round(CAST({col} AS DOUBLE) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 / count(*))"
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -117,7 +122,7 @@ def _hr_groups(src: str = "rec", days: int = 1) -> str:
     b = bucket(days)
     return f"""hr AS (
   SELECT user_id, {b} AS window_start, {b} + INTERVAL '{days} days' AS window_end,
-         avg(heart_rate) AS a, min(heart_rate) AS mn, max(heart_rate) AS mx, count(*) AS n
+         {xavg("heart_rate")} AS a, min(heart_rate) AS mn, max(heart_rate) AS mx, count(*) AS n
   FROM {src} WHERE heart_rate > 0 AND user_id IS NOT NULL GROUP BY 1, 2, 3
 )"""
 
@@ -126,7 +131,7 @@ def _bp_groups(days: int = 1, src: str = "rec") -> str:
     b = bucket(days)
     return f"""bp AS (
   SELECT user_id, {b} AS window_start, {b} + INTERVAL '{days} days' AS window_end,
-         avg(bp_systolic) AS s, avg(bp_diastolic) AS d, count(*) AS n
+         {xavg("bp_systolic")} AS s, {xavg("bp_diastolic")} AS d, count(*) AS n
   FROM {src} WHERE bp_systolic > 0 AND bp_diastolic > 0 AND user_id IS NOT NULL GROUP BY 1, 2, 3
 )"""
 
@@ -135,7 +140,7 @@ def _sugar_groups(days: int = 10) -> str:
     b = bucket(days)
     return f"""su AS (
   SELECT user_id, {b} AS window_start, {b} + INTERVAL '{days} days' AS window_end,
-         avg(blood_sugar) AS a, min(blood_sugar) AS mn, max(blood_sugar) AS mx, count(*) AS n
+         {xavg("blood_sugar")} AS a, min(blood_sugar) AS mn, max(blood_sugar) AS mx, count(*) AS n
   FROM rec WHERE blood_sugar > 0 AND user_id IS NOT NULL GROUP BY 1, 2, 3
 )"""
 
@@ -241,23 +246,23 @@ assigned AS (
 
 
 def _anchored_hr() -> str:
-    return anchored_sql("heart_rate", None, "heart_rate > 0", 1440) + """SELECT user_id, s AS window_start,
-  s + INTERVAL '1440 minutes' AS window_end, round_even(avg(v), 2) AS avg_heart_rate,
+    return anchored_sql("heart_rate", None, "heart_rate > 0", 1440) + f"""SELECT user_id, s AS window_start,
+  s + INTERVAL '1440 minutes' AS window_end, round_even({xavg("v")}, 2) AS avg_heart_rate,
   min(v) AS min_heart_rate, max(v) AS max_heart_rate, count(*) AS reading_count
 FROM assigned GROUP BY user_id, s"""
 
 
 def _anchored_bp() -> str:
-    return anchored_sql("bp_systolic", "bp_diastolic", "bp_systolic > 0 AND bp_diastolic > 0", 1440) + """SELECT user_id,
+    return anchored_sql("bp_systolic", "bp_diastolic", "bp_systolic > 0 AND bp_diastolic > 0", 1440) + f"""SELECT user_id,
   s AS window_start, s + INTERVAL '1440 minutes' AS window_end,
-  round_even(avg(v), 2) AS avg_bp_systolic, round_even(avg(v2), 2) AS avg_bp_diastolic,
+  round_even({xavg("v")}, 2) AS avg_bp_systolic, round_even({xavg("v2")}, 2) AS avg_bp_diastolic,
   count(*) AS reading_count
 FROM assigned GROUP BY user_id, s"""
 
 
 def _anchored_sugar() -> str:
-    return anchored_sql("blood_sugar", None, "blood_sugar > 0", 14400) + """SELECT user_id, s AS window_start,
-  s + INTERVAL '14400 minutes' AS window_end, round_even(avg(v), 2) AS avg_blood_sugar,
+    return anchored_sql("blood_sugar", None, "blood_sugar > 0", 14400) + f"""SELECT user_id, s AS window_start,
+  s + INTERVAL '14400 minutes' AS window_end, round_even({xavg("v")}, 2) AS avg_blood_sugar,
   min(v) AS min_blood_sugar, max(v) AS max_blood_sugar, count(*) AS reading_count
 FROM assigned GROUP BY user_id, s"""
 

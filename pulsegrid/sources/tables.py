@@ -29,3 +29,18 @@ def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> list[str]:
             table(spark, sf_dir, n).createOrReplaceTempView(n)
             done.append(n)
     return done
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rebalance a scan that yields fewer partitions than the cluster has
+    cores (e.g. a file written as one row group), so CPU-heavy per-row work
+    (JSON parsing) uses every core. A large table already scans as many
+    partitions and is returned unchanged — no shuffle at scale. Controlled
+    by ``pulsegrid.scan.spread`` (``auto`` | ``off``)."""
+    spark = df.sparkSession
+    if spark.conf.get("pulsegrid.scan.spread", "auto") == "off":
+        return df
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() * 2 <= cores:
+        return df.repartition(cores)
+    return df

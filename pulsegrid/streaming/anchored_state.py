@@ -21,6 +21,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from .. import options as O
 from ..operators.anchored import MINUTE_US, PARTIAL_SCHEMA, unpivot
+from ..operators.windows import SCALE
 from ..options import DEFAULT, Options
 
 STATE_SCHEMA = T.StructType(
@@ -28,8 +29,8 @@ STATE_SCHEMA = T.StructType(
         T.StructField("start_us", T.LongType()),
         T.StructField("end_us", T.LongType()),
         T.StructField("n", T.LongType()),
-        T.StructField("s1", T.DoubleType()),
-        T.StructField("s2", T.DoubleType()),
+        T.StructField("s1", T.LongType()),
+        T.StructField("s2", T.LongType()),
         T.StructField("mn", T.DoubleType()),
         T.StructField("mx", T.DoubleType()),
     ]
@@ -52,11 +53,15 @@ def _fold_fn(lengths_us: dict[str, int]):
         else:
             pdf = pd.concat(list(pdfs), ignore_index=True)
             us = pdf["ts_us"].to_numpy(np.int64)
-            pdf = pdf.assign(minute_us=us - us % MINUTE_US, s2f=pdf["v2"].fillna(0.0))
+            pdf = pdf.assign(
+                minute_us=us - us % MINUTE_US,
+                s1i=np.round(pdf["v1"].to_numpy(np.float64) * SCALE).astype(np.int64),
+                s2i=np.round(pdf["v2"].fillna(0.0).to_numpy(np.float64) * SCALE).astype(np.int64),
+            )
             mins = (
                 pdf.sort_values("ts_us", kind="stable")
                 .groupby("minute_us", sort=True)
-                .agg(n=("v1", "size"), s1=("v1", "sum"), s2=("s2f", "sum"), mn=("v1", "min"), mx=("v1", "max"))
+                .agg(n=("v1", "size"), s1=("s1i", "sum"), s2=("s2i", "sum"), mn=("v1", "min"), mx=("v1", "max"))
             )
             length = lengths_us[key[1]]
             st = list(state.get) if state.exists else None
@@ -65,10 +70,10 @@ def _fold_fn(lengths_us: dict[str, int]):
                     out.append(_emit(key, st))
                     st = None
                 if st is None:
-                    st = [int(m), int(m) + length, 0, 0.0, 0.0, float("inf"), float("-inf")]
+                    st = [int(m), int(m) + length, 0, 0, 0, float("inf"), float("-inf")]
                 st[2] += int(r.n)
-                st[3] += float(r.s1)
-                st[4] += float(r.s2)
+                st[3] += int(r.s1)
+                st[4] += int(r.s2)
                 st[5] = min(st[5], float(r.mn))
                 st[6] = max(st[6], float(r.mx))
             if st is not None:
