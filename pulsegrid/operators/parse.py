@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import jsonx as J
+from ..functions.fence import fence
 from ..options import DEFAULT, Options
 
 # (output column, JSON path inside the payload)
@@ -124,12 +125,7 @@ def parse_health(
 
 
 def _fence(x: DataFrame, out: list[Column]) -> DataFrame:
-    """Project the parsed columns through a one-row generator.
-
-    Catalyst pushes a later filter (``heart_rate > 0``) below projections by
-    substituting each alias; through the chain of parse columns that copies
-    the JSON parse into the predicate many times over and evaluates it once
-    per copy. Predicates on generator output cannot be pushed below the
-    generator, so the parse runs once per message. ``inline`` is codegen'd.
-    """
-    return x.select(F.inline(F.array(F.struct(*out))))
+    """Project the parsed columns behind a fence (see ``functions.fence``):
+    a later filter such as ``heart_rate > 0`` would otherwise be pushed into
+    the parse and copy the JSON parse into the predicate many times over."""
+    return fence(x, out)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import options as O
+from ..functions.fence import fence
 from ..sources.tables import spread, table
 
 ISO_FMT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
@@ -26,14 +27,13 @@ def _iso(ts: Column) -> Column:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` with ``k`` extracted and ``ts`` as a zoned TIMESTAMP (UTC)."""
-    return spread(table(spark, sf_dir, "events")).select(
-        "event_id",
-        F.col("ts").cast("timestamp").alias("ts"),
-        "user_id",
-        "event_type",
-        "value",
-        _k().alias("k"),
+    """``events`` with ``k`` extracted and ``ts`` as a zoned TIMESTAMP (UTC).
+
+    Fenced, so a later filter on derived columns does not copy the JSON
+    extraction of ``k`` into a pushed-down predicate."""
+    return fence(
+        spread(table(spark, sf_dir, "events")),
+        [F.col("event_id"), F.col("ts").cast("timestamp").alias("ts"), F.col("user_id"), F.col("event_type"), F.col("value"), _k().alias("k")],
     )
 
 
