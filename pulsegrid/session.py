@@ -28,14 +28,15 @@ def pin(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession, sub: str = "") -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must already be set to shared storage. Only when it
-    is unset (local tests) do we create one under the system temp folder.
+    On a cluster this is set (to shared storage) when the session is built;
+    it is a static setting and is only read here. A session without one
+    (an ad-hoc local session) gets a folder under the system temp folder,
+    registered on the SparkContext.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="pulsegrid-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pulsegrid-ckpt-"))
+        base = spark.sparkContext.getCheckpointDir()
     elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(base)
     return os.path.join(base, sub) if sub else base
@@ -50,6 +51,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # local sessions only: a private checkpoint folder (clusters name a shared one)
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="pulsegrid-ckpt-"))
     )
     for k, v in RUNTIME_CONF.items():
         builder = builder.config(k, v)

@@ -37,9 +37,25 @@ def _time_col(name: str) -> str:
     return "ingested_at" if name.startswith("virtual_") else "time"
 
 
-def create_table(spark: SparkSession, root: str, name: str) -> str:
+def table_path(root: str, name: str, writer: str | None = None) -> str:
+    """Folder of a table, or of one writer's part of it.
+
+    Concurrent streaming queries appending to one table would share the
+    committer's ``_temporary`` folder and break each other's commits; each
+    writer therefore appends under its own ``writer=<id>`` sub-partition.
+    Readers see one table with a ``writer`` partition column."""
+    base = os.path.join(root, name)
+    return os.path.join(base, f"writer={writer}") if writer else base
+
+
+def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """Read a result table (all writers, all dates) with its fixed schema."""
+    return spark.read.option("basePath", os.path.join(root, name)).parquet(os.path.join(root, name))
+
+
+def create_table(spark: SparkSession, root: str, name: str, writer: str | None = None) -> str:
     """Create an empty partitioned Parquet table if absent; return its path."""
-    path = os.path.join(root, name)
+    path = table_path(root, name, writer)
     if not os.path.exists(os.path.join(path, "_SUCCESS")) and not _has_data(path):
         schema = T.StructType(TABLE_SCHEMAS[name].fields + [T.StructField(PARTITION_COL, T.DateType())])
         spark.createDataFrame([], schema).write.mode("ignore").partitionBy(PARTITION_COL).parquet(path)
@@ -78,12 +94,14 @@ def insert_if_absent(target: DataFrame, batch: DataFrame, key: tuple[str, ...],
     return first.join(target.select(*key), list(key), "left_anti")
 
 
-def append_if_absent(spark: SparkSession, batch: DataFrame, root: str, name: str, order_col: str | None = None) -> int:
+def append_if_absent(
+    spark: SparkSession, batch: DataFrame, root: str, name: str, order_col: str | None = None, writer: str | None = None
+) -> int:
     """Idempotent append of ``batch`` into table ``name`` (a replayed batch
     adds nothing). The target is read back only for the batch's dates: the
     anti-join carries the partition column, and the date filter prunes
     partitions at the scan."""
-    path = create_table(spark, root, name)
+    path = create_table(spark, root, name, writer)
     key = TABLE_KEYS[name]
     b = with_partition(batch, name)
     target = spark.read.schema(

@@ -7,6 +7,9 @@ is on the classpath. File sources replay stored messages in time order.
 
 from __future__ import annotations
 
+import os
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,5 +56,15 @@ def file_stream(
 
 def write_replay_files(df: DataFrame, path: str, ts_col: str, files: int) -> None:
     """Store a batch as ``files`` time-ordered Parquet files (range-partitioned
-    and sorted by time), so a file replay never goes behind its watermark."""
+    and sorted by time), so a file replay never goes behind its watermark.
+
+    The file source replays files in modification-time order; files written
+    in parallel get arbitrary times, so on a local folder the part files are
+    re-stamped in range order (part-00000 oldest)."""
     df.repartitionByRange(files, ts_col).sortWithinPartitions(ts_col).write.mode("overwrite").parquet(path)
+    local = path[len("file:") :] if path.startswith("file:") else path
+    if os.path.isdir(local):
+        parts = sorted(n for n in os.listdir(local) if n.startswith("part-"))
+        base = time.time() - len(parts) - 10
+        for i, n in enumerate(parts):
+            os.utime(os.path.join(local, n), (base + i, base + i))

@@ -61,13 +61,14 @@ def table_for(metrics: tuple[str, ...]) -> str:
     return TB.METRICS_10MIN if metrics == ("sugar",) else TB.METRICS_1MIN
 
 
-def sink_batch(spark: SparkSession, root: str, metrics: tuple[str, ...], opts: Options):
-    """``foreachBatch`` body: idempotent writes of metrics then alerts."""
+def sink_batch(spark: SparkSession, root: str, metrics: tuple[str, ...], width: int, opts: Options):
+    """``foreachBatch`` body: idempotent writes of metrics then alerts. A
+    crash between the two heals on replay: each write is keyed."""
 
     def write(batch: DataFrame, epoch_id: int) -> None:
         mets, alerts = results_from_partials(batch, metrics, opts)
         TB.append_if_absent(spark, mets, root, table_for(metrics))
-        TB.append_if_absent(spark, alerts, root, TB.ALERTS)
+        TB.append_if_absent(spark, alerts, root, TB.ALERTS, writer=f"w{width}")
 
     return write
 
@@ -87,7 +88,7 @@ def start(
     for width, metrics in _width_groups(opts).items():
         parts = window_stream(readings, width, metrics)
         ck = checkpoint_dir(spark, f"{name}-{width}min")
-        w = parts.writeStream.outputMode("append").option("checkpointLocation", ck).foreachBatch(sink_batch(spark, root, metrics, opts))
+        w = parts.writeStream.outputMode("append").option("checkpointLocation", ck).foreachBatch(sink_batch(spark, root, metrics, width, opts))
         w = w.trigger(**(trigger or {"processingTime": f"{opts.flush_interval_seconds} seconds"}))
         queries.append(w.queryName(f"{name}_{width}min").start())
     return queries
@@ -110,7 +111,7 @@ def drain(spark: SparkSession, messages_batch: DataFrame, root: str, opts: Optio
         parts = W.window_partials(readings, width, metrics)
         mets, alerts = results_from_partials(parts, metrics, opts)
         TB.append_if_absent(spark, mets, root, table_for(metrics))
-        TB.append_if_absent(spark, alerts, root, TB.ALERTS)
+        TB.append_if_absent(spark, alerts, root, TB.ALERTS, writer=f"w{width}")
 
 
 def console(df: DataFrame, name: str = "debug") -> StreamingQuery:

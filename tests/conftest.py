@@ -14,10 +14,6 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     s = local_session(4, shuffle_partitions=8, app="pulsegrid-tests")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="pulsegrid-test-ckpt-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
     yield s
 
 
