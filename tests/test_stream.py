@@ -84,3 +84,30 @@ def test_anchored_stream_matches_batch(spark, scratch):
     assert e and e <= b
     keys = batch.select("user_id", "metric").distinct().count()
     assert len(b) - len(e) <= keys  # at most one window per key still open
+
+
+def test_ingest_stream_routes_by_topic(spark, scratch):
+    from pulsegrid.streaming import ingest_stream as IS
+    from pyspark.sql import types as T
+
+    recs = X.kafka_records(spark, SF)
+    src = os.path.join(scratch, "kafka")
+    write_replay_files(recs, src, "timestamp", 2)
+    schema = T.StructType(
+        [
+            T.StructField("topic", T.StringType()),
+            T.StructField("partition", T.IntegerType()),
+            T.StructField("offset", T.LongType()),
+            T.StructField("value", T.StringType()),
+            T.StructField("timestamp", T.TimestampType()),
+        ]
+    )
+    out = os.path.join(scratch, "raw")
+    q = IS.start(spark, file_stream(spark, src, schema, 1), out, OPTS, name=f"ing-{uuid.uuid4().hex[:8]}", trigger={"availableNow": True})
+    q.awaitTermination(300)
+    assert q.exception() is None
+    got = spark.read.parquet(out)
+    assert got.count() == recs.count()
+    tables = {r.table for r in got.select("table").distinct().collect()}
+    assert tables == {"virtual_wearables", "virtual_restaurants", "virtual_gps"}
+    assert q.lastProgress["observedMetrics"]["ingest_counters"]["messages"] >= 0
