@@ -10,7 +10,7 @@ plain ``groupBy``. Plan:
 2. ``groupBy(user_id, metric, minute)`` — algebraic partials, combined
    map-side, so even a hot user is at most one row per minute after the
    first exchange;
-3. ``groupBy(user_id, metric).applyInPandas`` folds the sorted minute
+3. ``groupBy(user_id, metric).applyInArrow`` folds the sorted minute
    partials. Window starts and lengths are whole minutes, so a minute never
    straddles two windows and the fold over minute partials is exact. Its
    input per group is bounded by the number of distinct minutes in the time
@@ -20,7 +20,6 @@ plain ``groupBy``. Plan:
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,12 +70,17 @@ def minute_partials(long_readings: DataFrame) -> DataFrame:
 
 
 def _fold(lengths_us: dict[str, int]):
-    """Build the per-group fold (closure over the per-metric window lengths)."""
+    """Build the per-group fold (closure over the per-metric window lengths).
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("minute_us", kind="stable")
-        m = pdf["minute_us"].to_numpy(np.int64)
-        length = lengths_us[pdf["metric"].iat[0]]
+    Works on the group's Arrow table directly (``applyInArrow``): columns go
+    to numpy without a pandas round trip."""
+    import pyarrow as pa
+
+    def fold(tbl: "pa.Table") -> "pa.Table":
+        order = np.argsort(tbl.column("minute_us").to_numpy(), kind="stable")
+        col = lambda name, t: tbl.column(name).to_numpy()[order].astype(t)
+        m = col("minute_us", np.int64)
+        length = lengths_us[tbl.column("metric")[0].as_py()]
         # Window starts: jump from one start to the first minute >= start + L.
         starts = []
         i = 0
@@ -85,20 +89,20 @@ def _fold(lengths_us: dict[str, int]):
             i = int(np.searchsorted(m, m[i] + length, side="left"))
         # exact integer sums per window (vectorised segment reductions)
         b = np.asarray(starts, dtype=np.int64)
-        out = pd.DataFrame(
+        k = len(b)
+        return pa.table(
             {
-                "user_id": pdf["user_id"].iat[0],
-                "metric": pdf["metric"].iat[0],
-                "window_start_us": m[b],
-                "window_end_us": m[b] + length,
-                "n": np.add.reduceat(pdf["n"].to_numpy(np.int64), b),
-                "s1": np.add.reduceat(pdf["s1"].to_numpy(np.int64), b),
-                "s2": np.add.reduceat(pdf["s2"].to_numpy(np.int64), b),
-                "mn": np.minimum.reduceat(pdf["mn"].to_numpy(np.float64), b),
-                "mx": np.maximum.reduceat(pdf["mx"].to_numpy(np.float64), b),
+                "user_id": pa.array([tbl.column("user_id")[0].as_py()] * k, pa.string()),
+                "metric": pa.array([tbl.column("metric")[0].as_py()] * k, pa.string()),
+                "window_start_us": pa.array(m[b], pa.int64()),
+                "window_end_us": pa.array(m[b] + length, pa.int64()),
+                "n": pa.array(np.add.reduceat(col("n", np.int64), b), pa.int64()),
+                "s1": pa.array(np.add.reduceat(col("s1", np.int64), b), pa.int64()),
+                "s2": pa.array(np.add.reduceat(col("s2", np.int64), b), pa.int64()),
+                "mn": pa.array(np.minimum.reduceat(col("mn", np.float64), b), pa.float64()),
+                "mx": pa.array(np.maximum.reduceat(col("mx", np.float64), b), pa.float64()),
             }
         )
-        return out[[f.name for f in PARTIAL_SCHEMA.fields]]
 
     return fold
 
@@ -118,7 +122,7 @@ def anchored_partials(readings: DataFrame, opts: Options = DEFAULT, metrics: tup
     if metrics is not None:
         long_ = long_.filter(F.col("metric").isin(*metrics))
     parts = minute_partials(long_)
-    out = parts.groupBy("user_id", "metric").applyInPandas(_fold(lengths), PARTIAL_SCHEMA)
+    out = parts.groupBy("user_id", "metric").applyInArrow(_fold(lengths), PARTIAL_SCHEMA)
     return out.select(
         "user_id",
         "metric",

@@ -12,7 +12,7 @@ def plan(df):
 
 def test_health_windows_are_jvm_only_with_partial_aggregation(spark):
     p = plan(QUERIES["metrics_1min"](spark, SF))
-    for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas"):
+    for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "FlatMapGroupsInArrow"):
         assert node not in p
     assert "partial_count" in p or "partial_sum" in p
 
@@ -34,6 +34,6 @@ def test_parquet_pushdown_and_pruning(spark):
 
 def test_anchored_uses_python_only_on_minute_partials(spark):
     p = plan(QUERIES["anchored_hr"](spark, SF))
-    assert "FlatMapGroupsInPandas" in p
+    assert "FlatMapGroupsInArrow" in p
     # the Python fold sits above the minute aggregation
-    assert p.index("FlatMapGroupsInPandas") < p.rindex("HashAggregate")
+    assert p.index("FlatMapGroupsInArrow") < p.rindex("HashAggregate")
