@@ -16,6 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pulsegrid.plans.catalog import QUERIES  # noqa: E402
 from pulsegrid.session import local_session  # noqa: E402
 
+REPEAT = int(os.environ.get("BENCH_REPEAT", "3"))
 HEADLINE = [
     "parse_readings_record",
     "metrics_1min",
@@ -36,11 +37,14 @@ HEADLINE = [
 ]
 
 
-def run(spark, name, sf_dir):
-    df = QUERIES[name](spark, sf_dir)
-    t0 = time.time()
-    df.write.format("noop").mode("overwrite").save()
-    return time.time() - t0
+def run(spark, name, sf_dir, repeat=1):
+    """Median wall time of ``repeat`` full executions (planning included)."""
+    times = []
+    for _ in range(repeat):
+        t0 = time.time()
+        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        times.append(time.time() - t0)
+    return sorted(times)[len(times) // 2]
 
 
 def main():
@@ -52,7 +56,7 @@ def main():
     run(spark, "hr_window_metrics", sf_dir)
     times = {}
     for n in names:
-        times[n] = round(run(spark, n, sf_dir), 3)
+        times[n] = round(run(spark, n, sf_dir, REPEAT), 3)
     sf = os.path.basename(os.path.normpath(sf_dir)).replace("sf", "")
     print(
         json.dumps(

@@ -76,17 +76,27 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def metric_rows(readings: DataFrame, opts: Options = DEFAULT) -> dict[str, DataFrame]:
+def metric_rows(readings: DataFrame, opts: Options = DEFAULT, tables: tuple[str, ...] = ("1min", "10min")) -> dict[str, DataFrame]:
     """METRIC rows per target table: ``1min`` (HR + BP) and ``10min`` (sugar).
 
     Routing follows the window width of each metric's table: HR and BP go
-    to the short table, sugar to the long one.
+    to the short table, sugar to the long one. When one table is asked for,
+    only its metrics are aggregated (one pass, one exchange); both tables
+    come from one pass with the long windows rolled up.
     """
-    res = W.all_windows(readings, opts)
-    return {
-        "1min": hr_metric_rows(res["hr"]).unionByName(bp_metric_rows(res["bp"])),
-        "10min": sugar_metric_rows(res["sugar"]),
-    }
+    if tuple(tables) == ("1min",) and opts.hr_window_minutes == opts.bp_window_minutes:
+        p = W.window_partials(readings, opts.hr_window_minutes, ("hr", "bp"))
+        res = {"hr": W.hr_result(p, opts), "bp": W.bp_result(p, opts)}
+    elif tuple(tables) == ("10min",):
+        res = {"sugar": W.blood_sugar_windows(readings, opts)}
+    else:
+        res = W.all_windows(readings, opts)
+    out = {}
+    if "1min" in tables:
+        out["1min"] = hr_metric_rows(res["hr"]).unionByName(bp_metric_rows(res["bp"]))
+    if "10min" in tables:
+        out["10min"] = sugar_metric_rows(res["sugar"])
+    return out
 
 
 def alert_rows(readings: DataFrame, opts: Options = DEFAULT) -> DataFrame:

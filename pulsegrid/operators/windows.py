@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import options as O
+from ..functions.fence import fence
 from ..functions.rounding import round_half_even
 from ..options import DEFAULT, Options
 
@@ -229,15 +230,52 @@ def blood_sugar_windows(readings: DataFrame, opts: Options = DEFAULT) -> DataFra
     return sugar_result(window_partials(readings, opts.sugar_window_minutes, ("sugar",)), opts)
 
 
+def rollup_partials(partials: DataFrame, minutes: int, metrics: tuple[str, ...]) -> DataFrame:
+    """Merge finer window partials into ``minutes``-wide epoch-aligned windows.
+
+    Exact when ``minutes`` is a multiple of the finer width: every fine
+    window lies inside one coarse window, and count / sum / min / max merge.
+    """
+    aggs = []
+    for n in _agg_names(metrics):
+        if n.endswith("_min"):
+            aggs.append(F.min(n).alias(n))
+        elif n.endswith("_max"):
+            aggs.append(F.max(n).alias(n))
+        else:
+            aggs.append(F.sum(n).alias(n))
+    w = F.window("window_start", _minutes(minutes))
+    return (
+        partials.groupBy("user_id", w.alias("w"))
+        .agg(*aggs)
+        .select("user_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *_agg_names(metrics))
+        .select("*", *[e.alias(n) for n, e in _means(metrics)])
+    )
+
+
 def all_windows(readings: DataFrame, opts: Options = DEFAULT) -> dict[str, DataFrame]:
-    """Window results of the three metrics, sharing groupBys where widths agree."""
-    groups: dict[int, list[str]] = {}
-    for m, width in (("hr", opts.hr_window_minutes), ("bp", opts.bp_window_minutes), ("sugar", opts.sugar_window_minutes)):
-        groups.setdefault(width, []).append(m)
-    out = {}
+    """Window results of the three metrics from ONE pass over the readings.
+
+    Metrics of the finest width share one ``groupBy``; a coarser width that
+    is a multiple of it is rolled up from those partials (a second, small
+    exchange over pre-aggregated rows) instead of re-reading and re-parsing
+    the input. Other widths get their own pass.
+    """
+    widths = {"hr": opts.hr_window_minutes, "bp": opts.bp_window_minutes, "sugar": opts.sugar_window_minutes}
+    base_w = min(widths.values())
     builders = {"hr": hr_result, "bp": bp_result, "sugar": sugar_result}
-    for width, ms in groups.items():
-        p = window_partials(readings, width, tuple(ms))
-        for m in ms:
-            out[m] = builders[m](p, opts)
+    derivable = tuple(m for m, w in widths.items() if w % base_w == 0)
+    # Fenced: per-branch column pruning would otherwise trim the shared
+    # aggregate differently in each consumer, defeating exchange reuse and
+    # re-reading the input once per consumer.
+    base = fence(window_partials(readings, base_w, derivable))
+    out = {}
+    for m, w in widths.items():
+        if w == base_w:
+            p = base
+        elif m in derivable:
+            p = rollup_partials(base, w, (m,))
+        else:
+            p = window_partials(readings, w, (m,))
+        out[m] = builders[m](p, opts)
     return out

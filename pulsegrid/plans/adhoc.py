@@ -78,8 +78,8 @@ def insert_if_absent(spark, sf_dir):
     """Short-window metric table after two batches: the record-mode rows, then
     a replay under per-metric validity. Keys already present keep their first
     row; only new keys are appended."""
-    first = A.metric_rows(readings(spark, sf_dir, TABLE_OPTS), TABLE_OPTS)["1min"]
-    second = A.metric_rows(readings(spark, sf_dir, TABLE_OPTS_METRIC), TABLE_OPTS_METRIC)["1min"]
+    first = A.metric_rows(readings(spark, sf_dir, TABLE_OPTS), TABLE_OPTS, ("1min",))["1min"]
+    second = A.metric_rows(readings(spark, sf_dir, TABLE_OPTS_METRIC), TABLE_OPTS_METRIC, ("1min",))["1min"]
     new = _iia(first, second, S.METRIC_KEY)
     return ntz(first.unionByName(new))
 

@@ -68,11 +68,11 @@ def sugar_alerts(spark, sf_dir):
 
 def metrics_1min(spark, sf_dir):
     """Short-window METRIC table rows (HR + BP from ONE shared groupBy)."""
-    return ntz(A.metric_rows(readings(spark, sf_dir), TABLE_OPTS)["1min"])
+    return ntz(A.metric_rows(readings(spark, sf_dir), TABLE_OPTS, ("1min",))["1min"])
 
 
 def metrics_10min(spark, sf_dir):
-    return ntz(A.metric_rows(readings(spark, sf_dir), TABLE_OPTS)["10min"])
+    return ntz(A.metric_rows(readings(spark, sf_dir), TABLE_OPTS, ("10min",))["10min"])
 
 
 def all_alerts(spark, sf_dir):

@@ -54,7 +54,7 @@ def table_page_device(spark, sf_dir):
 
 
 def latest_metrics(spark, sf_dir):
-    m = A.metric_rows(readings(spark, sf_dir), TABLE_OPTS)["1min"].filter(F.col("metric_type") == O.METRIC_HR)
+    m = A.metric_rows(readings(spark, sf_dir), TABLE_OPTS, ("1min",))["1min"].filter(F.col("metric_type") == O.METRIC_HR)
     return ntz(B.latest(m, 20, "time", ("user_id",)))
 
 
