@@ -79,3 +79,23 @@ def table_stats(spark: SparkSession, raw: DataFrame, tables=O.RAW_TABLES) -> Dat
 def latest(df: DataFrame, n: int, order_col: str = "time", tie_breakers: tuple[str, ...] = ()) -> DataFrame:
     """Latest ``n`` rows by ``order_col`` (top-k, ties broken deterministically)."""
     return df.orderBy(F.col(order_col).desc(), *[F.col(c).asc() for c in tie_breakers]).limit(n)
+
+
+def browse_raw(
+    spark: SparkSession,
+    raw_root: str,
+    table: str,
+    limit: int = O.BROWSE_DEFAULT_LIMIT,
+    offset: int = 0,
+    device_id: str | None = None,
+) -> tuple[DataFrame, Column]:
+    """Page of a stored raw topic table (ingestion sink layout
+    ``table=<name>/ingest_date=<d>/``) and its unfiltered total.
+
+    Only known tables may be browsed. The table choice is a partition
+    filter, so only that table's folders are scanned; the device filter is
+    pushed into the Parquet scan."""
+    if table not in O.RAW_TABLES:
+        raise BrowseError(f"Table '{table}' not found")
+    raw = spark.read.parquet(raw_root).filter(F.col("table") == table).drop("table", "ingest_date")
+    return render(page(raw, limit, offset, device_id)), total(raw)
