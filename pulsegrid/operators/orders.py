@@ -9,11 +9,18 @@ from .. import options as O
 
 
 def items_per_dish(orders: DataFrame) -> DataFrame:
-    """Explode order items and total the quantity per dish."""
-    e = orders.select("order_id", F.explode("items").alias("it"))
-    return e.groupBy(F.col("it.dish_code").alias("dish_code")).agg(
-        F.count_distinct("order_id").alias("orders"),
-        F.sum("it.quantity").cast("long").alias("quantity"),
+    """Explode order items and total the quantity per dish.
+
+    Two algebraic levels — (order, dish) then dish — count distinct orders
+    without a distinct-aggregate expansion, and both combine map-side, so a
+    hot dish is pre-aggregated before its shuffle."""
+    e = orders.select("order_id", F.explode("items").alias("it")).select(
+        "order_id", F.col("it.dish_code").alias("dish_code"), F.col("it.quantity").alias("quantity")
+    )
+    per_order = e.groupBy("order_id", "dish_code").agg(F.sum("quantity").alias("q"))
+    return per_order.groupBy("dish_code").agg(
+        F.count(F.lit(1)).alias("orders"),
+        F.sum("q").cast("long").alias("quantity"),
     )
 
 

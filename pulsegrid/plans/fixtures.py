@@ -238,7 +238,7 @@ def orders_msgs(spark: SparkSession, sf_dir: str) -> DataFrame:
     Line items are first reduced to one items array per order (a bounded
     group: the lines of one order), then joined 1:1 to ``orders``.
     """
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
+    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"))
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     cls = F.col("l_orderkey") % 100
     dish = F.when(cls == 0, F.concat(F.lit("D-"), (F.col("l_partkey") % 1000).cast("string"))).otherwise(
@@ -299,7 +299,7 @@ ORDER_FLOW = (
 def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status events per order: UPDATED only when ``o_orderkey%10<3``;
     COMPLETED skipped when ``o_orderkey%97=0`` (a bad transition)."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    o = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"))
     steps = F.array(*[F.struct(F.lit(s).alias("status"), F.lit(m).alias("minutes")) for s, m in ORDER_FLOW])
     ok = F.col("o_orderkey")
     e = o.select(ok, F.col("o_orderdate").cast("timestamp").alias("placed"), F.explode(steps).alias("s"))
