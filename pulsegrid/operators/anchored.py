@@ -123,6 +123,11 @@ def anchored_partials(readings: DataFrame, opts: Options = DEFAULT, metrics: tup
         long_ = long_.filter(F.col("metric").isin(*metrics))
     parts = minute_partials(long_)
     out = parts.groupBy("user_id", "metric").applyInArrow(_fold(lengths), PARTIAL_SCHEMA)
+    return with_timestamps(out)
+
+
+def with_timestamps(out: DataFrame) -> DataFrame:
+    """``PARTIAL_SCHEMA`` rows (micros) → window bounds as timestamps."""
     return out.select(
         "user_id",
         "metric",
@@ -138,7 +143,11 @@ def anchored_partials(readings: DataFrame, opts: Options = DEFAULT, metrics: tup
 
 def anchored_windows(readings: DataFrame, opts: Options = DEFAULT, metrics: tuple[str, ...] | None = None) -> dict[str, DataFrame]:
     """Window results per metric, same shapes as the epoch-aligned ones."""
-    p = anchored_partials(readings, opts, metrics)
+    return results(anchored_partials(readings, opts, metrics), opts)
+
+
+def results(p: DataFrame, opts: Options = DEFAULT) -> dict[str, DataFrame]:
+    """Anchored partials → per-metric window results (with alert structs)."""
     avg = mean(F.col("s1"), F.col("n"))
     avg2 = mean(F.col("s2"), F.col("n"))
     hr = p.filter(F.col("metric") == O.METRIC_HR).select(

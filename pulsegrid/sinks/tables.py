@@ -37,33 +37,45 @@ def _time_col(name: str) -> str:
     return "ingested_at" if name.startswith("virtual_") else "time"
 
 
+WRITER_COL = "writer"
+
+
+def full_schema(name: str) -> T.StructType:
+    """Table columns plus the partition columns ``writer`` and ``date``."""
+    return T.StructType(
+        TABLE_SCHEMAS[name].fields + [T.StructField(WRITER_COL, T.StringType()), T.StructField(PARTITION_COL, T.DateType())]
+    )
+
+
 def table_path(root: str, name: str, writer: str | None = None) -> str:
     """Folder of a table, or of one writer's part of it.
 
-    Concurrent streaming queries appending to one table would share the
-    committer's ``_temporary`` folder and break each other's commits; each
+    Concurrent streaming queries appending to one folder would share the
+    committer's ``_temporary`` folder and break each other's commits; every
     writer therefore appends under its own ``writer=<id>`` sub-partition.
-    Readers see one table with a ``writer`` partition column."""
+    Readers see one table with ``writer`` and ``date`` partition columns."""
     base = os.path.join(root, name)
-    return os.path.join(base, f"writer={writer}") if writer else base
+    return os.path.join(base, f"{WRITER_COL}={writer}") if writer else base
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Read a result table (all writers, all dates) with its fixed schema."""
-    return spark.read.option("basePath", os.path.join(root, name)).parquet(os.path.join(root, name))
+    base = table_path(root, name)
+    return spark.read.schema(full_schema(name)).option("basePath", base).parquet(base)
 
 
-def create_table(spark: SparkSession, root: str, name: str, writer: str | None = None) -> str:
-    """Create an empty partitioned Parquet table if absent; return its path."""
+def create_table(spark: SparkSession, root: str, name: str, writer: str = "main") -> str:
+    """Create the folder of a table part if absent; return its path. The
+    table is readable (empty) before any row is written."""
     path = table_path(root, name, writer)
-    if not os.path.exists(os.path.join(path, "_SUCCESS")) and not _has_data(path):
-        schema = T.StructType(TABLE_SCHEMAS[name].fields + [T.StructField(PARTITION_COL, T.DateType())])
-        spark.createDataFrame([], schema).write.mode("ignore").partitionBy(PARTITION_COL).parquet(path)
+    os.makedirs(path, exist_ok=True)
     return path
 
 
 def _has_data(path: str) -> bool:
-    return os.path.isdir(path) and any(n.startswith(f"{PARTITION_COL}=") or n.endswith(".parquet") for n in os.listdir(path))
+    return os.path.isdir(path) and any(
+        n.startswith((f"{PARTITION_COL}=", f"{WRITER_COL}=")) or n.endswith(".parquet") for n in os.listdir(path)
+    )
 
 
 def create_all(spark: SparkSession, root: str) -> dict[str, str]:
@@ -95,18 +107,16 @@ def insert_if_absent(target: DataFrame, batch: DataFrame, key: tuple[str, ...],
 
 
 def append_if_absent(
-    spark: SparkSession, batch: DataFrame, root: str, name: str, order_col: str | None = None, writer: str | None = None
+    spark: SparkSession, batch: DataFrame, root: str, name: str, order_col: str | None = None, writer: str = "main"
 ) -> int:
     """Idempotent append of ``batch`` into table ``name`` (a replayed batch
-    adds nothing). The target is read back only for the batch's dates: the
-    anti-join carries the partition column, and the date filter prunes
-    partitions at the scan."""
+    adds nothing). Keys are checked against the whole table — every
+    writer's part — but only for the batch's dates: the semi-join on the
+    ``date`` partition column prunes the target scan to those partitions."""
     path = create_table(spark, root, name, writer)
     key = TABLE_KEYS[name]
     b = with_partition(batch, name)
-    target = spark.read.schema(
-        T.StructType(TABLE_SCHEMAS[name].fields + [T.StructField(PARTITION_COL, T.DateType())])
-    ).parquet(path)
+    target = read_table(spark, root, name).drop(WRITER_COL)
     dates = b.select(PARTITION_COL).distinct()
     target = target.join(dates, PARTITION_COL, "left_semi")
     new = insert_if_absent(target, b, key + (PARTITION_COL,), order_col)
@@ -115,3 +125,19 @@ def append_if_absent(
     new = new.select(*TABLE_SCHEMAS[name].fieldNames(), PARTITION_COL)
     new.write.mode("append").partitionBy(PARTITION_COL).parquet(path)
     return 0
+
+
+def register_views(spark: SparkSession, root: str, raw_root: str | None = None) -> list[str]:
+    """Expose the result tables (and the raw topic tables) as temp views so
+    guarded ad-hoc SELECTs can reach them by their usual names."""
+    names = []
+    for n in (METRICS_1MIN, METRICS_10MIN, ALERTS):
+        if _has_data(os.path.join(root, n)):
+            read_table(spark, root, n).createOrReplaceTempView(n)
+            names.append(n)
+    if raw_root and os.path.isdir(raw_root):
+        raw = spark.read.parquet(raw_root)
+        for t in ("virtual_wearables", "virtual_restaurants", "virtual_gps"):
+            raw.filter(F.col("table") == t).drop("table", "ingest_date").createOrReplaceTempView(t)
+            names.append(t)
+    return names

@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas as S
+from ..operators import alerts as A
+from ..operators import anchored as AN
+from ..sinks import tables as TB
 from ..operators.parse import parse_health
 from ..options import DEFAULT, Options
 from ..session import checkpoint_dir, pin
@@ -31,18 +34,33 @@ def health_job(spark: SparkSession, root: str, opts: Options = DEFAULT, source:
     return health_stream.start(spark, _messages(spark, opts, source), root, opts, trigger=trigger)
 
 
+def anchored_sink(spark: SparkSession, root: str, opts: Options):
+    """``foreachBatch`` body of the standalone job: closed anchored windows →
+    METRIC rows (short / long table by metric) and ALERT rows (BP threshold
+    stored as the systolic threshold), each written insert-if-absent."""
+
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        res = AN.results(AN.with_timestamps(batch), opts)
+        short = A.hr_metric_rows(res["hr"]).unionByName(A.bp_metric_rows(res["bp"]))
+        TB.append_if_absent(spark, short, root, TB.METRICS_1MIN, writer="anchored")
+        TB.append_if_absent(spark, A.sugar_metric_rows(res["sugar"]), root, TB.METRICS_10MIN, writer="anchored")
+        alerts = A.union_all([A.hr_alert_rows(res["hr"]), A.bp_alert_rows(res["bp"], opts), A.sugar_alert_rows(res["sugar"])])
+        TB.append_if_absent(spark, alerts, root, TB.ALERTS, writer="anchored")
+
+    return write
+
+
 def anchored_job(
     spark: SparkSession, root: str, opts: Options = DEFAULT, source: str | None = None, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Per-metric validity + anchored windows; closed windows appended to
-    ``<root>/anchored_windows`` (exactly-once file sink)."""
+    """The standalone processor: per-metric validity, first-reading-anchored
+    windows, metric and alert rows written idempotently."""
     pin(spark)
-    o = opts.with_(validity="metric")
+    o = opts.with_(validity="metric", bp_threshold_mode="standalone")
     readings = parse_health(_messages(spark, o, source), o).withWatermark("ts", o.watermark_delay)
     return (
         anchored_stream(readings, o)
-        .writeStream.format("parquet")
-        .option("path", f"{root}/anchored_windows")
+        .writeStream.foreachBatch(anchored_sink(spark, root, o))
         .option("checkpointLocation", checkpoint_dir(spark, "anchored"))
         .outputMode("append")
         .trigger(**(trigger or {"processingTime": f"{o.flush_interval_seconds} seconds"}))

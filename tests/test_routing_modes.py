@@ -40,8 +40,9 @@ def test_counters_one_row(spark):
 def test_create_all_tables(spark, scratch):
     paths = TB.create_all(spark, scratch)
     assert set(paths) == set(TB.TABLE_SCHEMAS)
-    for p in paths.values():
+    for name, p in paths.items():
         assert os.path.isdir(p)
+        assert TB.read_table(spark, scratch, name).count() == 0  # readable while empty
     # creating again is a no-op
     assert TB.create_all(spark, scratch) == paths
 

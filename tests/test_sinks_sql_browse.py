@@ -20,9 +20,9 @@ SF = "/root/testdata/sf0.001"
 def test_append_if_absent_is_idempotent(spark, scratch):
     m = A.metric_rows(readings(spark, SF), TABLE_OPTS)["1min"]
     TB.append_if_absent(spark, m, scratch, TB.METRICS_1MIN)
-    n1 = spark.read.parquet(os.path.join(scratch, TB.METRICS_1MIN)).count()
+    n1 = TB.read_table(spark, scratch, TB.METRICS_1MIN).count()
     TB.append_if_absent(spark, m, scratch, TB.METRICS_1MIN)
-    n2 = spark.read.parquet(os.path.join(scratch, TB.METRICS_1MIN)).count()
+    n2 = TB.read_table(spark, scratch, TB.METRICS_1MIN).count()
     assert n1 == n2 == m.count()
 
 

@@ -36,15 +36,15 @@ def test_stream_twin_and_idempotent_replay(spark, scratch):
     for q in qs:
         q.awaitTermination(300)
         assert q.exception() is None
-    streamed = spark.read.parquet(os.path.join(root, TB.METRICS_1MIN)).count()
+    streamed = TB.read_table(spark, root, TB.METRICS_1MIN).count()
     HS.drain(spark, spark.read.parquet(src), root, OPTS)
 
     batch = A.metric_rows(parse_health(msgs, OPTS), OPTS)
     cols = ["window_start", "user_id", "metric_type", "avg_value", "min_value", "max_value", "reading_count"]
-    got = spark.read.parquet(os.path.join(root, TB.METRICS_1MIN))
+    got = TB.read_table(spark, root, TB.METRICS_1MIN)
     assert 0 < streamed <= got.count()
     assert _rows(got, cols) == _rows(batch["1min"], cols)
-    got10 = spark.read.parquet(os.path.join(root, TB.METRICS_10MIN))
+    got10 = TB.read_table(spark, root, TB.METRICS_10MIN)
     assert _rows(got10, cols) == _rows(batch["10min"], cols)
     acols = ["window_start", "user_id", "alert_type", "severity", "metric_value", "threshold_value"]
     assert _rows(TB.read_table(spark, root, TB.ALERTS), acols) == _rows(A.alert_rows(parse_health(msgs, OPTS), OPTS), acols)
@@ -126,3 +126,24 @@ def test_browse_stored_raw_tables(spark, scratch):
     assert len(rows) == 5 and rows[0].total == raw.filter(F.col("table") == "virtual_gps").count()
     with pytest.raises(B.BrowseError):
         B.browse_raw(spark, out, "pg_catalog")
+
+
+def test_standalone_job_writes_metric_and_alert_tables(spark, scratch):
+    from pulsegrid.operators import sqlgate as G
+    from pulsegrid.streaming import jobs as J
+
+    msgs = X.health_messages(spark, SF)
+    src = os.path.join(scratch, "msgs")
+    write_replay_files(msgs, src, "timestamp", 2)
+    root = os.path.join(scratch, "tables")
+    opts = TABLE_OPTS.with_(watermark_delay="1 hour")
+    q = J.anchored_job(spark, root, opts, source=src, trigger={"availableNow": True})
+    q.awaitTermination(300)
+    assert q.exception() is None
+    m = TB.read_table(spark, root, TB.METRICS_1MIN)
+    assert m.count() > 0 and set(r.metric_type for r in m.select("metric_type").distinct().collect()) <= {"heart_rate", "blood_pressure"}
+    a = TB.read_table(spark, root, TB.ALERTS).filter(F.col("alert_type") == "elevated_blood_pressure")
+    assert {r.threshold_value for r in a.select("threshold_value").distinct().collect()} <= {140.0}
+    TB.register_views(spark, root)
+    res = G.run_query(spark, "SELECT metric_type, count(*) AS n FROM health_metrics_1min GROUP BY metric_type")
+    assert res["row_count"] >= 1
