@@ -17,6 +17,28 @@ RUNTIME_CONF = {
 }
 
 
+# Session settings for a large cluster (set when the session is built; the
+# values are starting points for ~100 TB inputs on ~1000 executors):
+# shuffle partitions sized by AQE from a high initial count, ~256 MB
+# partitions after coalescing, skew splitting, 256 MB scan splits, and the
+# RocksDB state store so streaming state is not held on the JVM heap.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "32768",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.shuffle.partitions": "8192",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
 def pin(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the engine depends on (idempotent)."""
     for k, v in RUNTIME_CONF.items():
@@ -35,6 +57,8 @@ def checkpoint_dir(spark: SparkSession, sub: str = "") -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pulsegrid-ckpt-"))
         base = spark.sparkContext.getCheckpointDir()
     elif not spark.sparkContext.getCheckpointDir():
