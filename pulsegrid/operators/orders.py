@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import options as O
+from .sequence import with_next
 
 
 def items_per_dish(orders: DataFrame) -> DataFrame:
@@ -24,21 +25,40 @@ def items_per_dish(orders: DataFrame) -> DataFrame:
     )
 
 
+def items_per_dish_rows(items: DataFrame, orders: DataFrame, key: str = "order_key") -> DataFrame:
+    """Items per dish for normalised orders: item rows of the given orders
+    (semi-join), then the same two algebraic levels."""
+    e = items.join(orders.select(key), key, "left_semi")
+    per_order = e.groupBy(key, "dish_code").agg(F.sum("quantity").alias("q"))
+    return per_order.groupBy("dish_code").agg(
+        F.count(F.lit(1)).alias("orders"),
+        F.sum("q").cast("long").alias("quantity"),
+    )
+
+
 def transitions(spark: SparkSession) -> DataFrame:
     """Allowed (from, to) status pairs; a fixed five-row table."""
     return spark.createDataFrame(list(O.ORDER_TRANSITIONS), "prev_status string, status string")
 
 
-def bad_transitions(spark: SparkSession, events: DataFrame) -> DataFrame:
-    """Status changes not in the allowed life cycle (first status must be
-    ORDER_PLACED). An order has a handful of events, so the per-order window
-    is small; the allowed-pairs table is a fixed five rows and is broadcast."""
-    w = Window.partitionBy("order_id").orderBy("ts", "status")
-    x = events.select("order_id", "status", "ts", F.lag("status").over(w).alias("prev_status"))
-    first_ok = x.filter(F.col("prev_status").isNull() & (F.col("status") != "ORDER_PLACED"))
-    changes = x.filter(F.col("prev_status").isNotNull())
+def bad_transitions(spark: SparkSession, events: DataFrame, bucket: str = "hour") -> DataFrame:
+    """Status changes not in the allowed life cycle, and orders whose first
+    status is not ORDER_PLACED.
+
+    Consecutive events come from the skew-resistant ``with_next`` (no
+    per-order window that would sort a hot order in one task); the first
+    event per order is a ``min_by`` partial aggregate. The allowed-pairs
+    table is a fixed five rows and is broadcast."""
+    nxt = with_next(events.select("order_id", "status", "ts"), "order_id", "ts", "status", (), bucket)
+    changes = nxt.filter(F.col("next_status").isNotNull()).select(
+        "order_id", F.col("status").alias("prev_status"), F.col("next_status").alias("status"), F.col("next_ts").alias("ts")
+    )
     bad = changes.join(F.broadcast(transitions(spark)), ["prev_status", "status"], "left_anti")
-    return bad.unionByName(first_ok).select("order_id", "prev_status", "status", "ts")
+    first = events.groupBy("order_id").agg(F.min_by(F.struct("status", "ts"), F.struct("ts", "status")).alias("f"))
+    first_bad = first.filter(F.col("f.status") != "ORDER_PLACED").select(
+        "order_id", F.lit(None).cast("string").alias("prev_status"), F.col("f.status").alias("status"), F.col("f.ts").alias("ts")
+    )
+    return bad.unionByName(first_bad).select("order_id", "prev_status", "status", "ts")
 
 
 def current_state(events: DataFrame) -> DataFrame:

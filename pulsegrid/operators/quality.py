@@ -86,26 +86,55 @@ def gps_class() -> Column:
     )
 
 
+def bad_dish(code: Column) -> Column:
+    """Dish code not of the form ``D`` + three digits within D101..D150."""
+    num = F.regexp_extract(code, r"^D(\d{3})$", 1).try_cast("int")
+    return ~code.rlike(r"^D\d{3}$") | ~F.coalesce(num.between(O.DISH_CODE_FIRST, O.DISH_CODE_LAST), F.lit(False))
+
+
+def bad_quantity(q: Column) -> Column:
+    return F.coalesce(q <= 0, F.lit(True))
+
+
+def _order_case(missing: Column, dish: Column, qty: Column) -> Column:
+    return (
+        F.when(F.col("order_id").isNull() | F.col("status").isNull() | missing, "null_fields")
+        .when(~F.col("status").isin(*O.ORDER_STATUSES), "invalid_status")
+        .when(dish, "invalid_dish")
+        .when(qty, "negative_quantity")
+        .when(F.coalesce(F.col("total_amount") < 0, F.lit(False)), "impossible_total")
+        .otherwise("ok")
+    )
+
+
 def order_class() -> Column:
-    """null_fields / invalid_status / invalid_dish / negative_quantity /
+    """Class of a nested order message (``items`` array inside the message):
+    null_fields / invalid_status / invalid_dish / negative_quantity /
     impossible_total / ok."""
     items = F.col("items")
-    valid_status = F.col("status").isin(*O.ORDER_STATUSES)
-    code_num = lambda x: F.regexp_extract(x["dish_code"], r"^D(\d{3})$", 1)
-    bad_dish = F.exists(
-        items,
-        lambda x: ~x["dish_code"].rlike(r"^D\d{3}$")
-        | ~code_num(x).try_cast("int").between(O.DISH_CODE_FIRST, O.DISH_CODE_LAST),
+    return _order_case(
+        items.isNull(),
+        F.exists(items, lambda x: bad_dish(x["dish_code"])),
+        F.exists(items, lambda x: bad_quantity(x["quantity"])),
     )
-    neg_qty = F.exists(items, lambda x: F.coalesce(x["quantity"] <= 0, F.lit(True)))
-    return (
-        F.when(F.col("order_id").isNull() | F.col("status").isNull() | items.isNull(), "null_fields")
-        .when(~valid_status, "invalid_status")
-        .when(bad_dish, "invalid_dish")
-        .when(neg_qty, "negative_quantity")
-        .when(F.coalesce(F.col("total_amount") < 0, F.lit(False)), "impossible_total")
-        .otherwise("ok")
+
+
+def classify_orders(headers: DataFrame, items: DataFrame, key: str = "order_key") -> DataFrame:
+    """Same classes for normalised orders (header rows + one row per item).
+
+    Items are reduced per order with partial aggregates (``bool_or``,
+    count) — a hot order is combined map-side — and joined 1:1 to the
+    headers; no items array is ever built."""
+    per_order = items.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.bool_or(bad_dish(F.col("dish_code"))).alias("_bad_dish"),
+        F.bool_or(bad_quantity(F.col("quantity"))).alias("_bad_qty"),
     )
+    j = headers.join(per_order, key, "left")
+    missing = ~F.coalesce(F.col("has_items"), F.lit(True)) | F.col("_n").isNull()
+    return j.withColumn(
+        "anomaly_class", _order_case(missing, F.coalesce("_bad_dish", F.lit(False)), F.coalesce("_bad_qty", F.lit(False)))
+    ).drop("_n", "_bad_dish", "_bad_qty")
 
 
 def quality_report(classified: DataFrame) -> DataFrame:

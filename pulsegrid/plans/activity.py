@@ -39,7 +39,8 @@ def _gps(spark, sf_dir):
 
 
 def _orders(spark, sf_dir):
-    return X.orders_msgs(prepare(spark), sf_dir).select("order_key", Q.order_class().alias("anomaly_class"))
+    prepare(spark)
+    return Q.classify_orders(X.order_headers(spark, sf_dir), X.order_item_rows(spark, sf_dir)).select("order_key", "anomaly_class")
 
 
 def wearable_classes(spark, sf_dir):

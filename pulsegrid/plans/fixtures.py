@@ -232,52 +232,23 @@ def gps_fixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def orders_msgs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One order message per order with its items array (orders ⋈ lineitem).
+def _order_class_key() -> Column:
+    return F.col("o_orderkey") % 100
 
-    Line items are first reduced to one items array per order (a bounded
-    group: the lines of one order), then joined 1:1 to ``orders``.
-    """
-    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"))
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    cls = F.col("l_orderkey") % 100
-    dish = F.when(cls == 0, F.concat(F.lit("D-"), (F.col("l_partkey") % 1000).cast("string"))).otherwise(
-        F.concat(F.lit("D"), (F.lit(101) + F.col("l_partkey") % 50).cast("string"))
-    )
-    q = F.col("l_quantity").cast("int") % 3
-    qty = F.when(cls == 1, -q).otherwise(q + 1)
-    items = (
-        li.groupBy("l_orderkey")
-        .agg(
-            F.array_sort(
-                F.collect_list(
-                    F.struct(
-                        F.col("l_linenumber").alias("ln"),
-                        F.col("l_partkey").alias("pk"),
-                        F.col("l_suppkey").alias("sk"),
-                        dish.alias("dish_code"),
-                        qty.cast("int").alias("quantity"),
-                    )
-                )
-            ).alias("_items")
-        )
-        .select(
-            "l_orderkey",
-            F.transform("_items", lambda x: F.struct(x["dish_code"].alias("dish_code"), x["quantity"].alias("quantity"))).alias(
-                "items"
-            ),
-        )
-    )
-    c = F.col("o_orderkey") % 100
+
+def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order message fields other than the items, one row per order; by
+    ``o_orderkey % 100``: 2 negative total, 3 null fields, 4 invalid status."""
+    o = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"))
+    c = _order_class_key()
     null_s = F.lit(None).cast("string")
-    j = o.join(items, o.o_orderkey == items.l_orderkey, "left")
-    return j.select(
+    return o.select(
         F.concat(F.lit("rest_"), (F.col("o_custkey") % 10).cast("string")).alias("restaurant_id"),
         F.when(c == 3, null_s).otherwise(F.concat(F.lit("T-"), F.lpad((F.col("o_orderkey") % 20 + 1).cast("string"), 2, "0"))).alias("table_id"),
         F.when(c == 3, null_s).otherwise(F.concat(F.lit("ORD-"), F.col("o_orderkey").cast("string"))).alias("order_id"),
         F.col("o_orderkey").alias("order_key"),
         F.when(c == 3, null_s).when(c == 4, F.lit("INVALID_STATUS_XYZ")).otherwise(F.lit("ORDER_PLACED")).alias("status"),
-        F.when(c == 3, F.lit(None)).otherwise(F.col("items")).alias("items"),
+        (c != 3).alias("has_items"),
         F.when(c == 3, null_s).when(c == 4, F.lit("UNKNOWN")).otherwise(F.lit("PENDING")).alias("payment_status"),
         F.when(c.isin(3, 4), F.lit(None).cast("double")).when(c == 2, -F.col("o_totalprice")).otherwise(F.col("o_totalprice")).alias(
             "total_amount"
@@ -286,6 +257,29 @@ def orders_msgs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_item_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order messages' items, one row per item (``lineitem``):
+    ``dish_code = 'D' || (101 + l_partkey % 50)``, ``quantity =
+    int(l_quantity) % 3 + 1``; by ``l_orderkey % 100``: 0 invalid dish codes,
+    1 quantities <= 0, 3 no items (the message's items are null).
+
+    The items stay flat — the tables are normalised, and rebuilding an array
+    per order would gather a whole order into one row."""
+    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity"))
+    cls = F.col("l_orderkey") % 100
+    dish = F.when(cls == 0, F.concat(F.lit("D-"), (F.col("l_partkey") % 1000).cast("string"))).otherwise(
+        F.concat(F.lit("D"), (F.lit(101) + F.col("l_partkey") % 50).cast("string"))
+    )
+    q = F.col("l_quantity").cast("int") % 3
+    qty = F.when(cls == 1, -q).otherwise(q + 1)
+    return li.filter(cls != 3).select(
+        F.col("l_orderkey").alias("order_key"),
+        F.col("l_linenumber").alias("line"),
+        dish.alias("dish_code"),
+        qty.cast("int").alias("quantity"),
+    )
+
+
 ORDER_FLOW = (
     # (status, minutes after placement) in life-cycle order
     ("ORDER_PLACED", 0),

@@ -29,8 +29,10 @@ def gps_distance(spark, sf_dir):
 
 
 def order_items(spark, sf_dir):
-    o = X.orders_msgs(prepare(spark), sf_dir)
-    return OR.items_per_dish(o.filter(Q.order_class() == "ok"))
+    prepare(spark)
+    items = X.order_item_rows(spark, sf_dir)
+    ok = Q.classify_orders(X.order_headers(spark, sf_dir), items).filter(F.col("anomaly_class") == "ok")
+    return OR.items_per_dish_rows(items, ok)
 
 
 def order_bad_transitions(spark, sf_dir):
