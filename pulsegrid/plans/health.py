@@ -101,8 +101,17 @@ def anchored_sugar(spark, sf_dir):
     return _anchored(spark, sf_dir, "sugar", O.METRIC_SUGAR)
 
 
+def anchored_alerts(spark, sf_dir):
+    """Standalone processor's alerts: anchored windows under per-metric
+    validity; BP alerts store the systolic threshold."""
+    o = TABLE_OPTS_METRIC.with_(bp_threshold_mode="standalone")
+    res = anchored_windows(readings(spark, sf_dir, o), o)
+    return ntz(A.union_all([A.hr_alert_rows(res["hr"]), A.bp_alert_rows(res["bp"], o), A.sugar_alert_rows(res["sugar"])]))
+
+
 QUERIES = {
     "anchored_hr": anchored_hr,
+    "anchored_alerts": anchored_alerts,
     "anchored_bp": anchored_bp,
     "anchored_sugar": anchored_sugar,
     "parse_readings_record": parse_readings_record,

@@ -270,3 +270,26 @@ FROM assigned GROUP BY user_id, s"""
 SQL["anchored_hr"] = _anchored_hr()
 SQL["anchored_bp"] = _anchored_bp()
 SQL["anchored_sugar"] = _anchored_sugar()
+
+
+def _anchored_alerts() -> str:
+    # one recursive query per metric, unioned
+    hr = anchored_sql("heart_rate", None, "heart_rate > 0", 1440) + f"""SELECT s + INTERVAL '1440 minutes' AS time, user_id,
+  'elevated_heart_rate' AS alert_type, CASE WHEN a < 120 THEN 'warning' ELSE 'critical' END AS severity,
+  round_even(a, 2) AS metric_value, CAST(100 AS DOUBLE) AS threshold_value,
+  s AS window_start, s + INTERVAL '1440 minutes' AS window_end
+FROM (SELECT user_id, s, {xavg("v")} AS a FROM assigned GROUP BY user_id, s) WHERE a > 100"""
+    bp = anchored_sql("bp_systolic", "bp_diastolic", "bp_systolic > 0 AND bp_diastolic > 0", 1440) + f"""SELECT s + INTERVAL '1440 minutes' AS time, user_id,
+  'elevated_blood_pressure' AS alert_type, CASE WHEN a < 160 THEN 'warning' ELSE 'critical' END AS severity,
+  round_even(a, 2) AS metric_value, CAST(140 AS DOUBLE) AS threshold_value,
+  s AS window_start, s + INTERVAL '1440 minutes' AS window_end
+FROM (SELECT user_id, s, {xavg("v")} AS a, {xavg("v2")} AS d FROM assigned GROUP BY user_id, s) WHERE a >= 140 OR d >= 90"""
+    su = anchored_sql("blood_sugar", None, "blood_sugar > 0", 14400) + f"""SELECT s + INTERVAL '14400 minutes' AS time, user_id,
+  'elevated_blood_sugar' AS alert_type, CASE WHEN a < 250 THEN 'warning' ELSE 'critical' END AS severity,
+  round_even(a, 2) AS metric_value, CAST(180 AS DOUBLE) AS threshold_value,
+  s AS window_start, s + INTERVAL '14400 minutes' AS window_end
+FROM (SELECT user_id, s, {xavg("v")} AS a FROM assigned GROUP BY user_id, s) WHERE a >= 180"""
+    return f"SELECT * FROM ({hr}) UNION ALL SELECT * FROM ({bp}) UNION ALL SELECT * FROM ({su})"
+
+
+SQL["anchored_alerts"] = _anchored_alerts()

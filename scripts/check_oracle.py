@@ -26,7 +26,7 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 9)
+        return v if os.environ.get("EXACT") else round(v, 9)
     if hasattr(v, "isoformat"):
         return pd.Timestamp(v).isoformat()
     if isinstance(v, (list, tuple)):
