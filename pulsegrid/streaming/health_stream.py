@@ -114,6 +114,13 @@ def drain(spark: SparkSession, messages_batch: DataFrame, root: str, opts: Optio
         TB.append_if_absent(spark, alerts, root, TB.ALERTS, writer=f"w{width}")
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows dropped as later than the watermark, summed over the stateful
+    operators, in the most recent micro-batch progress."""
+    prog = query.lastProgress or {}
+    return sum(int(op.get("numRowsDroppedByWatermark", 0)) for op in prog.get("stateOperators", []))
+
+
 def console(df: DataFrame, name: str = "debug") -> StreamingQuery:
     """Debug print of a stream (the source job's print sinks)."""
     return df.writeStream.format("console").option("truncate", "false").queryName(name).start()
