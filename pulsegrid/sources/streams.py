@@ -68,3 +68,20 @@ def write_replay_files(df: DataFrame, path: str, ts_col: str, files: int) -> Non
         base = time.time() - len(parts) - 10
         for i, n in enumerate(parts):
             os.utime(os.path.join(local, n), (base + i, base + i))
+
+
+def kafka_sink_options(opts: Options = DEFAULT) -> dict[str, str]:
+    """Producer settings of the device sink: brokers, acks from all
+    replicas, three retries. The topic comes from each row's ``topic``."""
+    return {
+        "kafka.bootstrap.servers": opts.kafka_bootstrap_servers,
+        "kafka.acks": "all",
+        "kafka.retries": "3",
+    }
+
+
+def write_kafka(df: DataFrame, opts: Options = DEFAULT) -> None:
+    """Write rows shaped by ``operators.ingest.kafka_value_json`` (``key``,
+    ``value``, ``topic``) to Kafka (needs the Kafka connector on the
+    classpath)."""
+    df.select("key", "value", "topic").write.format("kafka").options(**kafka_sink_options(opts)).save()

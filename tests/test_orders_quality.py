@@ -1,6 +1,5 @@
 from datetime import datetime
 
-from pyspark.sql import functions as F
 
 from pulsegrid.operators import orders as OR
 from pulsegrid.operators import quality as Q

@@ -1,7 +1,6 @@
 import json
 import os
 
-from pyspark.sql import functions as F
 
 from pulsegrid.operators import alerts as A
 from pulsegrid.operators.parse import parse_health

@@ -1,4 +1,3 @@
-import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +6,6 @@ from pulsegrid import schemas as S
 from pulsegrid.operators import browse as B
 from pulsegrid.operators import ingest as I
 from pulsegrid.operators import sqlgate as G
-from pulsegrid.plans import fixtures as X
 from pulsegrid.plans.common import TABLE_OPTS
 from pulsegrid.plans.health import readings
 from pulsegrid.operators import alerts as A
@@ -48,8 +46,12 @@ def test_kafka_sink_shape(spark):
 
 
 def test_kafka_options():
+    from pulsegrid.sources.streams import kafka_sink_options
+
     o = kafka_options(TABLE_OPTS, ("a", "b"))
     assert o["subscribe"] == "a,b" and o["startingOffsets"] == "latest" and o["maxOffsetsPerTrigger"] == "100"
+    k = kafka_sink_options(TABLE_OPTS)
+    assert k["kafka.acks"] == "all" and k["kafka.retries"] == "3"
 
 
 @pytest.mark.parametrize(
