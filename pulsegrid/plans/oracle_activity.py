@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .oracle_health import EV, with_
+from .oracle_health import EV, pyround, with_
 
 DM = """dm AS (
   SELECT CASE WHEN uid % 2 = 0 THEN 'wearable' ELSE 'restaurant' END AS device_type,
@@ -31,7 +31,7 @@ TYPES = """tm AS (
 
 
 def _rate(bad: str, total: str) -> str:
-    return f"round_even(CAST({bad} AS DOUBLE) / CAST(greatest({total}, 1) AS DOUBLE) * 100, 2)"
+    return pyround(f"CAST({bad} AS DOUBLE) / CAST(greatest({total}, 1) AS DOUBLE) * 100", 2)
 
 
 HALF = "floor(v / 2)"
@@ -99,6 +99,6 @@ UNION ALL SELECT 'all', count(*) FROM pd""",
   UNION ALL SELECT 'restaurant', anomaly_class FROM ({ORDERS})
 ), a AS (SELECT device_type, anomaly_class, count(*) AS messages FROM u GROUP BY 1, 2)
 SELECT device_type, anomaly_class, messages,
-       round_even(CAST(messages AS DOUBLE) / CAST(sum(messages) OVER (PARTITION BY device_type) AS DOUBLE) * 100, 2) AS rate_pct
+       {pyround("CAST(messages AS DOUBLE) / CAST(sum(messages) OVER (PARTITION BY device_type) AS DOUBLE) * 100", 2)} AS rate_pct
 FROM a""",
 }

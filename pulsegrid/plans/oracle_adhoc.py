@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from .adhoc import SQL_TEXT
-from .oracle_health import EV, MET, REC, _bp_groups, _hr_groups, _metric_sel, with_
+from .oracle_health import EV, MET, REC, _bp_groups, _hr_groups, _metric_sel, pyround, with_
 
 
 def _metrics(src: str) -> str:
     return (
-        _metric_sel(f"hr_{src}", "heart_rate", "round_even(a, 2)", "mn", "mx")
+        _metric_sel(f"hr_{src}", "heart_rate", pyround("a", 2), "mn", "mx")
         + "\nUNION ALL\n"
-        + _metric_sel(f"bp_{src}", "blood_pressure", "round_even(s, 2)", "round_even(d, 2)", "round_even(s, 2)")
+        + _metric_sel(f"bp_{src}", "blood_pressure", pyround("s", 2), pyround("d", 2), pyround("s", 2))
     )
 
 

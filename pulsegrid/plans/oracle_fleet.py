@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .oracle_health import EV, with_
+from .oracle_health import EV, pyround, with_
 
 FX = """fx AS (
   SELECT 'VH-' || CAST(uid AS VARCHAR) AS vehicle_id, event_id, ts,
@@ -20,6 +20,10 @@ PR = """pr AS (
 
 STEP = 3_600_000_000
 
+HEADING = """CASE WHEN degrees(atan2(nlng - longitude, nlat - latitude)) < 0
+                  THEN degrees(atan2(nlng - longitude, nlat - latitude)) + 360
+                  ELSE degrees(atan2(nlng - longitude, nlat - latitude)) END"""
+
 OEV = """oev AS (
   SELECT 'ORD-' || CAST(o_orderkey AS VARCHAR) AS order_id, s.status,
          o_orderdate + to_minutes(s.minutes) AS ts
@@ -32,10 +36,8 @@ OEV = """oev AS (
 
 SQL = {
     "gps_heading": with_(EV, FX, PR)
-    + """SELECT vehicle_id, event_id, next_event_id, ts,
-  round_even(CASE WHEN degrees(atan2(nlng - longitude, nlat - latitude)) < 0
-                  THEN degrees(atan2(nlng - longitude, nlat - latitude)) + 360
-                  ELSE degrees(atan2(nlng - longitude, nlat - latitude)) END, 1) AS heading_deg
+    + f"""SELECT vehicle_id, event_id, next_event_id, ts,
+  {pyround(HEADING, 1)} AS heading_deg
 FROM pr WHERE next_event_id IS NOT NULL""",
     "gps_grid": with_(EV, FX, PR)
     + f""", g AS (

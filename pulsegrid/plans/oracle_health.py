@@ -78,33 +78,6 @@ def pyround(x: str, digits: int = 2) -> str:
     )
 
 
-def exact_rounding(sql: str) -> str:
-    """Swap every ``round_even(x, d)`` (d > 0) in an oracle query for
-    ``pyround(x, d)``; the queries are written with ``round_even`` for
-    readability."""
-    out, i, key = [], 0, "round_even("
-    while True:
-        j = sql.find(key, i)
-        if j < 0:
-            out.append(sql[i:])
-            return "".join(out)
-        out.append(sql[i:j])
-        k, depth, cut = j + len(key), 1, None
-        start = k
-        while depth:
-            ch = sql[k]
-            if ch == "(":
-                depth += 1
-            elif ch == ")":
-                depth -= 1
-            elif ch == "," and depth == 1:
-                cut = k
-            k += 1
-        arg, digits = sql[start:cut].strip(), int(sql[cut + 1 : k - 1])
-        out.append(pyround(exact_rounding(arg), digits) if digits > 0 else sql[j:k])
-        i = k
-
-
 def xavg(col: str) -> str:
     """Mean from an exact sum of 1e-6 units (the engine's order-free mean)."""
     return f"(CAST(sum(CAST(round(CAST({col} AS DOUBLE) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 / count(*))"
@@ -145,9 +118,9 @@ def _sugar_groups(days: int = 10) -> str:
 )"""
 
 
-HR_ALERTS = """SELECT window_end AS time, user_id, 'elevated_heart_rate' AS alert_type,
+HR_ALERTS = f"""SELECT window_end AS time, user_id, 'elevated_heart_rate' AS alert_type,
        CASE WHEN a < 120 THEN 'warning' ELSE 'critical' END AS severity,
-       round_even(a, 2) AS metric_value, CAST(100 AS DOUBLE) AS threshold_value,
+       {pyround("a", 2)} AS metric_value, CAST(100 AS DOUBLE) AS threshold_value,
        window_start, window_end
 FROM hr WHERE a > 100"""
 
@@ -155,14 +128,14 @@ FROM hr WHERE a > 100"""
 def bp_alerts_sql(threshold: int) -> str:
     return f"""SELECT window_end AS time, user_id, 'elevated_blood_pressure' AS alert_type,
        CASE WHEN s < 160 THEN 'warning' ELSE 'critical' END AS severity,
-       round_even(s, 2) AS metric_value, CAST({threshold} AS DOUBLE) AS threshold_value,
+       {pyround("s", 2)} AS metric_value, CAST({threshold} AS DOUBLE) AS threshold_value,
        window_start, window_end
 FROM bp WHERE s >= 140 OR d >= 90"""
 
 
-SUGAR_ALERTS = """SELECT window_end AS time, user_id, 'elevated_blood_sugar' AS alert_type,
+SUGAR_ALERTS = f"""SELECT window_end AS time, user_id, 'elevated_blood_sugar' AS alert_type,
        CASE WHEN a < 250 THEN 'warning' ELSE 'critical' END AS severity,
-       round_even(a, 2) AS metric_value, CAST(180 AS DOUBLE) AS threshold_value,
+       {pyround("a", 2)} AS metric_value, CAST(180 AS DOUBLE) AS threshold_value,
        window_start, window_end
 FROM su WHERE a >= 180"""
 
@@ -178,29 +151,29 @@ SQL = {
     "parse_readings_record": with_(EV, REC) + "SELECT * FROM rec",
     "parse_readings_metric": with_(EV, MET) + "SELECT * FROM met",
     "hr_window_metrics": with_(EV, REC, _hr_groups())
-    + """SELECT user_id, window_start, window_end, round_even(a, 2) AS avg_heart_rate,
+    + f"""SELECT user_id, window_start, window_end, {pyround("a", 2)} AS avg_heart_rate,
        CAST(mn AS INTEGER) AS min_heart_rate, CAST(mx AS INTEGER) AS max_heart_rate,
        n AS reading_count FROM hr""",
     "bp_window_metrics": with_(EV, REC, _bp_groups())
-    + """SELECT user_id, window_start, window_end, round_even(s, 2) AS avg_bp_systolic,
-       round_even(d, 2) AS avg_bp_diastolic, n AS reading_count FROM bp""",
+    + f"""SELECT user_id, window_start, window_end, {pyround("s", 2)} AS avg_bp_systolic,
+       {pyround("d", 2)} AS avg_bp_diastolic, n AS reading_count FROM bp""",
     "sugar_window_metrics": with_(EV, REC, _sugar_groups())
-    + """SELECT user_id, window_start, window_end, round_even(a, 2) AS avg_blood_sugar,
+    + f"""SELECT user_id, window_start, window_end, {pyround("a", 2)} AS avg_blood_sugar,
        CAST(mn AS INTEGER) AS min_blood_sugar, CAST(mx AS INTEGER) AS max_blood_sugar,
        n AS reading_count FROM su""",
     "hr_window_metrics_metric_mode": with_(EV, MET, _hr_groups("met"))
-    + """SELECT user_id, window_start, window_end, round_even(a, 2) AS avg_heart_rate,
+    + f"""SELECT user_id, window_start, window_end, {pyround("a", 2)} AS avg_heart_rate,
        mn AS min_heart_rate, mx AS max_heart_rate, n AS reading_count FROM hr""",
     "hr_alerts": with_(EV, REC, _hr_groups()) + HR_ALERTS,
     "bp_alerts_stream": with_(EV, REC, _bp_groups()) + bp_alerts_sql(0),
     "bp_alerts_standalone": with_(EV, REC, _bp_groups()) + bp_alerts_sql(140),
     "sugar_alerts": with_(EV, REC, _sugar_groups()) + SUGAR_ALERTS,
     "metrics_1min": with_(EV, REC, _hr_groups(), _bp_groups())
-    + _metric_sel("hr", "heart_rate", "round_even(a, 2)", "mn", "mx")
+    + _metric_sel("hr", "heart_rate", pyround("a", 2), "mn", "mx")
     + "\nUNION ALL\n"
-    + _metric_sel("bp", "blood_pressure", "round_even(s, 2)", "round_even(d, 2)", "round_even(s, 2)"),
+    + _metric_sel("bp", "blood_pressure", pyround("s", 2), pyround("d", 2), pyround("s", 2)),
     "metrics_10min": with_(EV, REC, _sugar_groups())
-    + _metric_sel("su", "blood_sugar", "round_even(a, 2)", "mn", "mx"),
+    + _metric_sel("su", "blood_sugar", pyround("a", 2), "mn", "mx"),
     "all_alerts": with_(EV, REC, _hr_groups(), _bp_groups(), _sugar_groups())
     + HR_ALERTS
     + "\nUNION ALL\n"
@@ -247,7 +220,7 @@ assigned AS (
 
 def _anchored_hr() -> str:
     return anchored_sql("heart_rate", None, "heart_rate > 0", 1440) + f"""SELECT user_id, s AS window_start,
-  s + INTERVAL '1440 minutes' AS window_end, round_even({xavg("v")}, 2) AS avg_heart_rate,
+  s + INTERVAL '1440 minutes' AS window_end, {pyround(xavg("v"), 2)} AS avg_heart_rate,
   min(v) AS min_heart_rate, max(v) AS max_heart_rate, count(*) AS reading_count
 FROM assigned GROUP BY user_id, s"""
 
@@ -255,14 +228,14 @@ FROM assigned GROUP BY user_id, s"""
 def _anchored_bp() -> str:
     return anchored_sql("bp_systolic", "bp_diastolic", "bp_systolic > 0 AND bp_diastolic > 0", 1440) + f"""SELECT user_id,
   s AS window_start, s + INTERVAL '1440 minutes' AS window_end,
-  round_even({xavg("v")}, 2) AS avg_bp_systolic, round_even({xavg("v2")}, 2) AS avg_bp_diastolic,
+  {pyround(xavg("v"), 2)} AS avg_bp_systolic, {pyround(xavg("v2"), 2)} AS avg_bp_diastolic,
   count(*) AS reading_count
 FROM assigned GROUP BY user_id, s"""
 
 
 def _anchored_sugar() -> str:
     return anchored_sql("blood_sugar", None, "blood_sugar > 0", 14400) + f"""SELECT user_id, s AS window_start,
-  s + INTERVAL '14400 minutes' AS window_end, round_even({xavg("v")}, 2) AS avg_blood_sugar,
+  s + INTERVAL '14400 minutes' AS window_end, {pyround(xavg("v"), 2)} AS avg_blood_sugar,
   min(v) AS min_blood_sugar, max(v) AS max_blood_sugar, count(*) AS reading_count
 FROM assigned GROUP BY user_id, s"""
 
@@ -276,17 +249,17 @@ def _anchored_alerts() -> str:
     # one recursive query per metric, unioned
     hr = anchored_sql("heart_rate", None, "heart_rate > 0", 1440) + f"""SELECT s + INTERVAL '1440 minutes' AS time, user_id,
   'elevated_heart_rate' AS alert_type, CASE WHEN a < 120 THEN 'warning' ELSE 'critical' END AS severity,
-  round_even(a, 2) AS metric_value, CAST(100 AS DOUBLE) AS threshold_value,
+  {pyround("a", 2)} AS metric_value, CAST(100 AS DOUBLE) AS threshold_value,
   s AS window_start, s + INTERVAL '1440 minutes' AS window_end
 FROM (SELECT user_id, s, {xavg("v")} AS a FROM assigned GROUP BY user_id, s) WHERE a > 100"""
     bp = anchored_sql("bp_systolic", "bp_diastolic", "bp_systolic > 0 AND bp_diastolic > 0", 1440) + f"""SELECT s + INTERVAL '1440 minutes' AS time, user_id,
   'elevated_blood_pressure' AS alert_type, CASE WHEN a < 160 THEN 'warning' ELSE 'critical' END AS severity,
-  round_even(a, 2) AS metric_value, CAST(140 AS DOUBLE) AS threshold_value,
+  {pyround("a", 2)} AS metric_value, CAST(140 AS DOUBLE) AS threshold_value,
   s AS window_start, s + INTERVAL '1440 minutes' AS window_end
 FROM (SELECT user_id, s, {xavg("v")} AS a, {xavg("v2")} AS d FROM assigned GROUP BY user_id, s) WHERE a >= 140 OR d >= 90"""
     su = anchored_sql("blood_sugar", None, "blood_sugar > 0", 14400) + f"""SELECT s + INTERVAL '14400 minutes' AS time, user_id,
   'elevated_blood_sugar' AS alert_type, CASE WHEN a < 250 THEN 'warning' ELSE 'critical' END AS severity,
-  round_even(a, 2) AS metric_value, CAST(180 AS DOUBLE) AS threshold_value,
+  {pyround("a", 2)} AS metric_value, CAST(180 AS DOUBLE) AS threshold_value,
   s AS window_start, s + INTERVAL '14400 minutes' AS window_end
 FROM (SELECT user_id, s, {xavg("v")} AS a FROM assigned GROUP BY user_id, s) WHERE a >= 180"""
     return f"SELECT * FROM ({hr}) UNION ALL SELECT * FROM ({bp}) UNION ALL SELECT * FROM ({su})"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .oracle_health import EV, HR_ALERTS, REC, SUGAR_ALERTS, _bp_groups, _hr_groups, _sugar_groups, bp_alerts_sql, with_
+from .oracle_health import EV, HR_ALERTS, REC, SUGAR_ALERTS, _bp_groups, _hr_groups, _sugar_groups, bp_alerts_sql, pyround, with_
 
 RAW = """raw AS (
   SELECT CASE uid % 3 WHEN 0 THEN 'virtual_wearables' WHEN 1 THEN 'virtual_restaurants' ELSE 'virtual_gps' END AS "table",
@@ -44,8 +44,8 @@ LEFT JOIN (SELECT "table", count(*) AS row_count, max(ingested_at) AS latest_rec
     "table_page": _page(50, 100),
     "table_page_device": _page(10, 0, "wearable_3"),
     "latest_metrics": with_(EV, REC, _hr_groups())
-    + """SELECT window_end AS time, user_id, 'heart_rate' AS metric_type, window_start, window_end,
-       CAST(round_even(a, 2) AS DOUBLE) AS avg_value, CAST(mn AS DOUBLE) AS min_value,
+    + f"""SELECT window_end AS time, user_id, 'heart_rate' AS metric_type, window_start, window_end,
+       CAST({pyround("a", 2)} AS DOUBLE) AS avg_value, CAST(mn AS DOUBLE) AS min_value,
        CAST(mx AS DOUBLE) AS max_value, CAST(n AS BIGINT) AS reading_count
 FROM hr ORDER BY window_end DESC, user_id LIMIT 20""",
     "latest_alerts": with_(EV, REC, _hr_groups(), _bp_groups(), _sugar_groups())
