@@ -2,10 +2,23 @@
 
 from __future__ import annotations
 
-from . import activity, adhoc, fleet, health, ingestion, oracle_activity, oracle_adhoc, oracle_fleet, oracle_health, oracle_ingestion
+from . import (
+    activity,
+    adhoc,
+    fleet,
+    health,
+    ingestion,
+    oracle_activity,
+    oracle_adhoc,
+    oracle_fleet,
+    oracle_health,
+    oracle_ingestion,
+    oracle_streams,
+    streams,
+)
 
 QUERIES = {}
 ORACLE = {}
-for _mod, _sql in ((health, oracle_health), (ingestion, oracle_ingestion), (activity, oracle_activity), (fleet, oracle_fleet), (adhoc, oracle_adhoc)):
+for _mod, _sql in ((health, oracle_health), (ingestion, oracle_ingestion), (activity, oracle_activity), (fleet, oracle_fleet), (adhoc, oracle_adhoc), (streams, oracle_streams)):
     QUERIES.update(_mod.QUERIES)
     ORACLE.update(_sql.SQL)
