@@ -8,4 +8,5 @@ SQL = {
     "stream_metrics_1min": _H["metrics_1min"],
     "stream_metrics_10min": _H["metrics_10min"],
     "stream_alerts": _H["all_alerts"],
+    "stream_anchored_alerts": _H["anchored_alerts"],
 }

@@ -20,10 +20,11 @@ from ..session import checkpoint_dir
 from ..sinks import tables as TB
 from ..sources.streams import file_stream, write_replay_files
 from ..streaming import health_stream as HS
+from ..streaming import jobs as J
 from . import fixtures as X
 from .common import TABLE_OPTS, ntz, prepare
 
-_RUNS: dict[tuple[str, str], str] = {}
+_RUNS: dict[tuple, str] = {}
 REPLAY_FILES = 4
 
 
@@ -47,6 +48,31 @@ def run_stream_twin(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+def run_anchored_twin(spark: SparkSession, sf_dir: str) -> str:
+    """The standalone job (stateful anchored windows) over the same replay,
+    drained at shutdown; returns the output root (once per session)."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), "anchored")
+    if key in _RUNS:
+        return _RUNS[key]
+    prepare(spark)
+    base = checkpoint_dir(spark, f"anchored-twin-{uuid.uuid4().hex[:12]}")
+    src, root = os.path.join(base, "messages"), os.path.join(base, "tables")
+    write_replay_files(X.health_messages(spark, sf_dir), src, "timestamp", REPLAY_FILES)
+    opts = TABLE_OPTS.with_(watermark_delay="1 hour")
+    q = J.anchored_job(spark, root, opts, source=src, trigger={"availableNow": True})
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    J.drain_anchored(spark, spark.read.schema(S.MESSAGE).parquet(src), root, opts)
+    _RUNS[key] = root
+    return root
+
+
+def stream_anchored_alerts(spark, sf_dir):
+    root = run_anchored_twin(spark, sf_dir)
+    return ntz(TB.read_table(spark, root, TB.ALERTS).drop(TB.WRITER_COL, TB.PARTITION_COL))
+
+
 def stream_metrics_1min(spark, sf_dir):
     root = run_stream_twin(spark, sf_dir)
     return ntz(TB.read_table(spark, root, TB.METRICS_1MIN).drop(TB.WRITER_COL, TB.PARTITION_COL))
@@ -66,4 +92,5 @@ QUERIES = {
     "stream_metrics_1min": stream_metrics_1min,
     "stream_metrics_10min": stream_metrics_10min,
     "stream_alerts": stream_alerts,
+    "stream_anchored_alerts": stream_anchored_alerts,
 }

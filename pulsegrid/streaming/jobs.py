@@ -9,6 +9,7 @@ streaming jobs over a shared output folder.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas as S
@@ -68,5 +69,24 @@ def anchored_job(
     )
 
 
+def drain_anchored(spark: SparkSession, messages_batch: DataFrame, root: str, opts: Options = DEFAULT) -> None:
+    """Shutdown flush of the standalone job: windows still open in the state
+    store are written from a batch pass over the messages; windows already
+    emitted are skipped by the keyed sinks."""
+    o = opts.with_(validity="metric", bp_threshold_mode="standalone")
+    p = AN.anchored_partials(parse_health(messages_batch, o), o).select(
+        "user_id",
+        "metric",
+        F.unix_micros("window_start").alias("window_start_us"),
+        F.unix_micros("window_end").alias("window_end_us"),
+        "n",
+        "s1",
+        "s2",
+        "mn",
+        "mx",
+    )
+    anchored_sink(spark, root, o)(p, -1)
+
+
 def ingest_job(spark: SparkSession, root: str, opts: Options = DEFAULT, trigger: dict | None = None) -> StreamingQuery:
     return ingest_stream.start(spark, kafka_records_stream(spark, opts), root, opts, trigger=trigger)
