@@ -42,7 +42,9 @@ def main():
     print(f"# Plan report ({os.path.basename(sf_dir)}, local[8], final AQE plans)\n")
     print("Generated by `scripts/plan_report.py`. `shuffles` counts exchanges executed;")
     print("`reused` exchanges are shared by several consumers (one scan / parse);")
-    print("`python` counts Python-evaluated nodes (only the anchored-window fold).\n")
+    print("`python` counts Python-evaluated nodes (only the anchored-window fold).")
+    print("`stream_*` queries run their streaming job when the query is built; their")
+    print("row shows only the read of the tables the job wrote.\n")
     cols = ["scans", "shuffles", "reused", "broadcasts", "python", "sorts", "topk", "codegen_stages"]
     print("| query | sec | " + " | ".join(cols) + " |")
     print("|---|---:|" + "---:|" * len(cols))
