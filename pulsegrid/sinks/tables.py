@@ -99,15 +99,25 @@ def dedupe_first(batch: DataFrame, key: tuple[str, ...], order_col: str | None =
     return agg.select(*key, *[F.col("_r")[c].alias(c) for c in others]).select(*batch.columns)
 
 
-def insert_if_absent(target: DataFrame, batch: DataFrame, key: tuple[str, ...], order_col: str | None = None) -> DataFrame:
+def insert_if_absent(
+    target: DataFrame, batch: DataFrame, key: tuple[str, ...], order_col: str | None = None, assume_unique: bool = False
+) -> DataFrame:
     """Rows of ``batch`` to append: first per key, and only keys the target
-    does not hold yet (``ON CONFLICT DO NOTHING``)."""
-    first = dedupe_first(batch, key, order_col)
+    does not hold yet (``ON CONFLICT DO NOTHING``). ``assume_unique`` skips
+    the de-duplication shuffle for batches that are unique per key by
+    construction (rows straight out of a ``groupBy`` on the key)."""
+    first = batch if assume_unique else dedupe_first(batch, key, order_col)
     return first.join(target.select(*key), list(key), "left_anti")
 
 
 def append_if_absent(
-    spark: SparkSession, batch: DataFrame, root: str, name: str, order_col: str | None = None, writer: str = "main"
+    spark: SparkSession,
+    batch: DataFrame,
+    root: str,
+    name: str,
+    order_col: str | None = None,
+    writer: str = "main",
+    assume_unique: bool = False,
 ) -> int:
     """Idempotent append of ``batch`` into table ``name`` (a replayed batch
     adds nothing). Keys are checked against the whole table — every
@@ -119,7 +129,7 @@ def append_if_absent(
     target = read_table(spark, root, name).drop(WRITER_COL)
     dates = b.select(PARTITION_COL).distinct()
     target = target.join(dates, PARTITION_COL, "left_semi")
-    new = insert_if_absent(target, b, key + (PARTITION_COL,), order_col)
+    new = insert_if_absent(target, b, key + (PARTITION_COL,), order_col, assume_unique)
     if order_col is not None and order_col not in TABLE_SCHEMAS[name].fieldNames():
         new = new.drop(order_col)
     new = new.select(*TABLE_SCHEMAS[name].fieldNames(), PARTITION_COL)

@@ -67,8 +67,8 @@ def sink_batch(spark: SparkSession, root: str, metrics: tuple[str, ...], width:
 
     def write(batch: DataFrame, epoch_id: int) -> None:
         mets, alerts = results_from_partials(batch, metrics, opts)
-        TB.append_if_absent(spark, mets, root, table_for(metrics), writer=f"w{width}")
-        TB.append_if_absent(spark, alerts, root, TB.ALERTS, writer=f"w{width}")
+        TB.append_if_absent(spark, mets, root, table_for(metrics), writer=f"w{width}", assume_unique=True)
+        TB.append_if_absent(spark, alerts, root, TB.ALERTS, writer=f"w{width}", assume_unique=True)
 
     return write
 
@@ -110,8 +110,8 @@ def drain(spark: SparkSession, messages_batch: DataFrame, root: str, opts: Optio
     for width, metrics in _width_groups(opts).items():
         parts = W.window_partials(readings, width, metrics)
         mets, alerts = results_from_partials(parts, metrics, opts)
-        TB.append_if_absent(spark, mets, root, table_for(metrics), writer=f"w{width}")
-        TB.append_if_absent(spark, alerts, root, TB.ALERTS, writer=f"w{width}")
+        TB.append_if_absent(spark, mets, root, table_for(metrics), writer=f"w{width}", assume_unique=True)
+        TB.append_if_absent(spark, alerts, root, TB.ALERTS, writer=f"w{width}", assume_unique=True)
 
 
 def late_rows(query: StreamingQuery) -> int:
