@@ -109,6 +109,10 @@ class Options:
     # "event": window on the payload timestamp; "processing": stamp arrival time.
     time_mode: str = "event"
     watermark_delay: str = "1 minute"
+    # Shuffle/state partitions of a streaming query. Streaming stateful
+    # operators do not use AQE, and the number is fixed in the checkpoint at
+    # the first run; None keeps the session's spark.sql.shuffle.partitions.
+    state_partitions: int | None = None
     topics: tuple = (TOPIC_WEARABLES, TOPIC_RESTAURANTS, TOPIC_GPS)
     kafka_bootstrap_servers: str = "localhost:9092"
     health_topic: str = TOPIC_WEARABLES

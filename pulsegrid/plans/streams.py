@@ -28,6 +28,11 @@ _RUNS: dict[tuple, str] = {}
 REPLAY_FILES = 4
 
 
+def _opts(spark: SparkSession):
+    # state partitions sized to the cluster's cores, not the default 200
+    return TABLE_OPTS.with_(watermark_delay="1 hour", state_partitions=max(2, spark.sparkContext.defaultParallelism))
+
+
 def run_stream_twin(spark: SparkSession, sf_dir: str) -> str:
     """Replay, stream, drain; return the output root (once per session)."""
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
@@ -37,7 +42,7 @@ def run_stream_twin(spark: SparkSession, sf_dir: str) -> str:
     base = checkpoint_dir(spark, f"stream-twin-{uuid.uuid4().hex[:12]}")
     src, root = os.path.join(base, "messages"), os.path.join(base, "tables")
     write_replay_files(X.health_messages(spark, sf_dir), src, "timestamp", REPLAY_FILES)
-    opts = TABLE_OPTS.with_(watermark_delay="1 hour")
+    opts = _opts(spark)
     stream = file_stream(spark, src, S.MESSAGE, max_files_per_trigger=1)
     for q in HS.start(spark, stream, root, opts, name=f"twin-{uuid.uuid4().hex[:8]}", trigger={"availableNow": True}):
         q.awaitTermination()
@@ -58,7 +63,7 @@ def run_anchored_twin(spark: SparkSession, sf_dir: str) -> str:
     base = checkpoint_dir(spark, f"anchored-twin-{uuid.uuid4().hex[:12]}")
     src, root = os.path.join(base, "messages"), os.path.join(base, "tables")
     write_replay_files(X.health_messages(spark, sf_dir), src, "timestamp", REPLAY_FILES)
-    opts = TABLE_OPTS.with_(watermark_delay="1 hour")
+    opts = _opts(spark)
     q = J.anchored_job(spark, root, opts, source=src, trigger={"availableNow": True})
     q.awaitTermination()
     if q.exception() is not None:

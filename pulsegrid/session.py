@@ -83,3 +83,32 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+class conf_while(object):
+    """Set runtime SQL settings for the duration of a ``with`` block (e.g.
+    while a streaming query starts: the query snapshots the session
+    settings at ``start()``), then restore them."""
+
+    def __init__(self, spark: SparkSession, **settings):
+        self.spark = spark
+        self.settings = {k.replace("__", "."): v for k, v in settings.items() if v is not None}
+        self.saved = {}
+
+    def __enter__(self):
+        for k, v in self.settings.items():
+            self.saved[k] = self.spark.conf.get(k, None)
+            self.spark.conf.set(k, str(v))
+        return self
+
+    def __exit__(self, *exc):
+        for k, v in self.saved.items():
+            if v is None:
+                self.spark.conf.unset(k)
+            else:
+                self.spark.conf.set(k, v)
+        return False
+
+
+def stream_conf(spark: SparkSession, state_partitions: int | None) -> conf_while:
+    return conf_while(spark, spark__sql__shuffle__partitions=state_partitions)

@@ -17,7 +17,7 @@ from ..operators import alerts as A
 from ..operators import windows as W
 from ..operators.parse import parse_health
 from ..options import DEFAULT, Options
-from ..session import checkpoint_dir, pin
+from ..session import checkpoint_dir, pin, stream_conf
 from ..sinks import tables as TB
 
 
@@ -90,7 +90,8 @@ def start(
         ck = checkpoint_dir(spark, f"{name}-{width}min")
         w = parts.writeStream.outputMode("append").option("checkpointLocation", ck).foreachBatch(sink_batch(spark, root, metrics, width, opts))
         w = w.trigger(**(trigger or {"processingTime": f"{opts.flush_interval_seconds} seconds"}))
-        queries.append(w.queryName(f"{name}_{width}min").start())
+        with stream_conf(spark, opts.state_partitions):
+            queries.append(w.queryName(f"{name}_{width}min").start())
     return queries
 
 

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import ingest as I
 from ..options import DEFAULT, Options
-from ..session import checkpoint_dir, pin
+from ..session import checkpoint_dir, pin, stream_conf
 
 
 def raw_stream(kafka_rows: DataFrame) -> DataFrame:
@@ -44,6 +44,11 @@ def start(
 ) -> StreamingQuery:
     pin(spark)
     rows = observed(raw_stream(kafka_rows))
+    with stream_conf(spark, opts.state_partitions):
+        return _start(spark, rows, root, opts, name, trigger)
+
+
+def _start(spark, rows, root, opts, name, trigger):
     return (
         rows.writeStream.format("parquet")
         .option("path", root)

@@ -8,6 +8,8 @@ streaming jobs over a shared output folder.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,7 +20,7 @@ from ..operators import anchored as AN
 from ..sinks import tables as TB
 from ..operators.parse import parse_health
 from ..options import DEFAULT, Options
-from ..session import checkpoint_dir, pin
+from ..session import checkpoint_dir, pin, stream_conf
 from ..sources.streams import file_stream, kafka_records_stream, kafka_value_stream
 from . import health_stream, ingest_stream
 from .anchored_state import anchored_stream
@@ -59,14 +61,15 @@ def anchored_job(
     pin(spark)
     o = opts.with_(validity="metric", bp_threshold_mode="standalone")
     readings = parse_health(_messages(spark, o, source), o).withWatermark("ts", o.watermark_delay)
-    return (
+    w = (
         anchored_stream(readings, o)
         .writeStream.foreachBatch(anchored_sink(spark, root, o))
-        .option("checkpointLocation", checkpoint_dir(spark, "anchored"))
+        .option("checkpointLocation", checkpoint_dir(spark, f"anchored-{uuid.uuid4().hex[:8]}" if source else "anchored"))
         .outputMode("append")
         .trigger(**(trigger or {"processingTime": f"{o.flush_interval_seconds} seconds"}))
-        .start()
     )
+    with stream_conf(spark, o.state_partitions):
+        return w.start()
 
 
 def drain_anchored(spark: SparkSession, messages_batch: DataFrame, root: str, opts: Options = DEFAULT) -> None:
