@@ -34,16 +34,12 @@ _INT_MAX = 2147483647
 
 def _extract(df: DataFrame, value_col: str, ts_col: str | None, opts: Options) -> DataFrame:
     """Add the private parse columns (``_j``, ``_p``, ``_bad``, per-field ``_v_*``)."""
-    j = J.parse(F.col(value_col))
-    df = df.withColumn("_j", j)
+    df = df.withColumn("_j", J.parse(F.col(value_col)))
     # Envelope unwrap: a missing raw_data means the root is the payload; an
     # explicit null (VOID, not SQL NULL) or a non-object raw_data is malformed.
     payload = F.coalesce(J.get(F.col("_j"), "$.raw_data"), F.col("_j"))
     df = df.withColumn("_p", payload)
-    cols = {}
-    for name, path in FIELDS:
-        cols[f"_v_{name}"] = J.get(F.col("_p"), path)
-    df = df.withColumns(cols)
+    df = df.withColumns({f"_v_{name}": J.get(F.col("_p"), path) for name, path in FIELDS})
     bad = F.col("_j").isNull() | ~J.is_object(F.col("_j")) | ~J.is_object(F.col("_p"))
     df = df.withColumn("_bad", F.coalesce(bad, F.lit(True)))
     # Event time: payload timestamp, else envelope ingested_at, else the record
@@ -51,12 +47,13 @@ def _extract(df: DataFrame, value_col: str, ts_col: str | None, opts: Options) -
     if opts.time_mode == "processing":
         ts = F.current_timestamp()
     else:
-        ts = F.coalesce(
+        candidates = [
             J.iso_to_ts(J.get(F.col("_p"), "$.timestamp", "string")),
             J.iso_to_ts(J.get(F.col("_j"), "$.ingested_at", "string")),
-            *( [F.col(ts_col).cast("timestamp")] if ts_col else [] ),
-            F.current_timestamp(),
-        )
+        ]
+        if ts_col:
+            candidates.append(F.col(ts_col).cast("timestamp"))
+        ts = F.coalesce(*candidates, F.current_timestamp())
     u = J.get(F.col("_p"), "$.user_id")
     user = F.when(u.isNull(), F.lit("unknown")).when(F.is_variant_null(u), F.lit(None)).otherwise(J.as_string(u))
     return df.withColumns({"_ts": ts, "_user": user})
