@@ -62,3 +62,25 @@ def test_anchored_fold_matches_brute_force(spark):
         for r in anchored_partials(df, opts, ("heart_rate",)).collect()
     }
     assert got == _brute(rows, 7)
+
+
+def test_with_next_equals_lead_over_whole_key(spark):
+    from pyspark.sql import Window
+
+    from pulsegrid.operators.sequence import with_next
+
+    rnd = random.Random(5)
+    t0 = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    rows, i = [], 0
+    for k in ("a", "b", "hot"):
+        n = 400 if k == "hot" else rnd.randint(1, 40)
+        t = t0
+        for _ in range(n):
+            t += timedelta(minutes=rnd.choice([0, 1, 7, 59, 61, 180, 1500]))  # ties, gaps, empty hours
+            rows.append((k, t, i, rnd.random()))
+            i += 1
+    df = spark.createDataFrame(rows, "k string, ts timestamp, id long, v double")
+    got = {r.id: (r.next_id, r.next_v) for r in with_next(df, "k", "ts", "id", ("v",)).collect()}
+    w = Window.partitionBy("k").orderBy("ts", "id")
+    want = {r.id: (r.n_id, r.n_v) for r in df.select("id", F.lead("id").over(w).alias("n_id"), F.lead("v").over(w).alias("n_v")).collect()}
+    assert got == want
