@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from .oracle_health import SQL as _H
+from .oracle_ingestion import SQL as _I
 
 SQL = {
     "stream_metrics_1min": _H["metrics_1min"],
     "stream_metrics_10min": _H["metrics_10min"],
     "stream_alerts": _H["all_alerts"],
     "stream_anchored_alerts": _H["anchored_alerts"],
+    "stream_topic_routing": _I["topic_routing"],
 }

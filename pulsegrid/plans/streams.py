@@ -14,12 +14,15 @@ import os
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..session import checkpoint_dir
 from ..sinks import tables as TB
 from ..sources.streams import file_stream, write_replay_files
 from ..streaming import health_stream as HS
+from ..streaming import ingest_stream as IS
 from ..streaming import jobs as J
 from . import fixtures as X
 from .common import TABLE_OPTS, ntz, prepare
@@ -78,6 +81,42 @@ def stream_anchored_alerts(spark, sf_dir):
     return ntz(TB.read_table(spark, root, TB.ALERTS).drop(TB.WRITER_COL, TB.PARTITION_COL))
 
 
+KAFKA_RECORD = T.StructType(
+    [
+        T.StructField("topic", T.StringType()),
+        T.StructField("partition", T.IntegerType()),
+        T.StructField("offset", T.LongType()),
+        T.StructField("value", T.StringType()),
+        T.StructField("timestamp", T.TimestampType()),
+    ]
+)
+
+
+def run_ingest_twin(spark: SparkSession, sf_dir: str) -> str:
+    """Kafka-shaped records replayed through the ingestion stream into the
+    per-topic raw tables (exactly-once file sink); returns the table root."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), "ingest")
+    if key in _RUNS:
+        return _RUNS[key]
+    prepare(spark)
+    base = checkpoint_dir(spark, f"ingest-twin-{uuid.uuid4().hex[:12]}")
+    src, root = os.path.join(base, "records"), os.path.join(base, "raw")
+    write_replay_files(X.kafka_records(spark, sf_dir), src, "timestamp", REPLAY_FILES)
+    stream = file_stream(spark, src, KAFKA_RECORD, max_files_per_trigger=1)
+    q = IS.start(spark, stream, root, _opts(spark), name=f"ingest-{uuid.uuid4().hex[:8]}", trigger={"availableNow": True}, replay=True)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    _RUNS[key] = root
+    return root
+
+
+def stream_topic_routing(spark, sf_dir):
+    """Rows per raw table and ingestion date, as written by the stream."""
+    root = run_ingest_twin(spark, sf_dir)
+    return spark.read.parquet(root).groupBy("table", "ingest_date").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def stream_metrics_1min(spark, sf_dir):
     root = run_stream_twin(spark, sf_dir)
     return ntz(TB.read_table(spark, root, TB.METRICS_1MIN).drop(TB.WRITER_COL, TB.PARTITION_COL))
@@ -98,4 +137,5 @@ QUERIES = {
     "stream_metrics_10min": stream_metrics_10min,
     "stream_alerts": stream_alerts,
     "stream_anchored_alerts": stream_anchored_alerts,
+    "stream_topic_routing": stream_topic_routing,
 }

@@ -19,9 +19,12 @@ from ..options import DEFAULT, Options
 from ..session import checkpoint_dir, pin, stream_conf
 
 
-def raw_stream(kafka_rows: DataFrame) -> DataFrame:
-    """Kafka-shaped stream → raw-table rows (``table`` column routes them)."""
-    return I.raw_rows(I.enrich(kafka_rows))
+def raw_stream(kafka_rows: DataFrame, replay: bool = False) -> DataFrame:
+    """Kafka-shaped stream → raw-table rows (``table`` column routes them).
+
+    Live ingestion stamps the processing time; a replay of stored records
+    keeps each record's original time (its ``timestamp`` column)."""
+    return I.raw_rows(I.enrich(kafka_rows, now=F.col("timestamp") if replay else None))
 
 
 def observed(df: DataFrame, name: str = "ingest_counters") -> DataFrame:
@@ -41,9 +44,10 @@ def start(
     opts: Options = DEFAULT,
     name: str = "ingest",
     trigger: dict | None = None,
+    replay: bool = False,
 ) -> StreamingQuery:
     pin(spark)
-    rows = observed(raw_stream(kafka_rows))
+    rows = observed(raw_stream(kafka_rows, replay))
     with stream_conf(spark, opts.state_partitions):
         return _start(spark, rows, root, opts, name, trigger)
 
