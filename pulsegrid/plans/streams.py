@@ -31,14 +31,25 @@ _RUNS: dict[tuple, str] = {}
 REPLAY_FILES = 4
 
 
+def _app(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # Spark Connect
+        return spark.conf.get("spark.app.id", str(id(spark)))
+
+
 def _opts(spark: SparkSession):
     # state partitions sized to the cluster's cores, not the default 200
-    return TABLE_OPTS.with_(watermark_delay="1 hour", state_partitions=max(2, spark.sparkContext.defaultParallelism))
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect
+        cores = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+    return TABLE_OPTS.with_(watermark_delay="1 hour", state_partitions=max(2, min(cores, 64)))
 
 
 def run_stream_twin(spark: SparkSession, sf_dir: str) -> str:
     """Replay, stream, drain; return the output root (once per session)."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (_app(spark), os.path.abspath(sf_dir))
     if key in _RUNS:
         return _RUNS[key]
     prepare(spark)
@@ -59,7 +70,7 @@ def run_stream_twin(spark: SparkSession, sf_dir: str) -> str:
 def run_anchored_twin(spark: SparkSession, sf_dir: str) -> str:
     """The standalone job (stateful anchored windows) over the same replay,
     drained at shutdown; returns the output root (once per session)."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), "anchored")
+    key = (_app(spark), os.path.abspath(sf_dir), "anchored")
     if key in _RUNS:
         return _RUNS[key]
     prepare(spark)
@@ -95,7 +106,7 @@ KAFKA_RECORD = T.StructType(
 def run_ingest_twin(spark: SparkSession, sf_dir: str) -> str:
     """Kafka-shaped records replayed through the ingestion stream into the
     per-topic raw tables (exactly-once file sink); returns the table root."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), "ingest")
+    key = (_app(spark), os.path.abspath(sf_dir), "ingest")
     if key in _RUNS:
         return _RUNS[key]
     prepare(spark)

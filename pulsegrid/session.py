@@ -55,14 +55,22 @@ def checkpoint_dir(spark: SparkSession, sub: str = "") -> str:
     (an ad-hoc local session) gets a folder under the system temp folder,
     registered on the SparkContext.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext; the setting must be given
+        sc = None
+    if sc is not None:
+        base = base or sc.getCheckpointDir()
+        if not base:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+            sc.setCheckpointDir(tempfile.mkdtemp(prefix="pulsegrid-ckpt-"))
+            base = sc.getCheckpointDir()
+        elif not sc.getCheckpointDir():
+            sc.setCheckpointDir(base)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pulsegrid-ckpt-"))
-        base = spark.sparkContext.getCheckpointDir()
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(base)
+        raise RuntimeError("spark.checkpoint.dir is not set")
     return os.path.join(base, sub) if sub else base
 
 

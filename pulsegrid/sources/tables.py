@@ -40,7 +40,11 @@ def spread(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     if spark.conf.get("pulsegrid.scan.spread", "auto") == "off":
         return df
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 <= cores:
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access (Spark Connect): leave the scan as is
+        return df
+    if parts * 2 <= cores:
         return df.repartition(cores)
     return df
