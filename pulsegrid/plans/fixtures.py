@@ -8,6 +8,8 @@ independently.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,11 +90,13 @@ def _payload(hr=None, bp=None, sugar=None, user=True, with_hr=True) -> Column:
     return _obj(*pairs)
 
 
+@functools.lru_cache(maxsize=1)
 def health_message_text() -> Column:
     """Wearable JSON message text of one ``events`` row (see ``health_messages``).
 
     Built by flat string concatenation: cheap per row and small enough to
-    stay inside one whole-stage-codegen method."""
+    stay inside one whole-stage-codegen method. The expression refers to
+    columns by name only, so it is built once per process and reused."""
     half = F.floor(F.col("value") / 2)
     hr = F.lit(70) + half
     sys_ = F.lit(115) + half
