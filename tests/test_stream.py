@@ -26,10 +26,15 @@ def _rows(df, cols):
     return sorted(tuple(r[c] for c in cols) for r in df.select(*cols).collect())
 
 
-def test_stream_twin_and_idempotent_replay(spark, scratch):
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("files", [4, 7])
+def test_stream_twin_and_idempotent_replay(spark, scratch, files):
+    """Stream + drain equals batch however the replay is cut into batches."""
     msgs = X.health_messages(spark, SF)
     src = os.path.join(scratch, "msgs")
-    write_replay_files(msgs, src, "timestamp", 4)
+    write_replay_files(msgs, src, "timestamp", files)
     root = os.path.join(scratch, "tables")
     stream = file_stream(spark, src, S.MESSAGE, max_files_per_trigger=1)
     qs = HS.start(spark, stream, root, OPTS, name=f"twin-{uuid.uuid4().hex[:8]}", trigger={"availableNow": True})
