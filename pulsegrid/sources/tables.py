@@ -31,6 +31,9 @@ def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> list[str]:
     return done
 
 
+SPREAD_MAX = 256
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rebalance a scan that yields fewer partitions than the cluster has
     cores (e.g. a file written as one row group), so CPU-heavy per-row work
@@ -46,5 +49,7 @@ def spread(df: DataFrame) -> DataFrame:
     except Exception:  # sessions without RDD access (Spark Connect): leave the scan as is
         return df
     if parts * 2 <= cores:
-        return df.repartition(cores)
+        # bounded fan-out: on a very large cluster a small table should not
+        # become thousands of near-empty tasks
+        return df.repartition(min(cores, SPREAD_MAX))
     return df
