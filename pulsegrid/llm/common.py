@@ -7,6 +7,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +33,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def open_folder(folder: str):
+    """File system and path of a URL or a plain path (for files that tasks
+    write and read themselves in the shared folder)."""
+    if folder.startswith("file:") and "://" not in folder:
+        folder = "file://" + folder[5:]
+    return pa.fs.FileSystem.from_uri(folder) if "://" in folder else (pa.fs.LocalFileSystem(), folder)
+
+
 def crc_mod(doc_id: str | Column, n: int) -> Column:
     """crc32(doc_id as text) mod n; null for a null doc_id."""
     col = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, mixing, pigeonring, tokenbin, toxicity
+from . import decontam, mixing, mtree, pigeonring, tokenbin, toxicity, zipwarc
 from .common import table
 
 
@@ -24,6 +24,15 @@ def op3_token_files(spark, sf_dir):
     return tokenbin.token_table(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op6_warc(spark, sf_dir):
+    return zipwarc.archive(table(spark, sf_dir, "pages"))
+
+
+def op8_topk(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    return mtree.top_k(rows, rows.where("vec_id % 100 = 0"), k=10)
+
+
 def op9_simhash(spark, sf_dir):
     return pigeonring.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -36,10 +45,12 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_decontamination": op2_decontamination,
     "op3_token_files": op3_token_files,
+    "op6_warc": op6_warc,
+    "op8_topk": op8_topk,
     "op9_simhash": op9_simhash,
     "op10_toxicity": op10_toxicity,
 }
 
 #: DuckDB SQL; the other queries are tested against brute force, exact round
 #: trips or held-out rows (tests/llm).
-ORACLE = {"op1_mixing": mixing.ORACLE}
+ORACLE = {"op1_mixing": mixing.ORACLE, "op6_warc": zipwarc.ORACLE, "op8_topk": mtree.ORACLE}

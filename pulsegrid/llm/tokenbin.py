@@ -33,12 +33,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shared_path, stage, text_slices
+from .common import open_folder, shared_path, stage, text_slices
 
 MAGIC = b"PFOR1\0\0\0"
 BLOCK = 4096
@@ -272,7 +271,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, out: str | None = None) -
     texts = texts.repartitionByRange(F.col("doc_id"), F.col("tie")).sortWithinPartitions("doc_id", "tie").drop("tie")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, root = _open(folder)
+        files, root = open_folder(folder)
         files.create_dir(root, recursive=True)
         shard, writer, encoder = TaskContext.get().partitionId(), None, _encoder(tokenizer_path)
         path = f"{root.rstrip('/')}/shard-{shard:06d}-{uuid.uuid4().hex}.pfor"
@@ -291,13 +290,6 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, out: str | None = None) -
     return stage(manifest, "manifest")
 
 
-def _open(folder: str):
-    """File system and path of a URL or a plain path."""
-    if "://" in folder or folder.startswith("file:"):
-        return pa.fs.FileSystem.from_uri(folder if "://" in folder else "file://" + folder[5:])
-    return pa.fs.LocalFileSystem(), folder
-
-
 def read_tokens(manifest: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, from the files."""
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
@@ -308,7 +300,7 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                files, _ = _open(row["folder"])
+                files, _ = open_folder(row["folder"])
                 with files.open_input_file(row["path"]) as source:
                     tokens = TokenFile(source)
                     lengths = tokens.lengths.astype(np.int64)
