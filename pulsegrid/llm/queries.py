@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, mixing, mtree, pigeonring, tokenbin, toxicity, zipwarc
+from . import decontam, gru_lm, langid, mixing, mtree, pigeonring, tokenbin, toxicity, zipwarc
 from .common import table
 
 
@@ -24,6 +24,14 @@ def op3_token_files(spark, sf_dir):
     return tokenbin.token_table(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op4_langid(spark, sf_dir):
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def op5_lm_scoring(spark, sf_dir):
+    return gru_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_warc(spark, sf_dir):
     return zipwarc.archive(table(spark, sf_dir, "pages"))
 
@@ -45,6 +53,8 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_decontamination": op2_decontamination,
     "op3_token_files": op3_token_files,
+    "op4_langid": op4_langid,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_warc": op6_warc,
     "op8_topk": op8_topk,
     "op9_simhash": op9_simhash,
