@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import stage, text_slices
 
-ERROR_RATE = 0.06
+ERROR_RATE = 0.08
 MIN_CHARS = 24
 BLOCK_CHARS = 4_000_000
 _OTHER = re.compile(r"[\W_]+")

@@ -98,7 +98,7 @@ def close_pairs(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 def link(rows: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(fp, root) for each distinct fingerprint that has a link."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return connected_components(close_pairs(rows.select("fp").repartition(parts, "fp").distinct(), max_bits))
+    return connected_components(close_pairs(rows.select("fp").distinct().repartition(parts, "fp"), max_bits))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, gru_lm, langid, mixing, mtree, pigeonring, tokenbin, toxicity, zipwarc
+from . import compact_windows, decontam, gru_lm, langid, mixing, mtree, pigeonring, tokenbin, toxicity, zipwarc
 from .common import table
 
 
@@ -36,6 +36,10 @@ def op6_warc(spark, sf_dir):
     return zipwarc.archive(table(spark, sf_dir, "pages"))
 
 
+def op7_passages(spark, sf_dir):
+    return compact_windows.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op8_topk(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings")
     return mtree.top_k(rows, rows.where("vec_id % 100 = 0"), k=10)
@@ -56,6 +60,7 @@ QUERIES = {
     "op4_langid": op4_langid,
     "op5_lm_scoring": op5_lm_scoring,
     "op6_warc": op6_warc,
+    "op7_passages": op7_passages,
     "op8_topk": op8_topk,
     "op9_simhash": op9_simhash,
     "op10_toxicity": op10_toxicity,
