@@ -19,6 +19,7 @@ broken by the earlier end position.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -34,7 +35,7 @@ ERROR_RATE = 0.08
 MIN_CHARS = 24
 BLOCK_CHARS = 4_000_000
 _OTHER = re.compile(r"[\W_]+")
-_LOADED: dict[int, "Matcher"] = {}
+_LOADED: dict[tuple[str, float], "Matcher"] = {}
 
 
 #: Latin-1 byte -> itself if a letter or digit, else a blank (a faster way for such texts)
@@ -149,11 +150,16 @@ class Matcher:
 
 
 def _matcher(shared, error_rate: float) -> Matcher:
-    key = (shared.id if hasattr(shared, "id") else id(shared), error_rate)
-    if key not in _LOADED:
+    """The matcher of a broadcast (name, items), made once per worker."""
+    name, items = shared.value
+    if (name, error_rate) not in _LOADED:
         _LOADED.clear()
-        _LOADED[key] = Matcher(shared.value, error_rate)
-    return _LOADED[key]
+        _LOADED[name, error_rate] = Matcher(items, error_rate)
+    return _LOADED[name, error_rate]
+
+
+def _share(items: list[tuple[int, str]], spark):
+    return spark.sparkContext.broadcast((uuid.uuid4().hex, items))
 
 
 def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS):
@@ -198,14 +204,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE,
         return run
 
     for items in item_blocks(benchmark, block_chars):
-        hits = stage(texts.mapInArrow(search(spark.sparkContext.broadcast(items)), schema), "leaks")
+        hits = stage(texts.mapInArrow(search(_share(items, spark)), schema), "leaks")
         found = hits if found is None else found.unionByName(hits)
     return found if found is not None else spark.createDataFrame([], schema)
 
 
 def is_leak(text: str | Column, items: list[tuple[int, str]], spark, error_rate: float = ERROR_RATE) -> Column:
     """A boolean column: the text holds one of the items of a block."""
-    shared = spark.sparkContext.broadcast(items)
+    shared = _share(items, spark)
 
     @F.pandas_udf("boolean")
     def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -76,12 +76,13 @@ class GRU:
         def normal(*shape):
             return rng.normal(0, shape[0] ** -0.5, shape).astype(np.float32)
 
+        shares = np.log((class_counts + 0.5) / (class_counts + 0.5).sum())
         word_bias = np.log(group_counts + 0.5).astype(np.float32) if self.words else np.zeros(0, np.float32)
         self.p = {
             "gx": (0.3 * rng.normal(0, 1, (n, 3 * HIDDEN))).astype(np.float32),  # embedding and input weights in one
             "u": normal(HIDDEN, 3 * HIDDEN),
             "c": 0.1 * normal(HIDDEN, classes),
-            "c_bias": np.log((class_counts + 0.5) / (class_counts + 0.5).sum()).astype(np.float32),
+            "c_bias": np.where(np.arange(classes) < self.first + -(-self.words // GROUP), shares, -30).astype(np.float32),  # no empty groups
             "w": 0.1 * normal(HIDDEN, self.words) if self.words else np.zeros((HIDDEN, 0), np.float32),
             "w_bias": word_bias,
         }

@@ -133,7 +133,7 @@ class Package:
         self.source, size = source, source.size()
         tail_at = max(0, size - 65535 - 22)
         tail = source.read_at(size - tail_at, tail_at)
-        at = tail.rfind(self.END)
+        at = tail.rfind(self.END, 0, max(len(tail) - 18, 0))
         while at >= 0 and at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != len(tail):
             at = tail.rfind(self.END, 0, at)  # the signature can occur in a comment
         if at < 0:
