@@ -30,6 +30,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +44,7 @@ MAGIC = b"PFOR1\0\0\0"
 BLOCK = 4096
 PERCENTILE = 90
 END_ID = 0
-CACHE_PIECES = 500_000
+CACHE_PIECES = 1_200_000
 CACHE_CHARS = 40
 SLICE_BYTES = 4 << 20
 READ_BLOCKS = 128
@@ -206,21 +207,28 @@ class PieceEncoder:
             sizes.append(np.diff(np.append(begin, len(ids))))
         return np.concatenate(flat), np.concatenate(sizes)
 
+    def _look_up(self, parts: list[list]) -> tuple[list, np.ndarray, set[str]]:
+        """All pieces, their entries (-1: none yet), and the new ones."""
+        flat = list(chain.from_iterable(parts))
+        at = np.fromiter(map(self.number.get, flat, repeat(-1)), np.int64, len(flat))
+        return flat, at, {flat[i] for i in np.flatnonzero(at < 0).tolist()}
+
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts with their end ids, and the number for each."""
         parts = []
         for t in texts:  # a first piece is marked by a blank, which no other piece holds
             own = (t or "").split(" ")
             own[0] = " " + own[0]
+            own.append(0)
             parts.append(own)
-        new = set().union(*parts).difference(self.number)
+        flat, at, new = self._look_up(parts)
         bad = {p for p in new if not p or p[-1].isspace() and p != " " or p[0].isspace() and p[0] != " "}
         if bad:  # white space beside a cut: the whole text is one piece
-            parts = [own if bad.isdisjoint(own) else [" " + (t or "")] for t, own in zip(texts, parts)]
-            new = set().union(*parts).difference(self.number)
+            parts = [own if bad.isdisjoint(own) else [" " + (t or ""), 0] for t, own in zip(texts, parts)]
+            flat, at, new = self._look_up(parts)
         if len(self.number) + len(new) > self.limit:
             self.clear()
-            new = set().union(*parts)
+            flat, at, new = self._look_up(parts)
         keys = sorted(new)
         if keys:
             ids, sizes = self._ids(keys)
@@ -228,10 +236,9 @@ class PieceEncoder:
             self.number |= zip(keys, range(len(self.start), len(self.start) + len(keys)))
             self.flat = np.concatenate([self.flat, ids])
             self.start, self.size = np.concatenate([self.start, begin]), np.concatenate([self.size, sizes])
-        for own in parts:
-            own.append(0)
+            missing = np.flatnonzero(at < 0)
+            at[missing] = [self.number[flat[i]] for i in missing.tolist()]
         counts = np.array([len(own) for own in parts])
-        at = np.fromiter((n for own in parts for n in map(self.number.__getitem__, own)), np.int64, int(counts.sum()))
         sizes = self.size[at]
         shift = self.start[at] - np.concatenate(([0], np.cumsum(sizes)[:-1]))
         ids = self.flat[np.repeat(shift, sizes) + np.arange(int(sizes.sum()))]
