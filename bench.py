@@ -52,6 +52,7 @@ def main():
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
     spark = local_session(cpus, shuffle_partitions=int(cpus) * 2 if cpus.isdigit() else 16, app="pulsegrid-bench")
+    spark.conf.set("pulsegrid.scan.partitions", cpus if cpus.isdigit() else "8")  # the tables are single row groups
     # warm-up: JIT and Python workers
     run(spark, "hr_window_metrics", sf_dir)
     times = {}

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from .. import options as O
 from ..options import DEFAULT, Options
-from .windows import _bp_alert, _hr_alert, _r2, _sugar_alert, mean, scaled
+from .windows import _bp_alert, _hr_alert, _r2, _sugar_alert, far_sum, mean, near_sum
 
 MINUTE_US = 60_000_000
 
@@ -37,8 +37,10 @@ PARTIAL_SCHEMA = T.StructType(
         T.StructField("window_start_us", T.LongType()),
         T.StructField("window_end_us", T.LongType()),
         T.StructField("n", T.LongType()),
-        T.StructField("s1", T.LongType()),
-        T.StructField("s2", T.LongType()),
+        T.StructField("s1", T.DecimalType(38, 9)),
+        T.StructField("f1", T.DoubleType()),
+        T.StructField("s2", T.DecimalType(38, 9)),
+        T.StructField("f2", T.DoubleType()),
         T.StructField("mn", T.DoubleType()),
         T.StructField("mx", T.DoubleType()),
     ]
@@ -58,15 +60,23 @@ def unpivot(readings: DataFrame) -> DataFrame:
     return x.filter((F.col("v1") > 0) & F.col("user_id").isNotNull())
 
 
-def minute_partials(long_readings: DataFrame) -> DataFrame:
-    minute = F.unix_micros(F.date_trunc("minute", F.col("ts")))
-    return long_readings.groupBy("user_id", "metric", minute.alias("minute_us")).agg(
+def minute_aggregates() -> list:
+    """Count, sums (near and far, of both values), least and largest value."""
+    zero = F.lit(0).cast("decimal(38,9)")
+    return [
         F.count(F.lit(1)).alias("n"),
-        F.sum(scaled(F.col("v1"))).alias("s1"),
-        F.coalesce(F.sum(scaled(F.col("v2"))), F.lit(0).cast("long")).alias("s2"),
+        F.coalesce(near_sum(F.col("v1")), zero).alias("s1"),
+        F.coalesce(far_sum(F.col("v1")), F.lit(0.0)).alias("f1"),
+        F.coalesce(near_sum(F.col("v2")), zero).alias("s2"),
+        F.coalesce(far_sum(F.col("v2")), F.lit(0.0)).alias("f2"),
         F.min("v1").alias("mn"),
         F.max("v1").alias("mx"),
-    )
+    ]
+
+
+def minute_partials(long_readings: DataFrame) -> DataFrame:
+    minute = F.unix_micros(F.date_trunc("minute", F.col("ts")))
+    return long_readings.groupBy("user_id", "metric", minute.alias("minute_us")).agg(*minute_aggregates())
 
 
 def _fold(lengths_us: dict[str, int]):
@@ -77,9 +87,8 @@ def _fold(lengths_us: dict[str, int]):
     import pyarrow as pa
 
     def fold(tbl: "pa.Table") -> "pa.Table":
-        order = np.argsort(tbl.column("minute_us").to_numpy(), kind="stable")
-        col = lambda name, t: tbl.column(name).to_numpy()[order].astype(t)
-        m = col("minute_us", np.int64)
+        tbl = tbl.sort_by("minute_us")
+        m = tbl.column("minute_us").to_numpy()
         length = lengths_us[tbl.column("metric")[0].as_py()]
         # Window starts: jump from one start to the first minute >= start + L.
         starts = []
@@ -87,22 +96,21 @@ def _fold(lengths_us: dict[str, int]):
         while i < len(m):
             starts.append(i)
             i = int(np.searchsorted(m, m[i] + length, side="left"))
-        # exact integer sums per window (vectorised segment reductions)
         b = np.asarray(starts, dtype=np.int64)
-        k = len(b)
-        return pa.table(
-            {
-                "user_id": pa.array([tbl.column("user_id")[0].as_py()] * k, pa.string()),
-                "metric": pa.array([tbl.column("metric")[0].as_py()] * k, pa.string()),
-                "window_start_us": pa.array(m[b], pa.int64()),
-                "window_end_us": pa.array(m[b] + length, pa.int64()),
-                "n": pa.array(np.add.reduceat(col("n", np.int64), b), pa.int64()),
-                "s1": pa.array(np.add.reduceat(col("s1", np.int64), b), pa.int64()),
-                "s2": pa.array(np.add.reduceat(col("s2", np.int64), b), pa.int64()),
-                "mn": pa.array(np.minimum.reduceat(col("mn", np.float64), b), pa.float64()),
-                "mx": pa.array(np.maximum.reduceat(col("mx", np.float64), b), pa.float64()),
-            }
-        )
+        window = np.repeat(m[b], np.diff(np.append(b, len(m))))
+        sums = [("n", "sum"), ("s1", "sum"), ("f1", "sum"), ("s2", "sum"), ("f2", "sum"), ("mn", "min"), ("mx", "max")]
+        got = tbl.append_column("w", pa.array(window)).group_by("w", use_threads=False).aggregate(sums)
+        w = got.column("w").to_numpy()
+        k = len(w)
+        columns = [
+            pa.array([tbl.column("user_id")[0].as_py()] * k, pa.string()),
+            pa.array([tbl.column("metric")[0].as_py()] * k, pa.string()),
+            pa.array(w, pa.int64()),
+            pa.array(w + length, pa.int64()),
+        ] + [got.column(f"{name}_{how}") for name, how in sums]
+        out = pa.table(columns, names=["user_id", "metric", "window_start_us", "window_end_us"] + [name for name, _ in sums])
+        exact = pa.decimal128(38, 9)
+        return out.set_column(5, "s1", out["s1"].cast(exact)).set_column(7, "s2", out["s2"].cast(exact))
 
     return fold
 
@@ -135,7 +143,9 @@ def with_timestamps(out: DataFrame) -> DataFrame:
         F.timestamp_micros("window_end_us").alias("window_end"),
         "n",
         "s1",
+        "f1",
         "s2",
+        "f2",
         "mn",
         "mx",
     )
@@ -148,8 +158,8 @@ def anchored_windows(readings: DataFrame, opts: Options = DEFAULT, metrics: tupl
 
 def results(p: DataFrame, opts: Options = DEFAULT) -> dict[str, DataFrame]:
     """Anchored partials → per-metric window results (with alert structs)."""
-    avg = mean(F.col("s1"), F.col("n"))
-    avg2 = mean(F.col("s2"), F.col("n"))
+    avg = mean(F.col("s1"), F.col("f1"), F.col("n"))
+    avg2 = mean(F.col("s2"), F.col("f2"), F.col("n"))
     hr = p.filter(F.col("metric") == O.METRIC_HR).select(
         F.lit(O.RESULT_HR).alias("type"),
         "window_start",

@@ -21,16 +21,18 @@ def iso(ts: Column) -> Column:
 
 
 def render(df: DataFrame) -> DataFrame:
-    """Timestamps → ISO text; ``raw_data`` text → parsed JSON (VARIANT)."""
+    """Timestamps → ISO text; ``raw_data`` text → parsed JSON (VARIANT).
+    Names may repeat or hold dots: columns are taken by position."""
+    placed = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
     cols = []
-    for f in df.schema.fields:
+    for i, f in enumerate(df.schema.fields):
+        c = F.col(f"c{i}")
         if f.dataType.typeName() in ("timestamp", "timestamp_ntz"):
-            cols.append(iso(F.col(f.name).cast("timestamp")).alias(f.name))
+            c = iso(c.cast("timestamp"))
         elif f.name == "raw_data":
-            cols.append(F.try_parse_json(F.col(f.name)).alias(f.name))
-        else:
-            cols.append(F.col(f.name))
-    return df.select(*cols)
+            c = F.try_parse_json(c)
+        cols.append(c.alias(f.name))
+    return placed.select(*cols)
 
 
 def page(
@@ -46,8 +48,8 @@ def page(
     Planned as a top-k (``TakeOrderedAndProject``): each task keeps its best
     ``offset + limit`` rows, so nothing but the page reaches the driver.
     """
-    if limit > O.BROWSE_MAX_LIMIT or limit < 1:
-        raise BrowseError(f"limit must be within 1..{O.BROWSE_MAX_LIMIT}")
+    if limit > O.BROWSE_MAX_LIMIT or limit < 0:
+        raise BrowseError(f"limit must be within 0..{O.BROWSE_MAX_LIMIT}")
     if offset < 0:
         raise BrowseError("offset must be >= 0")
     df = table

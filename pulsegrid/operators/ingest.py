@@ -67,7 +67,7 @@ def topic_stats(envelopes: DataFrame) -> DataFrame:
 
 def kafka_value_json(df: DataFrame, device_type_col: str = "device_type", key_col: str = "device_id") -> DataFrame:
     """Rows → Kafka sink shape: ``key`` = device id, ``value`` = JSON of the
-    row, ``topic`` by device type with a ``virtual-{type}`` fallback."""
+    row (null fields kept), ``topic`` by device type with a ``virtual-{type}`` fallback."""
     topic = (
         F.when(F.col(device_type_col) == "wearable", F.lit(O.TOPIC_WEARABLES))
         .when(F.col(device_type_col) == "restaurant", F.lit(O.TOPIC_RESTAURANTS))
@@ -76,6 +76,6 @@ def kafka_value_json(df: DataFrame, device_type_col: str = "device_type", key_co
     )
     return df.select(
         F.col(key_col).cast("string").alias("key"),
-        F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value"),
+        F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"}).alias("value"),
         topic.alias("topic"),
     )

@@ -5,23 +5,35 @@ eagerly. Two modes:
 
 * ``compat`` — the original rule: the trimmed text must start with SELECT
   and must not contain any forbidden keyword as a *substring* (so ``WITH``
-  queries and a column named ``created_at`` are refused); a ``LIMIT`` is
-  appended when the text has none anywhere (a LIMIT inside a subquery
+  queries and a column named ``created_at`` are refused); the default limit
+  holds when the text names no ``LIMIT`` anywhere (a LIMIT inside a subquery
   suppresses the outer one).
 * ``strict`` — keyword matching on whole tokens; ``WITH`` is allowed.
 
-The result is a lazy DataFrame; only ``run_query`` materialises rows, and
-those are bounded by the limit.
+Functions that call into the JVM and paths in place of tables are refused in
+both. The limit is put on the planned frame, so no text (a comment, say) can
+swallow it. The result is a lazy DataFrame; ``run_query`` alone gathers rows,
+at most ``MAX_ROWS`` of them whatever LIMIT the text names.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import options as O
+from ..session import conf_while
+from .browse import render
+
+
+# rows that run_query hands to the driver at most
+MAX_ROWS = 10_000
+# functions that run code outside the query
+REFUSED_FUNCTIONS = re.compile(r"\b(reflect|java_method|try_reflect)\b\W*\(", re.IGNORECASE)
 
 
 class QueryRefused(ValueError):
@@ -35,6 +47,8 @@ def check(sql: str, mode: str = "compat") -> str:
     """Return the trimmed text if allowed, else raise ``QueryRefused``."""
     q = sql.strip()
     up = q.upper()
+    if REFUSED_FUNCTIONS.search(_strip_comments(_strip_literals(q))):
+        raise QueryRefused("Query calls a function that is not allowed")
     if mode == "strict":
         tokens = {t.upper() for t in _TOKEN.findall(_strip_literals(q))}
         first = next(iter(_TOKEN.findall(up)), "")
@@ -56,32 +70,46 @@ def _strip_literals(q: str) -> str:
     return re.sub(r"'(?:[^']|'')*'", "''", q)
 
 
-def with_limit(q: str, limit: int = O.QUERY_DEFAULT_LIMIT, mode: str = "compat") -> str:
-    """Append ``LIMIT n`` when the text has none."""
-    has = "LIMIT" in q.upper() if mode == "compat" else "LIMIT" in {t.upper() for t in _TOKEN.findall(_strip_literals(q))}
-    return q if has else f"{q} LIMIT {int(limit)}"
+def _strip_comments(q: str) -> str:
+    return re.sub(r"--[^\n]*|/\*.*?\*/", " ", q, flags=re.DOTALL)
+
+
+def names_limit(q: str, mode: str = "compat") -> bool:
+    """Whether the text (comments and literals aside) names a LIMIT."""
+    bare = _strip_comments(_strip_literals(q))
+    return "LIMIT" in (bare.upper() if mode == "compat" else {t.upper() for t in _TOKEN.findall(bare)})
 
 
 def guarded_select(spark: SparkSession, sql: str, limit: int = O.QUERY_DEFAULT_LIMIT, mode: str = "compat") -> DataFrame:
     """Guard, add the default limit, and plan the query (lazily)."""
-    q = with_limit(check(sql, mode), limit, mode)
-    return spark.sql(q)
+    q = check(sql, mode)
+    with conf_while(spark, spark__sql__runSQLOnFiles="false"):
+        df = spark.sql(q)
+    return df if names_limit(q, mode) else df.limit(int(limit))
 
 
 def run_query(spark: SparkSession, sql: str, limit: int = O.QUERY_DEFAULT_LIMIT, mode: str = "compat") -> dict:
     """Execute and return ``columns, rows, row_count, execution_time_ms``.
 
-    Rows are bounded by the (possibly injected) LIMIT; the user's own LIMIT
-    is honoured as written.
+    Rows are bounded by the default limit or the text's own, and by
+    ``MAX_ROWS``. ``rows`` are dicts; of columns with one name the last is
+    kept there, ``values`` has all of them in order.
     """
     t0 = time.time()
     df = guarded_select(spark, sql, limit, mode)
-    from .browse import render
-
-    rows = [r.asDict(recursive=True) for r in render(df).collect()]
+    shown = render(df)
+    as_json = [t.dataType.typeName() == "variant" for t in shown.schema.fields]
+    plain = shown.toDF(*[f"c{i}" for i in range(len(as_json))])
+    plain = plain.select(*[F.to_json(f"c{i}").alias(f"c{i}") if j else F.col(f"c{i}") for i, j in enumerate(as_json)])
+    values = []
+    for r in plain.limit(MAX_ROWS).collect():
+        own = r.asDict(recursive=True)
+        values.append([json.loads(v) if j and v is not None else v for v, j in zip((own[f"c{i}"] for i in range(len(as_json))), as_json)])
+    rows = [dict(zip(df.columns, v)) for v in values]
     return {
         "columns": df.columns,
         "rows": rows,
+        "values": values,
         "row_count": len(rows),
         "execution_time_ms": round((time.time() - t0) * 1000, 2),
     }

@@ -1,6 +1,6 @@
 """Epoch-aligned tumbling windows per user with threshold alerts.
 
-All aggregates are algebraic (count, exact integer sum, min, max) so Spark plans a
+All aggregates are algebraic (count, exact decimal sum, min, max) so Spark plans a
 partial aggregate before the exchange: a hot user is reduced map-side to one
 row per (map task, window) before anything is shuffled. Averages and the
 alert decision use the unrounded mean; the stored value is rounded last with
@@ -26,19 +26,28 @@ def _severity(avg: Column, critical: int) -> Column:
     return F.when(avg < F.lit(critical), F.lit("warning")).otherwise(F.lit("critical"))
 
 
-SCALE = 1_000_000  # readings are summed as exact integers of 1e-6 units
+NEAR = 1e18  # readings below are summed as DECIMAL, readings from here on as DOUBLE
 
 
-def scaled(x: Column) -> Column:
-    """Reading → BIGINT count of 1e-6 units. Integer sums are exact and do not
-    depend on the order rows meet in partial aggregates, so results do not
-    change with partitioning (a float sum can, in its last bit)."""
-    return F.round(x.cast("double") * SCALE).cast("long")
+def near_sum(x: Column) -> Column:
+    """Sum of the readings below ``NEAR`` as DECIMAL(38, 9). Decimal sums do
+    not depend on the order rows meet in partial aggregates, so results do
+    not change with partitioning (a float sum can, in its last bit)."""
+    d = x.cast("double")
+    return F.sum(F.when(F.abs(d) < NEAR, d).cast("decimal(28,9)"))
 
 
-def mean(total: Column, n: Column) -> Column:
-    """Mean from an exact scaled sum: (sum / 1e6) / n in double arithmetic."""
-    return total.cast("double") / SCALE / n.cast("double")
+def far_sum(x: Column) -> Column:
+    """Sum of the readings from ``NEAR`` on, which no sum can overflow (it
+    may become infinite)."""
+    d = x.cast("double")
+    return F.sum(F.when(F.abs(d) >= NEAR, d))
+
+
+def mean(near: Column, far: Column, n: Column) -> Column:
+    """Mean from the two sums, in double arithmetic (null of no readings)."""
+    zero = F.lit(0.0)
+    return F.when(n > 0, (F.coalesce(near.cast("double"), zero) + F.coalesce(far, zero)) / n.cast("double"))
 
 
 def _r2(c: Column) -> Column:
@@ -57,7 +66,8 @@ def _hr_aggs() -> list[Column]:
     hr = F.when(ok, F.col("heart_rate"))
     return [
         F.count(hr).alias("_hr_n"),
-        F.sum(scaled(hr)).alias("_hr_sum"),
+        near_sum(hr).alias("_hr_sum"),
+        far_sum(hr).alias("_hr_far"),
         F.min(hr).alias("_hr_min"),
         F.max(hr).alias("_hr_max"),
     ]
@@ -65,10 +75,13 @@ def _hr_aggs() -> list[Column]:
 
 def _bp_aggs() -> list[Column]:
     ok = (F.col("bp_systolic") > 0) & (F.col("bp_diastolic") > 0)
+    sys_, dia = F.when(ok, F.col("bp_systolic")), F.when(ok, F.col("bp_diastolic"))
     return [
         F.count(F.when(ok, F.lit(1))).alias("_bp_n"),
-        F.sum(scaled(F.when(ok, F.col("bp_systolic")))).alias("_bp_sys_sum"),
-        F.sum(scaled(F.when(ok, F.col("bp_diastolic")))).alias("_bp_dia_sum"),
+        near_sum(sys_).alias("_bp_sys_sum"),
+        far_sum(sys_).alias("_bp_sys_far"),
+        near_sum(dia).alias("_bp_dia_sum"),
+        far_sum(dia).alias("_bp_dia_far"),
     ]
 
 
@@ -77,7 +90,8 @@ def _sugar_aggs() -> list[Column]:
     s = F.when(ok, F.col("blood_sugar"))
     return [
         F.count(s).alias("_su_n"),
-        F.sum(scaled(s)).alias("_su_sum"),
+        near_sum(s).alias("_su_sum"),
+        far_sum(s).alias("_su_far"),
         F.min(s).alias("_su_min"),
         F.max(s).alias("_su_max"),
     ]
@@ -115,20 +129,20 @@ def window_partials(readings: DataFrame, minutes: int, metrics: tuple[str, ...])
 def _means(metrics):
     out = []
     if "hr" in metrics:
-        out.append(("_hr_avg", mean(F.col("_hr_sum"), F.col("_hr_n"))))
+        out.append(("_hr_avg", mean(F.col("_hr_sum"), F.col("_hr_far"), F.col("_hr_n"))))
     if "bp" in metrics:
-        out.append(("_bp_sys", mean(F.col("_bp_sys_sum"), F.col("_bp_n"))))
-        out.append(("_bp_dia", mean(F.col("_bp_dia_sum"), F.col("_bp_n"))))
+        out.append(("_bp_sys", mean(F.col("_bp_sys_sum"), F.col("_bp_sys_far"), F.col("_bp_n"))))
+        out.append(("_bp_dia", mean(F.col("_bp_dia_sum"), F.col("_bp_dia_far"), F.col("_bp_n"))))
     if "sugar" in metrics:
-        out.append(("_su_avg", mean(F.col("_su_sum"), F.col("_su_n"))))
+        out.append(("_su_avg", mean(F.col("_su_sum"), F.col("_su_far"), F.col("_su_n"))))
     return out
 
 
 def _agg_names(metrics):
     names = {
-        "hr": ["_hr_n", "_hr_sum", "_hr_min", "_hr_max"],
-        "bp": ["_bp_n", "_bp_sys_sum", "_bp_dia_sum"],
-        "sugar": ["_su_n", "_su_sum", "_su_min", "_su_max"],
+        "hr": ["_hr_n", "_hr_sum", "_hr_far", "_hr_min", "_hr_max"],
+        "bp": ["_bp_n", "_bp_sys_sum", "_bp_sys_far", "_bp_dia_sum", "_bp_dia_far"],
+        "sugar": ["_su_n", "_su_sum", "_su_far", "_su_min", "_su_max"],
     }
     return [n for m in metrics for n in names[m]]
 
@@ -243,7 +257,8 @@ def rollup_partials(partials: DataFrame, minutes: int, metrics: tuple[str, ...])
         elif n.endswith("_max"):
             aggs.append(F.max(n).alias(n))
         else:
-            aggs.append(F.sum(n).alias(n))
+            total = F.sum(n)
+            aggs.append((total.cast("decimal(38,9)") if n.endswith("_sum") else total).alias(n))
     w = F.window("window_start", _minutes(minutes))
     return (
         partials.groupBy("user_id", w.alias("w"))

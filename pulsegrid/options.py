@@ -6,7 +6,7 @@ collected here, in natural order, as fixed values.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # ---------------------------------------------------------------------------
 # Fixed values (must match the original system's behaviour exactly)
@@ -53,8 +53,10 @@ BROWSE_MAX_LIMIT = 1000
 QUERY_DEFAULT_LIMIT = 100
 # Keywords the ad-hoc SELECT guard refuses (substring match in compat mode).
 FORBIDDEN_KEYWORDS = ("DROP", "DELETE", "UPDATE", "INSERT", "ALTER", "TRUNCATE", "CREATE")
-# Micro-batch size and flush interval of the ingestion writer.
-BATCH_SIZE = 100
+# Consumer groups of the health and the ingestion job.
+HEALTH_GROUP = "flink-health-processor"
+INGEST_GROUP = "data-pipeline"
+# Flush interval of the ingestion writer.
 FLUSH_INTERVAL_SECONDS = 5
 # Order life cycle: statuses and allowed transitions (CANCELLED is declared but
 # never produced by a valid flow).
@@ -116,10 +118,12 @@ class Options:
     topics: tuple = (TOPIC_WEARABLES, TOPIC_RESTAURANTS, TOPIC_GPS)
     kafka_bootstrap_servers: str = "localhost:9092"
     health_topic: str = TOPIC_WEARABLES
-    consumer_group: str = "health-processor"
-    batch_size: int = BATCH_SIZE
+    # Prefixes of the consumer groups, one per job.
+    health_group: str = HEALTH_GROUP
+    ingest_group: str = INGEST_GROUP
+    # Kafka offsets a micro-batch takes at most; None: all that have arrived.
+    max_offsets_per_trigger: int | None = None
     flush_interval_seconds: int = FLUSH_INTERVAL_SECONDS
-    extra: dict = field(default_factory=dict, compare=False, hash=False)
 
     def with_(self, **kw) -> "Options":
         return replace(self, **kw)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import options as O
 from ..functions.fence import fence
-from ..sources.tables import spread, table
+from ..sources.tables import dealt, table
 
 ISO_FMT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 
@@ -28,15 +28,19 @@ def _iso(ts: Column) -> Column:
     return F.date_format(ts.cast("timestamp"), ISO_FMT)
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` with ``k`` extracted and ``ts`` as a zoned TIMESTAMP (UTC).
+EVENT_COLUMNS = ("event_id", "ts", "user_id", "value", "k")
+
+
+def events(spark: SparkSession, sf_dir: str, columns: tuple[str, ...] = EVENT_COLUMNS) -> DataFrame:
+    """The named columns of ``events``, with ``k`` extracted and ``ts`` as a
+    zoned TIMESTAMP (UTC).
 
     Fenced, so a later filter on derived columns does not copy the JSON
-    extraction of ``k`` into a pushed-down predicate."""
-    return fence(
-        spread(table(spark, sf_dir, "events")),
-        [F.col("event_id"), F.col("ts").cast("timestamp").alias("ts"), F.col("user_id"), F.col("event_type"), F.col("value"), _k().alias("k")],
-    )
+    extraction of ``k`` into a pushed-down predicate. The fence hides what is
+    unused above it from the scan, so callers name the columns they need."""
+    made = {"ts": F.col("ts").cast("timestamp").alias("ts"), "k": _k().alias("k")}
+    scan = table(spark, sf_dir, "events").select(*["props" if c == "k" else c for c in columns])
+    return fence(dealt(scan), [made.get(c, F.col(c)) for c in columns])
 
 
 # ---------------------------------------------------------------------------
@@ -187,7 +191,7 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def device_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Device activity: wearable/restaurant by ``user_id%2`` (no GPS rows)."""
-    ev = events(spark, sf_dir)
+    ev = events(spark, sf_dir, ("event_id", "ts", "user_id", "k"))
     dtype = F.when(F.col("user_id") % 2 == 0, F.lit("wearable")).otherwise(F.lit("restaurant"))
     return ev.select(
         F.concat(dtype, F.lit("_"), F.col("user_id").cast("string")).alias("device_id"),
@@ -202,9 +206,6 @@ def device_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 # GPS fixes
 # ---------------------------------------------------------------------------
 
-VEHICLE_TYPES = ("truck", "car", "bike", "scooter")
-
-
 def gps_fixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = events(spark, sf_dir)
     k = F.col("k")
@@ -214,15 +215,13 @@ def gps_fixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     speed = F.lit(20.0) + F.col("value") / 4
     heading = (eid % 360).cast("double")
     sats = (F.lit(6) + k % 7).cast("int")
-    vt = F.element_at(F.array(*[F.lit(v) for v in VEHICLE_TYPES]), (F.col("user_id") % 4 + 1).cast("int"))
     nd = F.lit(None).cast("double")
     return ev.select(
         F.concat(F.lit("VH-"), F.col("user_id").cast("string")).alias("vehicle_id"),
-        vt.alias("vehicle_type"),
         "event_id",
         "ts",
-        F.when(k == 0, F.lit(150.0)).when(k == 2, nd).when(k == 3, F.lit(-100.0)).otherwise(lat).alias("latitude"),
-        F.when(k == 0, F.lit(250.0)).when(k == 2, nd).when(k == 3, F.lit(190.0)).otherwise(lng).alias("longitude"),
+        F.when(k == 0, lat + 90).when(k == 2, nd).when(k == 3, -lat - 90).otherwise(lat).alias("latitude"),
+        F.when(k == 0, lng + 180).when(k == 2, nd).when(k == 3, lng + 120).otherwise(lng).alias("longitude"),
         F.when(k == 2, nd).when(k == 3, F.lit(-500.0)).otherwise(F.lit(900.0)).alias("altitude"),
         F.when(k == 1, F.lit(700.0)).when(k == 2, nd).when(k == 3, F.lit(-50.0)).otherwise(speed).alias("speed_kmh"),
         F.when(k == 2, nd).when(k == 3, F.lit(500.0)).otherwise(heading).alias("heading"),
@@ -243,7 +242,7 @@ def _order_class_key() -> Column:
 def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order message fields other than the items, one row per order; by
     ``o_orderkey % 100``: 2 negative total, 3 null fields, 4 invalid status."""
-    o = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"))
+    o = dealt(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"))
     c = _order_class_key()
     null_s = F.lit(None).cast("string")
     return o.select(
@@ -269,7 +268,7 @@ def order_item_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The items stay flat — the tables are normalised, and rebuilding an array
     per order would gather a whole order into one row."""
-    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity"))
+    li = dealt(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity"))
     cls = F.col("l_orderkey") % 100
     dish = F.when(cls == 0, F.concat(F.lit("D-"), (F.col("l_partkey") % 1000).cast("string"))).otherwise(
         F.concat(F.lit("D"), (F.lit(101) + F.col("l_partkey") % 50).cast("string"))
@@ -297,7 +296,7 @@ ORDER_FLOW = (
 def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status events per order: UPDATED only when ``o_orderkey%10<3``;
     COMPLETED skipped when ``o_orderkey%97=0`` (a bad transition)."""
-    o = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"))
+    o = dealt(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"))
     steps = F.array(*[F.struct(F.lit(s).alias("status"), F.lit(m).alias("minutes")) for s, m in ORDER_FLOW])
     ok = F.col("o_orderkey")
     e = o.select(ok, F.col("o_orderdate").cast("timestamp").alias("placed"), F.explode(steps).alias("s"))

@@ -79,8 +79,8 @@ def pyround(x: str, digits: int = 2) -> str:
 
 
 def xavg(col: str) -> str:
-    """Mean from an exact sum of 1e-6 units (the engine's order-free mean)."""
-    return f"(CAST(sum(CAST(round(CAST({col} AS DOUBLE) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 / count(*))"
+    """Mean from the exact decimal sum."""
+    return f"(CAST(sum(CAST({col} AS DECIMAL(28, 9))) AS DOUBLE) / count(*))"
 
 
 def with_(*ctes: str) -> str:

@@ -1,16 +1,16 @@
 """Queries that run the streaming job end to end and return what it wrote.
 
-The health messages are replayed as time-ordered files through the
-streaming job (watermark, append-mode windows, ``foreachBatch`` keyed
-sinks), the open tail is drained at shutdown, and the written tables are
-returned. They must equal the batch results, so they share the batch
-queries' oracle SQL. Output folders live under the session's checkpoint
-folder (shared storage on a cluster).
+The health messages are replayed in time slices through the streaming job
+(watermark, append-mode windows, ``foreachBatch`` keyed sinks), which restarts
+from its checkpoint for every slice. At the end the windows past the last
+watermark are drained, and no others: a window that the stream should have
+written itself is missing from the result if it didn't. The tables must equal
+the batch results, so they share the batch queries' oracle SQL. Output folders
+live under the session's checkpoint folder (shared storage on a cluster).
 """
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import SparkSession
@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from .. import schemas as S
 from ..session import checkpoint_dir
 from ..sinks import tables as TB
-from ..sources.streams import file_stream, write_replay_files
+from ..sources.streams import file_stream, time_slices
 from ..streaming import health_stream as HS
 from ..streaming import ingest_stream as IS
 from ..streaming import jobs as J
@@ -28,7 +28,7 @@ from . import fixtures as X
 from .common import TABLE_OPTS, ntz, prepare
 
 _RUNS: dict[tuple, str] = {}
-REPLAY_FILES = 4
+SLICES = 4  # restarts of the replayed job, each on the next span of time
 
 
 def _app(spark: SparkSession) -> str:
@@ -44,25 +44,36 @@ def _opts(spark: SparkSession):
         cores = spark.sparkContext.defaultParallelism
     except Exception:  # Spark Connect
         cores = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
-    return TABLE_OPTS.with_(watermark_delay="1 hour", state_partitions=max(2, min(cores, 64)))
+    return TABLE_OPTS.with_(watermark_delay="1 hour", state_partitions=max(2, cores))
+
+
+def _replay(df, src: str, start) -> str | None:
+    """Write ``df`` in time slices, running the job that ``start`` starts to
+    its end after each (from its checkpoint); returns the last watermark."""
+    mark = None
+    for part in time_slices(df, "timestamp", SLICES):
+        part.write.mode("append").parquet(src)
+        queries = start()
+        for q in queries if isinstance(queries, list) else [queries]:
+            q.awaitTermination()
+            if q.exception() is not None:
+                raise RuntimeError(str(q.exception()))
+            mark = max(filter(None, (mark, HS.watermark_of(q))), default=None)
+    return mark
 
 
 def run_stream_twin(spark: SparkSession, sf_dir: str) -> str:
     """Replay, stream, drain; return the output root (once per session)."""
-    key = (_app(spark), os.path.abspath(sf_dir))
+    key = (_app(spark), sf_dir)
     if key in _RUNS:
         return _RUNS[key]
     prepare(spark)
     base = checkpoint_dir(spark, f"stream-twin-{uuid.uuid4().hex[:12]}")
-    src, root = os.path.join(base, "messages"), os.path.join(base, "tables")
-    write_replay_files(X.health_messages(spark, sf_dir), src, "timestamp", REPLAY_FILES)
-    opts = _opts(spark)
-    stream = file_stream(spark, src, S.MESSAGE, max_files_per_trigger=1)
-    for q in HS.start(spark, stream, root, opts, name=f"twin-{uuid.uuid4().hex[:8]}", trigger={"availableNow": True}):
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
-    HS.drain(spark, spark.read.schema(S.MESSAGE).parquet(src), root, opts)
+    src, root = f"{base}/messages", f"{base}/tables"
+    opts, name = _opts(spark), f"twin-{uuid.uuid4().hex[:8]}"
+    start = lambda: HS.start(spark, file_stream(spark, src, S.MESSAGE), root, opts, name=name, trigger={"availableNow": True})
+    mark = _replay(X.health_messages(spark, sf_dir), src, start)
+    HS.drain(spark, spark.read.schema(S.MESSAGE).parquet(src), root, opts, since=mark)
     _RUNS[key] = root
     return root
 
@@ -70,19 +81,16 @@ def run_stream_twin(spark: SparkSession, sf_dir: str) -> str:
 def run_anchored_twin(spark: SparkSession, sf_dir: str) -> str:
     """The standalone job (stateful anchored windows) over the same replay,
     drained at shutdown; returns the output root (once per session)."""
-    key = (_app(spark), os.path.abspath(sf_dir), "anchored")
+    key = (_app(spark), sf_dir, "anchored")
     if key in _RUNS:
         return _RUNS[key]
     prepare(spark)
     base = checkpoint_dir(spark, f"anchored-twin-{uuid.uuid4().hex[:12]}")
-    src, root = os.path.join(base, "messages"), os.path.join(base, "tables")
-    write_replay_files(X.health_messages(spark, sf_dir), src, "timestamp", REPLAY_FILES)
-    opts = _opts(spark)
-    q = J.anchored_job(spark, root, opts, source=src, trigger={"availableNow": True})
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    J.drain_anchored(spark, spark.read.schema(S.MESSAGE).parquet(src), root, opts)
+    src, root = f"{base}/messages", f"{base}/tables"
+    opts, name = _opts(spark), f"anchored-{uuid.uuid4().hex[:8]}"
+    start = lambda: J.anchored_job(spark, root, opts, source=src, trigger={"availableNow": True}, name=name)
+    mark = _replay(X.health_messages(spark, sf_dir), src, start)
+    J.drain_anchored(spark, spark.read.schema(S.MESSAGE).parquet(src), root, opts, since=mark)
     _RUNS[key] = root
     return root
 
@@ -106,18 +114,15 @@ KAFKA_RECORD = T.StructType(
 def run_ingest_twin(spark: SparkSession, sf_dir: str) -> str:
     """Kafka-shaped records replayed through the ingestion stream into the
     per-topic raw tables (exactly-once file sink); returns the table root."""
-    key = (_app(spark), os.path.abspath(sf_dir), "ingest")
+    key = (_app(spark), sf_dir, "ingest")
     if key in _RUNS:
         return _RUNS[key]
     prepare(spark)
     base = checkpoint_dir(spark, f"ingest-twin-{uuid.uuid4().hex[:12]}")
-    src, root = os.path.join(base, "records"), os.path.join(base, "raw")
-    write_replay_files(X.kafka_records(spark, sf_dir), src, "timestamp", REPLAY_FILES)
-    stream = file_stream(spark, src, KAFKA_RECORD, max_files_per_trigger=1)
-    q = IS.start(spark, stream, root, _opts(spark), name=f"ingest-{uuid.uuid4().hex[:8]}", trigger={"availableNow": True}, replay=True)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    src, root = f"{base}/records", f"{base}/raw"
+    opts, name = _opts(spark), f"ingest-{uuid.uuid4().hex[:8]}"
+    start = lambda: IS.start(spark, file_stream(spark, src, KAFKA_RECORD), root, opts, name=name, trigger={"availableNow": True}, replay=True)
+    _replay(X.kafka_records(spark, sf_dir), src, start)
     _RUNS[key] = root
     return root
 

@@ -9,8 +9,7 @@ time-ordered secondary indexes.
 
 from __future__ import annotations
 
-import os
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,30 +53,31 @@ def table_path(root: str, name: str, writer: str | None = None) -> str:
     committer's ``_temporary`` folder and break each other's commits; every
     writer therefore appends under its own ``writer=<id>`` sub-partition.
     Readers see one table with ``writer`` and ``date`` partition columns."""
-    base = os.path.join(root, name)
-    return os.path.join(base, f"{WRITER_COL}={writer}") if writer else base
+    base = f"{root.rstrip('/')}/{name}"
+    return f"{base}/{WRITER_COL}={writer}" if writer else base
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Read a result table (all writers, all dates) with its fixed schema."""
+    """Read a result table (all writers, all dates) with its fixed schema; a
+    table that nobody has written yet is empty."""
     base = table_path(root, name)
-    return spark.read.schema(full_schema(name)).option("basePath", base).parquet(base)
+    try:
+        return spark.read.schema(full_schema(name)).option("basePath", base).parquet(base)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], full_schema(name))
 
 
 def create_table(spark: SparkSession, root: str, name: str, writer: str = "main") -> str:
-    """Create the folder of a table part if absent; return its path. The
-    table is readable (empty) before any row is written."""
+    """Create a table part if absent (Spark writes it without rows); return
+    its path."""
     path = table_path(root, name, writer)
-    os.makedirs(path, exist_ok=True)
+    empty = with_partition(spark.createDataFrame([], TABLE_SCHEMAS[name]), name)
+    empty.write.mode("append").partitionBy(PARTITION_COL).parquet(path)
     return path
 
 
-def _has_data(path: str) -> bool:
-    return os.path.isdir(path) and any(
-        n.startswith((f"{PARTITION_COL}=", f"{WRITER_COL}=")) or n.endswith(".parquet") for n in os.listdir(path)
-    )
-
-
 def create_all(spark: SparkSession, root: str) -> dict[str, str]:
     return {n: create_table(spark, root, n) for n in TABLE_SCHEMAS}
 
@@ -118,12 +118,12 @@ def append_if_absent(
     order_col: str | None = None,
     writer: str = "main",
     assume_unique: bool = False,
-) -> int:
+) -> None:
     """Idempotent append of ``batch`` into table ``name`` (a replayed batch
     adds nothing). Keys are checked against the whole table — every
     writer's part — but only for the batch's dates: the semi-join on the
     ``date`` partition column prunes the target scan to those partitions."""
-    path = create_table(spark, root, name, writer)
+    path = table_path(root, name, writer)
     key = TABLE_KEYS[name]
     b = with_partition(batch, name)
     target = read_table(spark, root, name).drop(WRITER_COL)
@@ -134,7 +134,6 @@ def append_if_absent(
         new = new.drop(order_col)
     new = new.select(*TABLE_SCHEMAS[name].fieldNames(), PARTITION_COL)
     new.write.mode("append").partitionBy(PARTITION_COL).parquet(path)
-    return 0
 
 
 def register_views(spark: SparkSession, root: str, raw_root: str | None = None) -> list[str]:
@@ -142,10 +141,9 @@ def register_views(spark: SparkSession, root: str, raw_root: str | None = None)
     guarded ad-hoc SELECTs can reach them by their usual names."""
     names = []
     for n in (METRICS_1MIN, METRICS_10MIN, ALERTS):
-        if _has_data(os.path.join(root, n)):
-            read_table(spark, root, n).createOrReplaceTempView(n)
-            names.append(n)
-    if raw_root and os.path.isdir(raw_root):
+        read_table(spark, root, n).createOrReplaceTempView(n)
+        names.append(n)
+    if raw_root:
         raw = spark.read.parquet(raw_root)
         for t in ("virtual_wearables", "virtual_restaurants", "virtual_gps"):
             raw.filter(F.col("table") == t).drop("table", "ingest_date").createOrReplaceTempView(t)

@@ -7,9 +7,6 @@ is on the classpath. File sources replay stored messages in time order.
 
 from __future__ import annotations
 
-import os
-import time
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,18 +14,25 @@ from pyspark.sql import types as T
 from ..options import DEFAULT, Options
 
 
-def kafka_options(opts: Options = DEFAULT, topics: tuple[str, ...] | None = None, starting: str = "latest") -> dict[str, str]:
-    """Options for ``format("kafka")``: brokers, topic list, starting offsets,
-    consumer group, and a per-trigger cap (the writer's batch size)."""
+def kafka_options(
+    opts: Options = DEFAULT, topics: tuple[str, ...] | None = None, starting: str = "latest", group: str | None = None
+) -> dict[str, str]:
+    """Options for ``format("kafka")``: brokers, topic list, starting offsets.
+
+    ``group`` prefixes the consumer groups Spark makes, one per query (a fixed
+    group id would be shared by a job's queries). Offsets that are gone fail
+    the query, and a batch takes all that has arrived unless
+    ``max_offsets_per_trigger`` is set."""
     t = topics if topics is not None else (opts.health_topic,)
-    return {
+    out = {
         "kafka.bootstrap.servers": opts.kafka_bootstrap_servers,
         "subscribe": ",".join(t),
         "startingOffsets": starting,
-        "kafka.group.id": opts.consumer_group,
-        "maxOffsetsPerTrigger": str(opts.batch_size),
-        "failOnDataLoss": "false",
+        "groupIdPrefix": group or opts.health_group,
     }
+    if opts.max_offsets_per_trigger:
+        out["maxOffsetsPerTrigger"] = str(opts.max_offsets_per_trigger)
+    return out
 
 
 def kafka_value_stream(spark: SparkSession, opts: Options = DEFAULT) -> DataFrame:
@@ -39,7 +43,7 @@ def kafka_value_stream(spark: SparkSession, opts: Options = DEFAULT) -> DataFram
 
 def kafka_records_stream(spark: SparkSession, opts: Options = DEFAULT) -> DataFrame:
     """Several topics, keeping topic / partition / offset (ingestion source)."""
-    raw = spark.readStream.format("kafka").options(**kafka_options(opts, opts.topics)).load()
+    raw = spark.readStream.format("kafka").options(**kafka_options(opts, opts.topics, group=opts.ingest_group)).load()
     return raw.select("topic", "partition", "offset", F.col("value").cast("string").alias("value"), "timestamp")
 
 
@@ -47,27 +51,27 @@ def file_stream(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
-    max_files_per_trigger: int = 1,
+    max_files_per_trigger: int | None = None,
     fmt: str = "parquet",
 ) -> DataFrame:
-    """Replay files as a stream, a bounded number of files per micro-batch."""
-    return spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).load(path)
-
-
-def write_replay_files(df: DataFrame, path: str, ts_col: str, files: int) -> None:
-    """Store a batch as ``files`` time-ordered Parquet files (range-partitioned
-    and sorted by time), so a file replay never goes behind its watermark.
-
-    The file source replays files in modification-time order; files written
-    in parallel get arbitrary times, so on a local folder the part files are
-    re-stamped in range order (part-00000 oldest)."""
-    df.repartitionByRange(files, ts_col).sortWithinPartitions(ts_col).write.mode("overwrite").parquet(path)
-    local = path[len("file:") :] if path.startswith("file:") else path
-    if os.path.isdir(local):
-        parts = sorted(n for n in os.listdir(local) if n.startswith("part-"))
-        base = time.time() - len(parts) - 10
-        for i, n in enumerate(parts):
-            os.utime(os.path.join(local, n), (base + i, base + i))
+    """Files as a stream; all new files make one micro-batch unless a number
+    per trigger is given."""
+    reader = spark.readStream.format(fmt).schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.load(path)
+
+
+def time_slices(df: DataFrame, ts_col: str, slices: int) -> list[DataFrame]:
+    """``df`` cut into ``slices`` equal spans of time, oldest first. Written
+    one after another they replay in time order on any file system, each by
+    as many tasks as the data asks for."""
+    low, high = df.select(F.unix_micros(F.min(ts_col)), F.unix_micros(F.max(ts_col))).first()
+    if low is None:
+        return [df]
+    at = F.unix_micros(ts_col)
+    cuts = [low + (high + 1 - low) * k // slices for k in range(slices + 1)]
+    return [df.filter((at >= a) & (at < b)) for a, b in zip(cuts, cuts[1:])]
 
 
 def kafka_sink_options(opts: Options = DEFAULT) -> dict[str, str]:

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -13,43 +12,35 @@ TABLES = (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """``spark.read.parquet`` of ``{sf_dir}/{name}.parquet`` (or a folder of that name)."""
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    if not os.path.exists(path) and os.path.isdir(os.path.join(sf_dir, name)):
-        path = os.path.join(sf_dir, name)
-    return spark.read.parquet(path)
+    """``{sf_dir}/{name}.parquet`` (a file or a folder), else the folder ``{sf_dir}/{name}``.
+
+    Paths are only opened by Spark, so any file system it reads will do."""
+    base = f"{sf_dir.rstrip('/')}/{name}"
+    try:
+        return spark.read.parquet(f"{base}.parquet")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.read.parquet(base)
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> list[str]:
-    """Register each table as a temp view so ad-hoc SQL can reach it."""
+    """Register each table that is there as a temp view so ad-hoc SQL can reach it."""
     done = []
     for n in names:
-        path = os.path.join(sf_dir, f"{n}.parquet")
-        if os.path.exists(path):
+        try:
             table(spark, sf_dir, n).createOrReplaceTempView(n)
-            done.append(n)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        done.append(n)
     return done
 
 
-SPREAD_MAX = 256
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Rebalance a scan that yields fewer partitions than the cluster has
-    cores (e.g. a file written as one row group), so CPU-heavy per-row work
-    (JSON parsing) uses every core. A large table already scans as many
-    partitions and is returned unchanged — no shuffle at scale. Controlled
-    by ``pulsegrid.scan.spread`` (``auto`` | ``off``)."""
-    spark = df.sparkSession
-    if spark.conf.get("pulsegrid.scan.spread", "auto") == "off":
-        return df
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access (Spark Connect): leave the scan as is
-        return df
-    if parts * 2 <= cores:
-        # bounded fan-out: on a very large cluster a small table should not
-        # become thousands of near-empty tasks
-        return df.repartition(min(cores, SPREAD_MAX))
-    return df
+def dealt(df: DataFrame) -> DataFrame:
+    """The scan as Spark splits it, or dealt anew into as many partitions as
+    the session's ``pulsegrid.scan.partitions`` says. Set it for files that
+    can't be split (one row group) and costly per-row work; it is off unless set."""
+    n = df.sparkSession.conf.get("pulsegrid.scan.partitions", "")
+    return df.repartition(int(n)) if n else df

@@ -1,102 +1,108 @@
-"""First-reading-anchored windows on a stream (``applyInPandasWithState``).
-
-State per (user, metric): the open window (start, end) and its running
-count / sums / min / max — O(1) per key, never the readings themselves.
-A reading at or after the end closes the window (emitted) and opens the
-next one at its own minute; when the event-time watermark passes the end,
-the timeout emits the open window. Within a micro-batch the readings of a
-key are first reduced to per-minute partials with vectorised pandas.
+"""First-reading-anchored windows on a stream.
+
+Each task first reduces its readings to partials per (user, metric, minute), so
+a hot user is a few rows per batch and task when the rows are grouped.
+``applyInPandasWithState`` keeps a key's minutes until the watermark passes the
+end of the window they open, and folds them then: readings may come in any
+order within the watermark. State per (user, metric) is the end of the last
+window and one partial per minute of the watermark delay and a window's length,
+never the readings themselves. A window is emitted as soon as the watermark has
+passed its end, with new data or by the state's timeout; readings that come
+later still, inside a window that has been emitted, are dropped.
 """
 
 from __future__ import annotations
 
+import decimal
+import json
 from typing import Iterator
 
-import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from .. import options as O
 from ..operators.anchored import MINUTE_US, PARTIAL_SCHEMA, unpivot
-from ..operators.windows import SCALE
+from ..operators.windows import NEAR
 from ..options import DEFAULT, Options
 
-STATE_SCHEMA = T.StructType(
-    [
-        T.StructField("start_us", T.LongType()),
-        T.StructField("end_us", T.LongType()),
-        T.StructField("n", T.LongType()),
-        T.StructField("s1", T.LongType()),
-        T.StructField("s2", T.LongType()),
-        T.StructField("mn", T.DoubleType()),
-        T.StructField("mx", T.DoubleType()),
-    ]
-)
+STATE = "last_end long, minutes string"
+MINUTES = "user_id string, metric string, minute_us long, n long, s1 decimal(38,9), f1 double, s2 decimal(38,9), f2 double, mn double, mx double"
+EXACT = decimal.Context(prec=60)
+
 
+def _reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a task to one partial per (user, metric, minute) and batch."""
+    keys, how = ["user_id", "metric", "minute_us"], dict(n="sum", s1="sum", f1="sum", s2="sum", f2="sum", mn="min", mx="max")
+    for batch in batches:
+        got = pa.table(batch).group_by(keys, use_threads=False).aggregate(list(how.items()))
+        columns = [got[k] for k in keys] + [got[f"{c}_{f}"] for c, f in how.items()]
+        out = pa.table(columns, names=keys + list(how))
+        for c in ("s1", "s2"):
+            out = out.set_column(out.schema.get_field_index(c), c, out[c].cast(pa.decimal128(38, 9)))
+        yield from out.to_batches()
 
-def _emit(key, st) -> tuple:
-    return (key[0], key[1], st[0], st[1], st[2], st[3], st[4], st[5], st[6])
+
+def _join(a: list, b: list) -> list:
+    """Two partials [n, s1, f1, s2, f2, mn, mx] in one; sums kept as text."""
+    add = lambda x, y: str(EXACT.add(decimal.Decimal(x), decimal.Decimal(y)))
+    return [a[0] + b[0], add(a[1], b[1]), a[2] + b[2], add(a[3], b[3]), a[4] + b[4], min(a[5], b[5]), max(a[6], b[6])]
 
 
 def _fold_fn(lengths_us: dict[str, int]):
     cols = [f.name for f in PARTIAL_SCHEMA.fields]
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        out = []
-        if state.hasTimedOut:
-            if state.exists:
-                out.append(_emit(key, state.get))
-            state.remove()
-        else:
-            pdf = pd.concat(list(pdfs), ignore_index=True)
-            us = pdf["ts_us"].to_numpy(np.int64)
-            pdf = pdf.assign(
-                minute_us=us - us % MINUTE_US,
-                s1i=np.round(pdf["v1"].to_numpy(np.float64) * SCALE).astype(np.int64),
-                s2i=np.round(pdf["v2"].fillna(0.0).to_numpy(np.float64) * SCALE).astype(np.int64),
-            )
-            mins = (
-                pdf.sort_values("ts_us", kind="stable")
-                .groupby("minute_us", sort=True)
-                .agg(n=("v1", "size"), s1=("s1i", "sum"), s2=("s2i", "sum"), mn=("v1", "min"), mx=("v1", "max"))
-            )
-            length = lengths_us[key[1]]
-            st = list(state.get) if state.exists else None
-            for m, r in zip(mins.index.to_numpy(np.int64), mins.itertuples(index=False)):
-                if st is not None and m >= st[1]:
-                    out.append(_emit(key, st))
-                    st = None
-                if st is None:
-                    st = [int(m), int(m) + length, 0, 0, 0, float("inf"), float("-inf")]
-                st[2] += int(r.n)
-                st[3] += int(r.s1)
-                st[4] += int(r.s2)
-                st[5] = min(st[5], float(r.mn))
-                st[6] = max(st[6], float(r.mx))
-            if st is not None:
-                state.update(tuple(st))
-                state.setTimeoutTimestamp(int(st[1] // 1000))
+        last_end, text = state.get if state.exists else (None, "{}")
+        held = {int(m): p for m, p in json.loads(text).items()}
+        if not state.hasTimedOut:
+            for pdf in pdfs:
+                for r in pdf.itertuples(index=False):
+                    m = int(r.minute_us)
+                    if last_end is None or m >= last_end:
+                        new = [int(r.n), str(r.s1), float(r.f1), str(r.s2), float(r.f2), float(r.mn), float(r.mx)]
+                        held[m] = _join(held[m], new) if m in held else new
+        out, length, mark = [], lengths_us[key[1]], state.getCurrentWatermarkMs() * 1000
+        while held and min(held) + length <= mark:
+            start = min(held)
+            last_end = start + length
+            whole = None
+            for m in sorted(m for m in held if m < last_end):
+                part = held.pop(m)
+                whole = part if whole is None else _join(whole, part)
+            whole[1], whole[3] = decimal.Decimal(whole[1]), decimal.Decimal(whole[3])
+            out.append((*key, start, last_end, *whole))
+        state.update((last_end, json.dumps(held)))
+        if held:
+            state.setTimeoutTimestamp((min(held) + length) // 1000)
         yield pd.DataFrame(out, columns=cols)
 
     return fn
 
 
 def anchored_stream(readings: DataFrame, opts: Options = DEFAULT) -> DataFrame:
-    """Watermarked readings (metric validity) → closed anchored windows
-    (``PARTIAL_SCHEMA`` rows), emitted in append mode."""
+    """Readings (metric validity, no watermark yet) → closed anchored windows
+    (``PARTIAL_SCHEMA`` rows), emitted in append mode. The watermark is on the
+    reduced rows' minutes, ``opts.watermark_delay`` behind the newest."""
     lengths = {
         O.METRIC_HR: opts.hr_window_minutes * MINUTE_US,
         O.METRIC_BP: opts.bp_window_minutes * MINUTE_US,
         O.METRIC_SUGAR: opts.sugar_window_minutes * MINUTE_US,
     }
-    long_ = unpivot(readings).select("user_id", "metric", "ts", F.unix_micros("ts").alias("ts_us"), "v1", "v2")
-    return long_.groupBy("user_id", "metric").applyInPandasWithState(
+    near = lambda c: F.coalesce(F.when(F.abs(c) < NEAR, F.col(c)).cast("decimal(28,9)"), F.lit(0)).cast("decimal(38,9)")
+    far = lambda c: F.coalesce(F.when(F.abs(c) >= NEAR, F.col(c)), F.lit(0.0))
+    us = F.unix_micros("ts")
+    rows = unpivot(readings).select(
+        "user_id", "metric", (us - F.pmod(us, F.lit(MINUTE_US))).alias("minute_us"), F.lit(1).cast("long").alias("n"),
+        near("v1").alias("s1"), far("v1").alias("f1"), near("v2").alias("s2"), far("v2").alias("f2"), F.col("v1").alias("mn"), F.col("v1").alias("mx"),
+    )
+    minutes = rows.mapInArrow(_reduce, MINUTES).withColumn("minute", F.timestamp_micros("minute_us")).withWatermark("minute", opts.watermark_delay)
+    return minutes.groupBy("user_id", "metric").applyInPandasWithState(
         _fold_fn(lengths),
         outputStructType=PARTIAL_SCHEMA,
-        stateStructType=STATE_SCHEMA,
+        stateStructType=STATE,
         outputMode="append",
         timeoutConf=GroupStateTimeout.EventTimeTimeout,
     )

@@ -66,13 +66,21 @@ def sink_batch(spark: SparkSession, root: str, metrics: tuple[str, ...], width:
     crash between the two heals on replay: each write is keyed."""
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        mets, alerts = results_from_partials(batch, metrics, opts)
-        TB.append_if_absent(spark, mets, root, table_for(metrics), writer=f"w{width}", assume_unique=True)
-        TB.append_if_absent(spark, alerts, root, TB.ALERTS, writer=f"w{width}", assume_unique=True)
+        held = batch.persist()  # both tables are written from one evaluation
+        try:
+            write_partials(spark, held, root, metrics, f"w{width}", opts)
+        finally:
+            held.unpersist()
 
     return write
 
 
+def write_partials(spark: SparkSession, partials: DataFrame, root: str, metrics: tuple[str, ...], writer: str, opts: Options) -> None:
+    mets, alerts = results_from_partials(partials, metrics, opts)
+    TB.append_if_absent(spark, mets, root, table_for(metrics), writer=writer, assume_unique=True)
+    TB.append_if_absent(spark, alerts, root, TB.ALERTS, writer=writer, assume_unique=True)
+
+
 def start(
     spark: SparkSession,
     messages: DataFrame,
@@ -99,20 +107,29 @@ def drain(spark: SparkSession, messages_batch: DataFrame, root: str, opts: Optio
     """Flush the windows still open when a stream stops (shutdown flush).
 
     Append mode keeps the newest windows open (their end is past the
-    watermark). A batch pass over the same messages writes every window
-    insert-if-absent: already written keys are skipped, the open tail is
-    added. Only the table partitions of the batch's dates are read back.
-    ``since`` (the stream's last watermark minus the longest window) limits
-    the pass to the tail instead of the whole history.
+    watermark). With ``since``, the stream's last watermark (``watermark_of``),
+    a batch pass over the messages from one window before it writes the
+    windows that end after it and no others: what the stream should have
+    written itself is left to it. Without ``since`` every window is written
+    insert-if-absent (a rebuild from stored messages). Only the table
+    partitions of the batch's dates are read back.
     """
     readings = parse_health(messages_batch, opts)
-    if since is not None:
-        readings = readings.filter(F.col("ts") >= F.lit(since).cast("timestamp"))
     for width, metrics in _width_groups(opts).items():
-        parts = W.window_partials(readings, width, metrics)
-        mets, alerts = results_from_partials(parts, metrics, opts)
-        TB.append_if_absent(spark, mets, root, table_for(metrics), writer=f"w{width}", assume_unique=True)
-        TB.append_if_absent(spark, alerts, root, TB.ALERTS, writer=f"w{width}", assume_unique=True)
+        own = readings
+        if since is not None:
+            mark = F.lit(since).cast("timestamp")
+            own = own.filter(F.col("ts") >= mark - F.make_dt_interval(mins=F.lit(width)))
+        parts = W.window_partials(own, width, metrics)
+        if since is not None:
+            parts = parts.filter(F.col("window_end") > mark)
+        write_partials(spark, parts, root, metrics, f"w{width}", opts)
+
+
+def watermark_of(query: StreamingQuery) -> str | None:
+    """The last watermark of a query that has stopped (ISO text, UTC)."""
+    marks = [p["eventTime"]["watermark"] for p in query.recentProgress if "watermark" in p.get("eventTime", {})]
+    return max(marks, default=None)
 
 
 def late_rows(query: StreamingQuery) -> int:

@@ -8,8 +8,6 @@ streaming jobs over a shared output folder.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -30,7 +28,7 @@ def _messages(spark: SparkSession, opts: Options, source: str | None) -> DataFra
     """Kafka value stream, or a replay of stored message files at ``source``."""
     if source is None:
         return kafka_value_stream(spark, opts)
-    return file_stream(spark, source, S.MESSAGE, max_files_per_trigger=1)
+    return file_stream(spark, source, S.MESSAGE)
 
 
 def health_job(spark: SparkSession, root: str, opts: Options = DEFAULT, source: str | None = None, trigger: dict | None = None) -> list[StreamingQuery]:
@@ -43,6 +41,13 @@ def anchored_sink(spark: SparkSession, root: str, opts: Options):
     stored as the systolic threshold), each written insert-if-absent."""
 
     def write(batch: DataFrame, epoch_id: int) -> None:
+        held = batch.persist()  # all tables are written from one evaluation
+        try:
+            _write(held)
+        finally:
+            held.unpersist()
+
+    def _write(batch: DataFrame) -> None:
         res = AN.results(AN.with_timestamps(batch), opts)
         short = A.hr_metric_rows(res["hr"]).unionByName(A.bp_metric_rows(res["bp"]))
         TB.append_if_absent(spark, short, root, TB.METRICS_1MIN, writer="anchored", assume_unique=True)
@@ -54,17 +59,17 @@ def anchored_sink(spark: SparkSession, root: str, opts: Options):
 
 
 def anchored_job(
-    spark: SparkSession, root: str, opts: Options = DEFAULT, source: str | None = None, trigger: dict | None = None
+    spark: SparkSession, root: str, opts: Options = DEFAULT, source: str | None = None, trigger: dict | None = None, name: str = "anchored"
 ) -> StreamingQuery:
     """The standalone processor: per-metric validity, first-reading-anchored
     windows, metric and alert rows written idempotently."""
     pin(spark)
     o = opts.with_(validity="metric", bp_threshold_mode="standalone")
-    readings = parse_health(_messages(spark, o, source), o).withWatermark("ts", o.watermark_delay)
+    readings = parse_health(_messages(spark, o, source), o)
     w = (
         anchored_stream(readings, o)
         .writeStream.foreachBatch(anchored_sink(spark, root, o))
-        .option("checkpointLocation", checkpoint_dir(spark, f"anchored-{uuid.uuid4().hex[:8]}" if source else "anchored"))
+        .option("checkpointLocation", checkpoint_dir(spark, name))
         .outputMode("append")
         .trigger(**(trigger or {"processingTime": f"{o.flush_interval_seconds} seconds"}))
     )
@@ -72,10 +77,10 @@ def anchored_job(
         return w.start()
 
 
-def drain_anchored(spark: SparkSession, messages_batch: DataFrame, root: str, opts: Options = DEFAULT) -> None:
+def drain_anchored(spark: SparkSession, messages_batch: DataFrame, root: str, opts: Options = DEFAULT, since=None) -> None:
     """Shutdown flush of the standalone job: windows still open in the state
-    store are written from a batch pass over the messages; windows already
-    emitted are skipped by the keyed sinks."""
+    store are written from a batch fold over the messages. With ``since``, the
+    stream's last watermark, only windows that end after it are written."""
     o = opts.with_(validity="metric", bp_threshold_mode="standalone")
     p = AN.anchored_partials(parse_health(messages_batch, o), o).select(
         "user_id",
@@ -84,10 +89,14 @@ def drain_anchored(spark: SparkSession, messages_batch: DataFrame, root: str, op
         F.unix_micros("window_end").alias("window_end_us"),
         "n",
         "s1",
+        "f1",
         "s2",
+        "f2",
         "mn",
         "mx",
     )
+    if since is not None:
+        p = p.filter(F.timestamp_micros("window_end_us") > F.lit(since).cast("timestamp"))
     anchored_sink(spark, root, o)(p, -1)
 
 

@@ -58,7 +58,7 @@ def test_anchored_fold_matches_brute_force(spark):
     )
     opts = DEFAULT.with_(hr_window_minutes=7)
     got = {
-        (r.user_id, r.window_start.astimezone(timezone.utc)): (r.n, r.s1 // 1_000_000)
+        (r.user_id, r.window_start.astimezone(timezone.utc)): (r.n, int(r.s1))
         for r in anchored_partials(df, opts, ("heart_rate",)).collect()
     }
     assert got == _brute(rows, 7)

@@ -49,7 +49,10 @@ def test_kafka_options():
     from pulsegrid.sources.streams import kafka_sink_options
 
     o = kafka_options(TABLE_OPTS, ("a", "b"))
-    assert o["subscribe"] == "a,b" and o["startingOffsets"] == "latest" and o["maxOffsetsPerTrigger"] == "100"
+    assert o["subscribe"] == "a,b" and o["startingOffsets"] == "latest"
+    assert not {"maxOffsetsPerTrigger", "failOnDataLoss", "kafka.group.id"} & set(o)
+    assert kafka_options(TABLE_OPTS.with_(max_offsets_per_trigger=7))["maxOffsetsPerTrigger"] == "7"
+    assert kafka_options(TABLE_OPTS)["groupIdPrefix"] != kafka_options(TABLE_OPTS, group=TABLE_OPTS.ingest_group)["groupIdPrefix"]
     k = kafka_sink_options(TABLE_OPTS)
     assert k["kafka.acks"] == "all" and k["kafka.retries"] == "3"
 
@@ -77,12 +80,39 @@ def test_guard(sql, mode, ok):
 
 
 def test_limit_injection(spark):
-    assert G.with_limit("SELECT 1") == "SELECT 1 LIMIT 100"
-    assert G.with_limit("SELECT * FROM (SELECT 1 LIMIT 5)") == "SELECT * FROM (SELECT 1 LIMIT 5)"
+    assert not G.names_limit("SELECT 1 -- LIMIT 5") and G.names_limit("SELECT * FROM (SELECT 1 LIMIT 5)")
+    assert G.run_query(spark, "SELECT id FROM range(1000) -- all")["row_count"] == 100
+    assert G.run_query(spark, "SELECT id FROM range(1000) LIMIT 300")["row_count"] == 300
+    assert G.run_query(spark, "SELECT id FROM range(20000) LIMIT 20000")["row_count"] == G.MAX_ROWS
     res = G.run_query(spark, "SELECT id FROM range(1000)", limit=7)
     assert res["row_count"] == 7 and res["columns"] == ["id"]
 
 
+def test_select_lists_of_any_shape(spark):
+    assert G.run_query(spark, "SELECT 1.5")["rows"] == [{"1.5": __import__("decimal").Decimal("1.5")}]
+    res = G.run_query(spark, "SELECT a.id, b.id, avg(a.id * 1.0) FROM range(3) a JOIN range(3) b ON a.id = b.id GROUP BY a.id, b.id ORDER BY 1")
+    assert res["columns"][:2] == ["id", "id"] and [v[:2] for v in res["values"]] == [[0, 0], [1, 1], [2, 2]]
+    res = G.run_query(spark, """SELECT '{"x": [1, null]}' AS raw_data""")
+    assert res["rows"] == [{"raw_data": {"x": [1, None]}}]
+
+
+def test_no_way_out_of_the_tables(spark, scratch):
+    for mode in ("compat", "strict"):
+        with pytest.raises(G.QueryRefused):
+            G.run_query(spark, "SELECT reflect('java.util.UUID', 'randomUUID')", mode=mode)
+        with pytest.raises(G.QueryRefused):
+            G.run_query(spark, "SELECT `java_method` /* x */ ('java.util.UUID', 'randomUUID')", mode=mode)
+    G.run_query(spark, "SELECT 'reflect(1)' AS t")
+    spark.range(3).write.parquet(scratch + "/t")
+    with pytest.raises(Exception):
+        G.run_query(spark, f"SELECT * FROM parquet.`{scratch}/t`")
+
+
+def test_kafka_json_keeps_nulls(spark):
+    df = spark.createDataFrame([("w1", "wearable", None)], "device_id string, device_type string, v int")
+    assert I.kafka_value_json(df).first().value == '{"device_id":"w1","device_type":"wearable","v":null}'
+
+
 def test_page_bounds(spark):
     df = spark.range(10).select(F.col("id").alias("kafka_offset"), F.lit(0).alias("kafka_partition"), F.current_timestamp().alias("ingested_at"))
     with pytest.raises(B.BrowseError):
