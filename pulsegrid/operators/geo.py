@@ -57,5 +57,6 @@ def distance(fixes: DataFrame, bucket: str = "hour") -> DataFrame:
     seg = F.when(F.col("next_event_id").isNotNull(), F.col("speed_kmh") / 3600 * secs)
     return p.groupBy("vehicle_id").agg(
         F.count(F.lit(1)).alias("fixes"),
-        F.round(F.sum(seg), 3).alias("distance_km"),
+        # a decimal sum: the same in whatever order the segments meet
+        round_half_even(F.sum(seg.cast("decimal(28,9)")).cast("double"), 3).alias("distance_km"),
     )

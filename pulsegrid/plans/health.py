@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import options as O
 from ..operators import alerts as A
@@ -42,6 +43,18 @@ def sugar_window_metrics(spark, sf_dir):
     return _flat(W.blood_sugar_windows(readings(spark, sf_dir), TABLE_OPTS))
 
 
+def window_results(spark, sf_dir):
+    """The window results of the three metrics with their alert's type, value,
+    threshold label and severity (null where a window has no alert)."""
+    res = W.all_windows(readings(spark, sf_dir), TABLE_OPTS)
+    label = {"hr": F.col("alert.threshold").cast("string"), "bp": F.col("alert.thresholds"), "sugar": F.col("alert.threshold").cast("string")}
+    value = {"hr": "alert.value", "bp": "alert.systolic", "sugar": "alert.value"}
+    shape = lambda m: res[m].select(
+        "type", "window_start", "window_end", "user_id", "reading_count", F.col("alert.type").alias("alert_type"),
+        F.col(value[m]).alias("alert_value"), label[m].alias("threshold"), F.col("alert.severity").alias("severity"))
+    return ntz(A.union_all([shape(m) for m in ("hr", "bp", "sugar")]))
+
+
 def hr_window_metrics_metric_mode(spark, sf_dir):
     """Per-metric validity: floats kept, only the bad field dropped."""
     return _flat(W.heart_rate_windows(readings(spark, sf_dir, TABLE_OPTS_METRIC), TABLE_OPTS_METRIC))
@@ -109,6 +122,7 @@ def anchored_alerts(spark, sf_dir):
 
 
 QUERIES = {
+    "window_results": window_results,
     "anchored_hr": anchored_hr,
     "anchored_alerts": anchored_alerts,
     "anchored_bp": anchored_bp,

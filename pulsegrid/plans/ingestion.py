@@ -28,6 +28,13 @@ def topic_routing(spark, sf_dir):
     return raw_table(spark, sf_dir).groupBy("table", "ingest_date").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def kafka_sink_rows(spark, sf_dir):
+    """Device messages as Kafka rows; the reading is null for every third event."""
+    dev = X.device_messages(prepare(spark), sf_dir)
+    rows = dev.select("device_id", "device_type", "event_id", F.when(F.col("event_id") % 3 > 0, F.col("event_id") % 100).alias("reading"), "is_anomaly")
+    return I.kafka_value_json(rows)
+
+
 def topic_stats(spark, sf_dir):
     k = X.kafka_records(prepare(spark), sf_dir)
     return ntz(I.topic_stats(I.enrich(k, now=F.col("timestamp"))))
@@ -64,6 +71,7 @@ def latest_alerts(spark, sf_dir):
 
 
 QUERIES = {
+    "kafka_sink_rows": kafka_sink_rows,
     "enriched_messages": enriched_messages,
     "topic_routing": topic_routing,
     "topic_stats": topic_stats,

@@ -50,10 +50,12 @@ SELECT vehicle_id, make_timestamp(f + i * {STEP}) AS grid_ts,
        longitude + (nlng - longitude) * (CAST(f + i * {STEP} - a AS DOUBLE) / CAST(b - a AS DOUBLE)) AS longitude
 FROM g, range(0, CASE WHEN f < b THEN (b - 1 - f) // {STEP} + 1 ELSE 0 END) t(i)""",
     "gps_distance": with_(EV, FX, PR)
-    + """SELECT vehicle_id, count(*) AS fixes,
-       round(sum(CASE WHEN next_event_id IS NOT NULL
-                      THEN speed_kmh / 3600 * (CAST(epoch_us(next_ts) - epoch_us(ts) AS DOUBLE) / 1e6) END), 3) AS distance_km
-FROM pr GROUP BY vehicle_id""",
+    + f"""SELECT vehicle_id, count(*) AS fixes, {pyround("km", 3)} AS distance_km FROM (
+SELECT vehicle_id, next_event_id,
+       CAST(sum(CAST(CASE WHEN next_event_id IS NOT NULL
+                          THEN speed_kmh / 3600 * (CAST(epoch_us(next_ts) - epoch_us(ts) AS DOUBLE) / 1e6) END AS DECIMAL(28, 9)))
+            OVER (PARTITION BY vehicle_id) AS DOUBLE) AS km
+FROM pr) GROUP BY vehicle_id, km""",
     "order_items": """SELECT 'D' || CAST(101 + l_partkey % 50 AS VARCHAR) AS dish_code,
        count(DISTINCT o_orderkey) AS orders,
        CAST(sum(CAST(trunc(l_quantity) AS INTEGER) % 3 + 1) AS BIGINT) AS quantity

@@ -168,6 +168,18 @@ SQL = {
     "bp_alerts_stream": with_(EV, REC, _bp_groups()) + bp_alerts_sql(0),
     "bp_alerts_standalone": with_(EV, REC, _bp_groups()) + bp_alerts_sql(140),
     "sugar_alerts": with_(EV, REC, _sugar_groups()) + SUGAR_ALERTS,
+    "window_results": with_(EV, REC, _hr_groups(), _bp_groups(), _sugar_groups())
+    + f"""SELECT 'heart_rate_1min' AS type, window_start, window_end, user_id, n AS reading_count,
+  CASE WHEN a > 100 THEN 'elevated_heart_rate' END AS alert_type, CASE WHEN a > 100 THEN {pyround("a", 2)} END AS alert_value,
+  CASE WHEN a > 100 THEN '100' END AS threshold, CASE WHEN a > 100 THEN CASE WHEN a < 120 THEN 'warning' ELSE 'critical' END END AS severity FROM hr
+UNION ALL
+SELECT 'blood_pressure_1min', window_start, window_end, user_id, n, CASE WHEN s >= 140 OR d >= 90 THEN 'elevated_blood_pressure' END,
+  CASE WHEN s >= 140 OR d >= 90 THEN {pyround("s", 2)} END, CASE WHEN s >= 140 OR d >= 90 THEN '140/90' END,
+  CASE WHEN s >= 140 OR d >= 90 THEN CASE WHEN s < 160 THEN 'warning' ELSE 'critical' END END FROM bp
+UNION ALL
+SELECT 'blood_sugar_10min', window_start, window_end, user_id, n, CASE WHEN a >= 180 THEN 'elevated_blood_sugar' END,
+  CASE WHEN a >= 180 THEN {pyround("a", 2)} END, CASE WHEN a >= 180 THEN '180' END,
+  CASE WHEN a >= 180 THEN CASE WHEN a < 250 THEN 'warning' ELSE 'critical' END END FROM su""",
     "metrics_1min": with_(EV, REC, _hr_groups(), _bp_groups())
     + _metric_sel("hr", "heart_rate", pyround("a", 2), "mn", "mx")
     + "\nUNION ALL\n"

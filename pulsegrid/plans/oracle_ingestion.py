@@ -29,6 +29,13 @@ FROM (SELECT * FROM raw WHERE {where}
 
 
 SQL = {
+    "kafka_sink_rows": with_(EV)
+    + """SELECT d || '_' || CAST(uid AS VARCHAR) AS key,
+  '{"device_id":"' || d || '_' || CAST(uid AS VARCHAR) || '","device_type":"' || d || '","event_id":' || CAST(event_id AS VARCHAR)
+  || ',"reading":' || CASE WHEN event_id % 3 > 0 THEN CAST(event_id % 100 AS VARCHAR) ELSE 'null' END
+  || ',"is_anomaly":' || CASE WHEN k < 5 THEN 'true' ELSE 'false' END || '}' AS value,
+  'virtual-' || d || 's' AS topic
+FROM (SELECT *, CASE WHEN uid % 2 = 0 THEN 'wearable' ELSE 'restaurant' END AS d FROM ev)""",
     "enriched_messages": with_(EV, RAW) + "SELECT * FROM raw",
     "topic_routing": with_(EV, RAW)
     + """SELECT "table", CAST(ingested_at AS DATE) AS ingest_date, count(*) AS "rows" FROM raw GROUP BY 1, 2""",
