@@ -290,6 +290,25 @@ def count_words(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def frequent_words(counts: DataFrame) -> list[tuple[bytes, int]]:
+    """At most ``HEAD`` words and their counts, the most frequent first: all
+    from the lowest count class on that lets them fit (16 classes per octave;
+    if even the first class is too large, its words by hash)."""
+    own = counts.where(F.length("word") <= HEAD_BYTES).withColumn("class", F.floor(F.log2("c") * 16))
+    sizes = own.groupBy("class").agg(F.count("*").alias("n")).orderBy(F.col("class").desc()).collect()  # about 1000 at most
+    total, least = 0, None
+    for r in sizes:
+        if total + r["n"] > HEAD:
+            break
+        total, least = total + r["n"], r["class"]
+    if least is None:
+        own = own.orderBy(F.xxhash64("word")).limit(HEAD if sizes else 0)
+    else:
+        own = own.where(F.col("class") >= least)
+    rows = [(bytes(r["word"]), r["c"]) for r in own.select("word", "c").collect()]
+    return sorted(rows, key=lambda x: (-x[1], x[0]))
+
+
 def train(docs: DataFrame, counts: DataFrame) -> Scorer:
     """The scorer for training documents ``docs`` with their ``counts``."""
     ends = docs.count()
@@ -299,8 +318,7 @@ def train(docs: DataFrame, counts: DataFrame) -> Scorer:
     for r in sums:
         tail_sums[r["tail"]], tail_types[r["tail"]] = r["c"], r["n"]
     tokens, types = int(tail_sums.sum()) + ends, int(tail_types.sum()) + (ends > 0)
-    head = counts.where(F.length("word") <= HEAD_BYTES).orderBy(F.col("c").desc(), "word").limit(HEAD).collect()
-    scorer = Scorer([(bytes(r["word"]), r["c"]) for r in head], tokens, types, ends, tail_sums, tail_types)
+    scorer = Scorer(frequent_words(counts), tokens, types, ends, tail_sums, tail_types)
     scorer.tokens, scorer.types = tokens, types
     few = docs.where(F.coalesce(F.length("text"), F.lit(0)) <= SAMPLE_CHARS).select("doc_id", F.xxhash64("doc_id").alias("key"))
     few = few.orderBy("key", "doc_id").limit(SAMPLE_DOCS).select("doc_id").distinct()
