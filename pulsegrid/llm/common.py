@@ -33,6 +33,34 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_HELD: dict = {}
+
+
+def held_by_worker(key, make):
+    """What ``make`` returns, kept by this Python worker while it runs tasks
+    that ask for ``key``. A worker holds one such thing: the next operator's
+    tasks let go of it, as workers outlive the stages they serve."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def row_key(df: DataFrame) -> list[Column]:
+    """k1, k2: 128 bits that name a row by its content, so that a narrow table
+    can point at rows without a copy of them. Rows that repeat share a key."""
+    own = [df[f.name] for f in df.schema.fields if f.dataType.typeName() != "map"]
+    return [F.xxhash64(F.lit(k), *own).alias(f"k{k}") for k in (1, 2)]
+
+
+def keyed_rows(docs: DataFrame, narrow: DataFrame) -> DataFrame:
+    """The rows of ``docs`` as (doc, k1, k2), rows that repeat once; ``narrow``
+    has the keys of all rows. Texts are only shuffled if some rows repeat."""
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), *row_key(docs))
+    repeats = narrow.groupBy("k1", "k2").count().where("count > 1").limit(1).count()
+    return rows.dropDuplicates(["k1", "k2"]) if repeats else rows
+
+
 def open_folder(folder: str):
     """File system and path of a URL or a plain path (for files that tasks
     write and read themselves in the shared folder)."""

@@ -29,13 +29,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage, text_slices
+from .common import held_by_worker, stage, text_slices
 
 ERROR_RATE = 0.08
 MIN_CHARS = 24
 BLOCK_CHARS = 4_000_000
 _OTHER = re.compile(r"[\W_]+")
-_LOADED: dict[tuple[str, float], "Matcher"] = {}
 
 
 #: Latin-1 byte -> itself if a letter or digit, else a blank (a faster way for such texts)
@@ -152,10 +151,7 @@ class Matcher:
 def _matcher(shared, error_rate: float) -> Matcher:
     """The matcher of a broadcast (name, items), made once per worker."""
     name, items = shared.value
-    if (name, error_rate) not in _LOADED:
-        _LOADED.clear()
-        _LOADED[name, error_rate] = Matcher(items, error_rate)
-    return _LOADED[name, error_rate]
+    return held_by_worker((name, error_rate), lambda: Matcher(items, error_rate))
 
 
 def _share(items: list[tuple[int, str]], spark):

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, stage
+from .common import WORD, keyed_rows, row_key, stage
 
 BLOCK = 128
 SHARD_WORDS = 65536
@@ -140,13 +140,12 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix: each row as many times as the mix takes it,
     rounded to whole documents; rows of which less than half is taken go."""
-    own = docs.columns
-    marked = docs.select(F.struct(*[docs[c] for c in own]).alias("doc"), words_of(docs["text"]).alias("size"))
-    marked = stage(marked.withColumn("row", F.monotonically_increasing_id()), "mix")
-    rows = marked.select("row", F.col("doc.doc_id").alias("doc_id"), F.col("doc.source").alias("source"), "size")
-    times = mix(rows, **options).where("size > 0").select("row", F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("times"))
-    times = stage(times.where("times > 0"), "times")
-    return marked.join(times, "row").select("doc", F.explode(F.sequence(F.lit(1), "times"))).select("doc.*")
+    narrow = docs.select(*row_key(docs), docs["doc_id"].alias("doc_id"), docs["source"].alias("source"), words_of(docs["text"]).alias("size"))
+    narrow = stage(narrow, "sizes")
+    times = mix(narrow, **options).where("size > 0").select("k1", "k2", F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("times"))
+    times = stage(times.groupBy("k1", "k2").agg(F.sum("times").cast("int").alias("times")).where("times > 0"), "times")
+    rows = keyed_rows(docs, narrow).join(times, ["k1", "k2"])
+    return rows.select("doc", F.explode(F.sequence(F.lit(1), "times"))).select("doc.*")
 
 
 ORACLE = r"""

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import held_by_worker, keyed_rows, row_key, stage
 from .components import connected_components
 
 SHINGLE = 3
@@ -58,6 +58,7 @@ def simhash(text: str | Column, shingle: int = SHINGLE) -> Column:
 
     @F.pandas_udf("long")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        held_by_worker("simhash", object)  # lets go of what an earlier stage kept
         for texts in batches:
             prints = [fingerprint(t if isinstance(t, str) else None, shingle) for t in texts]
             yield pd.Series(np.array(prints, np.uint64).view(np.int64))
@@ -115,13 +116,11 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs`` with one row of each component: that with the
-    smallest doc_id (nulls last; of repeated rows the first as stored)."""
-    own = docs.columns
-    marked = docs.select(F.struct(*[docs[c] for c in own]).alias("doc"), docs["doc_id"].alias("doc_id"), simhash(docs["text"], shingle).alias("fp"))
-    marked = stage(marked.withColumn("row", F.monotonically_increasing_id()), "marked")
-    best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")).alias("best")
-    least = marked.groupBy("fp").agg(best)
-    least = least.join(link(marked, max_bits).withColumnRenamed("node", "fp"), "fp", "left")
-    kept = least.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("best").alias("best"))
-    kept = stage(kept.select(F.col("best.row").alias("row")), "kept")
-    return marked.join(kept, "row", "left_semi").select("doc.*")
+    smallest doc_id (nulls last; of rows with one doc_id that with the least key)."""
+    narrow = docs.select(docs["doc_id"].alias("doc_id"), *row_key(docs), simhash(docs["text"], shingle).alias("fp"))
+    narrow = stage(narrow, "marked")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k1", "k2")).alias("best")
+    least = narrow.groupBy("fp").agg(best).join(link(narrow, max_bits).withColumnRenamed("node", "fp"), "fp", "left")
+    kept = least.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("best").alias("best")).select("best.k1", "best.k2")
+    gone = stage(narrow.select("k1", "k2").distinct().join(kept, ["k1", "k2"], "left_anti"), "gone")
+    return keyed_rows(docs, narrow).join(gone, ["k1", "k2"], "left_anti").select("doc.*")

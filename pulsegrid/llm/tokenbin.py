@@ -26,6 +26,7 @@ with other arrangements of white space are encoded whole.
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 import zlib
@@ -38,14 +39,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import open_folder, shared_path, stage, text_slices
+from .common import held_by_worker, open_folder, shared_path, stage, text_slices
 
 MAGIC = b"PFOR1\0\0\0"
 BLOCK = 4096
 PERCENTILE = 90
 END_ID = 0
-CACHE_PIECES = 1_200_000
-CACHE_CHARS = 40
+CACHE_PIECES = 600_000
+CACHE_CHARS = 10_000
 SLICE_BYTES = 4 << 20
 READ_BLOCKS = 128
 JOINED = 2000
@@ -180,9 +181,6 @@ class PieceEncoder:
         vocabulary = tokenizer.get_vocab()
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
         self.opens[[i for token, i in vocabulary.items() if token.startswith(BLANK)]] = True
-        self.clear()
-
-    def clear(self) -> None:
         self.number: dict = {0: 0}  # the end id is entry 0
         self.flat = np.array([END_ID], np.uint32)
         self.start, self.size = np.array([0]), np.array([1])
@@ -226,10 +224,7 @@ class PieceEncoder:
         if bad:  # white space beside a cut: the whole text is one piece
             parts = [own if bad.isdisjoint(own) else [" " + (t or ""), 0] for t, own in zip(texts, parts)]
             flat, at, new = self._look_up(parts)
-        if len(self.number) + len(new) > self.limit:
-            self.clear()
-            flat, at, new = self._look_up(parts)
-        keys = sorted(new)
+        keys, before = sorted(new), (len(self.flat), len(self.start))
         if keys:
             ids, sizes = self._ids(keys)
             begin = len(self.flat) + np.concatenate(([0], np.cumsum(sizes)[:-1]))
@@ -243,24 +238,19 @@ class PieceEncoder:
         shift = self.start[at] - np.concatenate(([0], np.cumsum(sizes)[:-1]))
         ids = self.flat[np.repeat(shift, sizes) + np.arange(int(sizes.sum()))]
         lengths = np.add.reduceat(sizes, np.concatenate(([0], np.cumsum(counts)[:-1])))
-        long = [k for k in keys if len(k) > CACHE_CHARS]
-        if sum(map(len, long)) > 64 * self.limit:  # long texts don't stay
-            self.clear()
+        # what comes first stays, as frequent pieces do; beyond the bound new ones go again
+        if len(self.number) > self.limit or any(len(k) > CACHE_CHARS for k in keys):
+            for k in keys:
+                del self.number[k]
+            self.flat, self.start, self.size = self.flat[: before[0]], self.start[: before[1]], self.size[: before[1]]
         return ids, lengths
 
 
-_ENCODERS: dict[str, PieceEncoder] = {}
-
-
 def _encoder(path: str) -> PieceEncoder:
-    if path not in _ENCODERS:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
 
-        _ENCODERS[path] = PieceEncoder(Tokenizer.from_file(path))
-    return _ENCODERS[path]
+    return held_by_worker(("tokens", path), lambda: PieceEncoder(Tokenizer.from_file(path)))
 
 
 # ---------------------------------------------------------------- Spark

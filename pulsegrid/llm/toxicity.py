@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod
+from .common import crc_mod, held_by_worker
 
 SAMPLE_TOXIC = 1200
 SAMPLE_CLEAN = 2400
@@ -31,7 +31,7 @@ SAMPLE_CHARS = 20_000
 ORDERS = (3, 4, 5, 6)
 MAX_FEATURES = 1024
 TABLE_BITS = 20
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 1_000_000
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(1_000_003)
@@ -189,6 +189,7 @@ def toxicity(text: str | Column, model: dict, spark) -> Column:
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        held_by_worker("toxicity", object)  # lets go of what an earlier stage kept
         model = shared.value
         hit = None if model["bias"] is None else _filter_table(model)
         for texts in batches:
