@@ -123,4 +123,5 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
     least = narrow.groupBy("fp").agg(best).join(link(narrow, max_bits).withColumnRenamed("node", "fp"), "fp", "left")
     kept = least.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("best").alias("best")).select("best.k1", "best.k2")
     gone = stage(narrow.select("k1", "k2").distinct().join(kept, ["k1", "k2"], "left_anti"), "gone")
-    return keyed_rows(docs, narrow).join(gone, ["k1", "k2"], "left_anti").select("doc.*")
+    # a merge join at every size, not a broadcast where few rows go
+    return keyed_rows(docs, narrow).join(gone.hint("merge"), ["k1", "k2"], "left_anti").select("doc.*")
