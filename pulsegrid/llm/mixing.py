@@ -35,6 +35,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 CAP = 2.0
 SEED = 7
+FRACTION_BITS = 30
 
 
 def words_of(text: Column) -> Column:
@@ -90,7 +91,7 @@ def _hash(*parts: Column | str) -> Column:
 
 def mix(rows: DataFrame, block=BLOCK, shard_words=SHARD_WORDS, weights=WEIGHTS, share=SHARE, cap=CAP, seed=SEED) -> DataFrame:
     """``rows`` (doc_id, source, size, and any others) with source_size,
-    target and taken."""
+    target, taken, and the src and shard they were laid in."""
     own = rows.columns
     sources = targets(rows, weights, share, cap)
     every = Window.partitionBy(F.lit(0))
@@ -127,7 +128,7 @@ def mix(rows: DataFrame, block=BLOCK, shard_words=SHARD_WORDS, weights=WEIGHTS,
         return f"CASE WHEN {x} <= 0 THEN 0L ELSE {at}.before + {at}.times * ({x} - {at}.start) END"
 
     taken = F.expr(f"CASE WHEN size = 0 THEN 0L ELSE ({upto('_end')}) - ({upto('(_end - size)')}) END")
-    return laid.select(*own, "source_size", "target", taken.alias("taken"))
+    return laid.select(*own, "source_size", "target", taken.alias("taken"), "src", F.col("_shard").alias("shard"))
 
 
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
@@ -137,12 +138,27 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def whole_documents(mixed: DataFrame, seed=SEED) -> DataFrame:
+    """``times``: taken / size, rounded to whole documents without loss to a
+    shard. Its documents, by size, get the ups of their running sum of
+    fractions from a seeded start: each is rounded up with the probability of
+    its fraction, and as sizes ascend, a shard's words differ from those taken
+    of it by less than its largest document."""
+    order = Window.partitionBy("src", "shard").orderBy("size", _hash(str(seed), "whole", F.col("doc_id")), "taken", "k1", "k2")
+    one = 1 << FRACTION_BITS
+    rows = mixed.where("size > 0").withColumn("_part", F.expr(f"taken % size * {one}L div size"))
+    rows = rows.withColumn("_start", F.pmod(_hash(str(seed), "start", F.col("src"), F.col("shard")), F.lit(one)))
+    rows = rows.withColumn("_upto", F.col("_start") + F.sum("_part").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    times = F.expr(f"taken div size + _upto div {one}L - (_upto - _part) div {one}L")
+    return rows.withColumn("times", times.cast("int")).drop("_part", "_start", "_upto")
+
+
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix: each row as many times as the mix takes it,
-    rounded to whole documents; rows of which less than half is taken go."""
+    in whole documents (``whole_documents``)."""
     narrow = docs.select(*row_key(docs), docs["doc_id"].alias("doc_id"), docs["source"].alias("source"), words_of(docs["text"]).alias("size"))
     narrow = stage(narrow, "sizes")
-    times = mix(narrow, **options).where("size > 0").select("k1", "k2", F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("times"))
+    times = whole_documents(mix(narrow, **options), options.get("seed", SEED))
     times = stage(times.groupBy("k1", "k2").agg(F.sum("times").cast("int").alias("times")).where("times > 0"), "times")
     rows = keyed_rows(docs, narrow).join(times, ["k1", "k2"])
     return rows.select("doc", F.explode(F.sequence(F.lit(1), "times"))).select("doc.*")

@@ -1,3 +1,5 @@
+import random
+
 import duckdb
 from pyspark.sql import functions as F
 
@@ -51,3 +53,22 @@ def test_mixed_rows_keep_columns_and_targets(spark, odd_docs, no_docs):
 def test_native_plan(spark, odd_docs):
     plan = mixing.mix(odd_docs.select("doc_id", "source", "size"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_mixed_rows_meet_each_target_in_whole_documents(spark):
+    rng = random.Random(5)
+    sizes = {"a": [2000] * 150, "b": [rng.randint(1, 6000) for _ in range(150)], "c": [rng.randint(1, 200) for _ in range(900)] + [9000] * 30}
+    rows = [(k, s, f"d{k} " + "w " * (n - 1)) for k, (s, n) in enumerate((s, n) for s, own in sizes.items() for n in own)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    for share in (0.25, 0.45, 1.3):
+        narrow = docs.select("doc_id", "source", mixing.words_of(F.col("text")).alias("size"))
+        want = {r["source"]: r["target"] for r in mixing.targets(narrow, share=share).collect()}
+        out = mixing.mixed_rows(docs, share=share).select("source", mixing.words_of(F.col("text")).alias("n"))
+        got = {r["source"]: r["words"] for r in out.groupBy("source").agg(F.sum("n").alias("words")).collect()}
+        for source, own in sizes.items():
+            shards = -(-sum(own) // mixing.SHARD_WORDS)
+            miss = abs(got[source] - want[source])
+            assert miss <= shards * max(own) and miss <= max(0.12 * want[source], 2 * max(own)), (share, source)
+            if source == "c":
+                long = out.where("source = 'c' AND n = 9000").count() / 30
+                assert abs(long - want["c"] / sum(own)) < 0.25
