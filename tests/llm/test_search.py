@@ -117,6 +117,31 @@ def test_near_passages_are_found(spark, sentence_of):
     assert got == {x: a for a, b in pairs for x in (a, b)}
 
 
+def test_pairs_around_boilerplate_are_found(spark, sentence_of):
+    rng = random.Random(6)
+    line = sentence_of(rng, 45)
+    docs, pairs = [], {}
+    for k in range(300):
+        docs.append((k, " ".join([sentence_of(rng, 30), line, sentence_of(rng, 30)])))
+    for k in range(300, 340, 2):  # ten more words of the line's surroundings, before or after it
+        more = sentence_of(rng, 10)
+        for j in (k, k + 1):
+            about = [more, line] if k % 4 else [line, more]
+            if k % 3 == 0:  # the line once more, elsewhere
+                about = [line, sentence_of(rng, 30), *about]
+            docs.append((j, " ".join([sentence_of(rng, 30), *about, sentence_of(rng, 30)])))
+            pairs[j] = k
+    got = W.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string").repartition(5)).collect()
+    assert {r.doc_id: r.class_id for r in got} == pairs
+    assert all(55 <= r.n_words <= 57 for r in got)
+
+
+def test_a_text_of_one_word_meets_others(spark):
+    docs = [(1, "w " * 5000), (2, "w " * 300), (3, "v " * 49)]
+    got = {r.doc_id: (r.class_id, r.n_words) for r in W.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {1: (1, 5000), 2: (1, 300)}
+
+
 def test_verify_measures_similarity():
     a = np.arange(200, dtype=np.uint32)
     b = np.r_[np.arange(900, 950), a[20:140], np.arange(950, 990)].astype(np.uint32)
