@@ -12,9 +12,10 @@ such a class P(word) = (c + 0.5) / (counts of the class + 0.5 * (its words +
 1)) from the corpus counts, so that the whole is a distribution over known
 words and one unknown word per class. The end is a class of its own. Biases
 start at the log shares of the whole corpus. Weights are fitted in numpy by
-truncated backpropagation on a bounded, documented sample of training
+truncated backpropagation: they start from a bounded sample of training
 documents (``SAMPLE_DOCS`` of at most ``SAMPLE_CHARS`` characters, the first by
-hash of doc_id). Scoring reads whole documents, many side by side, in windows
+hash of doc_id), from which every task reads all of its training documents,
+long ones too, and the tasks' weights are averaged by their tokens. Scoring reads whole documents, many side by side, in windows
 of ``WINDOW`` tokens, the state being carried from window to window.
 
 A null text is the empty text: the end alone. Rows with a null doc_id are
@@ -24,6 +25,7 @@ training documents all counts are 0 and the network keeps its first weights.
 
 from __future__ import annotations
 
+import copy
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -46,6 +48,8 @@ SAMPLE_DOCS = 1500
 SAMPLE_CHARS = 20_000
 EPOCHS = 2
 BATCH = 64
+FIT_TOKENS = 200_000
+FIT_RATE = 0.003
 FLUSH_WORDS = 300_000
 SLICE_BYTES = 16 << 20
 ROWS_AT_ONCE = 32_768
@@ -151,16 +155,20 @@ class GRU:
 
     # ------------------------------------------------------------ training
 
-    def fit(self, docs: list[np.ndarray], epochs: int = EPOCHS, seed: int = SEED) -> "GRU":
+    def fit(self, docs: list[np.ndarray], epochs: int = EPOCHS, seed: int = SEED, moments: list | None = None, pace: float = 0.01) -> "GRU":
         """Truncated backpropagation: documents end to end in ``BATCH`` rows,
         windows of ``WINDOW`` tokens, the state carried but not its gradient;
-        it restarts where a document ends."""
+        it restarts where a document ends. With ``moments`` (empty at first)
+        the optimizer goes on from call to call."""
         if not docs:
             return self
         rng = np.random.default_rng(seed)
-        first = {k: np.zeros_like(v) for k, v in self.p.items()}
-        second = {k: np.zeros_like(v) for k, v in self.p.items()}
-        steps = 0
+        if moments:
+            first, second, steps = moments
+        else:
+            first = {k: np.zeros_like(v) for k, v in self.p.items()}
+            second = {k: np.zeros_like(v) for k, v in self.p.items()}
+            steps = 0
         for epoch in range(epochs):
             flat = np.concatenate([docs[k] for k in rng.permutation(len(docs))])
             rows = min(BATCH, max(1, len(flat) // WINDOW))
@@ -170,13 +178,15 @@ class GRU:
                 h, g = self._window(grid[:, k : k + WINDOW], h)
                 steps += 1
                 norm = float(np.sqrt(sum(float((x * x).sum()) for x in g.values())))
-                rate = 0.01 * (0.3 if epoch == epochs - 1 and k > width // 2 else 1)
+                rate = pace * (0.3 if moments is None and epoch == epochs - 1 and k > width // 2 else 1)
                 rate *= (1 - 0.999**steps) ** 0.5 / (1 - 0.9**steps)
                 for name, x in g.items():
                     x = x * min(1.0, 5.0 / (norm + 1e-9))
                     first[name] += 0.1 * (x - first[name])
                     second[name] += 0.001 * (x * x - second[name])
                     self.p[name] -= (rate * first[name] / (np.sqrt(second[name]) + 1e-6)).astype(np.float32)
+        if moments is not None:
+            moments[:] = first, second, steps
         return self
 
     def _window(self, tokens: np.ndarray, h: np.ndarray):
@@ -322,12 +332,52 @@ def train(docs: DataFrame, counts: DataFrame) -> Scorer:
     scorer.tokens, scorer.types = tokens, types
     few = docs.where(F.coalesce(F.length("text"), F.lit(0)) <= SAMPLE_CHARS).select("doc_id", F.xxhash64("doc_id").alias("key"))
     few = few.orderBy("key", "doc_id").limit(SAMPLE_DOCS).select("doc_id").distinct()
-    sample = docs.where(F.coalesce(F.length("text"), F.lit(0)) <= SAMPLE_CHARS).join(F.broadcast(few), "doc_id", "left_semi").limit(2 * SAMPLE_DOCS)
+    sample = docs.where(F.coalesce(F.length("text"), F.lit(0)) <= SAMPLE_CHARS).join(F.broadcast(few), "doc_id", "left_semi")
+    sample = sample.orderBy("doc_id", F.xxhash64("text")).limit(2 * SAMPLE_DOCS)
     texts = sorted((r["doc_id"], r["text"] or "") for r in sample.select("doc_id", "text").collect())
     scorer.net.fit([scorer.tokens_of(words(t))[0] for _, t in texts])
+    fit_everywhere(scorer, docs)
     return scorer
 
 
+def fit_everywhere(scorer: Scorer, docs: DataFrame) -> None:
+    """One pass over all of ``docs``: each task goes on from the scorer's
+    weights over its own documents; the mean of the tasks' weights, by tokens,
+    is summed in a tree."""
+    shared = docs.sparkSession.sparkContext.broadcast(scorer)
+    names = list(scorer.net.p)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, net = shared.value, copy.copy(shared.value.net)
+        net.p = {k: v.copy() for k, v in net.p.items()}
+        moments, chunk, held, total = [], [], 0, 0
+        for batch in batches:
+            for _, texts in text_slices(batch.column(0), SLICE_BYTES):
+                for t in texts:
+                    chunk.append(own.tokens_of(words(t))[0])
+                    held += len(chunk[-1])
+                    if held >= FIT_TOKENS:
+                        net.fit(chunk, 1, moments=moments, pace=FIT_RATE)
+                        chunk, held, total = [], 0, total + held
+        net.fit(chunk, 1, moments=moments, pace=FIT_RATE)
+        total += held
+        if total:
+            data = [net.p[k].astype(np.float32).tobytes() for k in names]
+            yield pa.RecordBatch.from_arrays([pa.array([total], pa.int64()), pa.array([data], pa.list_(pa.binary()))], names=["tokens", "weights"])
+
+    def add(a, b):
+        return b if a is None else a if b is None else (a[0] + b[0], [x + y for x, y in zip(a[1], b[1])])
+
+    def weighted(r):
+        return r["tokens"], [np.frombuffer(x, np.float32).astype(np.float64) * r["tokens"] for x in r["weights"]]
+
+    fitted = docs.select("text").mapInArrow(run, "tokens long, weights array<binary>").rdd.map(weighted)
+    got = fitted.treeAggregate(None, add, add) if fitted.getNumPartitions() else None
+    if got:
+        for k, x in zip(names, got[1]):
+            scorer.net.p[k] = (x / got[0]).astype(np.float32).reshape(scorer.net.p[k].shape)
+
+
 def score_documents(docs: DataFrame, fold_mod: int = 5) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

@@ -159,3 +159,10 @@ def test_lm_counts_equal_brute_force(spark, odd_docs, no_docs, monkeypatch):
 def test_lm_beats_the_base_on_held_out(spark):
     rows = [r for r in gru_lm.score_documents(table(spark, SF, "documents")).collect() if r.held_out]
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows) * 0.95
+
+
+def test_lm_learns_from_every_long_document(spark):
+    text = "aa bb cc dd ee " * 3000  # longer than any of the sample
+    docs = spark.createDataFrame([(k, text) for k in range(30)], "doc_id long, text string").repartition(3)
+    rows = [r for r in gru_lm.score_documents(docs).collect() if r.held_out]
+    assert rows and sum(r.score for r in rows) > 0.3 * sum(r.base_score for r in rows)
