@@ -50,7 +50,8 @@ def row_key(df: DataFrame) -> list[Column]:
     """k1, k2: 128 bits that name a row by its content, so that a narrow table
     can point at rows without a copy of them. Rows that repeat share a key."""
     own = [df[f.name] for f in df.schema.fields if f.dataType.typeName() != "map"]
-    return [F.xxhash64(F.lit(k), *own).alias(f"k{k}") for k in (1, 2)]
+    nulls = [c.isNull() for c in own]  # xxhash64 skips nulls
+    return [F.xxhash64(F.lit(k), *own, *nulls).alias(f"k{k}") for k in (1, 2)]
 
 
 def keyed_rows(docs: DataFrame, narrow: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from pulsegrid.llm import mixing
+from pulsegrid.llm.common import row_key
 
 
 def by_sql(docs):
@@ -72,3 +73,8 @@ def test_mixed_rows_meet_each_target_in_whole_documents(spark):
             if source == "c":
                 long = out.where("source = 'c' AND n = 9000").count() / 30
                 assert abs(long - want["c"] / sum(own)) < 0.25
+
+
+def test_rows_that_differ_in_which_column_is_null_have_keys_of_their_own(spark):
+    rows = spark.createDataFrame([(1, "a b", None, "en"), (1, "a b", "en", None), (1, "a b", "en", None)], "doc_id long, text string, lang string, source string")
+    assert rows.select(*row_key(rows)).distinct().count() == 2
