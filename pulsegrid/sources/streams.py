@@ -65,13 +65,14 @@ def file_stream(
 def time_slices(df: DataFrame, ts_col: str, slices: int) -> list[DataFrame]:
     """``df`` cut into ``slices`` equal spans of time, oldest first. Written
     one after another they replay in time order on any file system, each by
-    as many tasks as the data asks for."""
+    as many tasks as the data asks for. Rows without a time are in the first."""
     low, high = df.select(F.unix_micros(F.min(ts_col)), F.unix_micros(F.max(ts_col))).first()
     if low is None:
         return [df]
     at = F.unix_micros(ts_col)
     cuts = [low + (high + 1 - low) * k // slices for k in range(slices + 1)]
-    return [df.filter((at >= a) & (at < b)) for a, b in zip(cuts, cuts[1:])]
+    spans = [(at >= a) & (at < b) for a, b in zip(cuts, cuts[1:])]
+    return [df.filter(spans[0] | at.isNull()), *map(df.filter, spans[1:])]
 
 
 def kafka_sink_options(opts: Options = DEFAULT) -> dict[str, str]:

@@ -212,3 +212,11 @@ def test_rows_behind_the_watermark_are_dropped_and_counted(spark, scratch):
     assert spark.table(name).filter(F.col("window_start") < F.lit("2024-01-05").cast("timestamp")).count() == 0
     assert dropped >= 1
     assert HS.late_rows(q) >= 0
+
+
+def test_time_slices_keep_rows_without_a_time(spark):
+    from pulsegrid.sources.streams import time_slices
+
+    df = spark.sql("SELECT * FROM VALUES (1, timestamp'2024-01-01 00:00:00'), (2, NULL), (3, timestamp'2024-01-02 00:00:00') AS t(id, at)")
+    got = [sorted(r.id for r in part.collect()) for part in time_slices(df, "at", 2)]
+    assert got == [[1, 2], [3]]
