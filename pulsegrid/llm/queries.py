@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import compact_windows, decontam, gru_lm, langid, mixing, mtree, pigeonring, tokenbin, toxicity, zipwarc
+from pyspark.sql import functions as F
+
+from . import bisectors, compact_windows, decontam, gru_lm, langid, mixing, mtree, pigeonring, rns_gemm, rp_forest, tokenbin, toxicity, zipwarc
 from .common import table
 
 
@@ -53,6 +55,22 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_hard_negatives(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    own = F.col("label").cast("long")
+    label = F.when(F.col("vec_id") % 7 == 0, (own + 1) % 10).otherwise(own)
+    return rns_gemm.hard_negatives(rows, anchors=F.col("vec_id") % 50 == 0, label=label)
+
+
+def op12_forest(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    return rp_forest.nearest(rows, rows.where("vec_id % 20 = 0"), k=20)
+
+
+def op13_clusters(spark, sf_dir):
+    return bisectors.clusters(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_decontamination": op2_decontamination,
@@ -64,8 +82,14 @@ QUERIES = {
     "op8_topk": op8_topk,
     "op9_simhash": op9_simhash,
     "op10_toxicity": op10_toxicity,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_forest": op12_forest,
+    "op13_clusters": op13_clusters,
 }
 
 #: DuckDB SQL; the other queries are tested against brute force, exact round
 #: trips or held-out rows (tests/llm).
-ORACLE = {"op1_mixing": mixing.ORACLE, "op6_warc": zipwarc.ORACLE, "op8_topk": mtree.ORACLE}
+ORACLE = {
+    "op1_mixing": mixing.ORACLE, "op6_warc": zipwarc.ORACLE, "op8_topk": mtree.ORACLE,
+    "op11_hard_negatives": rns_gemm.ORACLE, "op13_clusters": bisectors.ORACLE,
+}
