@@ -45,7 +45,7 @@ def sugar_metric_rows(su: DataFrame) -> DataFrame:
     return _metric(su, O.METRIC_SUGAR, "avg_blood_sugar", "min_blood_sugar", "max_blood_sugar")
 
 
-def _alert(df: DataFrame, value, threshold) -> DataFrame:
+def _alert(df: DataFrame, value, threshold, keep: tuple[str, ...] = ()) -> DataFrame:
     return df.filter(F.col("alert").isNotNull()).select(
         F.col("window_end").alias("time"),
         "user_id",
@@ -55,16 +55,17 @@ def _alert(df: DataFrame, value, threshold) -> DataFrame:
         threshold.cast("double").alias("threshold_value"),
         "window_start",
         "window_end",
+        *keep,
     )
 
 
-def hr_alert_rows(hr: DataFrame) -> DataFrame:
-    return _alert(hr, F.col("alert.value"), F.col("alert.threshold"))
+def hr_alert_rows(hr: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    return _alert(hr, F.col("alert.value"), F.col("alert.threshold"), keep)
 
 
-def bp_alert_rows(bp: DataFrame, opts: Options = DEFAULT) -> DataFrame:
+def bp_alert_rows(bp: DataFrame, opts: Options = DEFAULT, keep: tuple[str, ...] = ()) -> DataFrame:
     thr = F.lit(opts.bp_systolic_threshold) if opts.bp_threshold_mode == "standalone" else F.lit(0)
-    return _alert(bp, F.col("alert.systolic"), thr)
+    return _alert(bp, F.col("alert.systolic"), thr, keep)
 
 
 def sugar_alert_rows(su: DataFrame) -> DataFrame:

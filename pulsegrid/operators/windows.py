@@ -9,6 +9,8 @@ half-even rounding on the binary value.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -105,12 +107,14 @@ _FILTERS = {
 }
 
 
-def window_partials(readings: DataFrame, minutes: int, metrics: tuple[str, ...]) -> DataFrame:
+def window_partials(readings: DataFrame, minutes: int, metrics: tuple[str, ...], event_time: str | None = None) -> DataFrame:
     """One groupBy(user_id, window) computing every metric in ``metrics``.
 
     Rows that cannot feed any of the metrics are filtered before the
-    exchange (an empty window emits nothing).
+    exchange (an empty window emits nothing). ``event_time`` names a column
+    that carries a stream's watermark on to a next stateful operator.
     """
+    times = [F.window_time("w").alias(event_time)] if event_time else []
     keep = None
     for m in metrics:
         f = _FILTERS[m]()
@@ -121,7 +125,7 @@ def window_partials(readings: DataFrame, minutes: int, metrics: tuple[str, ...])
         readings.filter(keep & F.col("user_id").isNotNull())
         .groupBy("user_id", w.alias("w"))
         .agg(*aggs)
-        .select("user_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *_agg_names(metrics))
+        .select("user_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *times, *_agg_names(metrics))
         .select("*", *[e.alias(n) for n, e in _means(metrics)])
     )
 
@@ -190,8 +194,9 @@ def _sugar_alert(avg: Column, opts: Options) -> Column:
     )
 
 
-def hr_result(partials: DataFrame, opts: Options = DEFAULT) -> DataFrame:
-    """Window partials → heart-rate window result (one row per non-empty window)."""
+def hr_result(partials: DataFrame, opts: Options = DEFAULT, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Window partials → heart-rate window result (one row per non-empty window);
+    ``keep`` lists columns carried through."""
     return partials.filter(F.col("_hr_n") > 0).select(
         F.lit(O.RESULT_HR).alias("type"),
         "window_start",
@@ -202,10 +207,11 @@ def hr_result(partials: DataFrame, opts: Options = DEFAULT) -> DataFrame:
         F.col("_hr_max").alias("max_heart_rate"),
         F.col("_hr_n").alias("reading_count"),
         _hr_alert(F.col("_hr_avg"), opts).alias("alert"),
+        *keep,
     )
 
 
-def bp_result(partials: DataFrame, opts: Options = DEFAULT) -> DataFrame:
+def bp_result(partials: DataFrame, opts: Options = DEFAULT, keep: tuple[str, ...] = ()) -> DataFrame:
     return partials.filter(F.col("_bp_n") > 0).select(
         F.lit(O.RESULT_BP).alias("type"),
         "window_start",
@@ -215,6 +221,7 @@ def bp_result(partials: DataFrame, opts: Options = DEFAULT) -> DataFrame:
         _r2(F.col("_bp_dia")).alias("avg_bp_diastolic"),
         F.col("_bp_n").alias("reading_count"),
         _bp_alert(F.col("_bp_sys"), F.col("_bp_dia"), opts).alias("alert"),
+        *keep,
     )
 
 
@@ -250,6 +257,17 @@ def rollup_partials(partials: DataFrame, minutes: int, metrics: tuple[str, ...])
     Exact when ``minutes`` is a multiple of the finer width: every fine
     window lies inside one coarse window, and count / sum / min / max merge.
     """
+    w = F.window("window_start", _minutes(minutes))
+    return (
+        partials.groupBy("user_id", w.alias("w"))
+        .agg(*_merge_aggs(metrics))
+        .select("user_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *_agg_names(metrics))
+        .select("*", *[e.alias(n) for n, e in _means(metrics)])
+    )
+
+
+def _merge_aggs(metrics: tuple[str, ...]) -> list[Column]:
+    """Aggregates that merge window partials."""
     aggs = []
     for n in _agg_names(metrics):
         if n.endswith("_min"):
@@ -259,13 +277,24 @@ def rollup_partials(partials: DataFrame, minutes: int, metrics: tuple[str, ...])
         else:
             total = F.sum(n)
             aggs.append((total.cast("decimal(38,9)") if n.endswith("_sum") else total).alias(n))
-    w = F.window("window_start", _minutes(minutes))
-    return (
-        partials.groupBy("user_id", w.alias("w"))
-        .agg(*aggs)
-        .select("user_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *_agg_names(metrics))
-        .select("*", *[e.alias(n) for n, e in _means(metrics)])
-    )
+    return aggs
+
+
+def sliding_partials(readings: DataFrame, minutes: int, slide: int, metrics: tuple[str, ...]) -> DataFrame:
+    """Partials of ``minutes``-wide windows that start every ``slide`` minutes.
+
+    A reading lies in up to width / slide windows. Readings are not copied to
+    them: they are first reduced to panes of the greatest width that divides
+    both, and only the panes are (a row per user and pane, whatever the number
+    of readings). A slide above the width leaves gaps between windows."""
+    pane = math.gcd(minutes, slide)
+    at = F.unix_seconds("window_start")  # panes and windows start at whole minutes
+    first, last = F.floor((at - minutes * 60) / (slide * 60)) + 1, F.floor(at / (slide * 60))
+    panes = window_partials(readings, pane, metrics).withColumn("w", F.explode(F.when(first <= last, F.sequence(first, last))))
+    rows = panes.groupBy("user_id", "w").agg(*_merge_aggs(metrics))
+    start = F.col("w") * (slide * 60)
+    bounds = [F.timestamp_seconds(start).alias("window_start"), F.timestamp_seconds(start + minutes * 60).alias("window_end")]
+    return rows.select("user_id", *bounds, *_agg_names(metrics)).select("*", *[e.alias(n) for n, e in _means(metrics)])
 
 
 def all_windows(readings: DataFrame, opts: Options = DEFAULT) -> dict[str, DataFrame]:

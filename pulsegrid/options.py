@@ -124,6 +124,17 @@ class Options:
     # Kafka offsets a micro-batch takes at most; None: all that have arrived.
     max_offsets_per_trigger: int | None = None
     flush_interval_seconds: int = FLUSH_INTERVAL_SECONDS
+    # Session windows: the longest gap between two readings of a session.
+    session_gap_minutes: int = 30
+    # Sliding windows start this often.
+    slide_minutes: int = 1
+    # Multi-metric alerts: how far apart the windows of two alerts may start.
+    correlation_minutes: int = 1
+    # Anomalies: width and number of the baseline's buckets, the readings it needs, the limit.
+    baseline_bucket_minutes: int = 60
+    baseline_buckets: int = 24
+    baseline_readings: int = 10
+    anomaly_z: float = 3.0
 
     def with_(self, **kw) -> "Options":
         return replace(self, **kw)

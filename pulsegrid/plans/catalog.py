@@ -14,11 +14,22 @@ from . import (
     oracle_health,
     oracle_ingestion,
     oracle_streams,
+    oracle_trends,
     streams,
+    trends,
 )
 
 QUERIES = {}
 ORACLE = {}
-for _mod, _sql in ((health, oracle_health), (ingestion, oracle_ingestion), (activity, oracle_activity), (fleet, oracle_fleet), (adhoc, oracle_adhoc), (streams, oracle_streams)):
+PARTS = (
+    (health, oracle_health),
+    (ingestion, oracle_ingestion),
+    (activity, oracle_activity),
+    (fleet, oracle_fleet),
+    (adhoc, oracle_adhoc),
+    (trends, oracle_trends),
+    (streams, oracle_streams),
+)
+for _mod, _sql in PARTS:
     QUERIES.update(_mod.QUERIES)
     ORACLE.update(_sql.SQL)

@@ -14,7 +14,10 @@ from ..session import pin
 # catalogue uses windows of 1 day (HR, BP) and 10 days (sugar), keeping the
 # 1:10 ratio of the default 1/1/10-minute widths.
 DAY = 24 * 60
-TABLE_OPTS = Options(hr_window_minutes=DAY, bp_window_minutes=DAY, sugar_window_minutes=10 * DAY)
+TABLE_OPTS = Options(
+    hr_window_minutes=DAY, bp_window_minutes=DAY, sugar_window_minutes=10 * DAY, session_gap_minutes=DAY // 4, slide_minutes=600,
+    correlation_minutes=DAY, baseline_bucket_minutes=DAY, baseline_buckets=7,
+)
 TABLE_OPTS_METRIC = TABLE_OPTS.with_(validity="metric")
 
 

@@ -24,6 +24,7 @@ from ..sources.streams import file_stream, time_slices
 from ..streaming import health_stream as HS
 from ..streaming import ingest_stream as IS
 from ..streaming import jobs as J
+from ..streaming import trend_streams as TS
 from . import fixtures as X
 from .common import TABLE_OPTS, ntz, prepare
 
@@ -50,7 +51,7 @@ def _opts(spark: SparkSession):
 def _replay(df, src: str, start) -> str | None:
     """Write ``df`` in time slices, running the job that ``start`` starts to
     its end after each (from its checkpoint); returns the last watermark."""
-    mark = None
+    mark = None  # no progress names a watermark: nothing may be drained in the stream's place
     for part in time_slices(df, "timestamp", SLICES):
         part.write.mode("append").parquet(src)
         queries = start()
@@ -62,6 +63,13 @@ def _replay(df, src: str, start) -> str | None:
     return mark
 
 
+def _marked(mark: str | None) -> str:
+    """A drain without the stream's watermark would write all in its place."""
+    if mark is None:
+        raise RuntimeError("the stream named no watermark")
+    return mark
+
+
 def run_stream_twin(spark: SparkSession, sf_dir: str) -> str:
     """Replay, stream, drain; return the output root (once per session)."""
     key = (_app(spark), sf_dir)
@@ -73,7 +81,7 @@ def run_stream_twin(spark: SparkSession, sf_dir: str) -> str:
     opts, name = _opts(spark), f"twin-{uuid.uuid4().hex[:8]}"
     start = lambda: HS.start(spark, file_stream(spark, src, S.MESSAGE), root, opts, name=name, trigger={"availableNow": True})
     mark = _replay(X.health_messages(spark, sf_dir), src, start)
-    HS.drain(spark, spark.read.schema(S.MESSAGE).parquet(src), root, opts, since=mark)
+    HS.drain(spark, spark.read.schema(S.MESSAGE).parquet(src), root, opts, since=_marked(mark))
     _RUNS[key] = root
     return root
 
@@ -90,7 +98,7 @@ def run_anchored_twin(spark: SparkSession, sf_dir: str) -> str:
     opts, name = _opts(spark), f"anchored-{uuid.uuid4().hex[:8]}"
     start = lambda: J.anchored_job(spark, root, opts, source=src, trigger={"availableNow": True}, name=name)
     mark = _replay(X.health_messages(spark, sf_dir), src, start)
-    J.drain_anchored(spark, spark.read.schema(S.MESSAGE).parquet(src), root, opts, since=mark)
+    J.drain_anchored(spark, spark.read.schema(S.MESSAGE).parquet(src), root, opts, since=_marked(mark))
     _RUNS[key] = root
     return root
 
@@ -100,6 +108,46 @@ def stream_anchored_alerts(spark, sf_dir):
     return ntz(TB.read_table(spark, root, TB.ALERTS).drop(TB.WRITER_COL, TB.PARTITION_COL))
 
 
+def run_trends_twin(spark: SparkSession, sf_dir: str) -> str:
+    """The session and the multi-metric job over one replay, drained at the end;
+    returns the output root (once per session)."""
+    key = (_app(spark), sf_dir, "trends")
+    if key in _RUNS:
+        return _RUNS[key]
+    prepare(spark)
+    base = checkpoint_dir(spark, f"trends-twin-{uuid.uuid4().hex[:12]}")
+    src, root = f"{base}/messages", f"{base}/tables"
+    opts, run = _opts(spark), uuid.uuid4().hex[:8]
+    read = lambda: file_stream(spark, src, S.MESSAGE)
+    once = {"availableNow": True}
+    marks = {}
+
+    def start():
+        made = {
+            "sessions": TS.start_sessions(spark, read(), root, opts, name=f"sessions-{run}", trigger=once),
+            "pairs": TS.start_correlation(spark, read(), read(), root, opts, name=f"pairs-{run}", trigger=once),
+        }
+        for q in made.values():
+            q.awaitTermination()
+        marks.update({n: HS.watermark_of(q) or marks.get(n) for n, q in made.items()})
+        return list(made.values())
+
+    _replay(X.health_messages(spark, sf_dir), src, start)
+    messages = spark.read.schema(S.MESSAGE).parquet(src)
+    TS.drain_sessions(spark, messages, root, _marked(marks["sessions"]), opts)
+    TS.drain_correlation(spark, messages, root, _marked(marks["pairs"]), opts)
+    _RUNS[key] = root
+    return root
+
+
+def stream_user_sessions(spark, sf_dir):
+    return ntz(TB.read_table(spark, run_trends_twin(spark, sf_dir), TB.SESSIONS).drop(TB.WRITER_COL, TB.PARTITION_COL))
+
+
+def stream_multi_metric_alerts(spark, sf_dir):
+    return ntz(TB.read_table(spark, run_trends_twin(spark, sf_dir), TB.CORRELATED).drop(TB.WRITER_COL, TB.PARTITION_COL))
+
+
 KAFKA_RECORD = T.StructType(
     [
         T.StructField("topic", T.StringType()),
@@ -153,5 +201,7 @@ QUERIES = {
     "stream_metrics_10min": stream_metrics_10min,
     "stream_alerts": stream_alerts,
     "stream_anchored_alerts": stream_anchored_alerts,
+    "stream_user_sessions": stream_user_sessions,
+    "stream_multi_metric_alerts": stream_multi_metric_alerts,
     "stream_topic_routing": stream_topic_routing,
 }

@@ -58,6 +58,36 @@ ALERT = T.StructType(
 # The source tables have no key on alerts; this one makes replays idempotent.
 ALERT_KEY = ("window_start", "user_id", "alert_type")
 
+# A user's sessions; a session is named by its first reading.
+SESSION = T.StructType(
+    [
+        T.StructField("time", T.TimestampType(), False),
+        T.StructField("user_id", T.StringType(), False),
+        T.StructField("session_start", T.TimestampType(), False),
+        T.StructField("session_end", T.TimestampType(), False),
+        T.StructField("reading_count", T.LongType()),
+        T.StructField("avg_heart_rate", T.DoubleType()),
+        T.StructField("min_heart_rate", T.DoubleType()),
+        T.StructField("max_heart_rate", T.DoubleType()),
+    ]
+)
+SESSION_KEY = ("session_start", "user_id")
+
+# Alerts of two metrics of a user close in time.
+CORRELATED = T.StructType(
+    [
+        T.StructField("time", T.TimestampType(), False),
+        T.StructField("user_id", T.StringType(), False),
+        T.StructField("severity", T.StringType()),
+        T.StructField("hr_window_start", T.TimestampType(), False),
+        T.StructField("bp_window_start", T.TimestampType(), False),
+        T.StructField("hr_value", T.DoubleType()),
+        T.StructField("bp_value", T.DoubleType()),
+        T.StructField("bp_after_hr_minutes", T.IntegerType()),
+    ]
+)
+CORRELATED_KEY = ("hr_window_start", "bp_window_start", "user_id")
+
 ALERT_STRUCT = T.StructType(
     [
         T.StructField("type", T.StringType()),

@@ -19,16 +19,20 @@ from .. import schemas as S
 METRICS_1MIN = "health_metrics_1min"
 METRICS_10MIN = "health_metrics_10min"
 ALERTS = "health_alerts"
+SESSIONS = "user_sessions"
+CORRELATED = "multi_metric_alerts"
 
 TABLE_SCHEMAS = {
     METRICS_1MIN: S.METRIC,
     METRICS_10MIN: S.METRIC,
     ALERTS: S.ALERT,
+    SESSIONS: S.SESSION,
+    CORRELATED: S.CORRELATED,
     "virtual_wearables": S.RAW_TABLE,
     "virtual_restaurants": S.RAW_TABLE,
     "virtual_gps": S.RAW_TABLE,
 }
-TABLE_KEYS = {METRICS_1MIN: S.METRIC_KEY, METRICS_10MIN: S.METRIC_KEY, ALERTS: S.ALERT_KEY}
+TABLE_KEYS = {METRICS_1MIN: S.METRIC_KEY, METRICS_10MIN: S.METRIC_KEY, ALERTS: S.ALERT_KEY, SESSIONS: S.SESSION_KEY, CORRELATED: S.CORRELATED_KEY}
 PARTITION_COL = "date"
 
 
@@ -140,7 +144,7 @@ def register_views(spark: SparkSession, root: str, raw_root: str | None = None)
     """Expose the result tables (and the raw topic tables) as temp views so
     guarded ad-hoc SELECTs can reach them by their usual names."""
     names = []
-    for n in (METRICS_1MIN, METRICS_10MIN, ALERTS):
+    for n in (METRICS_1MIN, METRICS_10MIN, ALERTS, SESSIONS, CORRELATED):
         read_table(spark, root, n).createOrReplaceTempView(n)
         names.append(n)
     if raw_root:
