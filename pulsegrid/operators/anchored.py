@@ -121,16 +121,24 @@ def anchored_partials(readings: DataFrame, opts: Options = DEFAULT, metrics: tup
     ``metrics`` restricts the work to some metrics (filtered before any
     exchange; a filter after the Python fold would not be pushed into it).
     """
-    lengths = {
+    long_ = unpivot(readings)
+    if metrics is not None:
+        long_ = long_.filter(F.col("metric").isin(*metrics))
+    return fold_readings(long_, opts)
+
+
+def lengths_us(opts: Options) -> dict[str, int]:
+    return {
         O.METRIC_HR: opts.hr_window_minutes * MINUTE_US,
         O.METRIC_BP: opts.bp_window_minutes * MINUTE_US,
         O.METRIC_SUGAR: opts.sugar_window_minutes * MINUTE_US,
     }
-    long_ = unpivot(readings)
-    if metrics is not None:
-        long_ = long_.filter(F.col("metric").isin(*metrics))
-    parts = minute_partials(long_)
-    out = parts.groupBy("user_id", "metric").applyInArrow(_fold(lengths), PARTIAL_SCHEMA)
+
+
+def fold_readings(long_readings: DataFrame, opts: Options = DEFAULT) -> DataFrame:
+    """Unpivoted readings → anchored partials."""
+    parts = minute_partials(long_readings)
+    out = parts.groupBy("user_id", "metric").applyInArrow(_fold(lengths_us(opts)), PARTIAL_SCHEMA)
     return with_timestamps(out)
 
 

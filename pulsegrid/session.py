@@ -14,14 +14,18 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Streaming state is kept off the JVM heap, and a batch uploads its changes only.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
 # Session settings for a large cluster (set when the session is built; the
 # values are starting points for ~100 TB inputs on ~1000 executors):
 # shuffle partitions sized by AQE from a high initial count, ~256 MB
-# partitions after coalescing, skew splitting, 256 MB scan splits, and the
-# RocksDB state store so streaming state is not held on the JVM heap.
+# partitions after coalescing, skew splitting and 256 MB scan splits.
 CLUSTER_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -32,9 +36,6 @@ CLUSTER_CONF = {
     "spark.sql.shuffle.partitions": "8192",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.autoBroadcastJoinThreshold": "64m",
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
     "spark.sql.session.timeZone": "UTC",
 }
 

@@ -2,34 +2,34 @@
 
 Each task first reduces its readings to partials per (user, metric, minute), so
 a hot user is a few rows per batch and task when the rows are grouped.
-``applyInPandasWithState`` keeps a key's minutes until the watermark passes the
-end of the window they open, and folds them then: readings may come in any
-order within the watermark. State per (user, metric) is the end of the last
-window and one partial per minute of the watermark delay and a window's length,
-never the readings themselves. A window is emitted as soon as the watermark has
-passed its end, with new data or by the state's timeout; readings that come
-later still, inside a window that has been emitted, are dropped.
+``transformWithState`` keeps a key's minutes, one entry of a map each, until the
+watermark passes the end of the window they open: an event-time timer folds them
+then and removes their entries. Readings may come in any order within the
+watermark. State per (user, metric) is one partial per minute of the watermark
+delay and a window's length, never the readings themselves, and a key whose
+windows are all closed has no state and no timer left: what could still fall into
+an emitted window is behind the watermark, and Spark drops it before it gets here.
+The state is in RocksDB (``session.RUNTIME_CONF``), so a batch writes the entries
+that changed and not a key's whole history.
 """
 
 from __future__ import annotations
 
 import decimal
-import json
 from typing import Iterator
 
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from .. import options as O
-from ..operators.anchored import MINUTE_US, PARTIAL_SCHEMA, unpivot
+from ..operators.anchored import MINUTE_US, PARTIAL_SCHEMA, lengths_us, unpivot
 from ..operators.windows import NEAR
 from ..options import DEFAULT, Options
 
-STATE = "last_end long, minutes string"
-MINUTES = "user_id string, metric string, minute_us long, n long, s1 decimal(38,9), f1 double, s2 decimal(38,9), f2 double, mn double, mx double"
+PARTIAL = "n long, s1 decimal(38,9), f1 double, s2 decimal(38,9), f2 double, mn double, mx double"
+MINUTES = f"user_id string, metric string, minute_us long, {PARTIAL}"
 EXACT = decimal.Context(prec=60)
 
 
@@ -45,52 +45,57 @@ def _reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from out.to_batches()
 
 
-def _join(a: list, b: list) -> list:
-    """Two partials [n, s1, f1, s2, f2, mn, mx] in one; sums kept as text."""
-    add = lambda x, y: str(EXACT.add(decimal.Decimal(x), decimal.Decimal(y)))
-    return [a[0] + b[0], add(a[1], b[1]), a[2] + b[2], add(a[3], b[3]), a[4] + b[4], min(a[5], b[5]), max(a[6], b[6])]
-
-
-def _fold_fn(lengths_us: dict[str, int]):
-    cols = [f.name for f in PARTIAL_SCHEMA.fields]
-
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last_end, text = state.get if state.exists else (None, "{}")
-        held = {int(m): p for m, p in json.loads(text).items()}
-        if not state.hasTimedOut:
-            for pdf in pdfs:
-                for r in pdf.itertuples(index=False):
-                    m = int(r.minute_us)
-                    if last_end is None or m >= last_end:
-                        new = [int(r.n), str(r.s1), float(r.f1), str(r.s2), float(r.f2), float(r.mn), float(r.mx)]
-                        held[m] = _join(held[m], new) if m in held else new
-        out, length, mark = [], lengths_us[key[1]], state.getCurrentWatermarkMs() * 1000
-        while held and min(held) + length <= mark:
-            start = min(held)
-            last_end = start + length
-            whole = None
-            for m in sorted(m for m in held if m < last_end):
-                part = held.pop(m)
-                whole = part if whole is None else _join(whole, part)
-            whole[1], whole[3] = decimal.Decimal(whole[1]), decimal.Decimal(whole[3])
-            out.append((*key, start, last_end, *whole))
-        state.update((last_end, json.dumps(held)))
-        if held:
-            state.setTimeoutTimestamp((min(held) + length) // 1000)
-        yield pd.DataFrame(out, columns=cols)
-
-    return fn
+def _join(a: tuple, b: tuple) -> tuple:
+    """Two partials (n, s1, f1, s2, f2, mn, mx) in one."""
+    return (a[0] + b[0], EXACT.add(a[1], b[1]), a[2] + b[2], EXACT.add(a[3], b[3]), a[4] + b[4], min(a[5], b[5]), max(a[6], b[6]))
+
+
+class AnchoredWindows(StatefulProcessor):
+    """Minutes of one (user, metric) to its closed anchored windows."""
+
+    def __init__(self, lengths_us: dict[str, int]):
+        self.lengths_us = lengths_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.minutes = handle.getMapState("minutes", "minute_us long", PARTIAL)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        new: dict[int, tuple] = {}
+        for pdf in rows:
+            for minute, *part in zip(*(pdf[c].tolist() for c in ("minute_us", "n", "s1", "f1", "s2", "f2", "mn", "mx"))):
+                new[minute] = _join(new[minute], part) if minute in new else tuple(part)
+        for minute, part in new.items():
+            name = (minute,)
+            self.minutes.updateValue(name, _join(tuple(self.minutes.getValue(name)), part) if self.minutes.containsKey(name) else part)
+        if new:
+            self.handle.registerTimer((min(new) + self.lengths_us[key[1]]) // 1000)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        length, mark = self.lengths_us[key[1]], timerValues.getCurrentWatermarkInMs() * 1000
+        held = {name[0]: tuple(part) for name, part in self.minutes.iterator()}
+        order, out, at = sorted(held), [], 0
+        while at < len(order) and order[at] + length <= mark:
+            start, whole = order[at], None
+            while at < len(order) and order[at] < start + length:
+                whole = held[order[at]] if whole is None else _join(whole, held[order[at]])
+                self.minutes.removeKey((order[at],))
+                at += 1
+            out.append((*key, start, start + length, *whole))
+        if out and at < len(order):  # a timer that folds nothing leaves the next one to its own
+            self.handle.registerTimer((order[at] + length) // 1000)
+        if out:
+            yield pd.DataFrame(out, columns=[f.name for f in PARTIAL_SCHEMA.fields])
+
+    def close(self) -> None:
+        pass
 
 
 def anchored_stream(readings: DataFrame, opts: Options = DEFAULT) -> DataFrame:
     """Readings (metric validity, no watermark yet) → closed anchored windows
     (``PARTIAL_SCHEMA`` rows), emitted in append mode. The watermark is on the
     reduced rows' minutes, ``opts.watermark_delay`` behind the newest."""
-    lengths = {
-        O.METRIC_HR: opts.hr_window_minutes * MINUTE_US,
-        O.METRIC_BP: opts.bp_window_minutes * MINUTE_US,
-        O.METRIC_SUGAR: opts.sugar_window_minutes * MINUTE_US,
-    }
     near = lambda c: F.coalesce(F.when(F.abs(c) < NEAR, F.col(c)).cast("decimal(28,9)"), F.lit(0)).cast("decimal(38,9)")
     far = lambda c: F.coalesce(F.when(F.abs(c) >= NEAR, F.col(c)), F.lit(0.0))
     us = F.unix_micros("ts")
@@ -99,10 +104,6 @@ def anchored_stream(readings: DataFrame, opts: Options = DEFAULT) -> DataFrame:
         near("v1").alias("s1"), far("v1").alias("f1"), near("v2").alias("s2"), far("v2").alias("f2"), F.col("v1").alias("mn"), F.col("v1").alias("mx"),
     )
     minutes = rows.mapInArrow(_reduce, MINUTES).withColumn("minute", F.timestamp_micros("minute_us")).withWatermark("minute", opts.watermark_delay)
-    return minutes.groupBy("user_id", "metric").applyInPandasWithState(
-        _fold_fn(lengths),
-        outputStructType=PARTIAL_SCHEMA,
-        stateStructType=STATE,
-        outputMode="append",
-        timeoutConf=GroupStateTimeout.EventTimeTimeout,
+    return minutes.groupBy("user_id", "metric").transformWithStateInPandas(
+        AnchoredWindows(lengths_us(opts)), outputStructType=PARTIAL_SCHEMA, outputMode="append", timeMode="eventTime"
     )

@@ -8,7 +8,7 @@ streaming jobs over a shared output folder.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -77,12 +77,33 @@ def anchored_job(
         return w.start()
 
 
+def _length_seconds(opts: Options) -> Column:
+    """The window length of a row's metric."""
+    lengths = [F.when(F.col("metric") == m, F.lit(us / 1e6)) for m, us in AN.lengths_us(opts).items()]
+    return F.coalesce(*lengths)
+
+
 def drain_anchored(spark: SparkSession, messages_batch: DataFrame, root: str, opts: Options = DEFAULT, since=None) -> None:
     """Shutdown flush of the standalone job: windows still open in the state
     store are written from a batch fold over the messages. With ``since``, the
-    stream's last watermark, only windows that end after it are written."""
+    stream's last watermark, only windows that end after it are written, and only
+    their readings are folded: a window that is open at the watermark started less
+    than its length before it, and its readings are those from the end of the
+    user's last written window on."""
     o = opts.with_(validity="metric", bp_threshold_mode="standalone")
-    p = AN.anchored_partials(parse_health(messages_batch, o), o).select(
+    readings = parse_health(messages_batch, o)
+    if since is None:
+        long_ = AN.unpivot(readings)
+    else:
+        mark = F.lit(since).cast("timestamp")
+        reach = mark - F.make_dt_interval(mins=F.lit(max(o.hr_window_minutes, o.bp_window_minutes, o.sugar_window_minutes)))
+        done = TB.read_table(spark, root, TB.METRICS_1MIN).unionByName(TB.read_table(spark, root, TB.METRICS_10MIN))
+        done = done.filter((F.col(TB.PARTITION_COL) >= F.to_date(reach)) & (F.col("window_end") <= mark))
+        done = done.groupBy("user_id", F.col("metric_type").alias("metric")).agg(F.max("window_end").alias("closed"))
+        long_ = AN.unpivot(readings.filter(F.col("ts") >= reach)).join(done, ["user_id", "metric"], "left")
+        starts = F.col("ts") >= mark - F.make_dt_interval(secs=_length_seconds(o))
+        long_ = long_.filter(F.when(F.col("closed").isNull(), starts).otherwise(F.col("ts") >= F.col("closed")))
+    p = AN.fold_readings(long_, o).select(
         "user_id",
         "metric",
         F.unix_micros("window_start").alias("window_start_us"),

@@ -220,3 +220,55 @@ def test_time_slices_keep_rows_without_a_time(spark):
     df = spark.sql("SELECT * FROM VALUES (1, timestamp'2024-01-01 00:00:00'), (2, NULL), (3, timestamp'2024-01-02 00:00:00') AS t(id, at)")
     got = [sorted(r.id for r in part.collect()) for part in time_slices(df, "at", 2)]
     assert got == [[1, 2], [3]]
+
+
+def test_anchored_state_empties_and_drain_reads_a_bounded_span(spark, scratch):
+    """The state holds the last window's minutes and no more, and the shutdown
+    flush doesn't look at messages more than a window older than the watermark."""
+    from pulsegrid.sources.streams import time_slices
+    from pulsegrid.streaming import jobs as J
+
+    msgs = X.health_messages(spark, SF)
+    opts = TABLE_OPTS_METRIC.with_(watermark_delay="1 hour", state_partitions=2)
+    src, root, name = os.path.join(scratch, "m"), os.path.join(scratch, "t"), f"anch-{uuid.uuid4().hex[:8]}"
+    mark, held = None, []
+    text = '{"user_id": "last", "heart_rate": {"value": 80}, "timestamp": "2030-0%d-01T00:00:00+00:00"}'
+    far = [spark.createDataFrame([(-m, None, text % m)], msgs.schema).coalesce(1) for m in (1, 3)]
+
+    def run(part):
+        part.write.mode("append").parquet(src)
+        q = J.anchored_job(spark, root, opts, source=src, trigger={"availableNow": True}, name=name)
+        q.awaitTermination(300)
+        assert q.exception() is None
+        held.append(q.recentProgress[-1]["stateOperators"][0]["numRowsTotal"])
+        return HS.watermark_of(q)
+
+    for part in time_slices(msgs, "timestamp", 2):
+        mark = run(part) or mark
+    o = opts.with_(bp_threshold_mode="standalone")
+    cols = ["window_start", "user_id", "metric_type", "avg_value", "reading_count"]
+    end = F.lit(mark).cast("timestamp")
+    from pulsegrid.operators import anchored as AN
+
+    res = AN.anchored_windows(parse_health(msgs, o), o)
+    short = A.hr_metric_rows(res["hr"]).unionByName(A.bp_metric_rows(res["bp"]))
+    long_ = A.sugar_metric_rows(res["sugar"])
+    wrote = {t: _rows(TB.read_table(spark, root, t), cols) for t in (TB.METRICS_1MIN, TB.METRICS_10MIN)}
+    assert wrote[TB.METRICS_1MIN] == _rows(short.filter(F.col("window_end") <= end), cols) != []
+    assert wrote[TB.METRICS_10MIN] == _rows(long_.filter(F.col("window_end") <= end), cols) != []
+    # all that is older than a window before the watermark is of no matter to the flush
+    span = msgs.filter(F.col("timestamp") >= end - F.make_dt_interval(days=F.lit(10)))
+    wrong = msgs.filter(F.col("timestamp") < end - F.make_dt_interval(days=F.lit(10))).withColumn("value", F.regexp_replace("value", '"value": ', '"value": 9'))
+    drained = os.path.join(scratch, "drained")
+    for t in (TB.METRICS_1MIN, TB.METRICS_10MIN):
+        TB.read_table(spark, root, t).write.partitionBy(TB.WRITER_COL, TB.PARTITION_COL).parquet(TB.table_path(drained, t))
+    J.drain_anchored(spark, span.union(wrong), drained, opts, since=mark)
+    assert _rows(TB.read_table(spark, drained, TB.METRICS_1MIN), cols) == _rows(short, cols)
+    assert _rows(TB.read_table(spark, drained, TB.METRICS_10MIN), cols) == _rows(long_, cols)
+    # readings far ahead close every window: what is left is the last reading's minute and timer
+    run(far[0])
+    assert run(far[1]) is not None
+    assert held[1] > 100 and held[-1] <= 3, held
+    left = spark.read.format("statestore").option("stateVarName", "minutes").load(HS.checkpoint_dir(spark, name))
+    assert left.count() == 1
+    assert _rows(TB.read_table(spark, root, TB.METRICS_1MIN).filter("user_id <> 'last'"), cols) == _rows(short, cols)
