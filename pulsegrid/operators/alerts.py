@@ -109,7 +109,8 @@ def route_results(results: DataFrame) -> dict[str, DataFrame]:
     """Route unified METRIC rows by ``metric_type``; unknown types are counted, not stored."""
     short = results.filter(F.col("metric_type").isin(O.METRIC_HR, O.METRIC_BP))
     long_ = results.filter(F.col("metric_type") == O.METRIC_SUGAR)
-    unknown = results.filter(~F.col("metric_type").isin(O.METRIC_HR, O.METRIC_BP, O.METRIC_SUGAR))
+    known = F.col("metric_type").isin(O.METRIC_HR, O.METRIC_BP, O.METRIC_SUGAR)
+    unknown = results.filter(~F.coalesce(known, F.lit(False)))
     return {"1min": short, "10min": long_, "unknown": unknown}
 
 

@@ -10,6 +10,7 @@ SQL = {
     "stream_metrics_1min": _H["metrics_1min"],
     "stream_metrics_10min": _H["metrics_10min"],
     "stream_alerts": _H["all_alerts"],
+    "stream_health_counters": _H["health_counters"],
     "stream_anchored_alerts": _H["anchored_alerts"],
     "stream_user_sessions": _T["user_sessions"],
     "stream_multi_metric_alerts": _T["multi_metric_alerts"],

@@ -21,6 +21,7 @@ from .. import schemas as S
 from ..session import checkpoint_dir
 from ..sinks import tables as TB
 from ..sources.streams import file_stream, time_slices
+from ..streaming import counters as CO
 from ..streaming import health_stream as HS
 from ..streaming import ingest_stream as IS
 from ..streaming import jobs as J
@@ -48,7 +49,7 @@ def _opts(spark: SparkSession):
     return TABLE_OPTS.with_(watermark_delay="1 hour", state_partitions=max(2, cores))
 
 
-def _replay(df, src: str, start) -> str | None:
+def _replay(df, src: str, start, counters: CO.CounterListener | None = None) -> str | None:
     """Write ``df`` in time slices, running the job that ``start`` starts to
     its end after each (from its checkpoint); returns the last watermark."""
     mark = None  # no progress names a watermark: nothing may be drained in the stream's place
@@ -60,6 +61,8 @@ def _replay(df, src: str, start) -> str | None:
             if q.exception() is not None:
                 raise RuntimeError(str(q.exception()))
             mark = max(filter(None, (mark, HS.watermark_of(q))), default=None)
+            if counters is not None:
+                counters.wait(q)
     return mark
 
 
@@ -80,8 +83,9 @@ def run_stream_twin(spark: SparkSession, sf_dir: str) -> str:
     src, root = f"{base}/messages", f"{base}/tables"
     opts, name = _opts(spark), f"twin-{uuid.uuid4().hex[:8]}"
     start = lambda: HS.start(spark, file_stream(spark, src, S.MESSAGE), root, opts, name=name, trigger={"availableNow": True})
-    mark = _replay(X.health_messages(spark, sf_dir), src, start)
-    HS.drain(spark, spark.read.schema(S.MESSAGE).parquet(src), root, opts, since=_marked(mark))
+    with CO.counting(spark, root) as counters:
+        mark = _replay(X.health_messages(spark, sf_dir), src, start, counters)
+    HS.drain(spark, spark.read.schema(S.MESSAGE).parquet(src), root, opts, since=_marked(mark), counted=True)
     _RUNS[key] = root
     return root
 
@@ -186,6 +190,11 @@ def stream_metrics_1min(spark, sf_dir):
     return ntz(TB.read_table(spark, root, TB.METRICS_1MIN).drop(TB.WRITER_COL, TB.PARTITION_COL))
 
 
+def stream_health_counters(spark, sf_dir):
+    """The counters that the health job kept over its restarts, and its flush."""
+    return CO.read_counters(spark, run_stream_twin(spark, sf_dir)).drop(CO.UNKNOWN)
+
+
 def stream_metrics_10min(spark, sf_dir):
     root = run_stream_twin(spark, sf_dir)
     return ntz(TB.read_table(spark, root, TB.METRICS_10MIN).drop(TB.WRITER_COL, TB.PARTITION_COL))
@@ -200,6 +209,7 @@ QUERIES = {
     "stream_metrics_1min": stream_metrics_1min,
     "stream_metrics_10min": stream_metrics_10min,
     "stream_alerts": stream_alerts,
+    "stream_health_counters": stream_health_counters,
     "stream_anchored_alerts": stream_anchored_alerts,
     "stream_user_sessions": stream_user_sessions,
     "stream_multi_metric_alerts": stream_multi_metric_alerts,

@@ -19,6 +19,7 @@ from ..operators.parse import parse_health
 from ..options import DEFAULT, Options
 from ..session import checkpoint_dir, pin, stream_conf
 from ..sinks import tables as TB
+from . import counters as CO
 
 
 def watermarked_readings(messages: DataFrame, opts: Options = DEFAULT) -> DataFrame:
@@ -89,12 +90,14 @@ def start(
     name: str = "health",
     trigger: dict | None = None,
 ) -> list[StreamingQuery]:
-    """Start one streaming query per window width; returns the queries."""
+    """Start one streaming query per window width; returns the queries. They
+    observe the messages read and the alerts raised (``streaming.counters``)."""
     pin(spark)
     readings = watermarked_readings(messages, opts)
     queries = []
     for width, metrics in _width_groups(opts).items():
-        parts = window_stream(readings, width, metrics)
+        own = readings if queries else CO.with_message_count(readings, name)  # messages count once
+        parts = CO.with_alert_count(window_stream(own, width, metrics), metrics, f"{name}_{width}min", opts)
         ck = checkpoint_dir(spark, f"{name}-{width}min")
         w = parts.writeStream.outputMode("append").option("checkpointLocation", ck).foreachBatch(sink_batch(spark, root, metrics, width, opts))
         w = w.trigger(**(trigger or {"processingTime": f"{opts.flush_interval_seconds} seconds"}))
@@ -103,7 +106,27 @@ def start(
     return queries
 
 
-def drain(spark: SparkSession, messages_batch: DataFrame, root: str, opts: Options = DEFAULT, since=None) -> None:
+def start_results(spark: SparkSession, results: DataFrame, root: str, opts: Options = DEFAULT, name: str = "results", trigger: dict | None = None) -> StreamingQuery:
+    """Route a stream of METRIC rows to the tables by ``metric_type``; rows of
+    unknown types are counted (``streaming.counters``) and not stored."""
+    pin(spark)
+
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        held = batch.persist()  # both tables are written from one evaluation
+        try:
+            routed = A.route_results(held)
+            for part, table in (("1min", TB.METRICS_1MIN), ("10min", TB.METRICS_10MIN)):
+                TB.append_if_absent(batch.sparkSession, routed[part], root, table, order_col="time", writer=name)
+        finally:
+            held.unpersist()
+
+    stream = CO.with_unknown_count(results, name).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_dir(spark, name))
+    stream = stream.trigger(**(trigger or {"processingTime": f"{opts.flush_interval_seconds} seconds"})).queryName(name)
+    with stream_conf(spark, opts.state_partitions):
+        return stream.start()
+
+
+def drain(spark: SparkSession, messages_batch: DataFrame, root: str, opts: Options = DEFAULT, since=None, counted: bool = False) -> None:
     """Flush the windows still open when a stream stops (shutdown flush).
 
     Append mode keeps the newest windows open (their end is past the
@@ -112,7 +135,8 @@ def drain(spark: SparkSession, messages_batch: DataFrame, root: str, opts: Optio
     windows that end after it and no others: what the stream should have
     written itself is left to it. Without ``since`` every window is written
     insert-if-absent (a rebuild from stored messages). Only the table
-    partitions of the batch's dates are read back.
+    partitions of the batch's dates are read back. ``counted`` adds the alerts
+    of the windows written to the job's counters.
     """
     readings = parse_health(messages_batch, opts)
     for width, metrics in _width_groups(opts).items():
@@ -123,6 +147,9 @@ def drain(spark: SparkSession, messages_batch: DataFrame, root: str, opts: Optio
         parts = W.window_partials(own, width, metrics)
         if since is not None:
             parts = parts.filter(F.col("window_end") > mark)
+        if counted:
+            found = parts.agg(F.coalesce(F.sum(CO.alerts_in(metrics, opts)), F.lit(0)).alias("n")).first()["n"]
+            CO.add_counts(spark, root, f"drain_{width}min", CO.DRAIN, {CO.ALERTS: found})
         write_partials(spark, parts, root, metrics, f"w{width}", opts)
 
 
