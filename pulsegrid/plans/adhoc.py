@@ -55,6 +55,8 @@ FROM (SELECT n.n_name, c.c_custkey, round(sum(o.o_totalprice), 2) AS spend,
       JOIN nation n ON c.c_nationkey = n.n_nationkey
       GROUP BY n.n_name, c.c_custkey) t
 WHERE rnk <= 3""",
+    # names no limit: the guard's own (100 rows) is put on the ordered result
+    "sql_default_limit": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey",
     "sql_grouping_sets": """SELECT o_orderstatus, o_orderpriority, count(*) AS orders,
        round(sum(o_totalprice), 2) AS total,
        CAST(grouping(o_orderstatus) AS INTEGER) AS g_status,

@@ -24,6 +24,7 @@ def _groups(src: str) -> str:
 
 
 SQL = dict(SQL_TEXT)
+SQL["sql_default_limit"] += " LIMIT 100"
 SQL["insert_if_absent"] = with_(EV, REC, MET, _groups("rec"), _groups("met")) + f""", first AS ({_metrics('rec')}),
 second AS ({_metrics('met')})
 SELECT * FROM first
