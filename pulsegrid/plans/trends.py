@@ -3,6 +3,7 @@ baselines, and the joins in time."""
 
 from __future__ import annotations
 
+import uuid
 from datetime import timedelta
 
 from pyspark.sql import functions as F
@@ -12,8 +13,10 @@ from ..operators import alerts as A
 from ..operators import anomalies as AN
 from ..operators import correlate as C
 from ..operators import sessions as SE
+from ..operators import sketches as SK
 from ..operators import timejoin as TJ
 from ..operators import windows as W
+from ..session import checkpoint_dir
 from . import fixtures as X
 from .common import TABLE_OPTS, ntz, prepare
 from .health import readings
@@ -66,7 +69,55 @@ def fixes_in_alerts(spark, sf_dir):
     return ntz(found.select("event_id", "vehicle_id", "ts", "alert_type", "severity", "window_start"))
 
 
+SPAN = ("2024-01-05", "2024-01-25")
+
+
+def _cohort():
+    """Users by the last digits of their names, in four cohorts and one for the rest."""
+    return F.coalesce(F.expr("try_cast(regexp_extract(user_id, '([0-9]+)$', 1) AS INT)") % 4, F.lit(4))
+
+
+def _stored_sketches(spark, sf_dir):
+    """The readings' daily sketches, written by day and read back."""
+    values = SK.long_values(readings(spark, sf_dir), _cohort())
+    path = checkpoint_dir(spark, f"sketches-{uuid.uuid4().hex}")
+    SK.daily_sketches(values).write.partitionBy("day").parquet(path)
+    return values, spark.read.parquet(path)
+
+
+def metric_trends(spark, sf_dir):
+    """Quantiles, users and the three heaviest users per metric, cohort and week,
+    with totals, merged from stored daily sketches."""
+    _, stored = _stored_sketches(spark, sf_dir)
+    found = SK.trends(stored, *SPAN)
+    estimates = [SK.quantile(q).alias(f"p{int(q * 100)}") for q in (0.05, 0.5, 0.95)]
+    return found.select("metric", "cohort", "week", "readings", *estimates, SK.distinct_users().alias("users"), SK.heavy_users(3).alias("heavy_users"))
+
+
+def metric_trends_check(spark, sf_dir):
+    """The same trends held against exact figures of the readings: whether each
+    quantile's rank and each number of users is within the sketches' error."""
+    values, stored = _stored_sketches(spark, sf_dir)
+    found = SK.trends(stored, *SPAN).select("metric", "cohort", "week", "readings", SK.quantile(0.5).alias("p50"), SK.quantile(0.95).alias("p95"), SK.distinct_users().alias("users"))
+    day = (F.col("day") >= F.lit(SPAN[0]).cast("date")) & (F.col("day") < F.lit(SPAN[1]).cast("date"))
+    week = F.to_date(F.date_trunc("week", F.col("day"))).alias("week")
+    exact = values.where(day).select("metric", "cohort", week, "value", "user_id")
+    key = [F.col("metric"), F.coalesce("cohort", F.lit(-1)).alias("cohort"), F.coalesce(F.col("week").cast("string"), F.lit("all")).alias("week")]
+    # exact histograms of the values add up, so no group's readings meet in one task
+    counts = exact.groupBy("metric", "cohort", "week", "value").count().cube("metric", "cohort", "week", "value").agg(F.sum("count").alias("n"))
+    counts = counts.where("metric IS NOT NULL AND value IS NOT NULL").select(*key, "value", "n")
+    own = exact.groupBy("metric", "cohort", "week", "user_id").count().cube("metric", "cohort", "week").agg(F.count_distinct("user_id").alias("exact_users"))
+    found = found.select(*key, "readings", "p50", "p95", "users").join(own.where("metric IS NOT NULL").select(*key, "exact_users"), ["metric", "cohort", "week"])
+    share = lambda p, at: F.sum(F.when(F.col("value") < F.col(p) if at == "<" else F.col("value") <= F.col(p), F.col("n")).otherwise(0)) / F.first("readings")
+    within = lambda p, q: ((share(p, "<") <= q + SK.RANK_ERROR) & (share(p, "<=") >= q - SK.RANK_ERROR)).alias(f"{p}_within")
+    near = F.abs(F.first("users") - F.first("exact_users")) <= F.greatest(F.lit(1.0), F.first("exact_users") * 0.05)
+    joined = found.join(counts, ["metric", "cohort", "week"])
+    return joined.groupBy("metric", "cohort", "week").agg(F.first("readings").alias("readings"), within("p50", 0.5), within("p95", 0.95), near.alias("users_within"))
+
+
 QUERIES = {
+    "metric_trends": metric_trends,
+    "metric_trends_check": metric_trends_check,
     "user_sessions": user_sessions,
     "sliding_hr_windows": sliding_hr_windows,
     "multi_metric_alerts": multi_metric_alerts,
