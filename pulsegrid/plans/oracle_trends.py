@@ -13,6 +13,21 @@ sessions AS (SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL '6 hou
   min(CASE WHEN heart_rate > 0 THEN heart_rate END) AS mn, max(heart_rate) FILTER (heart_rate > 0) AS mx FROM numbered GROUP BY user_id, s)"""
 
 SQL = {
+    "distribution_drift": with_(
+        EV,
+        REC,
+        """x AS (SELECT 'wearable' AS device_type, unnest(['heart_rate', 'bp_systolic', 'blood_sugar']) AS metric, ts,
+       unnest([floor(heart_rate / 10.0), floor(bp_systolic / 10.0), floor(blood_sugar / 20.0)]) AS bin FROM rec
+  UNION ALL SELECT 'gps', unnest(['speed_kmh', 'heading', 'altitude']), ts,
+       unnest([floor(CASE k WHEN 1 THEN 700.0 WHEN 2 THEN NULL WHEN 3 THEN -50.0 ELSE 20 + v / 4 END / 10), floor(CASE k WHEN 2 THEN NULL WHEN 3 THEN 500 ELSE event_id % 360 END / 30.0),
+               floor(CASE k WHEN 2 THEN NULL WHEN 3 THEN -500 ELSE 900 END / 100.0)]) FROM ev)""",
+        """h AS (SELECT device_type, metric, bin, count(*) FILTER (ts < TIMESTAMP '2024-01-15') AS a, count(*) FILTER (ts >= TIMESTAMP '2024-01-15') AS b
+  FROM x WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-01-31' GROUP BY ALL)""",
+        """t AS (SELECT *, sum(a) OVER w AS na, sum(b) OVER w AS nb, count(*) OVER w AS bins FROM h WINDOW w AS (PARTITION BY device_type, metric))""",
+        "s AS (SELECT *, (a + 0.5::DOUBLE) / (na + 0.5::DOUBLE * bins) AS p, (b + 0.5::DOUBLE) / (nb + 0.5::DOUBLE * bins) AS q FROM t)",
+    )
+    + f"""SELECT device_type, metric, CAST(na AS BIGINT) AS n_before, CAST(nb AS BIGINT) AS n_after, bins, {pyround("psi", 6)} AS psi
+FROM (SELECT device_type, metric, na, nb, bins, sum((p - q) * ln(p / q)) AS psi FROM s GROUP BY ALL)""",
     "metric_trends_check": with_(EV, REC)
     + """SELECT metric, CAST(coalesce(cohort, -1) AS INTEGER) AS cohort, coalesce(CAST(week AS VARCHAR), 'all') AS week, count(*) AS readings,
        TRUE AS p50_within, TRUE AS p95_within, TRUE AS users_within

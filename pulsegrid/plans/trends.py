@@ -12,6 +12,7 @@ from .. import options as O
 from ..operators import alerts as A
 from ..operators import anomalies as AN
 from ..operators import correlate as C
+from ..operators import drift as D
 from ..operators import sessions as SE
 from ..operators import sketches as SK
 from ..operators import timejoin as TJ
@@ -115,7 +116,16 @@ def metric_trends_check(spark, sf_dir):
     return joined.groupBy("metric", "cohort", "week").agg(F.first("readings").alias("readings"), within("p50", 0.5), within("p95", 0.95), near.alias("users_within"))
 
 
+def distribution_drift(spark, sf_dir):
+    """How the metrics of wearables and GPS devices differ between two spans."""
+    wearables = D.metric_rows(readings(spark, sf_dir), "wearable", "ts", ("heart_rate", "bp_systolic", "blood_sugar"))
+    gps = D.metric_rows(X.gps_fixes(prepare(spark), sf_dir), "gps", "ts", ("speed_kmh", "heading", "altitude"))
+    histograms = D.daily_histograms(wearables.unionByName(gps))
+    return D.drift(histograms, ("2024-01-01", "2024-01-15"), ("2024-01-15", "2024-01-31"))
+
+
 QUERIES = {
+    "distribution_drift": distribution_drift,
     "metric_trends": metric_trends,
     "metric_trends_check": metric_trends_check,
     "user_sessions": user_sessions,
