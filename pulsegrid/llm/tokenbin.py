@@ -45,7 +45,7 @@ MAGIC = b"PFOR1\0\0\0"
 BLOCK = 4096
 PERCENTILE = 90
 END_ID = 0
-CACHE_PIECES = 600_000
+CACHE_PIECES = 900_000
 CACHE_CHARS = 10_000
 SLICE_BYTES = 4 << 20
 READ_BLOCKS = 128
