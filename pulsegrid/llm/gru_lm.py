@@ -29,6 +29,7 @@ import copy
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -48,11 +49,13 @@ SAMPLE_DOCS = 1500
 SAMPLE_CHARS = 20_000
 EPOCHS = 2
 BATCH = 64
-FIT_TOKENS = 200_000
-FIT_RATE = 0.003
+SIDE_BY_SIDE = 512
+FIT_BATCH = 512
+FIT_TOKENS = 400_000
+FIT_RATE = 0.01
 FLUSH_WORDS = 300_000
 SLICE_BYTES = 16 << 20
-ROWS_AT_ONCE = 32_768
+ROWS_AT_ONCE = 2048
 SEED = 5
 OUT = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, words array<binary>, times array<long>"
 
@@ -97,38 +100,68 @@ class GRU:
         return np.where(word < 0, token, self.first + word // GROUP), np.where(word < 0, -1, word)
 
     def step(self, h: np.ndarray, token: np.ndarray):
-        gx, gh = self.p["gx"][token], h @ self.p["u"]
-        gates = 1 / (1 + np.exp(-(gx[:, : 2 * HIDDEN] + gh[:, : 2 * HIDDEN])))
+        gx, gh = self.p["gx"].take(token, axis=0), h @ self.p["u"]
+        gates = gx[:, : 2 * HIDDEN] + gh[:, : 2 * HIDDEN]
+        np.negative(gates, out=gates)
+        np.exp(gates, out=gates)
+        gates += 1
+        np.reciprocal(gates, out=gates)
         r, z = gates[:, :HIDDEN], gates[:, HIDDEN:]
         inner = gh[:, 2 * HIDDEN :]
-        n = np.tanh(gx[:, 2 * HIDDEN :] + r * inner)
-        return n + z * (h - n), (r, z, n, inner)
+        n = r * inner
+        n += gx[:, 2 * HIDDEN :]
+        np.tanh(n, out=n)
+        out = h - n
+        out *= z
+        out += n
+        return out, (r, z, n, inner)
 
     @staticmethod
-    def _log_softmax(x: np.ndarray) -> np.ndarray:
-        x = x - x.max(axis=1, keepdims=True)
-        return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+    def _log_chosen(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+        """Log softmax of one column per row; ``x`` is overwritten."""
+        x -= x.max(axis=1, keepdims=True)
+        got = x[np.arange(len(x)), chosen]
+        np.exp(x, out=x)
+        return got - np.log(x @ np.ones(x.shape[1], x.dtype))
+
+    @staticmethod
+    def _error(x: np.ndarray, chosen: np.ndarray, scale: np.float32) -> np.ndarray:
+        """Gradient of ``scale`` times the cross entropy; ``x`` is overwritten."""
+        x -= x.max(axis=1, keepdims=True)
+        np.exp(x, out=x)
+        x *= (scale / (x @ np.ones(x.shape[1], x.dtype)))[:, None]
+        x[np.arange(len(x)), chosen] -= scale
+        return x
+
+    def _grouped(self, word: np.ndarray):
+        """Rows of each group that occurs, with its span of words."""
+        group = (word // GROUP).astype(np.int16)  # short integers sort by radix
+        order = np.argsort(group, kind="stable")
+        cuts = np.searchsorted(group[order], np.arange(GROUPS + 1, dtype=np.int16))
+        for g in range(GROUPS):
+            if cuts[g + 1] > cuts[g]:
+                yield order[cuts[g] : cuts[g + 1]], g * GROUP, min((g + 1) * GROUP, self.words)
 
     def log_likelihood(self, h: np.ndarray, token: np.ndarray) -> np.ndarray:
         """Natural log P(token | state) for each row."""
+        classes, word = self.split(token)
         out = np.empty(len(token))
         for k in range(0, len(token), ROWS_AT_ONCE):
-            part, own = h[k : k + ROWS_AT_ONCE], token[k : k + ROWS_AT_ONCE]
-            classes, word = self.split(own)
-            got = self._log_softmax(part @ self.p["c"] + self.p["c_bias"])[np.arange(len(own)), classes].astype(np.float64)
-            order = np.argsort(classes, kind="stable")
-            cuts = np.searchsorted(classes[order], np.arange(self.first, self.first + GROUPS + 1))
-            for g in range(GROUPS):
-                rows = order[cuts[g] : cuts[g + 1]]
-                if len(rows):
-                    a, b = g * GROUP, min((g + 1) * GROUP, self.words)
-                    logs = self._log_softmax(part[rows] @ self.p["w"][:, a:b] + self.p["w_bias"][a:b])
-                    got[rows] += logs[np.arange(len(rows)), word[rows] - a]
-            out[k : k + ROWS_AT_ONCE] = got
+            out[k : k + ROWS_AT_ONCE] = self._log_chosen(h[k : k + ROWS_AT_ONCE] @ self.p["c"] + self.p["c_bias"], classes[k : k + ROWS_AT_ONCE])
+        for rows, a, b in self._grouped(word):
+            out[rows] += self._log_chosen(h.take(rows, axis=0) @ self.p["w"][:, a:b] + self.p["w_bias"][a:b], word[rows] - a)
         return out
 
     def score(self, docs: list[np.ndarray]) -> np.ndarray:
         """Natural log-likelihood of whole token sequences."""
+        order = np.argsort([-len(d) for d in docs], kind="stable")
+        out = np.empty(len(docs))
+        for k in range(0, len(docs), SIDE_BY_SIDE):  # of like length
+            part = order[k : k + SIDE_BY_SIDE]
+            out[part] = self._score([docs[n] for n in part])
+        return out
+
+    def _score(self, docs: list[np.ndarray]) -> np.ndarray:
         lengths = np.array([len(d) for d in docs], np.int64)
         order = np.argsort(-lengths, kind="stable")
         flat = np.concatenate([docs[k] for k in order]) if docs else np.zeros(0, np.int64)
@@ -155,8 +188,8 @@ class GRU:
 
     # ------------------------------------------------------------ training
 
-    def fit(self, docs: list[np.ndarray], epochs: int = EPOCHS, seed: int = SEED, moments: list | None = None, pace: float = 0.01) -> "GRU":
-        """Truncated backpropagation: documents end to end in ``BATCH`` rows,
+    def fit(self, docs: list[np.ndarray], epochs: int = EPOCHS, seed: int = SEED, moments: list | None = None, pace: float = 0.01, batch: int = BATCH) -> "GRU":
+        """Truncated backpropagation: documents end to end in ``batch`` rows,
         windows of ``WINDOW`` tokens, the state carried but not its gradient;
         it restarts where a document ends. With ``moments`` (empty at first)
         the optimizer goes on from call to call."""
@@ -171,7 +204,7 @@ class GRU:
             steps = 0
         for epoch in range(epochs):
             flat = np.concatenate([docs[k] for k in rng.permutation(len(docs))])
-            rows = min(BATCH, max(1, len(flat) // WINDOW))
+            rows = min(batch, max(1, len(flat) // WINDOW))
             width = len(flat) // rows
             grid, h = flat[: rows * width].reshape(rows, width), np.zeros((rows, HIDDEN), np.float32)
             for k in range(0, width, WINDOW):
@@ -191,42 +224,48 @@ class GRU:
 
     def _window(self, tokens: np.ndarray, h: np.ndarray):
         p, (rows, span) = self.p, tokens.shape
-        states, memory = [], []
+        states, memory = np.empty((span, rows, HIDDEN), np.float32), []
+        goes_on = (tokens.T != 0)[:, :, None]
         for t in range(span):
-            states.append(h)
+            states[t] = h
             h, kept = self.step(h, tokens[:, t])
             memory.append(kept)
-            h = h * (tokens[:, t] != 0)[:, None]  # a new document begins with no state
+            h *= goes_on[t]  # a new document begins with no state
         g = {k: np.zeros_like(v) for k, v in p.items()}
-        every, target = np.concatenate(states), tokens.T.ravel()
+        every, target = states.reshape(-1, HIDDEN), tokens.T.ravel()
         classes, word = self.split(target)
-        scale = np.float32(1 / rows)
-        d = np.exp(self._log_softmax(every @ p["c"] + p["c_bias"]))
-        d[np.arange(len(d)), classes] -= 1
-        d *= scale
-        g["c"], g["c_bias"] = every.T @ d, d.sum(axis=0)
-        back = d @ p["c"].T
-        for k in np.unique(word[word >= 0] // GROUP):
-            own = np.flatnonzero(word // GROUP == k)
-            a, b = k * GROUP, min((k + 1) * GROUP, self.words)
-            d = np.exp(self._log_softmax(every[own] @ p["w"][:, a:b] + p["w_bias"][a:b]))
-            d[np.arange(len(own)), word[own] - a] -= 1
-            d *= scale
-            g["w"][:, a:b], g["w_bias"][a:b] = every[own].T @ d, d.sum(axis=0)
+        scale, back = np.float32(1 / rows), np.empty_like(every)
+        for k in range(0, len(every), ROWS_AT_ONCE):
+            part = every[k : k + ROWS_AT_ONCE]
+            d = self._error(part @ p["c"] + p["c_bias"], classes[k : k + ROWS_AT_ONCE], scale)
+            g["c"] += part.T @ d
+            g["c_bias"] += d.sum(axis=0)
+            back[k : k + ROWS_AT_ONCE] = d @ p["c"].T
+        for own, a, b in self._grouped(word):
+            part = every.take(own, axis=0)
+            d = self._error(part @ p["w"][:, a:b] + p["w_bias"][a:b], word[own] - a, scale)
+            g["w"][:, a:b], g["w_bias"][a:b] = part.T @ d, d.sum(axis=0)
             back[own] += d @ p["w"][:, a:b].T
         back = back.reshape(span, rows, HIDDEN)
-        dh = np.zeros((rows, HIDDEN), np.float32)
+        dx, du = (np.empty((span, rows, 3 * HIDDEN), np.float32) for _ in range(2))
+        dh, u_back = np.zeros((rows, HIDDEN), np.float32), np.ascontiguousarray(p["u"].T)
         for t in range(span - 1, -1, -1):
             r, z, n, inner = memory[t]
-            dh = dh * (tokens[:, t] != 0)[:, None]
-            dn = dh * (1 - z) * (1 - n * n)
-            dz = dh * (states[t] - n) * z * (1 - z)
-            dr = dn * inner * r * (1 - r)
-            dx = np.concatenate([dr, dz, dn], axis=1)
-            du = np.concatenate([dr, dz, dn * r], axis=1)
-            np.add.at(g["gx"], tokens[:, t], dx)
-            g["u"] += states[t].T @ du
-            dh = dh * z + du @ p["u"].T + back[t]
+            dh *= goes_on[t]
+            dn = dh * (1 - z)
+            dn *= 1 - n * n
+            dx[t, :, :HIDDEN] = dn * inner * r * (1 - r)
+            dx[t, :, HIDDEN : 2 * HIDDEN] = dh * (states[t] - n) * z * (1 - z)
+            dx[t, :, 2 * HIDDEN :] = dn
+            du[t, :, : 2 * HIDDEN] = dx[t, :, : 2 * HIDDEN]
+            du[t, :, 2 * HIDDEN :] = dn * r
+            dh *= z
+            dh += du[t] @ u_back
+            dh += back[t]
+        g["u"] = every.T @ du.reshape(-1, 3 * HIDDEN)
+        order = np.argsort(target.astype(np.int16), kind="stable")  # fewer tokens than 2^15
+        seen, first = np.unique(target[order], return_index=True)
+        g["gx"][seen] = np.add.reduceat(dx.reshape(-1, 3 * HIDDEN).take(order, axis=0), first, axis=0)
         return h, g
 
 
@@ -253,15 +292,17 @@ class Scorer:
     def tokens_of(self, own: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """Network tokens with the end, head numbers of the known words, and
         the words that are not in the head."""
-        found = list(map(self.index.get, own))
-        rest = [w for w, k in zip(own, found) if k is None]
-        if rest:
-            at = np.array([-1 if k is None else k for k in found], np.int64)
-            token = np.where(at >= 0, self.token[at] if len(self.token) else 0, 0)
-            token[at < 0] = [1 + tail_of(w) for w in rest]
-            return np.append(token, 0), at[at >= 0], rest
-        at = np.array(found, np.int64)
-        return np.append(self.token[at] if len(at) else at, 0), at, rest
+        at = np.fromiter(map(self.index.get, own, repeat(-1)), np.int64, len(own))
+        missing = np.flatnonzero(at < 0)
+        token = np.zeros(len(own) + 1, np.int64)  # the last one is the end
+        if not len(missing):
+            token[:-1] = self.token[at]
+            return token, at, []
+        rest = [own[k] for k in missing.tolist()]
+        known = at >= 0
+        token[:-1][known] = self.token[at[known]]
+        token[missing] = [1 + tail_of(w) for w in rest]
+        return token, at[known], rest
 
     def score(self, texts: list[str | None]) -> list[tuple]:
         """(n_tokens, n_known, base, score, rest words, their counts) of each
@@ -357,9 +398,9 @@ def fit_everywhere(scorer: Scorer, docs: DataFrame) -> None:
                     chunk.append(own.tokens_of(words(t))[0])
                     held += len(chunk[-1])
                     if held >= FIT_TOKENS:
-                        net.fit(chunk, 1, moments=moments, pace=FIT_RATE)
+                        net.fit(chunk, 1, moments=moments, pace=FIT_RATE, batch=FIT_BATCH)
                         chunk, held, total = [], 0, total + held
-        net.fit(chunk, 1, moments=moments, pace=FIT_RATE)
+        net.fit(chunk, 1, moments=moments, pace=FIT_RATE, batch=FIT_BATCH)
         total += held
         if total:
             data = [net.p[k].astype(np.float32).tobytes() for k in names]
