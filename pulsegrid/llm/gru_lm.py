@@ -51,7 +51,7 @@ EPOCHS = 2
 BATCH = 64
 SIDE_BY_SIDE = 512
 FIT_BATCH = 512
-FIT_TOKENS = 400_000
+FIT_TOKENS = 200_000
 FIT_RATE = 0.01
 FLUSH_WORDS = 300_000
 SLICE_BYTES = 16 << 20
@@ -392,15 +392,19 @@ def fit_everywhere(scorer: Scorer, docs: DataFrame) -> None:
         own, net = shared.value, copy.copy(shared.value.net)
         net.p = {k: v.copy() for k, v in net.p.items()}
         moments, chunk, held, total = [], [], 0, 0
+
+        def learn():  # rows side by side double with every chunk, so that small parts get steps enough
+            net.fit(chunk, 1, moments=moments, pace=FIT_RATE, batch=min(FIT_BATCH, BATCH << min(total // FIT_TOKENS, 9)))
+
         for batch in batches:
             for _, texts in text_slices(batch.column(0), SLICE_BYTES):
                 for t in texts:
                     chunk.append(own.tokens_of(words(t))[0])
                     held += len(chunk[-1])
                     if held >= FIT_TOKENS:
-                        net.fit(chunk, 1, moments=moments, pace=FIT_RATE, batch=FIT_BATCH)
+                        learn()
                         chunk, held, total = [], 0, total + held
-        net.fit(chunk, 1, moments=moments, pace=FIT_RATE, batch=FIT_BATCH)
+        learn()
         total += held
         if total:
             data = [net.p[k].astype(np.float32).tobytes() for k in names]
