@@ -3,18 +3,22 @@
 The network reads windows of ``WINDOW`` bytes (UTF-8, A-Z lower-cased; the last
 window of a text is padded with zeros): byte embeddings, filters of several
 widths, the maximum of each filter over the window, and a softmax layer. It is
-trained in numpy on a bounded, documented sample: at most ``SAMPLE_DOCS``
-documents per language, the first by hash of doc_id, and at most
-``DOC_WINDOWS`` windows spread over each, at random lengths. Prediction reads
+trained in numpy on a bounded, documented sample: ``SAMPLE_DOCS`` documents of
+every language (an equal share of ``SAMPLE_ALL``, one at least, where there are
+many languages), the first by hash of doc_id and text, whatever their length,
+and at most ``DOC_WINDOWS`` windows spread over each, at random lengths. Every
+language that has a text with a letter is learned. Prediction reads
 all windows of a text; the document's logits are the mean of its windows'
 logits, weighted by their bytes.
 
 As embeddings and filters are both linear, prediction adds up rows of tables
 made from them: two bytes of a filter's width at a time.
 
-Texts that are null or have no letter are ``und`` with score 0, and so is every
-text when there is nothing to learn from. Rows with a null doc_id, a null lang
-or a null text teach nothing; repeated rows are predicted each.
+Texts that are null or have no letter (a character of a Unicode letter category:
+digits, fractions and circled numbers are none) are ``und`` with score 0, and so
+is every text when there is nothing to learn from. Rows with a null doc_id, a
+null lang or a text without a letter teach nothing; repeated rows teach once and
+are predicted each.
 """
 
 from __future__ import annotations
@@ -25,10 +29,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import crc_mod, text_slices
+from .common import crc_mod, stage, text_slices
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -36,12 +40,13 @@ FILTERS = 12
 EMBED = 8
 SAMPLE_DOCS = 600
 DOC_WINDOWS = 4
-SAMPLE_CHARS = 200_000
+SAMPLE_ALL = 120_000
+SALTS = 64
 EPOCHS = 12
 BATCH = 128
 BLOCK_WINDOWS = 4096
 SEED = 11
-LETTER = re.compile(r"[^\W\d_]")
+NUMERIC_OR_LETTER = re.compile(r"[^\W\d_]+")
 
 
 def _windows(data: bytes, window: int = WINDOW) -> np.ndarray:
@@ -135,56 +140,68 @@ class ByteNet:
         return np.maximum(np.concatenate(pooled, axis=1), 0) @ self.p["out"] + self.p["out_bias"]
 
 
-def sample_windows(texts: list[str], seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
-    """Windows spread over each text, cut to random lengths; and their text."""
-    rng, rows, owner = np.random.default_rng(seed), [], []
-    for n, text in enumerate(texts):
-        data = _bytes(text)
-        every = _windows(data)
-        for k in sorted(set(np.linspace(0, len(every) - 1, DOC_WINDOWS).astype(int).tolist())):
-            row = every[k].copy()
-            if rng.random() < 0.5:
-                row[rng.integers(16, WINDOW) :] = 0
-            rows.append(row)
-            owner.append(n)
-    return (np.array(rows) if rows else np.zeros((0, WINDOW), np.uint8)), np.array(owner, np.int64)
-
-
-def fit(texts: list[str], langs: list[str]) -> ByteNet | None:
-    keep = [k for k, t in enumerate(texts) if LETTER.search(t)]
-    classes = sorted({langs[k] for k in keep})
+def has_letter(text: str) -> bool:
+    return any(c.isalpha() for run in NUMERIC_OR_LETTER.finditer(text) for c in run.group())
+
+
+def sample_windows(text: str, key: int) -> np.ndarray:
+    """Windows spread over a text, cut to random lengths seeded by ``key``."""
+    every, rng = _windows(_bytes(text)), np.random.default_rng([SEED, key & (1 << 63) - 1])
+    rows = every[sorted(set(np.linspace(0, len(every) - 1, DOC_WINDOWS).astype(int).tolist()))]
+    for row in rows:
+        if rng.random() < 0.5:
+            row[rng.integers(16, WINDOW) :] = 0
+    return rows
+
+
+def fit(windows: list[np.ndarray], langs: list[str]) -> ByteNet | None:
+    """The network for the sampled windows of texts and their languages."""
+    classes = sorted(set(langs))
     if not classes:
         return None
-    x, owner = sample_windows([texts[k] for k in keep])
-    y = np.array([classes.index(langs[keep[k]]) for k in owner])
-    return ByteNet(classes).fit(x, y)
+    number = {lang: k for k, lang in enumerate(classes)}
+    y = np.repeat([number[lang] for lang in langs], [len(w) for w in windows])
+    return ByteNet(classes).fit(np.concatenate(windows), y)
+
+
+def sample(docs: DataFrame, fold_mod: int | None = 3) -> DataFrame:
+    """lang, key, windows (bytes): the bounded sample. Distinct texts are ranked
+    by key within salted parts of a language, then among the parts' first, so a
+    language of a third of all rows has no single task; only the last key of
+    each language is broadcast, as the network has an output for each."""
+    ids = docs.where("doc_id IS NOT NULL AND lang IS NOT NULL").where(F.col("text").rlike(r"\p{L}"))
+    if fold_mod:
+        ids = ids.where(crc_mod("doc_id", fold_mod) != 1)
+    ids = ids.select("lang", F.xxhash64("doc_id", "text").alias("key"), "text")
+    keys = stage(ids.select("lang", "key").distinct(), "keys")
+    per = max(1, min(SAMPLE_DOCS, SAMPLE_ALL // max(1, keys.select("lang").distinct().count())))
+    part = Window.partitionBy("lang", "salt").orderBy("key")
+    first = keys.withColumn("salt", F.pmod("key", F.lit(SALTS))).withColumn("r", F.row_number().over(part)).where(F.col("r") <= per)
+    first = first.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("key"))).where(F.col("r") <= per)
+    last = first.groupBy("lang").agg(F.max("key").alias("last"))
+    few = ids.join(F.broadcast(last), "lang").where("key <= last").select("lang", "key", "text")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, got = batch.column(1).to_pylist(), []
+            for first, texts in text_slices(batch.column(2), 4 << 20):
+                got += [sample_windows(t, keys[first + k]).tobytes() for k, t in enumerate(texts)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(got, pa.binary())], names=["lang", "key", "windows"])
+
+    return few.mapInArrow(cut, "lang string, key long, windows binary").distinct()
 
 
 def train(docs: DataFrame, fold_mod: int | None = 3) -> ByteNet | None:
     """Fit on the bounded sample; rows whose crc32(doc_id as text) mod
     ``fold_mod`` is 1 are never read."""
-    ids = docs.where("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL")
-    if fold_mod:
-        ids = ids.where(crc_mod("doc_id", fold_mod) != 1)
-    ids = ids.where(F.length("text") <= SAMPLE_CHARS)
-    per = ids.groupBy("lang").agg(F.count("*").alias("n"))
-    langs = [r["lang"] for r in per.orderBy(F.col("n").desc(), "lang").limit(200).collect()]
-    few = None
-    for lang in langs:  # a bounded sort each: at most SAMPLE_DOCS rows
-        own = ids.where(F.col("lang") == lang).select("doc_id", F.xxhash64("doc_id").alias("key"))
-        own = own.orderBy("key", "doc_id").limit(SAMPLE_DOCS).select("doc_id").distinct()
-        few = own if few is None else few.unionByName(own)
-    if few is None:
-        return None
-    rows = ids.select("doc_id", "text", "lang").join(F.broadcast(few.distinct()), "doc_id", "left_semi").distinct().collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["text"], r["lang"]))
-    return fit([r["text"] for r in rows], [r["lang"] for r in rows])
+    rows = sorted((r["lang"], r["key"], bytes(r["windows"])) for r in sample(docs, fold_mod).collect())
+    return fit([np.frombuffer(w, np.uint8).reshape(-1, WINDOW) for _, _, w in rows], [lang for lang, _, _ in rows])
 
 
 def predict(texts: list[str | None], net: ByteNet | None, tables) -> tuple[list[str], np.ndarray]:
     """Language and score of each text, from all its windows."""
     langs, scores = ["und"] * len(texts), np.zeros(len(texts))
-    known = [k for k, t in enumerate(texts) if net is not None and t and LETTER.search(t)]
+    known = [k for k, t in enumerate(texts) if net is not None and t and has_letter(t)]
     if not known:
         return langs, scores
     data = [_bytes(texts[k]) for k in known]

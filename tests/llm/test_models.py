@@ -166,3 +166,27 @@ def test_lm_learns_from_every_long_document(spark):
     docs = spark.createDataFrame([(k, text) for k in range(30)], "doc_id long, text string").repartition(3)
     rows = [r for r in gru_lm.score_documents(docs).collect() if r.held_out]
     assert rows and sum(r.score for r in rows) > 0.3 * sum(r.base_score for r in rows)
+
+def test_languages_beyond_any_fixed_number_and_long_texts_teach(spark, monkeypatch):
+    monkeypatch.setattr(langid, "EPOCHS", 1)
+    rows = [(3 * k, "word " * 20, f"l{k:03d}") for k in range(230)]
+    rows += [(3 * 230, "long text " * 30_000, "long")] + [(9000, "many times " * 9, "l000")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r.lang for r in langid.sample(docs, None).collect()} == {f"l{k:03d}" for k in range(230)} | {"long"}
+    monkeypatch.setattr(langid, "SAMPLE_ALL", 100)  # an equal share is one at least
+    got = langid.sample(docs, None).collect()
+    assert len(got) == 231 and len({r.lang for r in got}) == 231
+
+
+def test_language_sample_is_the_first_by_key_in_a_hot_language(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE_DOCS", 7)
+    docs = spark.createDataFrame([(k, f"text {k % 500}", "a" if k % 4 else "b") for k in range(2000)], "doc_id long, text string, lang string")
+    keyed = docs.selectExpr("lang", "doc_id", "xxhash64(doc_id, text) AS key").collect()
+    got = sorted((r.lang, r.key) for r in langid.sample(docs).collect())
+    want = [(x, k) for x in "ab" for k in sorted(r.key for r in keyed if r.lang == x and zlib.crc32(str(r.doc_id).encode()) % 3 != 1)[:7]]
+    assert got == want
+
+
+def test_letters():
+    assert not any(map(langid.has_letter, ("", "½ ² ①", "12 _ 3", "٣", "…!", "Ⅷ")))
+    assert all(map(langid.has_letter, ("a", "½x", "1漢", "ªº", "ǅ", "ʰ")))
