@@ -5,13 +5,12 @@ a key holding a third of all rows would then be sorted by a single task.
 Instead:
 
 1. ``lead`` within ``(key, time bucket)`` — a hot key is spread over its
-   buckets (hours by default);
-2. one row per ``(key, bucket)`` with the bucket's first row (``min_by``,
-   a partial aggregate);
-3. ``lead`` over that bucket table per key gives each bucket the first row
-   of the next non-empty bucket — one row per bucket, so small;
-4. only the last row of each bucket (whose in-bucket ``lead`` is NULL) is
-   completed by an equi-join on ``(key, bucket)``.
+   buckets (hours by default) — and, in the same sorted pass, the bucket's
+   first row;
+2. the last row of each bucket (whose in-bucket ``lead`` is NULL) carries that
+   first row: one row per ``(key, bucket)``, so small;
+3. ``lead`` over those rows per key completes each with the first row of the
+   next non-empty bucket. No aggregate, no join, no second read of the input.
 
 The result equals ``lead`` over the whole key, ordered by ``(ts, tie)``.
 """
@@ -39,12 +38,11 @@ def with_next(
     inner = b.select(
         "*",
         *[F.lead(c).over(w).alias(prefix + c) for c in carry],
+        F.lead(F.lit(True)).over(w).alias("_more"),
+        F.first(F.struct(*[F.col(c) for c in carry])).over(w).alias("_first"),
     )
-    firsts = b.groupBy(key, "_bucket").agg(F.min_by(F.struct(*[F.col(c) for c in carry]), F.struct(F.col(ts), F.col(tie))).alias("_first"))
-    wb = Window.partitionBy(key).orderBy("_bucket")
-    links = firsts.select(key, "_bucket", F.lead("_first").over(wb).alias("_nf"))
-    has = F.col(prefix + tie).isNotNull()
-    done = inner.filter(has)
-    tail = inner.filter(~has).drop(*[prefix + c for c in carry]).join(links, [key, "_bucket"], "left")
-    tail = tail.select(*[F.col(c) for c in b.columns], *[F.col("_nf")[c].alias(prefix + c) for c in carry]).drop("_nf")
+    done = inner.filter(F.col("_more").isNotNull()).drop("_more", "_first")
+    across = F.lead("_first").over(Window.partitionBy(key).orderBy("_bucket"))
+    tail = inner.filter(F.col("_more").isNull()).select(*b.columns, across.alias("_next"))
+    tail = tail.select(*b.columns, *[F.col("_next")[c].alias(prefix + c) for c in carry])
     return done.unionByName(tail).drop("_bucket")

@@ -113,7 +113,7 @@ def health_message_text() -> Column:
         F.when(k.isin(0, 5), _hr(_s(-hr)))
         .when(k == 1, _hr(_s(hr + 300)))
         .when(k == 2, null)
-        .when(k == 3, F.lit("[1, 2, 3]"))
+        .when(k == 3, F.concat(F.lit("["), _s(hr), F.lit("]")))
         .when(k == 6, _hr(_q(_s(hr))))
         .when(k == 7, _hr(_s(hr.cast("double") + 0.9)))
         .when(k == 11, _hr(F.lit("true")))
@@ -123,7 +123,7 @@ def health_message_text() -> Column:
         F.when(k == 0, _bp(_s(-sys_), _s(-dia)))
         .when(k == 1, _bp(_s(sys_ + 300), _s(dia + 200)))
         .when(k == 2, null)
-        .when(k == 3, F.lit('"not_a_number"'))
+        .when(k == 3, _q(F.concat(_s(sys_), F.lit(" over "), _s(dia))))
         .when(k == 12, _bp(_s(sys_), None))
         .otherwise(_bp(_s(sys_), _s(dia)))
     )
@@ -131,7 +131,7 @@ def health_message_text() -> Column:
         F.when(k == 0, _sugar(_s(-su)))
         .when(k == 1, _sugar(_s(su + 500)))
         .when(k == 2, null)
-        .when(k == 3, F.lit('{"invalid": true}'))
+        .when(k == 3, _obj(("event", _s(F.col("event_id")))))
         .otherwise(_sugar(_s(su)))
     )
     full = _payload(hr_c, bp_c, su_c)
@@ -214,6 +214,7 @@ def gps_fixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     lng = F.lit(77.5) + ((eid * 7) % 1000) / F.lit(10000.0)
     speed = F.lit(20.0) + F.col("value") / 4
     heading = (eid % 360).cast("double")
+    altitude, accuracy = F.lit(900.0), F.lit(5.0)
     sats = (F.lit(6) + k % 7).cast("int")
     nd = F.lit(None).cast("double")
     return ev.select(
@@ -222,11 +223,11 @@ def gps_fixes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ts",
         F.when(k == 0, lat + 90).when(k == 2, nd).when(k == 3, -lat - 90).otherwise(lat).alias("latitude"),
         F.when(k == 0, lng + 180).when(k == 2, nd).when(k == 3, lng + 120).otherwise(lng).alias("longitude"),
-        F.when(k == 2, nd).when(k == 3, F.lit(-500.0)).otherwise(F.lit(900.0)).alias("altitude"),
-        F.when(k == 1, F.lit(700.0)).when(k == 2, nd).when(k == 3, F.lit(-50.0)).otherwise(speed).alias("speed_kmh"),
-        F.when(k == 2, nd).when(k == 3, F.lit(500.0)).otherwise(heading).alias("heading"),
-        F.when(k == 2, nd).when(k == 3, F.lit(-10.0)).otherwise(F.lit(5.0)).alias("accuracy_meters"),
-        F.when(k == 2, F.lit(0)).when(k == 3, F.lit(-1)).otherwise(sats).alias("satellites"),
+        F.when(k == 2, nd).when(k == 3, -altitude).otherwise(altitude).alias("altitude"),
+        F.when(k == 1, speed + 600).when(k == 2, nd).when(k == 3, -speed).otherwise(speed).alias("speed_kmh"),
+        F.when(k == 2, nd).when(k == 3, heading + 360).otherwise(heading).alias("heading"),
+        F.when(k == 2, nd).when(k == 3, -accuracy).otherwise(accuracy).alias("accuracy_meters"),
+        F.when(k == 2, F.lit(0)).when(k == 3, -sats).otherwise(sats).alias("satellites"),
     )
 
 
@@ -250,9 +251,9 @@ def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(c == 3, null_s).otherwise(F.concat(F.lit("T-"), F.lpad((F.col("o_orderkey") % 20 + 1).cast("string"), 2, "0"))).alias("table_id"),
         F.when(c == 3, null_s).otherwise(F.concat(F.lit("ORD-"), F.col("o_orderkey").cast("string"))).alias("order_id"),
         F.col("o_orderkey").alias("order_key"),
-        F.when(c == 3, null_s).when(c == 4, F.lit("INVALID_STATUS_XYZ")).otherwise(F.lit("ORDER_PLACED")).alias("status"),
+        F.when(c == 3, null_s).when(c == 4, F.concat(F.lit("STEP_"), F.col("o_orderkey").cast("string"))).otherwise(F.lit("ORDER_PLACED")).alias("status"),
         (c != 3).alias("has_items"),
-        F.when(c == 3, null_s).when(c == 4, F.lit("UNKNOWN")).otherwise(F.lit("PENDING")).alias("payment_status"),
+        F.when(c == 3, null_s).when(c == 4, F.concat(F.lit("PAID_"), F.col("o_orderkey").cast("string"))).otherwise(F.lit("PENDING")).alias("payment_status"),
         F.when(c.isin(3, 4), F.lit(None).cast("double")).when(c == 2, -F.col("o_totalprice")).otherwise(F.col("o_totalprice")).alias(
             "total_amount"
         ),

@@ -19,8 +19,8 @@ SQL = {
         """x AS (SELECT 'wearable' AS device_type, unnest(['heart_rate', 'bp_systolic', 'blood_sugar']) AS metric, ts,
        unnest([floor(heart_rate / 10.0), floor(bp_systolic / 10.0), floor(blood_sugar / 20.0)]) AS bin FROM rec
   UNION ALL SELECT 'gps', unnest(['speed_kmh', 'heading', 'altitude']), ts,
-       unnest([floor(CASE k WHEN 1 THEN 700.0 WHEN 2 THEN NULL WHEN 3 THEN -50.0 ELSE 20 + v / 4 END / 10), floor(CASE k WHEN 2 THEN NULL WHEN 3 THEN 500 ELSE event_id % 360 END / 30.0),
-               floor(CASE k WHEN 2 THEN NULL WHEN 3 THEN -500 ELSE 900 END / 100.0)]) FROM ev)""",
+       unnest([floor(CASE k WHEN 1 THEN 20 + v / 4 + 600 WHEN 2 THEN NULL WHEN 3 THEN -(20 + v / 4) ELSE 20 + v / 4 END / 10), floor(CASE k WHEN 2 THEN NULL WHEN 3 THEN event_id % 360 + 360 ELSE event_id % 360 END / 30.0),
+               floor(CASE k WHEN 2 THEN NULL WHEN 3 THEN -900 ELSE 900 END / 100.0)]) FROM ev)""",
         """h AS (SELECT device_type, metric, bin, count(*) FILTER (ts < TIMESTAMP '2024-01-15') AS a, count(*) FILTER (ts >= TIMESTAMP '2024-01-15') AS b
   FROM x WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-01-31' GROUP BY ALL)""",
         """t AS (SELECT *, sum(a) OVER w AS na, sum(b) OVER w AS nb, count(*) OVER w AS bins FROM h WINDOW w AS (PARTITION BY device_type, metric))""",

@@ -8,18 +8,24 @@ SCHEMA = "order_id string, status string, items array<struct<dish_code:string, q
 
 
 def test_nested_order_classes(spark):
-    rows = [
-        ("o1", "ORDER_PLACED", [("D101", 1), ("D150", 3)], 10.0),
-        ("o2", "ORDER_PLACED", [("INVALID_CODE", 1), ("D-999", 2), ("", 1)], None),
-        ("o3", "ORDER_PLACED", [("D101", -5), ("D102", 0)], None),
-        ("o4", "PAYMENT_COMPLETED", [("D101", 1)], -500.0),
-        (None, None, None, None),
-        ("o6", "INVALID_STATUS_XYZ", [("D120", 2)], None),
-        ("o7", "ORDER_PLACED", [("D151", 1)], 5.0),
+    """Rule V3, each class from a good order changed in one place: dish codes just
+    outside the menu, quantities at and below zero, a negated total."""
+    menu = [f"D{n}" for n in range(101, 151)]
+    good = dict(order_id="n1", status="ORDER_PLACED", items=[(menu[0], 1), (menu[-1], 4)], total_amount=42.5)
+    cases = [
+        ({}, "ok"),
+        ({"total_amount": None}, "ok"),
+        ({"items": [(menu[5], 1), ("D100", 1)]}, "invalid_dish"),
+        ({"items": [("D" + menu[0], 1)]}, "invalid_dish"),
+        ({"items": [(menu[3].lower(), 1)]}, "invalid_dish"),
+        ({"items": [(menu[7], 2), (menu[8], 0)]}, "negative_quantity"),
+        ({"items": [(menu[7], -2)]}, "negative_quantity"),
+        ({"total_amount": -42.5}, "impossible_total"),
+        (dict.fromkeys(good), "null_fields"),
+        ({"status": "ORDER_" + menu[0]}, "invalid_status"),
     ]
-    df = spark.createDataFrame(rows, SCHEMA)
-    got = [r.c for r in df.select(Q.order_class().alias("c")).collect()]
-    assert got == ["ok", "invalid_dish", "negative_quantity", "impossible_total", "null_fields", "invalid_status", "invalid_dish"]
+    df = spark.createDataFrame([tuple((good | change).values()) for change, _ in cases], SCHEMA)
+    assert [r.c for r in df.select(Q.order_class().alias("c")).collect()] == [want for _, want in cases]
 
 
 def test_nested_items_per_dish(spark):
@@ -52,6 +58,14 @@ def test_current_state(spark):
 
 
 def test_gps_classes_order(spark):
-    rows = [(None, 1.0, 10.0, 0.0, 5.0, 6), (-100.0, 190.0, -50.0, 500.0, -10.0, -1), (150.0, 250.0, 30.0, 10.0, 5.0, 7), (12.9, 77.5, 700.0, 10.0, 5.0, 7), (12.9, 77.5, 40.0, 10.0, 5.0, 7)]
-    df = spark.createDataFrame(rows, "latitude double, longitude double, speed_kmh double, heading double, accuracy_meters double, satellites int")
-    assert [r.c for r in df.select(Q.gps_class().alias("c")).collect()] == ["null_coords", "out_of_range", "invalid_coords", "extreme_speed", "ok"]
+    good = (48.2, 16.4, 55.0, 120.0, 4.0, 9)
+    lat, lng, speed, heading, accuracy, satellites = good
+    cases = [
+        (good, "ok"),
+        ((None, *good[1:]), "null_coords"),
+        ((-lat - 90, lng + 180, -speed, heading + 360, -accuracy, -satellites), "out_of_range"),
+        ((lat + 90, lng + 180, *good[2:]), "invalid_coords"),
+        ((lat, lng, speed + 600, *good[3:]), "extreme_speed"),
+    ]
+    df = spark.createDataFrame([row for row, _ in cases], "latitude double, longitude double, speed_kmh double, heading double, accuracy_meters double, satellites int")
+    assert [r.c for r in df.select(Q.gps_class().alias("c")).collect()] == [want for _, want in cases]
