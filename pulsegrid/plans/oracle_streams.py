@@ -15,4 +15,5 @@ SQL = {
     "stream_user_sessions": _T["user_sessions"],
     "stream_multi_metric_alerts": _T["multi_metric_alerts"],
     "stream_topic_routing": _I["topic_routing"],
+    "stream_history_replay": _H["metrics_1min"],
 }

@@ -11,6 +11,7 @@ live under the session's checkpoint folder (shared storage on a cluster).
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -20,6 +21,7 @@ from pyspark.sql import types as T
 from .. import schemas as S
 from ..session import checkpoint_dir
 from ..sinks import tables as TB
+from ..sources.replay import NO_TIME, history_stream, slices, store_history
 from ..sources.streams import file_stream, time_slices
 from ..streaming import counters as CO
 from ..streaming import health_stream as HS
@@ -152,6 +154,47 @@ def stream_multi_metric_alerts(spark, sf_dir):
     return ntz(TB.read_table(spark, run_trends_twin(spark, sf_dir), TB.CORRELATED).drop(TB.WRITER_COL, TB.PARTITION_COL))
 
 
+DAY = 86_400
+REPLAY_SECONDS = 24  # how long the replay's clock takes for the whole history
+
+
+def run_history_twin(spark: SparkSession, sf_dir: str) -> str:
+    """The health job on a history told by the replay source, stopped half way and
+    started again from its checkpoints; windows past the last watermark are
+    drained. Returns the output root (once per session)."""
+    key = (_app(spark), sf_dir, "history")
+    if key in _RUNS:
+        return _RUNS[key]
+    prepare(spark)
+    base = checkpoint_dir(spark, f"history-twin-{uuid.uuid4().hex[:12]}")
+    path, root = f"{base}/history", f"{base}/tables"
+    opts, name = _opts(spark), f"history-{uuid.uuid4().hex[:8]}"
+    store_history(X.health_messages(spark, sf_dir), path, "timestamp", DAY)
+    timed = [s for s in slices(path) if s != NO_TIME]
+    speed = max((timed[-1] - timed[0]) / 1e6 / REPLAY_SECONDS, 1.0) if timed else 1.0
+    began, mark = time.time(), None
+    for share in (0.5, 1.0):
+        messages = history_stream(spark, path, S.MESSAGE, began, speed)
+        queries = HS.start(spark, messages, root, opts, name=name, trigger={"processingTime": "1 second"})
+        time.sleep(max(began + REPLAY_SECONDS * share + 1 - time.time(), 0))
+        for q in queries:
+            if share == 1.0:
+                q.processAllAvailable()
+                if q.exception() is not None:
+                    raise RuntimeError(str(q.exception()))
+            q.stop()  # half way, whatever batch it is in
+            mark = max(filter(None, (mark, HS.watermark_of(q))), default=None)
+    HS.drain(spark, spark.read.schema(S.MESSAGE).parquet(path), root, opts, since=_marked(mark))
+    _RUNS[key] = root
+    return root
+
+
+def stream_history_replay(spark, sf_dir):
+    """The short-window METRIC rows that the job made of the replayed history."""
+    root = run_history_twin(spark, sf_dir)
+    return ntz(TB.read_table(spark, root, TB.METRICS_1MIN).drop(TB.WRITER_COL, TB.PARTITION_COL))
+
+
 KAFKA_RECORD = T.StructType(
     [
         T.StructField("topic", T.StringType()),
@@ -214,4 +257,5 @@ QUERIES = {
     "stream_user_sessions": stream_user_sessions,
     "stream_multi_metric_alerts": stream_multi_metric_alerts,
     "stream_topic_routing": stream_topic_routing,
+    "stream_history_replay": stream_history_replay,
 }
