@@ -78,3 +78,23 @@ def test_mixed_rows_meet_each_target_in_whole_documents(spark):
 def test_rows_that_differ_in_which_column_is_null_have_keys_of_their_own(spark):
     rows = spark.createDataFrame([(1, "a b", None, "en"), (1, "a b", "en", None), (1, "a b", "en", None)], "doc_id long, text string, lang string, source string")
     assert rows.select(*row_key(rows)).distinct().count() == 2
+
+
+def test_smallest_sources_come_near_their_targets(spark):
+    sizes = {"a": [500] * 200, "b": [10, 20], "c": [20], "d": [1, 1, 3], "e": [700] * 9, None: [90, 7]}
+    rows = [(n, source, size) for n, (source, size) in enumerate((source, size) for source, own in sizes.items() for size in own)]
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string, size long")).collect()
+    assert len(out) == len(rows) and all(0 <= r["taken"] <= 2 * r["size"] for r in out)
+    for source in sizes:
+        own = [r for r in out if r["source"] == source]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= max(0.01 * own[0]["target"], 1), source
+
+
+def test_a_row_in_a_third_of_the_table_lies_in_many_shards(spark):
+    hot = spark.range(4000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("a").alias("source"), F.lit(300).cast("long").alias("size"))
+    rest = spark.range(8000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("source"), F.lit(300).cast("long").alias("size"))
+    out = mixing.mix(hot.union(rest))
+    shards = {r["shard"]: r["n"] for r in out.where("doc_id IS NULL").groupBy("shard").agg(F.count("*").alias("n")).collect()}
+    assert sum(shards.values()) == 4000 and len(shards) > 30 and max(shards.values()) < 250
+    got = {r["source"]: (r["t"], r["target"]) for r in out.groupBy("source").agg(F.sum("taken").alias("t"), F.first("target").alias("target")).collect()}
+    assert all(abs(t - want) < 0.01 * want for t, want in got.values())
