@@ -9,11 +9,12 @@ names the window of the text in which the item could lie, and Myers'
 bit-parallel distance verifies the (merged) windows.
 
 Items are processed in blocks of bounded size: one pass over the documents per
-block, the block's pieces being broadcast. Items whose normal form is shorter
-than ``MIN_CHARS`` do not identify a passage and match nothing; null and empty
-texts and items match nothing. Repeated rows are matched each; items that
-repeat an item_id are matched each, the best match being returned. Ties are
-broken by the earlier end position.
+block, the block's pieces being broadcast. An item whose normal form is shorter
+than ``MIN_CHARS`` has no error budget and must stand as whole words: its one
+piece is the item between blanks. Null and empty texts and items match nothing.
+Repeated rows are matched each; items that repeat an item_id are matched each, the
+best match being returned, and items without an id count as one item, whose
+item_id is null. Ties are broken by the earlier end position.
 """
 
 from __future__ import annotations
@@ -91,10 +92,13 @@ class Matcher:
     """Finds the items of one block in texts."""
 
     def __init__(self, items: list[tuple[int, str]], error_rate: float):
-        self.items = [(i, s, int(len(s) * error_rate)) for i, s in items]
+        self.items = [(i, s, int(len(s) * error_rate) if len(s) >= MIN_CHARS else 0) for i, s in items]
         self.masks: dict[int, dict[str, int]] = {}
         where: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for n, (_, s, k) in enumerate(self.items):
+            if len(s) < MIN_CHARS:
+                where[f" {s} "].append((n, 0))  # between blanks: the text has one before and after
+                continue
             for offset, size in pieces(len(s), k):
                 where[s[offset : offset + size]].append((n, offset))
         self.automaton = ahocorasick.Automaton()
@@ -107,9 +111,12 @@ class Matcher:
     def _windows(self, text: str) -> dict[int, list[list[int]]]:
         """Per item the merged windows of the text in which it could lie."""
         found: dict[int, set[int]] = defaultdict(set)
-        for end, (size, places) in self.automaton.iter(text):
+        for end, (size, places) in self.automaton.iter(f" {text} "):
             for n, offset in places:
-                found[n].add(end + 1 - size - offset)
+                if len(self.items[n][1]) < MIN_CHARS:
+                    found[n] = found[n] or {end + 1 - size}  # exact: the first is the best
+                else:
+                    found[n].add(end - size - offset)
         out = {}
         for n, starts in found.items():
             _, s, k = self.items[n]
@@ -126,7 +133,7 @@ class Matcher:
     def matches(self, raw: str | None) -> list[tuple[int, int, int]]:
         """(item number, distance, end) of the best match of each item."""
         text = normal(raw)
-        if self.empty or len(text) < MIN_CHARS:
+        if self.empty or not text:
             return []
         out = []
         for n, runs in self._windows(text).items():
@@ -158,25 +165,30 @@ def _share(items: list[tuple[int, str]], spark):
     return spark.sparkContext.broadcast((uuid.uuid4().hex, items))
 
 
+def _order(item: tuple[int | None, str]) -> tuple:
+    return item[0] is None, item[0] or 0, item[1]
+
+
 def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS):
     """Lists of (item_id, normal form) of at most about ``block_chars``."""
     block, chars = [], 0
-    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id IS NOT NULL AND text IS NOT NULL")
+    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text IS NOT NULL")
     for row in rows.distinct().toLocalIterator():
         s = normal(row["text"])
-        if len(s) >= MIN_CHARS:
+        if s:
             block.append((row["item_id"], s))
             chars += len(s)
         if chars >= block_chars:
-            yield sorted(block)
+            yield sorted(block, key=_order)
             block, chars = [], 0
     if block:
-        yield sorted(block)
+        yield sorted(block, key=_order)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """doc_id, item_id, distance, end_char (in the normal form): the best
-    match of each item found in a document; clean documents have no row."""
+    match of each item found in a document; clean documents have no row. (An
+    item_id whose texts fall into several blocks has a row for each.)"""
     spark = docs.sparkSession
     schema = "doc_id long, item_id long, distance int, end_char long"
     texts, found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), None
@@ -192,7 +204,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE,
                         for n, distance, end in finder.matches(text):
                             item = finder.items[n][0]
                             best[item] = min(best.get(item, (distance, end)), (distance, end))
-                        rows += [(ids[r], item, *got) for item, got in sorted(best.items())]
+                        rows += [(ids[r], item, *got) for item, got in sorted(best.items(), key=_order)]
                 columns = list(zip(*rows)) or [[], [], [], []]
                 kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "item_id", "distance", "end_char"])

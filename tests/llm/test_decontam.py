@@ -56,9 +56,11 @@ def test_odd_rows_blocks_and_stage(spark, odd_docs, no_docs):
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = D.leaks(odd_docs, bench, block_chars=100).collect()
     assert {(r.doc_id, r.item_id, r.distance) for r in got} >= {(0, 1, 0), (None, 1, 0), (2, 5, 0)}
-    assert {r.item_id for r in got} == {1, 5}
+    whole = [(i, f" {D.normal(t)} ") for i, t in items if t and D.normal(t)]  # these texts hold no near copies
+    held = [(r["doc_id"], {i for i, t in whole if t in f" {D.normal(r['text'])} "}) for r in odd_docs.select("doc_id", "text").collect()]
+    assert sorted(((r.doc_id, r.item_id) for r in got), key=str) == sorted(((d, i) for d, of in held for i in of), key=str)
     kept = D.drop_leaks(odd_docs, bench)
-    assert kept.columns == odd_docs.columns and kept.count() == odd_docs.count() - 3
+    assert kept.columns == odd_docs.columns and kept.count() == sum(not of for _, of in held)
     assert D.leaks(no_docs, bench).count() == 0 and D.leaks(odd_docs, bench.limit(0)).count() == 0
     assert D.drop_leaks(odd_docs, bench.limit(0)).count() == odd_docs.count()
 
@@ -66,3 +68,22 @@ def test_odd_rows_blocks_and_stage(spark, odd_docs, no_docs):
 def test_normal_forms_agree():
     for s in ("A  b-c_d!!", "É ü x", "漢字, Ab ²³ \x85", "", None, " İx"):
         assert D.normal(s) == D._OTHER.sub(" ", (s or "").lower()).strip()
+
+
+def test_short_items_as_whole_words_and_items_without_an_id(spark):
+    long_item = "which of these rivers runs through four capitals on its way east"
+    bench = spark.createDataFrame([(1, "Capital of Peru?"), (2, "an"), (None, long_item), (None, "red ox")], "item_id long, text string")
+    docs = [
+        (0, "quiz: the capital of PERU, please"),
+        (1, "the capital of perugia and ancient banter"),
+        (2, "so: " + long_item.replace("runs", "ran").upper()),
+        (3, "a red ox; Red, ox! and a fox"),
+        (4, "red oxen"),
+        (5, "An"),
+        (6, "capital of peru"),
+        (7, ""),
+    ]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.item_id, r.distance, r.end_char) for r in D.leaks(df, bench).collect()), key=str)
+    assert got == [(0, 1, 0, len("quiz the capital of peru")), (2, None, 2, len("so " + long_item) - 1), (3, None, 0, 8), (5, 2, 0, 2), (6, 1, 0, 15)]
+    assert sorted(r.doc_id for r in D.drop_leaks(df, bench).collect()) == [1, 4, 7]
