@@ -60,6 +60,26 @@ def table_page_device(spark, sf_dir):
     return _page(spark, sf_dir, 10, 0, "wearable_3")
 
 
+def table_page_json(spark, sf_dir):
+    """A page of 100 rows with its payloads rendered as JSON; the columns are
+    values inside the rendered payload, null where it isn't JSON or lacks them."""
+    raw = raw_table(spark, sf_dir).filter(F.col("table") == "virtual_wearables").drop("table", "ingest_date")
+    page = B.render(B.page(raw, limit=100))
+
+    def inside(path: str, kind: str):
+        return F.try_variant_get("raw_data", path, kind)
+
+    return page.select(
+        "kafka_offset",
+        "ingested_at",
+        F.col("raw_data").isNotNull().alias("is_json"),
+        inside("$.is_anomaly", "string").alias("is_anomaly"),
+        inside("$.user_id", "string").alias("user_id"),
+        inside("$.blood_pressure.systolic", "double").alias("systolic"),
+        inside("$.raw_data.user_id", "string").alias("wrapped_user_id"),
+    )
+
+
 def latest_metrics(spark, sf_dir):
     m = A.metric_rows(readings(spark, sf_dir), TABLE_OPTS, ("1min",))["1min"].filter(F.col("metric_type") == O.METRIC_HR)
     return ntz(B.latest(m, 20, "time", ("user_id",)))
@@ -78,6 +98,7 @@ QUERIES = {
     "table_stats": table_stats,
     "table_page": table_page,
     "table_page_device": table_page_device,
+    "table_page_json": table_page_json,
     "latest_metrics": latest_metrics,
     "latest_alerts": latest_alerts,
 }

@@ -50,6 +50,14 @@ LEFT JOIN (SELECT "table", count(*) AS row_count, max(ingested_at) AS latest_rec
   ON s."table" = t."table\"""",
     "table_page": _page(50, 100),
     "table_page_device": _page(10, 0, "wearable_3"),
+    "table_page_json": with_(EV)
+    + f"""SELECT event_id AS kafka_offset, {ISO} AS ingested_at, k <> 4 AS is_json,
+       CASE WHEN k NOT IN (4, 8) THEN CAST(k < 5 AS VARCHAR) END AS is_anomaly,
+       CASE WHEN k NOT IN (4, 8, 9) THEN 'user_' || CAST(uid AS VARCHAR) END AS user_id,
+       CAST(CASE WHEN k IN (2, 3, 4, 8) THEN NULL WHEN k = 0 THEN -(115 + floor(v / 2))
+                 WHEN k = 1 THEN 415 + floor(v / 2) ELSE 115 + floor(v / 2) END AS DOUBLE) AS systolic,
+       CASE WHEN k = 8 THEN 'user_' || CAST(uid AS VARCHAR) END AS wrapped_user_id
+FROM (SELECT *, ts AS ingested_at FROM ev WHERE uid % 3 = 0 ORDER BY ts DESC, uid % 4 DESC, event_id DESC LIMIT 100)""",
     "latest_metrics": with_(EV, REC, _hr_groups())
     + f"""SELECT window_end AS time, user_id, 'heart_rate' AS metric_type, window_start, window_end,
        CAST({pyround("a", 2)} AS DOUBLE) AS avg_value, CAST(mn AS DOUBLE) AS min_value,

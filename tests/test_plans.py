@@ -1,6 +1,8 @@
 """Plan checks: no Python on the hot path, partial aggregation before the
 exchange, top-k for pages, pushdown into the Parquet scan."""
 
+import re
+
 from pulsegrid.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -37,3 +39,11 @@ def test_anchored_uses_python_only_on_minute_partials(spark):
     assert "FlatMapGroupsInArrow" in p
     # the Python fold sits above the minute aggregation
     assert p.index("FlatMapGroupsInArrow") < p.rindex("HashAggregate")
+
+
+def test_next_fix_has_no_join_and_no_sorted_aggregate(spark):
+    p = plan(QUERIES["gps_heading"](spark, SF))
+    for node in ("Join", "SortAggregate", "ObjectHashAggregate"):
+        assert node not in p
+    # both halves of the union sort the hours, and one the hours' last rows
+    assert len(re.findall(r"[+:]- Window ", p)) == len(re.findall(r"[+:]- Sort ", p)) == 3
