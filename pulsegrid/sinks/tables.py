@@ -122,17 +122,32 @@ def append_if_absent(
     order_col: str | None = None,
     writer: str = "main",
     assume_unique: bool = False,
+    held: bool = False,
 ) -> None:
     """Idempotent append of ``batch`` into table ``name`` (a replayed batch
     adds nothing). Keys are checked against the whole table — every
-    writer's part — but only for the batch's dates: the semi-join on the
-    ``date`` partition column prunes the target scan to those partitions."""
+    writer's part — but only for the batch's dates: its first and last date
+    prune the target scan to the ``date`` partitions between them. The batch
+    is held meanwhile, so that whatever made it runs once; one whose rows
+    are held already costs no second copy if its caller says so (``held``)."""
+    b = with_partition(batch, name)
+    if held:
+        _append_new(spark, b, root, name, order_col, writer, assume_unique)
+        return
+    b = b.persist()
+    try:
+        _append_new(spark, b, root, name, order_col, writer, assume_unique)
+    finally:
+        b.unpersist()
+
+
+def _append_new(spark: SparkSession, b: DataFrame, root: str, name: str, order_col: str | None, writer: str, assume_unique: bool) -> None:
     path = table_path(root, name, writer)
     key = TABLE_KEYS[name]
-    b = with_partition(batch, name)
+    first, last = b.select(F.unix_date(F.min(PARTITION_COL)), F.unix_date(F.max(PARTITION_COL))).first()
     target = read_table(spark, root, name).drop(WRITER_COL)
-    dates = b.select(PARTITION_COL).distinct()
-    target = target.join(dates, PARTITION_COL, "left_semi")
+    day = lambda n: F.date_from_unix_date(F.lit(n).cast("int"))
+    target = target.where(F.col(PARTITION_COL).between(day(first), day(last)))
     new = insert_if_absent(target, b, key + (PARTITION_COL,), order_col, assume_unique)
     if order_col is not None and order_col not in TABLE_SCHEMAS[name].fieldNames():
         new = new.drop(order_col)

@@ -77,9 +77,10 @@ def sink_batch(spark: SparkSession, root: str, metrics: tuple[str, ...], width:
 
 
 def write_partials(spark: SparkSession, partials: DataFrame, root: str, metrics: tuple[str, ...], writer: str, opts: Options) -> None:
+    """Both tables' rows; ``partials`` are held by the caller."""
     mets, alerts = results_from_partials(partials, metrics, opts)
-    TB.append_if_absent(spark, mets, root, table_for(metrics), writer=writer, assume_unique=True)
-    TB.append_if_absent(spark, alerts, root, TB.ALERTS, writer=writer, assume_unique=True)
+    TB.append_if_absent(spark, mets, root, table_for(metrics), writer=writer, assume_unique=True, held=True)
+    TB.append_if_absent(spark, alerts, root, TB.ALERTS, writer=writer, assume_unique=True, held=True)
 
 
 def start(
@@ -116,7 +117,7 @@ def start_results(spark: SparkSession, results: DataFrame, root: str, opts: Opti
         try:
             routed = A.route_results(held)
             for part, table in (("1min", TB.METRICS_1MIN), ("10min", TB.METRICS_10MIN)):
-                TB.append_if_absent(batch.sparkSession, routed[part], root, table, order_col="time", writer=name)
+                TB.append_if_absent(batch.sparkSession, routed[part], root, table, order_col="time", writer=name, held=True)
         finally:
             held.unpersist()
 
@@ -147,10 +148,14 @@ def drain(spark: SparkSession, messages_batch: DataFrame, root: str, opts: Optio
         parts = W.window_partials(own, width, metrics)
         if since is not None:
             parts = parts.filter(F.col("window_end") > mark)
-        if counted:
-            found = parts.agg(F.coalesce(F.sum(CO.alerts_in(metrics, opts)), F.lit(0)).alias("n")).first()["n"]
-            CO.add_counts(spark, root, f"drain_{width}min", CO.DRAIN, {CO.ALERTS: found})
-        write_partials(spark, parts, root, metrics, f"w{width}", opts)
+        parts = parts.persist()  # the messages are parsed once a width, whatever is written of them
+        try:
+            if counted:
+                found = parts.agg(F.coalesce(F.sum(CO.alerts_in(metrics, opts)), F.lit(0)).alias("n")).first()["n"]
+                CO.add_counts(spark, root, f"drain_{width}min", CO.DRAIN, {CO.ALERTS: found})
+            write_partials(spark, parts, root, metrics, f"w{width}", opts)
+        finally:
+            parts.unpersist()
 
 
 def watermark_of(query: StreamingQuery) -> str | None:

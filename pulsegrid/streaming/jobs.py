@@ -50,10 +50,10 @@ def anchored_sink(spark: SparkSession, root: str, opts: Options):
     def _write(batch: DataFrame) -> None:
         res = AN.results(AN.with_timestamps(batch), opts)
         short = A.hr_metric_rows(res["hr"]).unionByName(A.bp_metric_rows(res["bp"]))
-        TB.append_if_absent(spark, short, root, TB.METRICS_1MIN, writer="anchored", assume_unique=True)
-        TB.append_if_absent(spark, A.sugar_metric_rows(res["sugar"]), root, TB.METRICS_10MIN, writer="anchored", assume_unique=True)
+        TB.append_if_absent(spark, short, root, TB.METRICS_1MIN, writer="anchored", assume_unique=True, held=True)
+        TB.append_if_absent(spark, A.sugar_metric_rows(res["sugar"]), root, TB.METRICS_10MIN, writer="anchored", assume_unique=True, held=True)
         alerts = A.union_all([A.hr_alert_rows(res["hr"]), A.bp_alert_rows(res["bp"], opts), A.sugar_alert_rows(res["sugar"])])
-        TB.append_if_absent(spark, alerts, root, TB.ALERTS, writer="anchored", assume_unique=True)
+        TB.append_if_absent(spark, alerts, root, TB.ALERTS, writer="anchored", assume_unique=True, held=True)
 
     return write
 
