@@ -22,7 +22,18 @@ shingles within a window is hashed whole, and equal hashes are one class by
 themselves, so that each text is linked to one other of the class: texts that
 share 50 words exactly are linked whatever else their group holds, and all of
 these words are covered. Again a task sends each hash on once, so a passage of
-a third of all documents crosses the shuffle once per task. Equal texts have equal keys (a 64-bit hash
+a third of all documents crosses the shuffle once per task.
+
+Texts of such groups that are similar without 50 equal words are compared too
+(``similar_pairs``), unless verified passages of one class cover both centres
+already: in groups of up to ``FEW`` all pairs, in larger ones those that share
+more than what is common. A similar passage begins and ends with a shared
+shingle and is longer than ``RUN`` shingles, so of runs that long with ``APART``
+or more between them no choice holds all that is shared: the runs that hold a
+text's most frequent shingles are left out, and every text of the group that has
+one of the others is compared with it, whatever their number.
+
+Equal texts have equal keys (a 64-bit hash
 of the text), are read once per task, and need no windows to be linked.
 
 The result has a row per document that holds a passage found in another
@@ -34,6 +45,7 @@ null doc_id is linked, but class_id is the smallest doc_id that is not null.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +67,10 @@ BROADCAST_ROWS = 500_000
 MANY = 4  # of 3 texts all pairs meet
 FLUSH_PASSAGES = 2_000_000
 SPAN = MIN_WORDS - SHINGLE + 1  # shingles of the shortest passage
+RUN = SPAN - 1
+APART = 12  # a passage over two runs shares 8 of 9 shingles, so one of those between them
+FEW = 64
+FLUSH_SHINGLES = 500_000
 WINDOW = "hk long, salt long, n int, k int, a long, al int, ac int, ar int, b long, bl int, bc int, br int"
 
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
@@ -209,8 +225,9 @@ def windows(texts: DataFrame) -> DataFrame:
                 s, counts = shingles([x[1] for x in fresh])
                 for k in range(HASHES):
                     l, c, r, owner, *both = compact_windows(s, counts, k)
+                    l, c, r = (x.astype(np.int32) for x in (l, c, r))
                     for hk in both:
-                        parts.append((hk.view(np.int64), np.full(len(c), k), key[owner], l, c, r))
+                        parts.append((hk.view(np.int64), np.full(len(c), k, np.int8), key[owner], l, c, r))
                         held += len(c)
                 if held > FLUSH_WINDOWS:
                     yield _grouped(parts)
@@ -223,7 +240,7 @@ def windows(texts: DataFrame) -> DataFrame:
 
 def meetings(found: DataFrame) -> DataFrame:
     """a, b (a < b) and their hits, an entry per pair of windows that met; and
-    a, a with a's windows of the first hash function in groups of many texts."""
+    a, a with a's windows in groups of many texts."""
     side = Window.partitionBy("hk", "salt").orderBy("a", "ac", "ar")
     me = F.struct("k", "a", "al", "ac", "ar", "b", "bl", "bc", "br")
     rows = found.withColumn("own", F.struct("a", "al", "ac", "ar"))
@@ -231,49 +248,46 @@ def meetings(found: DataFrame) -> DataFrame:
     rows = rows.withColumn("first", F.when(F.col("salt") == 0, F.first("own").over(side)))
 
     many = (F.col("salt") != 0) | (F.sum("n").over(Window.partitionBy("hk", "salt")) >= MANY)
-    rows = rows.withColumn("alone", F.when(many & (F.col("k") == 0), F.col("own")))
+    rows = rows.withColumn("alone", F.when(many, F.col("own")))
 
     def with_other(name: str):
         o = F.col(name)
         return F.struct("k", "a", "al", "ac", "ar", o["a"].alias("b"), o["al"].alias("bl"), o["ac"].alias("bc"), o["ar"].alias("br"))
 
-    met = rows.select(F.posexplode(F.array(me, with_other("before"), with_other("first"), with_other("alone"))).alias("way", "m")).select("way", "m.*")
+    rows = rows.where("b IS NOT NULL OR before IS NOT NULL OR alone IS NOT NULL")  # most meet none
+    met = rows.select("hk", F.posexplode(F.array(me, with_other("before"), with_other("first"), with_other("alone"))).alias("way", "m")).select("way", "hk", "m.*")
     met = met.where("b IS NOT NULL AND (a <> b OR way = 3)")
     turned = [F.when(F.col("a") < F.col("b"), F.col(x)).otherwise(F.col(y)).alias(z) for x, y, z in (
         ("a", "b", "a"), ("al", "bl", "al"), ("ac", "bc", "ac"), ("ar", "br", "ar"),
         ("b", "a", "b"), ("bl", "al", "bl"), ("bc", "ac", "bc"), ("br", "ar", "br"))]
-    hit = F.struct("k", "al", "ac", "ar", "bl", "bc", "br")
-    return met.select("k", *turned).groupBy("a", "b").agg(F.collect_set(hit).alias("hits")).where(
+    hit = F.struct("k", "al", "ac", "ar", "bl", "bc", "br", F.when(F.col("way") == 3, F.col("hk")).alias("hk"))
+    return met.select("k", "way", "hk", *turned).groupBy("a", "b").agg(F.collect_set(hit).alias("hits")).where(
         F.size(F.array_distinct(F.transform("hits", lambda h: h["k"]))) >= ENOUGH
     )
 
 
-def join_intervals(hits: list[dict], span: int = SPAN) -> list[tuple[int, int, int, int]]:
-    """Ranges (a0, a1, b0, b1) where hits under enough hash functions overlap
-    by a passage on both sides."""
+def join_intervals(hits: list[tuple], span: int = SPAN) -> list[tuple[int, int, int, int]]:
+    """Ranges (a0, a1, b0, b1) where hits (k, al, ac, ar, bl, bc, br, _) under
+    enough hash functions overlap by a passage on both sides."""
     out, now = [], None
-    for h in sorted(hits, key=lambda h: (h["ac"], h["bc"])):
-        if now and min(now[1], h["ar"]) - max(now[0], h["al"]) + 1 >= span and min(now[3], h["br"]) - max(now[2], h["bl"]) + 1 >= span:
-            now[0], now[1], now[2], now[3] = min(now[0], h["al"]), max(now[1], h["ar"]), min(now[2], h["bl"]), max(now[3], h["br"])
-            now[4].add(h["k"])
+    for k, al, _, ar, bl, _, br, _ in sorted(hits, key=itemgetter(2, 5)):
+        if now and min(now[1], ar) - max(now[0], al) + 1 >= span and min(now[3], br) - max(now[2], bl) + 1 >= span:
+            now[0], now[1], now[2], now[3] = min(now[0], al), max(now[1], ar), min(now[2], bl), max(now[3], br)
+            now[4].add(k)
             continue
         if now and len(now[4]) >= ENOUGH:
             out.append(tuple(now[:4]))
-        now = [h["al"], h["ar"], h["bl"], h["br"], {h["k"]}]
+        now = [al, ar, bl, br, {k}]
     if now and len(now[4]) >= ENOUGH:
         out.append(tuple(now[:4]))
     return out
 
 
-def starts_of(hits: list[dict], span: int = SPAN) -> list[tuple[int, int]]:
-    """Ranges of first positions of the passages that hold their window's centre."""
-    out: list[list[int]] = []
-    for lo, hi in sorted((max(h["al"], h["ac"] - span + 1), min(h["ac"], h["ar"] - span + 1)) for h in hits):
-        if out and lo <= out[-1][1] + 1:
-            out[-1][1] = max(out[-1][1], hi)
-        elif lo <= hi:
-            out.append([lo, hi])
-    return [(lo, hi) for lo, hi in out]
+def starts_of(hits: list[tuple], span: int = SPAN) -> list[tuple[int, int, int, int]]:
+    """Ranges of first positions of the passages that hold their window's
+    centre, the centre, and the group it is in."""
+    every = {(max(al, ac - span + 1), min(ac, ar - span + 1), ac, hk) for _, al, ac, ar, *_, hk in hits}
+    return sorted(x for x in every if x[0] <= x[1])
 
 
 def passage_hashes(s: np.ndarray, span: int = SPAN) -> np.ndarray:
@@ -303,9 +317,16 @@ def _runs(a: np.ndarray, p: np.ndarray, b: np.ndarray, q: np.ndarray) -> list[np
     return [a[first], p[first], p[last] + MIN_WORDS - 1, b[first], q[first], q[last] + MIN_WORDS - 1]
 
 
+def _marked(n: int, lo: int, first: list[int], last: list[int]) -> np.ndarray:
+    """Which of the positions lo to lo + n - 1 lie in a range (first, last)."""
+    begin = np.clip(np.array(first, np.int64) - lo, 0, n)
+    end = np.clip(np.array(last, np.int64) - lo + 1, begin, n)
+    return np.cumsum((np.bincount(begin, minlength=n + 1) - np.bincount(end, minlength=n + 1))[:n]) > 0
+
+
 def equal_passages(own: DataFrame) -> DataFrame:
-    """a, a0, a1, b, b0, b1 (words) from key, lo, data and ranges of passage
-    starts: every passage that occurs in another text, linked to one of them."""
+    """a, a0, a1, b, b0, b1 (words) from key, lo, data and ranges (lows, highs)
+    of passage starts: every passage that occurs in another text, linked to one of them."""
 
     def grouped(parts: list[tuple]) -> pa.RecordBatch:
         pk, a, p = (np.concatenate(x) for x in zip(*parts))
@@ -333,10 +354,10 @@ def equal_passages(own: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
         for batch in batches:
-            for key, lo, data, ranges in zip(*(c.to_pylist() for c in batch.columns)):
+            for key, lo, data, lows, highs in zip(*(c.to_pylist() for c in batch.columns)):
                 h = passage_hashes(np.frombuffer(data, "<u4"))
-                at = np.unique(np.concatenate([np.arange(r["a0"], r["a1"] + 1) for r in ranges]))
-                parts.append((h[at - lo].view(np.int64), np.full(len(at), key, np.int64), at))
+                at = np.flatnonzero(_marked(len(h), lo, lows, highs))
+                parts.append((h[at].view(np.int64), np.full(len(at), key, np.int64), at + lo))
                 held += len(at)
                 if held > FLUSH_PASSAGES:
                     yield grouped(parts)
@@ -359,46 +380,149 @@ def equal_passages(own: DataFrame) -> DataFrame:
     return heads.union(found.where("pk IS NULL").select(*heads.columns))
 
 
+def outside_runs(p: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Which of the ascending positions ``p`` lie outside runs of ``RUN``
+    positions, ``APART`` or more between them, that together hold the largest
+    sum of ``n``. Every passage of more than ``RUN`` shingles that begins and
+    ends with a shared one, as do 8 of 9 in it, shares one outside."""
+    sums = np.concatenate(([0], np.cumsum(n))).tolist()
+    ends, nexts = (np.searchsorted(p, p + x).tolist() for x in (RUN, RUN + APART))
+    best = [0] * (len(p) + 1)
+    for i in range(len(p) - 1, -1, -1):
+        best[i] = max(best[i + 1], sums[ends[i]] - sums[i] + best[nexts[i]])
+    out, i = np.ones(len(p), bool), 0
+    while i < len(p):
+        if best[i] > best[i + 1]:
+            out[i : ends[i]] = False
+            i = nexts[i]
+        else:
+            i += 1
+    return out
+
+
+def similar_pairs(own: DataFrame) -> DataFrame:
+    """a, b (a < b): texts to compare, from key, lo, data, windows in groups of
+    many texts (lows, highs, centres, groups), root and first, last (words that
+    verified passages cover, if any). A position's state is its text's class if
+    it is covered, else its text; a group of one state is settled."""
+
+    def states(key: int, lo: int, n: int, root: int | None, first: list | None, last: list | None) -> np.ndarray:
+        out = np.full(n, ~key, np.int64)  # of this text alone
+        if first:
+            out[_marked(n, lo, first, np.array(last) - SHINGLE + 1)] = root
+        return out
+
+    def joined(parts: list[tuple], names: list[str]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts)], names=names)
+
+    def middles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = []
+            for key, lo, data, _, _, centres, groups, root, first, last in zip(*(c.to_pylist() for c in batch.columns)):
+                state = states(key, lo, len(data) // 4, root, first, last)
+                pair = np.unique(np.stack([groups, state[np.array(centres) - lo]]), axis=1)
+                parts.append((pair[0], np.full(pair.shape[1], key, np.int64), pair[1]))
+            if parts:
+                yield joined(parts, ["g", "key", "state"])
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held, names = [], 0, ["g", "s", "key", "state", "p"]
+        for batch in batches:
+            for key, lo, data, lows, highs, _, groups, root, first, last, large in zip(*(c.to_pylist() for c in batch.columns)):
+                s = np.frombuffer(data, "<i4")
+                state = states(key, lo, len(s), root, first, last)
+                lows, highs, groups = np.array(lows), np.array(highs) + SPAN - 1, np.array(groups)
+                for g in large:
+                    at = np.flatnonzero(_marked(len(s), lo, lows[groups == g], highs[groups == g]))
+                    parts.append((np.full(len(at), g, np.int64), s[at], np.full(len(at), key, np.int64), state[at], (at + lo).astype(np.int32)))
+                    held += len(at)
+                if held > FLUSH_SHINGLES:
+                    yield joined(parts, names)
+                    parts, held = [], 0
+        if held:
+            yield joined(parts, names)
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = []
+            for key, g, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                p, s, n, state = (rows.values.field(k).to_numpy() for k in range(4))
+                order = np.argsort(p, kind="stable")
+                p, s, n, state = p[order], s[order], n[order], state[order]
+                parts.append((np.full(len(s), g, np.int64), s, np.full(len(s), key, np.int64), state, outside_runs(p, n)))
+            if parts:
+                yield joined(parts, ["g", "s", "key", "state", "out"])
+
+    def unsettled(rows: DataFrame, *by: str) -> DataFrame:
+        found = rows.groupBy(*by).agg(F.min("state").alias("low"), F.max("state").alias("high"), F.count("*").alias("n"))
+        return rows.join(found.where("low < high").select(*by, "n"), list(by))
+
+    def pairs(rows: DataFrame, other: DataFrame, *by: str) -> DataFrame:
+        met = rows.select(*by, F.col("key").alias("a"), F.col("state").alias("_state")).join(other, list(by))
+        return met.where("key <> a AND state <> _state").select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b"))
+
+    own = stage(own.select("key", "lo", "data", "lows", "highs", "centres", "groups", "root", "first", "last"), "own")
+    some = stage(unsettled(own.mapInArrow(middles, "g long, key long, state long"), "g"), "unsettled")
+    few, large = some.where(F.col("n") <= FEW), some.where(F.col("n") > FEW)
+    large = large.groupBy("key").agg(F.collect_set("g").alias("large"))
+    found = own.join(large, "key").select(*own.columns, "large")
+    found = stage(found.mapInArrow(places, "g long, s int, key long, state long, p int"), "places")
+    rows = unsettled(found, "g", "s").groupBy("key", "g").agg(F.collect_list(F.struct("p", "s", "n", "state")).alias("rows"))
+    rows = rows.mapInArrow(keys, "g long, s int, key long, state long, out boolean")
+    rows = stage(rows.groupBy("g", "s", "key", "state").agg(F.max("out").alias("out")), "shared")
+    met = pairs(few, few, "g").union(pairs(rows.where("out"), rows, "g", "s"))
+    return met.distinct()
+
+
+def _in(x: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Which of ``x`` are in the sorted ``own``."""
+    at = np.searchsorted(own, x)
+    at[at == len(own)] = 0
+    return own[at] == x
+
+
 def _longest(match: np.ndarray, span: int) -> tuple[int, int] | None:
     """The longest range in which at least 8 of 9 positions match: passages
     of equal length with that share have a similarity of 0.8."""
+    n = int(np.count_nonzero(match))
+    if 9 * n < 8 * span:
+        return None
+    if n == len(match):
+        return (0, n) if n >= span else None
     p = np.concatenate(([0], np.cumsum(np.where(match, 1, -8))))
     lows = np.minimum.accumulate(p)
     highs = np.maximum.accumulate(p[::-1])[::-1]
-    best, i, j = (0, 0), 0, 0
-    while j < len(p):  # two pointers over the running minimum and maximum
-        if highs[j] >= lows[i]:
-            if j - i > best[1] - best[0]:
-                best = (i, j)
-            j += 1
-        else:
-            i += 1
-    i, j = best
-    while i < j and not match[i]:
-        i += 1
-    while j > i and not match[j - 1]:
-        j -= 1
+    ends = np.searchsorted(-highs, -lows, side="right") - 1  # the last to reach each running minimum
+    i = int(np.argmax(ends - np.arange(len(p))))
+    at = np.flatnonzero(match[i : ends[i]])
+    if not len(at):
+        return None
+    i, j = i + int(at[0]), i + int(at[-1]) + 1
     return (i, j) if j - i >= span else None
 
 
 def verify(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY, span: int = SPAN) -> list[tuple[int, int, int, int]]:
     """Passages (first, last in a; first, last in b, in shingles) of at least
     ``span`` shingles with similar shingle sets."""
-    out, todo = [], [(0, len(a))]
+    if len(a) < span or len(b) < span:
+        return []
+    if len(a) == len(b) and (a == b).all():
+        return [(0, len(a) - 1, 0, len(b) - 1)]
+    out, todo, match = [], [(0, len(a))], _in(a, np.sort(b))
     while todo:
         x, y = todo.pop()
-        got = _longest(np.isin(a[x:y], b), span) if y - x >= span else None
+        got = _longest(match[x:y], span) if y - x >= span else None
         if not got:
             continue
         i, j = x + got[0], x + got[1]
-        other = _longest(np.isin(b, a[i:j]), span)
+        other = _longest(_in(b, np.sort(a[i:j])), span)
         while other:  # what only other parts of b match goes, until both ranges stand
             p, q = other
-            again = _longest(np.isin(a[i:j], b[p:q]), span)
+            again = _longest(_in(a[i:j], np.sort(b[p:q])), span)
             if not again or again == (0, j - i):
                 break
             i, j = i + again[0], i + again[1]
-            other = _longest(np.isin(b, a[i:j]), span)
+            other = _longest(_in(b, np.sort(a[i:j])), span)
         if other:
             one, two = set(a[i:j].tolist()), set(b[p:q].tolist())
             same = len(one & two)
@@ -430,64 +554,91 @@ def _slices(texts: DataFrame, need: DataFrame) -> DataFrame:
     return out.groupBy("key").agg(F.first("lo").alias("lo"), F.first("data").alias("data"))
 
 
-def passages(texts: DataFrame) -> DataFrame:
-    """a, a0, a1, b, b0, b1 (words, inclusive): verified passages that the
-    different texts a and b share."""
-    pairs = meetings(windows(texts))
-
-    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["a", "b", "a0", "a1", "b0", "b1"]
-        for batch in batches:
-            rows = []
-            for r in batch.to_pylist():
-                if r["a"] == r["b"]:
-                    rows += [(r["a"], r["b"], lo, hi, lo, hi) for lo, hi in starts_of(r["hits"])]
-                else:
-                    rows += [(r["a"], r["b"], *x) for x in join_intervals(r["hits"])]
-            columns = list(zip(*rows)) or [[]] * 6
-            kinds = [pa.int64()] * 2 + [pa.int32()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=names)
-
-    found = stage(pairs.mapInArrow(candidates, "a long, b long, a0 int, a1 int, b0 int, b1 int"), "candidates")
-    alone, found = found.where("a = b"), found.where("a <> b")
-    need = found.selectExpr("a AS key", "a0 AS lo", "a1 AS hi").union(found.selectExpr("b", "b0", "b1"))
-    need = need.union(alone.selectExpr("a", "a0", f"a1 + {SPAN - 1}"))
-    need = stage(need.groupBy("key").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")), "need")
-    cut = stage(_slices(texts, need), "slices")
-    both = found
+def compared(found: DataFrame, cut: DataFrame) -> DataFrame:
+    """a, a0, a1, b, b0, b1 (words): the verified passages of pairs a, b, in
+    their ranges a0 to a1 and b0 to b1 if they have any, else in whole slices."""
+    both, whole = found, "a0" not in found.columns
     for x in "ab":  # the range's hashes, 4 bytes each
-        own = cut.select(F.col("key").alias(x), F.col("lo").alias("_lo"), F.col("data").alias("_data"))
-        part = F.expr(f"substring(_data, 4 * ({x}0 - _lo) + 1, 4 * ({x}1 - {x}0 + 1))")
-        both = both.join(own, x).withColumn(f"{x}_data", part).drop("_lo", "_data")
+        own = cut.select(F.col("key").alias(x), F.col("lo").alias(f"{x}0" if whole else "_lo"), F.col("data").alias(f"{x}_data" if whole else "_data"))
+        both = both.join(own, x)
+        if not whole:
+            part = F.expr(f"substring(_data, 4 * ({x}0 - _lo) + 1, 4 * ({x}1 - {x}0 + 1))")
+            both = both.withColumn(f"{x}_data", part).drop("_lo", "_data")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["a", "a0", "a1", "b", "b0", "b1"]
         for batch in batches:
             rows = []
-            for r in batch.to_pylist():
-                one, two = (np.frombuffer(r[x], "<u4") for x in ("a_data", "b_data"))
-                for i, j, p, q in verify(one, two):
+            for a, a0, b, b0, one, two in zip(*(c.to_pylist() for c in batch.columns[:4]), *batch.columns[4:]):
+                for i, j, p, q in verify(np.frombuffer(one.as_buffer(), "<u4"), np.frombuffer(two.as_buffer(), "<u4")):
                     more = SHINGLE - 1
-                    rows.append((r["a"], r["a0"] + i, r["a0"] + j + more, r["b"], r["b0"] + p, r["b0"] + q + more))
+                    rows.append((a, a0 + i, a0 + j + more, b, b0 + p, b0 + q + more))
             columns = list(zip(*rows)) or [[]] * 6
             kinds = [pa.int64(), pa.int32(), pa.int32()] * 2
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=names)
 
-    both = both.select("a", "a0", "a1", "b", "b0", "b1", "a_data", "b_data")
-    near = both.mapInArrow(check, "a long, a0 int, a1 int, b long, b0 int, b1 int")
-    alone = alone.groupBy(F.col("a").alias("key")).agg(F.collect_list(F.struct("a0", "a1")).alias("ranges"))
-    equal = equal_passages(cut.join(alone, "key").select("key", "lo", "data", "ranges"))
-    return stage(near.union(equal), "passages")
+    both = both.select("a", "a0", "b", "b0", "a_data", "b_data")
+    return both.mapInArrow(check, "a long, a0 int, a1 int, b long, b0 int, b1 int")
+
+
+def _sides(shared: DataFrame) -> DataFrame:
+    sides = shared.selectExpr("a AS key", "b AS other", "a0 AS first", "a1 AS last")
+    return sides.union(shared.selectExpr("b", "a", "b0", "b1"))
+
+
+def passages(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """a, a0, a1, b, b0, b1 (words, inclusive): verified passages that the
+    different texts a and b share; and the components (node, root) they make."""
+    pairs = meetings(windows(texts))
+
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["a", "b", "a0", "a1", "b0", "b1", "lows", "highs", "centres", "groups"]
+        for batch in batches:
+            rows, hits = [], batch.column(2)
+            every = list(zip(*(x.fill_null(0).to_numpy().tolist() for x in hits.flatten().flatten())))
+            cuts = (hits.offsets.to_numpy() - hits.offsets[0].as_py()).tolist()
+            for a, b, i, j in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), cuts, cuts[1:]):
+                if a == b:
+                    lows, highs, *middles = zip(*starts_of(every[i:j]))  # a window holds a passage
+                    rows.append((a, b, min(lows), max(highs) + SPAN - 1, None, None, lows, highs, *middles))
+                else:
+                    rows += [(a, b, *x, None, None, None, None) for x in join_intervals(every[i:j])]
+            columns = list(zip(*rows)) or [[]] * 10
+            kinds = [pa.int64()] * 2 + [pa.int32()] * 4 + [pa.list_(pa.int32())] * 3 + [pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=names)
+
+    kinds = "a long, b long, a0 int, a1 int, b0 int, b1 int, lows array<int>, highs array<int>, centres array<int>, groups array<long>"
+    found = stage(pairs.mapInArrow(candidates, kinds), "candidates")
+    alone, found = found.where("a = b"), found.where("a <> b").drop("lows", "highs", "centres", "groups")
+    need = found.selectExpr("a AS key", "a0 AS lo", "a1 AS hi").union(found.selectExpr("b", "b0", "b1"))
+    need = need.union(alone.select("a", "a0", "a1"))
+    need = stage(need.groupBy("key").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")), "need")
+    cut = stage(_slices(texts, need), "slices")
+    own = cut.join(alone.select(F.col("a").alias("key"), "lows", "highs", "centres", "groups"), "key")
+    shared = stage(compared(found, cut).union(equal_passages(own.select("key", "lo", "data", "lows", "highs"))), "passages")
+    roots = stage(connected_components(shared.select("a", "b")), "roots")
+    done = _sides(shared).join(alone.select(F.col("a").alias("key")), "key", "left_semi").select("key", "first", "last").distinct()
+    done = done.groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("done"))
+    done = done.select("key", F.col("done.first").alias("first"), F.col("done.last").alias("last"))
+    own = own.join(done, "key", "left").join(roots.withColumnRenamed("node", "key"), "key", "left")
+    more = stage(compared(similar_pairs(own), cut), "similar")
+    # what the second comparison links are components of the first, or single texts
+    links = more.select("a", "b").distinct()
+    for x in "ab":
+        links = links.join(roots.select(F.col("node").alias(x), F.col("root").alias(f"{x}_root")), x, "left")
+    links = links.select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b"))
+    late = stage(connected_components(links), "late")
+    moved = late.select(F.col("node").alias("root"), F.col("root").alias("_to"))
+    first = roots.join(moved, "root", "left").select("node", F.coalesce("_to", "root").alias("root"))
+    return shared.union(more), first.union(late.join(roots, "node", "left_anti").select("node", "root"))
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """doc_id, class_id, n_links (other texts compared and found to share a
     passage, not all of its class, and copies), n_words (covered) and passages (first and last word)."""
     texts = docs.where("text IS NOT NULL").select(F.xxhash64("text").alias("key"), "text")
-    shared = passages(texts)
-    roots = connected_components(shared.select("a", "b"))
-    sides = shared.selectExpr("a AS key", "b AS other", "a0 AS first", "a1 AS last")
-    sides = sides.union(shared.selectExpr("b", "a", "b0", "b1"))
+    shared, roots = passages(texts)
+    sides = _sides(shared)
     links = sides.select("key", "other").distinct().groupBy("key").agg(F.count("*").alias("n_texts"))
     ranges = sides.select("key", "first", "last").distinct().groupBy("key").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("ranges"))
     merged = """aggregate(ranges, cast(array() AS array<struct<first:int,last:int>>), (done, x) ->

@@ -136,6 +136,32 @@ def test_pairs_around_boilerplate_are_found(spark, sentence_of):
     assert all(55 <= r.n_words <= 57 for r in got)
 
 
+def test_near_copies_around_a_common_line_are_found(spark, sentence_of):
+    rng = random.Random(8)
+    line = sentence_of(rng, 42)
+    docs, pairs = [], {}
+    for k in range(240):
+        docs.append((k, " ".join([sentence_of(rng, 30), line, sentence_of(rng, 30)])))
+    for k in range(300, 380, 2):  # 58 words with a changed one inside the line: no 50 equal words
+        before, after = sentence_of(rng, 8), sentence_of(rng, 8)
+        for j in (k, k + 1):
+            about = line.split()
+            if j > k:
+                about[20] = "changed"
+            docs.append((j, " ".join([sentence_of(rng, 30), before, *about, after, sentence_of(rng, 30)])))
+            pairs[j] = k
+    got = W.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string").repartition(5)).collect()
+    assert {r.doc_id: r.class_id for r in got} == pairs
+    assert all(58 <= r.n_words <= 60 for r in got)
+
+
+def test_runs_leave_a_shared_shingle_out():
+    p = np.r_[0, np.arange(10, 55), np.arange(80, 84)]
+    n = np.r_[2, np.full(45, 400), np.full(4, 2)]
+    assert p[W.outside_runs(p, n)].tolist() == [0]
+    assert W.outside_runs(np.arange(46), np.ones(46, int)).sum() == 1
+
+
 def test_a_text_of_one_word_meets_others(spark):
     docs = [(1, "w " * 5000), (2, "w " * 300), (3, "v " * 49)]
     got = {r.doc_id: (r.class_id, r.n_words) for r in W.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
