@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,3 +46,14 @@ def dealt(df: DataFrame) -> DataFrame:
     can't be split (one row group) and costly per-row work; it is off unless set."""
     n = df.sparkSession.conf.get("pulsegrid.scan.partitions", "")
     return df.repartition(int(n)) if n else df
+
+
+ROWS_AT_ONCE = 500_000
+
+
+def spread(df: DataFrame, key: str, rows: int = ROWS_AT_ONCE) -> DataFrame:
+    """``df`` by ``key`` in partitions of about ``rows`` rows, for joins and
+    aggregates whose tasks hold their partition; as it is while the session's
+    own number of shuffle partitions gives no larger ones."""
+    n = math.ceil(df.count() / rows)
+    return df.repartition(n, key) if n > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df

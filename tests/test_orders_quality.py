@@ -1,8 +1,10 @@
 from datetime import datetime
 
+from pyspark.sql import functions as F
 
 from pulsegrid.operators import orders as OR
 from pulsegrid.operators import quality as Q
+from pulsegrid.sources.tables import spread
 
 SCHEMA = "order_id string, status string, items array<struct<dish_code:string, quantity:int>>, total_amount double"
 
@@ -69,3 +71,12 @@ def test_gps_classes_order(spark):
     ]
     df = spark.createDataFrame([row for row, _ in cases], "latitude double, longitude double, speed_kmh double, heading double, accuracy_meters double, satellites int")
     assert [r.c for r in df.select(Q.gps_class().alias("c")).collect()] == [want for _, want in cases]
+
+
+def test_more_items_make_more_partitions(spark):
+    default = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    items = spark.range(100 * default).selectExpr("id % 977 AS order_key", "id")
+    wide = spread(items, "order_key", 50)
+    assert wide.rdd.getNumPartitions() == 2 * default and wide.count() == 100 * default
+    assert wide.groupBy(F.spark_partition_id().alias("p"), "order_key").count().groupBy("order_key").count().where("count > 1").count() == 0
+    assert spread(items, "order_key", 100) is items
