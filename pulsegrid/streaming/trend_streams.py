@@ -100,5 +100,9 @@ def drain_correlation(spark: SparkSession, messages: DataFrame, root: str, since
     readings = parse_health(messages, opts).where(F.col("ts") >= mark - reach)
     # the earliest window of the span may be cut; no pair of this drain has it
     p = W.window_partials(readings, opts.hr_window_minutes, ("hr", "bp")).where(F.col("window_start") >= mark - reach)
-    rows = C.multi_metric_alerts(A.hr_alert_rows(W.hr_result(p, opts)), A.bp_alert_rows(W.bp_result(p, opts), opts), opts).where(F.col("time") > mark)
-    TB.append_if_absent(spark, rows, root, TB.CORRELATED, writer=f"{name}-drain", assume_unique=True)
+    p = p.persist()  # the messages are parsed once for both metrics
+    try:
+        rows = C.multi_metric_alerts(A.hr_alert_rows(W.hr_result(p, opts)), A.bp_alert_rows(W.bp_result(p, opts), opts), opts).where(F.col("time") > mark)
+        TB.append_if_absent(spark, rows, root, TB.CORRELATED, writer=f"{name}-drain", assume_unique=True)
+    finally:
+        p.unpersist()

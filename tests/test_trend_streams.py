@@ -81,3 +81,19 @@ def test_correlation_stream_writes_closed_pairs_and_forgets_them(spark, scratch)
 def test_widths_must_agree(spark):
     with pytest.raises(ValueError):
         TS.correlated_stream(None, None, OPTS.with_(hr_window_minutes=5))
+
+
+def test_drains_read_the_messages_once(spark, scratch):
+    acc = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for b in batches:
+            acc.add(b.num_rows)
+            yield b
+
+    msgs = X.health_messages(spark, SF)
+    n, seen = msgs.count(), msgs.mapInArrow(run, msgs.schema)
+    for drain in (lambda root: TS.drain_correlation(spark, seen, root, "2024-01-20T00:00:00Z", OPTS), lambda root: HS.drain(spark, seen, root, OPTS, since="2024-01-20T00:00:00Z")):
+        before = acc.value
+        drain(os.path.join(scratch, uuid.uuid4().hex))
+        assert acc.value - before == n
