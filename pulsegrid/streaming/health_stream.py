@@ -139,23 +139,29 @@ def drain(spark: SparkSession, messages_batch: DataFrame, root: str, opts: Optio
     partitions of the batch's dates are read back. ``counted`` adds the alerts
     of the windows written to the job's counters.
     """
-    readings = parse_health(messages_batch, opts)
-    for width, metrics in _width_groups(opts).items():
-        own = readings
-        if since is not None:
-            mark = F.lit(since).cast("timestamp")
-            own = own.filter(F.col("ts") >= mark - F.make_dt_interval(mins=F.lit(width)))
-        parts = W.window_partials(own, width, metrics)
-        if since is not None:
-            parts = parts.filter(F.col("window_end") > mark)
-        parts = parts.persist()  # the messages are parsed once a width, whatever is written of them
-        try:
-            if counted:
-                found = parts.agg(F.coalesce(F.sum(CO.alerts_in(metrics, opts)), F.lit(0)).alias("n")).first()["n"]
-                CO.add_counts(spark, root, f"drain_{width}min", CO.DRAIN, {CO.ALERTS: found})
-            write_partials(spark, parts, root, metrics, f"w{width}", opts)
-        finally:
-            parts.unpersist()
+    readings, held, widths = parse_health(messages_batch, opts), None, _width_groups(opts)
+    if since is not None:  # what any width needs is parsed once
+        mark = F.lit(since).cast("timestamp")
+        held = readings = readings.filter(F.col("ts") >= mark - F.make_dt_interval(mins=F.lit(max(widths)))).persist()
+    try:
+        for width, metrics in widths.items():
+            own = readings
+            if since is not None:
+                own = own.filter(F.col("ts") >= mark - F.make_dt_interval(mins=F.lit(width)))
+            parts = W.window_partials(own, width, metrics)
+            if since is not None:
+                parts = parts.filter(F.col("window_end") > mark)
+            parts = parts.persist()  # folded once a width, whatever is written of them
+            try:
+                if counted:
+                    found = parts.agg(F.coalesce(F.sum(CO.alerts_in(metrics, opts)), F.lit(0)).alias("n")).first()["n"]
+                    CO.add_counts(spark, root, f"drain_{width}min", CO.DRAIN, {CO.ALERTS: found})
+                write_partials(spark, parts, root, metrics, f"w{width}", opts)
+            finally:
+                parts.unpersist()
+    finally:
+        if held is not None:
+            held.unpersist()
 
 
 def watermark_of(query: StreamingQuery) -> str | None:
