@@ -25,13 +25,17 @@ these words are covered. Again a task sends each hash on once, so a passage of
 a third of all documents crosses the shuffle once per task.
 
 Texts of such groups that are similar without 50 equal words are compared too
-(``similar_pairs``), unless verified passages of one class cover both centres
-already: in groups of up to ``FEW`` all pairs, in larger ones those that share
-more than what is common. A similar passage begins and ends with a shared
-shingle and is longer than ``RUN`` shingles, so of runs that long with ``APART``
-or more between them no choice holds all that is shared: the runs that hold a
-text's most frequent shingles are left out, and every text of the group that has
-one of the others is compared with it, whatever their number.
+(``similar_pairs``): in groups of up to ``FEW`` all pairs whose centres verified
+passages of one class do not cover already, in larger ones those of different
+classes that share more than what is common. A similar passage begins and ends
+with a shared shingle and is longer than ``RUN`` shingles, so of runs that long
+with ``APART`` or more between them no choice holds all that is shared: the runs
+that hold a text's most frequent shingles are left out, and every text of the
+group that has one of the others is compared with it, whatever their number. Only
+ranges count of which other classes hold 8 of 9 shingles, as a similar passage
+asks for. Texts of one class are linked already; words of theirs that nothing
+covers yet are compared with a few texts of the class, so that the comparisons
+grow with the texts and not with the square of the class.
 
 Equal texts have equal keys (a 64-bit hash
 of the text), are read once per task, and need no windows to be linked.
@@ -400,78 +404,131 @@ def outside_runs(p: np.ndarray, n: np.ndarray) -> np.ndarray:
     return out
 
 
-def similar_pairs(own: DataFrame) -> DataFrame:
-    """a, b (a < b): texts to compare, from key, lo, data, windows in groups of
-    many texts (lows, highs, centres, groups), root and first, last (words that
-    verified passages cover, if any). A position's state is its text's class if
-    it is covered, else its text; a group of one state is settled."""
+def _states(key: int, lo: int, n: int, root: int | None, first: list | None, last: list | None) -> np.ndarray:
+    """A position's state: its text's class if verified passages (words first
+    to last) cover it, else its text."""
+    out = np.full(n, ~key, np.int64)
+    if first:
+        out[_marked(n, lo, first, np.array(last) - SHINGLE + 1)] = root
+    return out
+
 
-    def states(key: int, lo: int, n: int, root: int | None, first: list | None, last: list | None) -> np.ndarray:
-        out = np.full(n, ~key, np.int64)  # of this text alone
-        if first:
-            out[_marked(n, lo, first, np.array(last) - SHINGLE + 1)] = root
-        return out
+def _joined(parts: list[tuple], names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts)], names=names)
 
-    def joined(parts: list[tuple], names: list[str]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts)], names=names)
+
+def unsettled(spots: DataFrame) -> DataFrame:
+    """g, key, class, state and n (the group's rows): centres of groups of many
+    texts, but for groups of one state. From key, lo, size, centres, groups,
+    root and first, last (words that verified passages cover, if any)."""
 
     def middles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = []
-            for key, lo, data, _, _, centres, groups, root, first, last in zip(*(c.to_pylist() for c in batch.columns)):
-                state = states(key, lo, len(data) // 4, root, first, last)
+            for key, lo, size, centres, groups, root, first, last in zip(*(c.to_pylist() for c in batch.columns)):
+                state = _states(key, lo, size, root, first, last)
                 pair = np.unique(np.stack([groups, state[np.array(centres) - lo]]), axis=1)
-                parts.append((pair[0], np.full(pair.shape[1], key, np.int64), pair[1]))
+                n = pair.shape[1]
+                parts.append((pair[0], np.full(n, key, np.int64), np.full(n, ~key if root is None else root, np.int64), pair[1]))
             if parts:
-                yield joined(parts, ["g", "key", "state"])
+                yield _joined(parts, ["g", "key", "class", "state"])
+
+    rows = spots.select("key", "lo", "size", "centres", "groups", "root", "first", "last")
+    rows = rows.mapInArrow(middles, "g long, key long, class long, state long")
+    found = rows.groupBy("g").agg(F.min("state").alias("low"), F.max("state").alias("high"), F.count("*").alias("n"))
+    return rows.join(found.where("low < high").select("g", "n"), "g")
+
+
+def _alive(match: np.ndarray) -> np.ndarray:
+    """Positions in ranges of ``SPAN`` or more of which 8 of 9 match, as they
+    do in every passage that ``verify`` can find."""
+    out = np.zeros(len(match) + 1, np.int64)
+    p = np.concatenate(([0], np.cumsum(np.where(match, 1, -8))))
+    highs = np.maximum.accumulate(p[::-1])[::-1]
+    ends = np.searchsorted(-highs, -p, side="right") - 1  # the farthest end of such a range
+    begin = np.flatnonzero(ends - np.arange(len(p)) >= SPAN)
+    np.add.at(out, begin, 1)
+    np.add.at(out, ends[begin], -1)
+    return np.cumsum(out)[:-1] > 0
+
+
+def similar_pairs(own: DataFrame) -> DataFrame:
+    """a, b (a < b): texts still to compare, from ``unsettled``'s columns and
+    data, lows, highs. Texts of two classes are compared if they share one of
+    the shingles ``outside_runs``, where other classes hold enough around it
+    (``_alive``); the texts of the class that most of a group are in need not
+    look for the others, which look for them. Words that no verified passage
+    covers are looked up in the text's own class in the same way, but with a few
+    texts of the class: the texts are linked already."""
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, held, names = [], 0, ["g", "s", "key", "state", "p"]
+        parts, held, names = [], 0, ["g", "s", "key", "class", "p", "bare", "starts"]
         for batch in batches:
-            for key, lo, data, lows, highs, _, groups, root, first, last, large in zip(*(c.to_pylist() for c in batch.columns)):
+            for key, lo, data, lows, highs, groups, root, first, last, large in zip(*(c.to_pylist() for c in batch.columns)):
                 s = np.frombuffer(data, "<i4")
-                state = states(key, lo, len(s), root, first, last)
+                bare = _states(key, lo, len(s), root, first, last) == ~key
                 lows, highs, groups = np.array(lows), np.array(highs) + SPAN - 1, np.array(groups)
-                for g in large:
+                own = ~key if root is None else root
+                for g, most in {(x["g"], x["most"]) for x in large}:
                     at = np.flatnonzero(_marked(len(s), lo, lows[groups == g], highs[groups == g]))
-                    parts.append((np.full(len(at), g, np.int64), s[at], np.full(len(at), key, np.int64), state[at], (at + lo).astype(np.int32)))
+                    starts = own != most or bool(bare[at].any())
+                    parts.append((np.full(len(at), g, np.int64), s[at], np.full(len(at), key, np.int64), np.full(len(at), own, np.int64),
+                                  (at + lo).astype(np.int32), bare[at], np.full(len(at), starts)))
                     held += len(at)
                 if held > FLUSH_SHINGLES:
-                    yield joined(parts, names)
+                    yield _joined(parts, names)
                     parts, held = [], 0
         if held:
-            yield joined(parts, names)
+            yield _joined(parts, names)
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = []
-            for key, g, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                p, s, n, state = (rows.values.field(k).to_numpy() for k in range(4))
+            for key, g, own, most, rows in zip(*(c.to_pylist() for c in batch.columns[:4]), batch.column(4)):
+                p, s, n, *flags = (rows.values.field(k).to_numpy(zero_copy_only=False) for k in range(6))
                 order = np.argsort(p, kind="stable")
-                p, s, n, state = p[order], s[order], n[order], state[order]
-                parts.append((np.full(len(s), g, np.int64), s, np.full(len(s), key, np.int64), state, outside_runs(p, n)))
+                p, s, n, bare, other, same = (x[order] for x in (p, s, n, *flags))
+                at = p - p[0]
+                for inside, match in ((False, other), (True, same)):
+                    if not inside and own == most:
+                        continue
+                    marks = np.zeros(at[-1] + 1, bool)
+                    marks[at] = match
+                    alive = _alive(marks)
+                    if inside:  # stretches with words that nothing covers
+                        stretch = np.cumsum(np.diff(alive, prepend=False))
+                        alive &= np.isin(stretch, stretch[at[bare & alive[at]]])
+                    own_p = match & alive[at]
+                    q, t = p[own_p], s[own_p]
+                    t = np.unique(t[outside_runs(q, n[own_p])])
+                    parts.append((np.full(len(t), g, np.int64), t, np.full(len(t), key, np.int64), np.full(len(t), own, np.int64), np.full(len(t), inside)))
             if parts:
-                yield joined(parts, ["g", "s", "key", "state", "out"])
-
-    def unsettled(rows: DataFrame, *by: str) -> DataFrame:
-        found = rows.groupBy(*by).agg(F.min("state").alias("low"), F.max("state").alias("high"), F.count("*").alias("n"))
-        return rows.join(found.where("low < high").select(*by, "n"), list(by))
-
-    def pairs(rows: DataFrame, other: DataFrame, *by: str) -> DataFrame:
-        met = rows.select(*by, F.col("key").alias("a"), F.col("state").alias("_state")).join(other, list(by))
-        return met.where("key <> a AND state <> _state").select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b"))
-
-    own = stage(own.select("key", "lo", "data", "lows", "highs", "centres", "groups", "root", "first", "last"), "own")
-    some = stage(unsettled(own.mapInArrow(middles, "g long, key long, state long"), "g"), "unsettled")
-    few, large = some.where(F.col("n") <= FEW), some.where(F.col("n") > FEW)
-    large = large.groupBy("key").agg(F.collect_set("g").alias("large"))
-    found = own.join(large, "key").select(*own.columns, "large")
-    found = stage(found.mapInArrow(places, "g long, s int, key long, state long, p int"), "places")
-    rows = unsettled(found, "g", "s").groupBy("key", "g").agg(F.collect_list(F.struct("p", "s", "n", "state")).alias("rows"))
-    rows = rows.mapInArrow(keys, "g long, s int, key long, state long, out boolean")
-    rows = stage(rows.groupBy("g", "s", "key", "state").agg(F.max("out").alias("out")), "shared")
-    met = pairs(few, few, "g").union(pairs(rows.where("out"), rows, "g", "s"))
-    return met.distinct()
+                yield _joined(parts, ["g", "s", "a", "own", "inside"])
+
+    some = stage(unsettled(own), "unsettled")
+    few, many = some.where(F.col("n") <= FEW), some.where(F.col("n") > FEW)
+    most = many.groupBy("g", "class").agg(F.count("*").alias("n")).groupBy("g").agg(F.max_by("class", F.struct("n", "class")).alias("most"))
+    large = many.select("g", "key").distinct().join(most, "g").groupBy("key").agg(F.collect_list(F.struct("g", "most")).alias("large"))
+    found = own.join(large, "key").select("key", "lo", "data", "lows", "highs", "groups", "root", "first", "last", "large")
+    found = stage(found.mapInArrow(places, "g long, s int, key long, class long, p int, bare boolean, starts boolean"), "places")
+    some_way = F.xxhash64("key", F.expr("pmod(s, 4)"))  # other texts for other shingles, but not for each
+    held = found.groupBy("g", "s", "class").agg(F.count("*").alias("n"), F.min_by("key", some_way).alias("low"), F.max_by("key", some_way).alias("high"))
+    held = held.withColumn("same", F.expr("low <> high"))
+    every = held.groupBy("g", "s").agg(F.sum("n").alias("n"), (F.min("class") < F.max("class")).alias("other"))
+    rows = found.where("starts").join(held.select("g", "s", "class", "same"), ["g", "s", "class"]).join(every, ["g", "s"]).where("same OR other")
+    rows = rows.groupBy("key", "g", "class").agg(F.collect_list(F.struct("p", "s", "n", "bare", "other", "same")).alias("rows")).join(most, "g")
+    rows = rows.select("key", "g", "class", "most", "rows")
+    outs = stage(rows.mapInArrow(keys, "g long, s int, a long, own long, inside boolean"), "outs")
+    at = outs.where("NOT inside").select("g", "s").distinct()
+    if at.count() <= BROADCAST_ROWS:
+        at = F.broadcast(at)
+    rest = found.join(at, ["g", "s"], "left_semi").select("g", "s", "key", "class").distinct()
+    met = outs.where("NOT inside").join(rest, ["g", "s"]).where("class <> own").select("a", "key")
+    near = outs.where("inside").join(held.withColumnRenamed("class", "own"), ["g", "s", "own"])
+    near = near.select("a", F.explode(F.array("low", "high")).alias("key")).where("a <> key")
+    two = few.selectExpr("g", "key AS a", "state AS own").join(few, "g").where("key <> a AND state <> own")
+    met = met.union(near).union(two.select("a", "key"))
+    return met.select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b")).distinct()
 
 
 def _in(x: np.ndarray, own: np.ndarray) -> np.ndarray:
@@ -614,15 +671,25 @@ def passages(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     need = need.union(alone.select("a", "a0", "a1"))
     need = stage(need.groupBy("key").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")), "need")
     cut = stage(_slices(texts, need), "slices")
-    own = cut.join(alone.select(F.col("a").alias("key"), "lows", "highs", "centres", "groups"), "key")
+    alone = alone.select(F.col("a").alias("key"), "lows", "highs", "centres", "groups")
+    own = cut.join(alone, "key").withColumn("size", F.expr("cast(length(data) / 4 AS int)"))
     shared = stage(compared(found, cut).union(equal_passages(own.select("key", "lo", "data", "lows", "highs"))), "passages")
     roots = stage(connected_components(shared.select("a", "b")), "roots")
-    done = _sides(shared).join(alone.select(F.col("a").alias("key")), "key", "left_semi").select("key", "first", "last").distinct()
+    more = stage(compared(similar_pairs(_covered(own, shared, roots)), cut), "similar")
+    return shared.union(more), _merged(roots, more)
+
+
+def _covered(own: DataFrame, shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """``own`` with its texts' root and the words first to last that passages cover."""
+    done = _sides(shared).join(own.select("key"), "key", "left_semi").select("key", "first", "last").distinct()
     done = done.groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("done"))
     done = done.select("key", F.col("done.first").alias("first"), F.col("done.last").alias("last"))
-    own = own.join(done, "key", "left").join(roots.withColumnRenamed("node", "key"), "key", "left")
-    more = stage(compared(similar_pairs(own), cut), "similar")
-    # what the second comparison links are components of the first, or single texts
+    return own.join(done, "key", "left").join(roots.withColumnRenamed("node", "key"), "key", "left")
+
+
+def _merged(roots: DataFrame, more: DataFrame) -> DataFrame:
+    """Components (node, root) after the passages ``more``, whose links join
+    components of ``roots``, or single texts."""
     links = more.select("a", "b").distinct()
     for x in "ab":
         links = links.join(roots.select(F.col("node").alias(x), F.col("root").alias(f"{x}_root")), x, "left")
@@ -630,7 +697,7 @@ def passages(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     late = stage(connected_components(links), "late")
     moved = late.select(F.col("node").alias("root"), F.col("root").alias("_to"))
     first = roots.join(moved, "root", "left").select("node", F.coalesce("_to", "root").alias("root"))
-    return shared.union(more), first.union(late.join(roots, "node", "left_anti").select("node", "root"))
+    return first.union(late.join(roots, "node", "left_anti").select("node", "root"))
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:

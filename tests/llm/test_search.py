@@ -155,6 +155,30 @@ def test_near_copies_around_a_common_line_are_found(spark, sentence_of):
     assert all(58 <= r.n_words <= 60 for r in got)
 
 
+def test_texts_of_one_class_are_not_all_compared(spark, sentence_of, monkeypatch):
+    rng = random.Random(9)
+    common, docs = sentence_of(rng, 400).split(), []
+    for k in range(150):  # near copies, every word changed with probability 1 / 40
+        docs.append((k, " ".join(sentence_of(rng, 1) + "x" if rng.random() < 1 / 40 else w for w in common)))
+    compared, similar_pairs = [], W.similar_pairs
+    monkeypatch.setattr(W, "similar_pairs", lambda own: compared.append(similar_pairs(own)) or compared[0])
+    got = W.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string").repartition(5)).collect()
+    assert {r.doc_id: r.class_id for r in got} == {k: 0 for k in range(150)}
+    assert compared[0].count() < 20 * 150
+
+
+def test_alive_ranges_equal_brute_force():
+    rng = np.random.default_rng(2)
+    for share in (0.8, 0.88, 0.92, 0.97):
+        match = rng.random(150) < share
+        sums, want = np.concatenate(([0], np.cumsum(match))), np.zeros(150, bool)
+        for i in range(150):
+            for j in range(i + W.SPAN, 151):
+                if 9 * (sums[j] - sums[i]) >= 8 * (j - i):
+                    want[i:j] = True
+        assert (W._alive(match) == want).all()
+
+
 def test_runs_leave_a_shared_shingle_out():
     p = np.r_[0, np.arange(10, 55), np.arange(80, 84)]
     n = np.r_[2, np.full(45, 400), np.full(4, 2)]
