@@ -247,7 +247,9 @@ def meetings(found: DataFrame) -> DataFrame:
     a, a with a's windows in groups of many texts."""
     side = Window.partitionBy("hk", "salt").orderBy("a", "ac", "ar")
     me = F.struct("k", "a", "al", "ac", "ar", "b", "bl", "bc", "br")
-    rows = found.withColumn("own", F.struct("a", "al", "ac", "ar"))
+    # most rows are alone in their group and meet none: they go before anything else is made of them
+    rows = found.withColumn("alone", F.lag("hk").over(side).isNull() & F.lead("hk").over(side).isNull())
+    rows = rows.where(f"NOT alone OR salt <> 0 OR n >= {MANY}").withColumn("own", F.struct("a", "al", "ac", "ar"))
     rows = rows.withColumn("before", F.when(F.col("salt") == 0, F.lag("own").over(side)))
     rows = rows.withColumn("first", F.when(F.col("salt") == 0, F.first("own").over(side)))
 
@@ -258,7 +260,7 @@ def meetings(found: DataFrame) -> DataFrame:
         o = F.col(name)
         return F.struct("k", "a", "al", "ac", "ar", o["a"].alias("b"), o["al"].alias("bl"), o["ac"].alias("bc"), o["ar"].alias("br"))
 
-    rows = rows.where("b IS NOT NULL OR before IS NOT NULL OR alone IS NOT NULL")  # most meet none
+    rows = rows.where("b IS NOT NULL OR before IS NOT NULL OR alone IS NOT NULL")
     met = rows.select("hk", F.posexplode(F.array(me, with_other("before"), with_other("first"), with_other("alone"))).alias("way", "m")).select("way", "hk", "m.*")
     met = met.where("b IS NOT NULL AND (a <> b OR way = 3)")
     turned = [F.when(F.col("a") < F.col("b"), F.col(x)).otherwise(F.col(y)).alias(z) for x, y, z in (
@@ -519,11 +521,12 @@ def similar_pairs(own: DataFrame) -> DataFrame:
     rows = rows.groupBy("key", "g", "class").agg(F.collect_list(F.struct("p", "s", "n", "bare", "other", "same")).alias("rows")).join(most, "g")
     rows = rows.select("key", "g", "class", "most", "rows")
     outs = stage(rows.mapInArrow(keys, "g long, s int, a long, own long, inside boolean"), "outs")
-    at = outs.where("NOT inside").select("g", "s").distinct()
+    apart = outs.where("NOT inside")
+    at = stage(apart.join(held.select("g", "s", "class"), ["g", "s"]).where("class <> own").select("g", "s", "class").distinct(), "at")
     if at.count() <= BROADCAST_ROWS:
         at = F.broadcast(at)
-    rest = found.join(at, ["g", "s"], "left_semi").select("g", "s", "key", "class").distinct()
-    met = outs.where("NOT inside").join(rest, ["g", "s"]).where("class <> own").select("a", "key")
+    rest = found.join(at, ["g", "s", "class"], "left_semi").select("g", "s", "key", "class").distinct()
+    met = apart.join(rest, ["g", "s"]).where("class <> own").select("a", "key")
     near = outs.where("inside").join(held.withColumnRenamed("class", "own"), ["g", "s", "own"])
     near = near.select("a", F.explode(F.array("low", "high")).alias("key")).where("a <> key")
     two = few.selectExpr("g", "key AS a", "state AS own").join(few, "g").where("key <> a AND state <> own")
