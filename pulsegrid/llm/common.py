@@ -33,6 +33,19 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of the right side that a task of ``every_pair`` takes.
+RIGHT_ROWS = 16
+
+
+def every_pair(left: DataFrame, right: DataFrame, n_right: int) -> DataFrame:
+    """Each row of ``left`` beside each of the ``n_right`` rows of ``right``, the
+    pairs of a left row one after the other. Tasks read a part of either side
+    from where it is staged: nothing is copied, shuffled or sent to the driver,
+    whatever size Spark takes packed rows for."""
+    right = right.coalesce(max(1, -(-n_right // RIGHT_ROWS)))
+    return left.crossJoin(right.hint("shuffle_replicate_nl"))
+
+
 _HELD: dict = {}
 
 

@@ -14,8 +14,8 @@ takes the page with the least lower bound first. |d(q, parent) - d(parent, o)|
 - radius, from stored distances alone, rules entries out before their own
 distance is computed. Bounds are widened by a relative 1e-9, ties are never
 ruled out, and scores are computed on integers, so the result is exact.
-Queries meet every shard in blocks of ``block`` rows; the best k of each shard
-are merged.
+Queries meet every shard in blocks of ``block`` rows, both read from where they
+are staged; the best k of each shard are merged.
 
 Vectors that are null or hold null or non-finite components take no part;
 shorter vectors are padded with zeros. A query's own rows are those with its
@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import every_pair, stage
 
 SCALE = 1024
 SHARD_ROWS = 8192
@@ -216,10 +216,9 @@ def top_k(
     exact = max(facts["top"] or 0, wide["top"] or 0) < EXACT  # sums of products fit in doubles
     most = int(facts["top"] or 0)
     shards, blocks = max(1, -(-facts["n"] // shard_rows)), max(1, -(-wide["n"] // block))
-    trees = _packed(rows, "shard", shards, dim)
-    asked = _packed(asks, "block", blocks, dim).select("block", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"))
-    asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    pairs = trees.join(asked, "shard").sortWithinPartitions("shard", "block").select("shard", "dim", "ids", "data", "q_ids", "q_data")
+    trees = stage(_packed(rows, "shard", shards, dim), "shards").select("shard", "dim", "ids", "data")
+    asked = stage(_packed(asks, "block", blocks, dim), "blocks").select(F.col("ids").alias("q_ids"), F.col("data").alias("q_data"))
+    pairs = every_pair(trees, asked, blocks)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, tree = None, None

@@ -4,6 +4,7 @@ import numpy as np
 
 from pulsegrid.llm import compact_windows as W
 from pulsegrid.llm import mtree
+from pulsegrid.llm.common import RIGHT_ROWS, every_pair, stage
 
 
 def brute_top(rows, k):
@@ -42,6 +43,28 @@ def test_tree_avoids_distances():
     assert tree.avoided > 0 and tree.computed < 0.5 * 10 * 4000
 
 
+def test_every_pair_keeps_the_pairs_of_a_left_row_together(spark):
+    n = 2 * RIGHT_ROWS + 3
+    left, right = (stage(spark.range(m).toDF(c).repartition(5), "sides") for m, c in ((7, "a"), (n, "b")))
+    parts = every_pair(left, right, n).rdd.glom().collect()
+    assert sorted((r.a, r.b) for p in parts for r in p) == [(a, b) for a in range(7) for b in range(n)]
+    for p in parts:
+        kept = [r.a for i, r in enumerate(p) if not i or p[i - 1].a != r.a]
+        assert len(kept) == len(set(kept))
+    none = spark.range(0).toDF("b")
+    assert every_pair(left, none, 0).count() == every_pair(none, right.toDF("c"), n).count() == 0
+
+
+def test_query_blocks_are_never_broadcast(spark):
+    """Every shard's copy of the queries, whose size Spark underrates, went to the driver."""
+    rng = random.Random(2)
+    df = spark.createDataFrame([(k, [rng.gauss(0, 1) for _ in range(8)]) for k in range(1200)], "vec_id long, embedding array<float>")
+    got = mtree.top_k(df, df.where("vec_id % 4 = 0"), 2, shard_rows=100, block=10)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Broadcast" not in plan
+    assert got.count() == 600
+
+
 def test_wide_values_stay_exact(spark):
     rows = [(k, [2.0**17 + k, -(2.0**16)]) for k in range(0, 40)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
