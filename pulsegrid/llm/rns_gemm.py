@@ -9,11 +9,12 @@ signed scores by Chinese remaindering.
 
 Rows are dealt out evenly, without a key, to shards of ``shard_rows`` rows, so
 copies and repeats spread like any other rows; anchors (a stated query set) meet
-every shard in blocks of ``block``. Two passes over the shards: the first keeps an
-anchor's ``positives`` best rows of its label, the second, per positive, the best
-``negatives`` rows of other labels inside its window of scores, found in the
-score matrix of anchor block and shard. Windows of both passes merge over shards
-by a partial top-k, so a shard sends at most so many rows per anchor.
+every shard in blocks of ``block``, both read from where they are staged. Two
+passes over the shards: the first keeps an anchor's ``positives`` best rows of its
+label, the second, per positive, the best ``negatives`` rows of other labels inside
+its window of scores, found in the score matrix of anchor block and shard. Windows
+of both passes merge over shards by a partial top-k, so a shard sends at most so
+many rows per anchor.
 
 Rows with a null id, label or vector, or a null or non-finite component take no
 part; shorter vectors are padded with zeros. An anchor's own rows are those with
@@ -34,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import every_pair, stage
 from .vectors import as_long, floors, matrix, vector_rows
 
 SCALE = 256
@@ -230,27 +231,27 @@ def hard_negatives(
     shards = stage(rows.repartition(parts).mapInArrow(_pack(shard_rows, parts, scale), PACKED), "shards")
     asked = rows.where(anchors).groupBy("vec_id").agg(F.min(F.struct("label", "v")).alias("r")).select("vec_id", "r.label", "r.v")
     asked = stage(asked, "anchors")
-    facts = shards.agg(F.max("shard").alias("last"), F.max("dim").alias("dim"), F.max("top").alias("top")).first()
+    facts = shards.agg(F.max("dim").alias("dim"), F.max("top").alias("top")).first()
     dim, top = facts["dim"] or 1, facts["top"] or 0
     primes = primes_for(dim * top * top)
 
     def meet(blocks: DataFrame, pick, names: list[str]) -> DataFrame:
-        blocks = blocks.mapInArrow(_pack(block, 1, scale), PACKED).drop("shard", "top")
+        blocks = stage(blocks.mapInArrow(_pack(block, 1, scale), PACKED).drop("shard", "top"), "blocks")
         blocks = blocks.select(*[F.col(c).alias(f"a_{c}") for c in blocks.columns])
-        blocks = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(facts["last"] or 0).cast("long"))))
-        return shards.join(blocks, "shard").mapInArrow(_tiles(primes, dim, pick, names), ", ".join(f"{n} long" for n in names))
+        pairs = every_pair(shards, blocks, blocks.count())
+        return pairs.mapInArrow(_tiles(primes, dim, pick, names), ", ".join(f"{n} long" for n in names))
 
     by_score = Window.partitionBy("anchor_id").orderBy(F.col("positive_score").desc(), "positive_id")
     found = meet(asked, _near(positives), ["anchor_id", "positive_id", "positive_score"])
     found = found.withColumn("place", F.row_number().over(by_score)).where(F.col("place") <= positives)
     goals = found.groupBy(F.col("anchor_id").alias("vec_id")).agg(F.array_sort(F.collect_list(F.struct("place", "positive_id", "positive_score"))).alias("goals"))
-    goals = stage(asked.join(goals, "vec_id"), "positives")
+    goals = stage(asked.join(goals.hint("merge"), "vec_id"), "positives")  # anchors grow with the rows: never to the driver
 
     found = meet(goals, _hard(negatives, window), ["anchor_id", "place", "positive_id", "negative_id", "negative_score"])
     by_score = Window.partitionBy("anchor_id", "place").orderBy(F.col("negative_score").desc(), "negative_id")
     found = found.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= negatives)
     scored = goals.select(F.col("vec_id").alias("anchor_id"), F.inline("goals")).select("anchor_id", F.col("place").cast("long").alias("place"), "positive_score")
-    found = found.join(scored, ["anchor_id", "place"])
+    found = found.join(scored.hint("merge"), ["anchor_id", "place"])
     return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
 
 

@@ -136,6 +136,27 @@ def test_hard_negatives_equal_brute_force(spark):
     assert mined(df.where("vec_id IN (0, 1)"), 30).count() == 0
 
 
+def test_anchor_blocks_are_never_broadcast(spark, monkeypatch):
+    """Every shard's copy of the anchors, whose size Spark underrates, went to the driver."""
+    plans = {}
+    plan_of = lambda df: df._jdf.queryExecution().executedPlan().toString()
+
+    def staged(df, label):
+        plans[label] = plan_of(df)
+        return kept(df, label)
+
+    kept = rns_gemm.stage
+    monkeypatch.setattr(rns_gemm, "stage", staged)
+    rng = random.Random(5)
+    rows = [(k, [rng.gauss(0.2, 1) for _ in range(6)]) for k in range(400)]
+    df = frame(spark, rows, [k % 3 for k in range(400)])
+    got = mined(df, 10, shard_rows=70, block=4)
+    plans["result"] = plan_of(got)
+    assert "CartesianProduct" in plans["positives"] and "CartesianProduct" in plans["result"]
+    assert not [label for label, plan in plans.items() if "Broadcast" in plan]
+    assert sorted(tuple(r) for r in got.collect()) == brute_negatives(read(df), 10)
+
+
 def test_wide_hard_negatives_stay_exact(spark):
     rows = [(k, [2.0**20 + k, -(2.0**19), 3.0 * k]) for k in range(60)]
     df = frame(spark, rows, [k % 3 for k in range(60)])
