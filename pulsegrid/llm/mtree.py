@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import every_pair, stage
+from .vectors import narrow, widened
 
 SCALE = 1024
 SHARD_ROWS = 8192
@@ -160,7 +161,7 @@ def _pack(by: str, dim: int):
         def flush():
             ids = np.array([i for part in ids_of for i in part], "<i8")
             data = np.concatenate(rows_of) if rows_of else np.zeros((0, dim), "<i8")
-            columns = [[key], [len(ids)], [dim], [ids.tobytes()], [data.astype("<i8").tobytes()]]
+            columns = [[key], [len(ids)], [dim], [ids.tobytes()], [narrow(data)]]
             kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=[by, "n", "dim", "ids", "data"])
 
@@ -196,7 +197,7 @@ def _packed(rows: DataFrame, by: str, groups: int, dim: int) -> DataFrame:
 
 def _read(row: dict, prefix: str, exact: bool) -> tuple[np.ndarray, np.ndarray]:
     ids = np.frombuffer(row[prefix + "ids"], "<i8")
-    data = np.frombuffer(row[prefix + "data"], "<i8").reshape(len(ids), row["dim"])
+    data = widened(row[prefix + "data"], len(ids), row["dim"])
     return ids, data.astype(np.float64) if exact else data
 
 

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import every_pair, stage
-from .vectors import as_long, floors, matrix, vector_rows
+from .vectors import as_long, floors, matrix, narrow, vector_rows, widened
 
 SCALE = 256
 POSITIVES = 5
@@ -111,7 +111,7 @@ def best(row: np.ndarray, k: int) -> np.ndarray:
     return some[np.argsort(-row[some], kind="stable")][:k]
 
 
-#: Packed rows: the runs of ids, labels, components and goals as 64-bit integers.
+#: Packed rows: the runs of ids, labels and goals as 64-bit integers, of components as the narrowest that hold them.
 KIND = pa.schema([("shard", pa.int64()), ("dim", pa.int32()), ("top", pa.int64())] + [(c, pa.binary()) for c in ("ids", "labels", "data", "goals", "goal_ids", "goal_scores")])
 PACKED = "shard long, dim int, top long, ids binary, labels binary, data binary, goals binary, goal_ids binary, goal_scores binary"
 
@@ -125,14 +125,14 @@ def _pack(size: int, stride: int, scale: int):
             nonlocal number
             table = table.sort_by("vec_id")
             x = floors(matrix(table["v"]), scale)
-            row = {"shard": number, "dim": x.shape[1], "top": int(np.abs(x).max(initial=0)), "data": x}
+            row = {"shard": number, "dim": x.shape[1], "top": int(np.abs(x).max(initial=0)), "data": narrow(x)}
             row |= {"ids": table["vec_id"], "labels": table["label"], "goals": [], "goal_ids": [], "goal_scores": []}
             if "goals" in table.column_names:
                 goals = table["goals"].combine_chunks()
                 flat = goals.flatten()
                 row |= {"goals": pa.compute.list_value_length(goals), "goal_ids": flat.field("positive_id"), "goal_scores": flat.field("positive_score")}
             number += stride
-            row = {c: np.asarray(v).astype("<i8").tobytes() if KIND.field(c).type == pa.binary() else v for c, v in row.items()}
+            row = {c: np.asarray(v).astype("<i8").tobytes() if KIND.field(c).type == pa.binary() and c != "data" else v for c, v in row.items()}
             return pa.RecordBatch.from_pylist([row], schema=KIND)
 
         number, held, count = TaskContext.get().partitionId(), [], 0
@@ -154,7 +154,7 @@ def _longs(cell: bytes) -> np.ndarray:
 
 
 def _padded(row: dict, prefix: str, dim: int) -> np.ndarray:
-    x = _longs(row[prefix + "data"]).reshape(len(_longs(row[prefix + "ids"])), row[prefix + "dim"])
+    x = widened(row[prefix + "data"], len(_longs(row[prefix + "ids"])), row[prefix + "dim"])
     return np.pad(x, ((0, 0), (0, dim - x.shape[1])))
 
 

@@ -41,6 +41,17 @@ def floors(values: np.ndarray, scale: int) -> np.ndarray:
         return np.clip(np.floor(scale * values), -FAR, FAR).astype(np.int64)
 
 
+def narrow(x: np.ndarray) -> bytes:
+    """A matrix of 64-bit integers as bytes of the narrowest type that holds them."""
+    low, high = x.min(initial=0), x.max(initial=0)
+    return x.astype(next(k for k in ("<i1", "<i2", "<i4", "<i8") if np.iinfo(k).min <= low and high <= np.iinfo(k).max)).tobytes()
+
+
+def widened(cell: bytes, n: int, dim: int) -> np.ndarray:
+    """The ``n`` x ``dim`` matrix that ``narrow`` made ``cell`` of."""
+    return np.frombuffer(cell, f"<i{len(cell) // (n * dim)}" if n * dim else "<i8").reshape(n, dim).astype(np.int64)
+
+
 def as_long(value: int) -> int:
     """A whole number of any size, held to the range of a long."""
     return max(-(2**63), min(2**63 - 1, int(value)))

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulsegrid.llm import bisectors, rns_gemm, rp_forest
+from pulsegrid.llm.vectors import narrow, widened
 
 ODD = [(None, [1.0] * 6), (9001, None), (9002, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (9003, [float("nan")] * 6), (9004, [float("inf")] * 6)]
 SCHEMA = "vec_id long, embedding array<float>, label int, cluster string, score int, v string, rank int"
@@ -102,6 +103,13 @@ def test_residue_scores_are_exact(most, dim):
     assert (got == a.astype(object) @ b.T.astype(object)).all()
 
 
+@pytest.mark.parametrize("low, high, width", [(-128, 127, 1), (-129, 0, 2), (0, 128, 2), (-(2**15), 2**15, 4), (-(2**31) - 1, 0, 8), (-(2**63), 2**63 - 1, 8)])
+def test_packed_integers_come_back(low, high, width):
+    x = np.array([[low, high, 0], [high, 1, low]], np.int64)
+    assert len(narrow(x)) == 6 * width and np.array_equal(widened(narrow(x), 2, 3), x)
+    assert widened(narrow(x[:, :0]), 2, 0).shape == (2, 0) and widened(narrow(x[:0]), 0, 3).shape == (0, 3)
+
+
 def brute_negatives(rows, anchors):
     rows = [(i, [int(np.floor(256 * x)) for x in v], (lab + 1) % 10 if i % 7 == 0 else lab) for i, v, lab in rows if lab is not None]
     out = []
